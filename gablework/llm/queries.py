@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gablework.llm import mixing, packing, repair
+from gablework.llm import mixing, packing, ppm, repair
 from gablework.llm.common import read_table
 from gablework.llm.tokens import public_path
 
@@ -16,6 +16,10 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.token_files(read_table(spark, sf_dir, "documents"), public_path("word_bpe_49k.json"), 2)
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.language_id(read_table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), public_path("byte_bpe_50k.json"), 1)
 
@@ -64,6 +68,7 @@ FROM running
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op4_token_files": op4_token_files,
+        "op8_language_id": op8_language_id,
         "op9_packing": op9_packing,
         "op10_mixing": op10_mixing,
     }
