@@ -7,15 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gablework.llm import mixing, packing, ppm, repair
+from gablework.llm import additive, bitsliced, mixing, packing, ppm, repair
 from gablework.llm.common import read_table
 from gablework.llm.tokens import public_path
 
 
+def op3_additive_quantisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return additive.search(read_table(spark, sf_dir, "embeddings"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.token_files(read_table(spark, sf_dir, "documents"), public_path("word_bpe_49k.json"), 2)
 
 
+def op6_bit_sliced_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitsliced.top_k(read_table(spark, sf_dir, "embeddings"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.language_id(read_table(spark, sf_dir, "documents"))
 
@@ -64,10 +72,24 @@ SELECT doc_id, size, source_size, target,
 FROM running
 """
 
+OP6_SQL = """
+WITH q AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+ranked AS (
+  SELECT a.vec_id AS query_id, b.vec_id AS vec_id, list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM q a JOIN q b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE a.vec_id % 100 = 0)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank FROM ranked) WHERE rank <= 10
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_additive_quantisation": op3_additive_quantisation,
         "op4_token_files": op4_token_files,
+        "op6_bit_sliced_top_k": op6_bit_sliced_top_k,
         "op8_language_id": op8_language_id,
         "op9_packing": op9_packing,
         "op10_mixing": op10_mixing,
@@ -75,4 +97,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_mixing": OP10_SQL}
+    return {"op6_bit_sliced_top_k": OP6_SQL, "op10_mixing": OP10_SQL}
