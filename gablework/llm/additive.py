@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from gablework.llm.vectors import best, blocks, paired, usable
 
 #: Codebooks and their entries; beams of the encoder; candidates of a block that are ranked exactly, for each result wanted.
-BOOKS, ENTRIES, BEAM, RERANK = 8, 256, 4, 12
+BOOKS, ENTRIES, BEAM, RERANK = 16, 256, 3, 16
 #: Rows (expected, by hash of vec_id) that the codebooks are fitted on, and rounds of k-means for each.
 SAMPLE_ROWS, ROUNDS = 8_000, 8
 
@@ -49,14 +49,16 @@ def encode(x: np.ndarray, books: np.ndarray, beam: int = BEAM) -> tuple[np.ndarr
     """Codes (rows, books) by beam search, and the squared norms of what they stand for."""
     n, dim = x.shape
     m, entries, _ = books.shape
-    codes, rest, best_codes, norms = np.zeros((n, 1, 0), np.uint8), x[:, None, :], [], []
+    best_codes, norms = [], []
     if not n:
         return np.zeros((0, m), np.uint8), np.zeros(0)
+    x, books = x.astype(np.float32), books.astype(np.float32)
     for lo in range(0, n, 2048):
         rest, codes = x[lo : lo + 2048, None, :], np.zeros((min(2048, n - lo), 1, 0), np.uint8)
         for book in books:
             # Squared error of each beam with each entry; the best beams go on.
-            cost = (rest**2).sum(axis=2)[:, :, None] + (book**2).sum(axis=1) - 2 * (rest @ book.T)
+            cost = (rest.reshape(-1, dim) @ (-2 * book.T)).reshape(*rest.shape[:2], entries)
+            cost += ((rest**2).sum(axis=2)[:, :, None] + (book**2).sum(axis=1))
             flat = cost.reshape(len(rest), -1)
             width = min(beam, flat.shape[1])
             at = np.argpartition(flat, width - 1, axis=1)[:, :width]
