@@ -7,11 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gablework.llm import additive, bitsliced, mixing, packing, ppm, repair
+from gablework.llm import additive, bitsliced, mixing, packing, ppm, quality, repair
 from gablework.llm.common import read_table
 from gablework.llm.tokens import public_path
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op3_additive_quantisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return additive.search(read_table(spark, sf_dir, "embeddings"))
 
@@ -87,6 +91,7 @@ SELECT query_id, rank, vec_id, score FROM (
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality": op1_quality,
         "op3_additive_quantisation": op3_additive_quantisation,
         "op4_token_files": op4_token_files,
         "op6_bit_sliced_top_k": op6_bit_sliced_top_k,
