@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gablework.llm import additive, bitsliced, mixing, packing, ppm, quality, repair
+from gablework.llm import additive, bitsliced, cws, mixing, packing, ppm, quality, repair
 from gablework.llm.common import read_table
 from gablework.llm.tokens import public_path
 
@@ -28,6 +28,10 @@ def op6_bit_sliced_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitsliced.top_k(read_table(spark, sf_dir, "embeddings"))
 
 
+def op7_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cws.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.language_id(read_table(spark, sf_dir, "documents"))
 
@@ -95,6 +99,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_additive_quantisation": op3_additive_quantisation,
         "op4_token_files": op4_token_files,
         "op6_bit_sliced_top_k": op6_bit_sliced_top_k,
+        "op7_weighted_minhash": op7_weighted_minhash,
         "op8_language_id": op8_language_id,
         "op9_packing": op9_packing,
         "op10_mixing": op10_mixing,
