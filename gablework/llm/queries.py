@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gablework.llm import additive, bitsliced, cws, mixing, packing, ppm, quality, repair
+from gablework.llm import additive, bitsliced, cws, lines, mixing, packing, ppm, quality, repair
 from gablework.llm.common import read_table
 from gablework.llm.tokens import public_path
 
@@ -24,6 +24,11 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.token_files(read_table(spark, sf_dir, "documents"), public_path("word_bpe_49k.json"), 2)
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reduced = lines.line_dedup(read_table(spark, sf_dir, "documents"))
+    return reduced.select("doc_id", "n_lines", "n_dropped", "n_near", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
 def op6_bit_sliced_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitsliced.top_k(read_table(spark, sf_dir, "embeddings"))
 
@@ -80,6 +85,32 @@ SELECT doc_id, size, source_size, target,
 FROM running
 """
 
+#: Within one edit: the common beginning and end cover all but one character of the longer line. Candidates share their first
+#: or second half (of the shorter one).
+OP5_SQL = r"""
+WITH every AS (
+  SELECT doc_id, md5(text) AS t, unnest(range(len(string_split(text, chr(10))))) AS pos, unnest(string_split(text, chr(10))) AS line FROM documents),
+lone AS (
+  SELECT line, length(line) AS n, min((doc_id, pos)) AS first FROM every WHERE NOT regexp_full_match(line, '\s*') GROUP BY line),
+long AS (SELECT *, n // 2 AS h FROM lone WHERE n >= 24),
+met AS (
+  SELECT a.line AS a, b.line AS b, a.n AS m, b.n AS n FROM long a JOIN long b ON left(a.line, a.h) = left(b.line, a.h) WHERE b.n IN (a.n, a.n + 1) AND a.line <> b.line
+  UNION
+  SELECT a.line, b.line, a.n, b.n FROM long a JOIN long b ON right(a.line, a.n - a.h) = right(b.line, a.n - a.h) WHERE b.n IN (a.n, a.n + 1) AND a.line <> b.line),
+links AS (
+  SELECT a, b FROM met
+  WHERE len(list_filter(range(1, m + 1), lambda i: left(a, i) = left(b, i))) + len(list_filter(range(1, m + 1), lambda i: right(a, i) = right(b, i))) >= n - 1),
+near AS (
+  SELECT DISTINCT CASE WHEN x.first < y.first THEN b ELSE a END AS line FROM links JOIN lone x ON a = x.line JOIN lone y ON b = y.line),
+judged AS (
+  SELECT e.doc_id, e.pos, e.line, l.line IS NOT NULL AND ((e.doc_id, e.pos) <> l.first OR k.line IS NOT NULL) AS dropped,
+         coalesce((e.doc_id, e.pos) = l.first AND k.line IS NOT NULL, false) AS near
+  FROM every e LEFT JOIN lone l ON e.line = l.line LEFT JOIN near k ON e.line = k.line)
+SELECT doc_id, count(*)::INTEGER AS n_lines, count(*) FILTER (WHERE dropped)::INTEGER AS n_dropped, count(*) FILTER (WHERE near)::INTEGER AS n_near,
+       md5(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS text_md5
+FROM judged GROUP BY doc_id
+"""
+
 OP6_SQL = """
 WITH q AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
@@ -98,6 +129,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_quality": op1_quality,
         "op3_additive_quantisation": op3_additive_quantisation,
         "op4_token_files": op4_token_files,
+        "op5_line_dedup": op5_line_dedup,
         "op6_bit_sliced_top_k": op6_bit_sliced_top_k,
         "op7_weighted_minhash": op7_weighted_minhash,
         "op8_language_id": op8_language_id,
@@ -107,4 +139,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_bit_sliced_top_k": OP6_SQL, "op10_mixing": OP10_SQL}
+    return {"op5_line_dedup": OP5_SQL, "op6_bit_sliced_top_k": OP6_SQL, "op10_mixing": OP10_SQL}
