@@ -31,7 +31,7 @@ MAGIC = b"RPG1"
 SHARD_IDS, MIN_USES, ROUNDS = 1_000_000, 6, 10
 #: Rounds stop when one shortens the sequence by less than this share.
 LEAST_GAIN = 0.01
-_BUCKETS, _MIX = 18, np.uint64(0x9E3779B97F4A7C15)
+_BUCKETS, _MIX, _MIX32 = 18, np.uint64(0x9E3779B97F4A7C15), np.uint32(0x9E3779B1)
 
 
 def compress(ids: np.ndarray, min_uses: int = MIN_USES, rounds: int = ROUNDS) -> bytes:
@@ -73,36 +73,39 @@ def _replace(seq: np.ndarray, n: int, room: int, min_uses: int) -> tuple[np.ndar
     """One round: the shorter sequence and the pairs that became symbols n, n + 1, ...; None if no pair is frequent."""
     if len(seq) < 2 or room <= 0:
         return None
-    key = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
-    slot = ((key * _MIX) >> np.uint64(64 - _BUCKETS)).astype(np.int32)
-    often = np.flatnonzero(np.bincount(slot, minlength=1 << _BUCKETS)[slot] >= min_uses)
+    # Symbols of two bytes make pairs of four.
+    small = n <= 65_536
+    kind, half, mixer = (np.uint32, 16, _MIX32) if small else (np.uint64, 32, _MIX)
+    key = (seq[:-1].astype(kind) << kind(half)) | seq[1:].astype(kind)
+    slot = ((key * mixer) >> kind((32 if small else 64) - _BUCKETS)).astype(np.int64)
+    often = np.flatnonzero((np.bincount(slot, minlength=1 << _BUCKETS) >= min_uses)[slot])
     if not len(often):
         return None
-    key, slot = key[often], slot[often]
     # One pair stands for each slot; its own occurrences are counted.
-    stands = np.zeros(1 << _BUCKETS, np.uint64)
+    key, slot = key[often], slot[often]
+    stands = np.zeros(1 << _BUCKETS, kind)
     stands[slot] = key
-    own = stands[slot] == key
-    often, key, slot = often[own], key[own], slot[own]
-    # Of a run of one id, every second pair.
-    if len(often):
-        follows = np.concatenate(([False], (often[1:] == often[:-1] + 1) & (key[1:] == key[:-1])))
-        if follows.any():
-            runs = np.flatnonzero(~follows)
-            place = np.arange(len(often)) - np.repeat(runs, np.diff(np.append(runs, len(often))))
-            even = place % 2 == 0
-            often, slot = often[even], slot[even]
-    uses = np.bincount(slot, minlength=1 << _BUCKETS)[slot]
-    good = uses >= min_uses
-    often, slot, uses = often[good], slot[good], uses[good]
+    own = np.flatnonzero(stands[slot] == key)
+    counts = np.bincount(slot[own], minlength=1 << _BUCKETS)
+    own = own[(counts >= min_uses)[slot[own]]]
+    often, slot = often[own], slot[own]
     if not len(often):
         return None
-    touch = np.concatenate(([False], often[1:] == often[:-1] + 1))
+    # Of a run of one id, every second pair.
+    follows = np.flatnonzero((often[1:] == often[:-1] + 1) & (slot[1:] == slot[:-1])) + 1
+    if len(follows):
+        heads = np.ones(len(often), bool)
+        heads[follows] = False
+        runs = np.flatnonzero(heads)
+        place = np.arange(len(often)) - np.repeat(runs, np.diff(np.append(runs, len(often))))
+        even = np.flatnonzero(place % 2 == 0)
+        often, slot = often[even], slot[even]
+    uses = counts[slot]
+    # Of two pairs that overlap, the more frequent; of equal ones, the first.
     keep = np.ones(len(often), bool)
-    left = np.flatnonzero(touch)
-    loses = uses[left] <= uses[left - 1]
-    keep[left[loses]] = False
-    keep[left[~loses] - 1] = False
+    right = np.flatnonzero(often[1:] == often[:-1] + 1) + 1
+    keep[right - (uses[right] > uses[right - 1])] = False
+    keep = np.flatnonzero(keep)
     often, slot = often[keep], slot[keep]
     used = np.bincount(slot, minlength=1 << _BUCKETS)
     if np.count_nonzero(used >= min_uses) > room:
@@ -113,8 +116,9 @@ def _replace(seq: np.ndarray, n: int, room: int, min_uses: int) -> tuple[np.ndar
     symbol = np.full(1 << _BUCKETS, -1, np.int64)
     symbol[live] = n + np.arange(len(live))
     new = symbol[slot]
-    often, new = often[new >= 0], new[new >= 0]
-    pairs = np.stack(((stands[live] >> np.uint64(32)).astype(np.uint32), (stands[live] & np.uint64(0xFFFFFFFF)).astype(np.uint32)), axis=1)
+    made = np.flatnonzero(new >= 0)
+    often, new = often[made], new[made]
+    pairs = np.stack(((stands[live] >> kind(half)).astype(np.uint32), (stands[live] & kind((1 << half) - 1)).astype(np.uint32)), axis=1)
     out = seq.copy()
     out[often] = new
     stays = np.ones(len(seq), bool)
