@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gablework.llm import additive, bitsliced, cws, lines, mixing, packing, ppm, quality, repair
-from gablework.llm.common import read_table
+from gablework.llm import additive, bitsliced, cws, lines, mixing, packing, ppm, quality, repair, warc
+from gablework.llm.common import materialize, read_table
 from gablework.llm.tokens import public_path
 
 
@@ -16,6 +16,11 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op2_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ours = materialize(warc.layout(read_table(spark, sf_dir, "pages")), "replica")
+    return warc.audit(ours, warc.decayed(ours))
+
+
 def op3_additive_quantisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return additive.search(read_table(spark, sf_dir, "embeddings"))
 
@@ -85,6 +90,24 @@ SELECT doc_id, size, source_size, target,
 FROM running
 """
 
+OP2_SQL = r"""
+WITH body AS (
+  SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html FROM pages),
+rec AS (
+  SELECT page_id, 'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Target-URI: ' || url || chr(13) || chr(10)
+         || 'Content-Length: ' || strlen(html) || chr(13) || chr(10) || chr(13) || chr(10) || html || chr(13) || chr(10) || chr(13) || chr(10) AS payload FROM body),
+hashed AS (
+  SELECT page_id, sha256(payload) AS digest, strlen(payload)::BIGINT AS size, count(*) AS copies FROM rec GROUP BY ALL),
+dealt AS (
+  SELECT *, ('0x' || substr(digest, 1, 8))::BIGINT % greatest(1, ((SELECT sum(size * copies) FROM hashed) + 8388607) // 8388608) AS archive,
+         ('0x' || substr(digest, 9, 8))::BIGINT % 53 AS turn FROM hashed),
+placed AS (
+  SELECT *, sum(size * copies) OVER (PARTITION BY archive ORDER BY page_id NULLS FIRST, digest) - size * copies AS "offset" FROM dealt)
+SELECT archive::BIGINT AS archive, "offset"::BIGINT AS "offset", page_id, CASE turn WHEN 1 THEN 'missing' ELSE 'altered' END AS status, digest AS expected,
+       CASE turn WHEN 0 THEN sha256('decayed ' || digest) END AS found
+FROM placed WHERE turn < 2
+"""
+
 #: Within one edit: the common beginning and end cover all but one character of the longer line. Candidates share their first
 #: or second half (of the shorter one).
 OP5_SQL = r"""
@@ -127,6 +150,7 @@ SELECT query_id, rank, vec_id, score FROM (
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
+        "op2_merkle_audit": op2_merkle_audit,
         "op3_additive_quantisation": op3_additive_quantisation,
         "op4_token_files": op4_token_files,
         "op5_line_dedup": op5_line_dedup,
@@ -139,4 +163,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_line_dedup": OP5_SQL, "op6_bit_sliced_top_k": OP6_SQL, "op10_mixing": OP10_SQL}
+    return {"op2_merkle_audit": OP2_SQL, "op5_line_dedup": OP5_SQL, "op6_bit_sliced_top_k": OP6_SQL, "op10_mixing": OP10_SQL}
