@@ -1,11 +1,64 @@
-"""The corpus pipeline (stages follow)."""
+"""A corpus pipeline: language identification, line deduplication, near-duplicate removal, mixing, packing.
 
-STAGES: list = []
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as the next
+stage's docs. All but the last return the columns of documents."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from gablework.llm import cws, lines, mixing, packing, ppm
+from gablework.llm.common import materialize, read_table
+from gablework.llm.tokens import public_path
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a language (a null text, or none of the text's characters a letter) go."""
+    model = ppm.train(docs, ppm.held_out())
+    # "_text" is what is scored; the columns of docs go along.
+    return ppm.classify(docs, model, docs.columns).where(F.col("lang_pred") != ppm.UNDECIDED).select(docs.columns)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that an earlier document or line has, nearly or exactly, go; so do documents of which no line is left."""
+    reduced = lines.line_dedup(docs)
+    emptied = (F.col("n_dropped") > 0) & ~F.col("text").rlike(r"\S")
+    return reduced.where(~emptied).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates stays, the one with the least doc_id."""
+    others = cws.near_duplicates(docs).where(F.col("class_id") != F.col("doc_id")).select("doc_id").distinct()
+    kept = docs.join(others, "doc_id", "left_anti").select(docs.columns)
+    # Repeated rows of one doc_id are a group too; texts are dealt out for them only if there are any.
+    again = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1").limit(1).count()
+    return kept.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"]).unionByName(kept.where(F.col("doc_id").isNull())) if again else kept
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
+    return mixing.repeated(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs, public_path("byte_bpe_50k.json"), 1)
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("line_dedup", drop_repeated_lines),
+    ("near_dedup", drop_near_duplicates),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
+]
+
+#: Language identification, near duplicates and packing can't be expressed in SQL.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
     return docs
