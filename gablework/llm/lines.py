@@ -61,13 +61,13 @@ def within(a: Column, b: Column, threshold: int) -> Column:
     band = 2 * threshold + 1
     mask = (1 << band) - 1
     start = F.struct(F.lit(mask ^ ((1 << threshold) - 1)).cast("long").alias("vp"), F.lit(0).cast("long").alias("vn"), F.lit(threshold).alias("d"))
-    # Characters of both texts go along as arrays, so that each step reads them in constant time.
-    rows, columns = F.split(a, ""), F.split(b, "")
-    m, n = F.length(a), F.length(b)
 
-    def step(x: Column, j: Column) -> Column:
-        here = F.get(columns, j - 1)
-        same = reduce(lambda p, q: p.bitwiseOR(q), (F.when(F.get(rows, j - 1 - threshold + i) == here, F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long")) for i in range(band)))
+    def walk(z: Column) -> Column:
+        return F.aggregate(F.sequence(F.lit(1), F.size(z["columns"])), start, lambda x, j: whole(x, j, z), lambda x: x["d"])
+
+    def step(x: Column, j: Column, z: Column) -> Column:
+        here = F.get(z["columns"], j - 1)
+        same = reduce(lambda p, q: p.bitwiseOR(q), (F.when(F.get(z["rows"], j - 1 - threshold + i) == here, F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long")) for i in range(band)))
         return F.struct(same.alias("same"), x["vp"].alias("vp"), x["vn"].alias("vn"), x["d"].alias("d"), j.alias("j"))
 
     def first(x: Column) -> Column:
@@ -79,7 +79,7 @@ def within(a: Column, b: Column, threshold: int) -> Column:
         hn = x["d0"].bitwiseAND(x["vp"])
         return F.struct(x["d0"].alias("d0"), hp.alias("hp"), hn.alias("hn"), x["d"].alias("d"), x["j"].alias("j"))
 
-    def third(x: Column) -> Column:
+    def third(x: Column, m: Column) -> Column:
         down = F.shiftright(x["d0"], 1)
         vp = x["hn"].bitwiseOR(F.lit(mask).cast("long").bitwiseXOR(down.bitwiseOR(x["hp"])))
         vn = down.bitwiseAND(x["hp"])
@@ -88,16 +88,19 @@ def within(a: Column, b: Column, threshold: int) -> Column:
         along = F.when(x["hp"].bitwiseAND(bit) != 0, 1).when(x["hn"].bitwiseAND(bit) != 0, -1).otherwise(0)
         return F.struct(vp.alias("vp"), vn.alias("vn"), (x["d"] + F.when(x["j"] + threshold <= m, diagonal).otherwise(along)).cast("int").alias("d"))
 
-    def whole(x: Column, j: Column) -> Column:
+    def whole(x: Column, j: Column, z: Column) -> Column:
         # A value named once is computed once: each part is applied to an array of one element.
-        value = F.array(step(x, j))
-        for part in (first, second, third):
+        value = F.array(step(x, j, z))
+        for part in (first, second, lambda y: third(y, F.size(z["rows"]))):
             value = F.transform(value, part)
         return F.element_at(value, 1)
 
-    walk = F.aggregate(F.sequence(F.lit(1), n), start, whole, lambda x: x["d"])
+    # So are the characters of both texts, which each step reads in constant time.
+    texts = F.array(F.struct(F.split(a, "").alias("rows"), F.split(b, "").alias("columns")))
+    m, n = F.length(a), F.length(b)
     # A text no longer than the band starts with the last row inside it.
-    return F.when(F.abs(m - n) > threshold, False).when((m <= threshold) | (n <= threshold), F.levenshtein(a, b) <= threshold).otherwise(walk <= threshold)
+    short = (m <= threshold) | (n <= threshold)
+    return F.when(F.abs(m - n) > threshold, False).when(short, F.levenshtein(a, b) <= threshold).otherwise(F.element_at(F.transform(texts, walk), 1) <= threshold)
 
 
 def _power(exponent: Column, band: int) -> Column:
