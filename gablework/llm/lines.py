@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from gablework.llm.common import materialize
 
 THRESHOLD, MIN_CHARS = 1, 24
+#: Keys with more distinct lines than this are crowded: their lines meet by finer keys instead.
+CROWD = 32
 #: Documents (24 bytes each) that hold a candidate line are broadcast up to this number, and joined by a shuffle beyond.
 BROADCAST_ROWS = 200_000
 
@@ -32,22 +34,73 @@ def _key(number: int, length: Column, part: Column) -> Column:
     return F.xxhash64(F.lit(number), length.cast("int"), part)
 
 
-def index_keys(line: Column, length: Column, threshold: int) -> Column:
-    return F.array(*(_key(i, length, F.substring(line, start + 1, size)) for i, (start, size) in enumerate(segments(length, threshold))))
+def _indexed(line: Column, length: Column, threshold: int) -> list[tuple[Column, Column, Column]]:
+    """Key, start and length of each segment."""
+    return [(_key(i, length, F.substring(line, start + 1, size)), start, size) for i, (start, size) in enumerate(segments(length, threshold))]
 
 
-def probe_keys(line: Column, length: Column, threshold: int, min_chars: int) -> Column:
-    """Keys of the substrings that can be a segment of a line of length to length - threshold. Segment i may be shifted
-    by i at most, counted from the left, and by threshold - i, counted from the right."""
+def _probed(line: Column, length: Column, threshold: int, least: int) -> list[tuple[Column, Column, Column, Column]]:
+    """Whether there is one, key, start and length of the substrings that can be a segment of a line of length to length -
+    threshold, least at least. Segment i may be shifted by i at most, counted from the left, and by threshold - i, counted
+    from the right."""
     out = []
     for shorter in range(threshold + 1):
         own = length - shorter
         for i, (start, size) in enumerate(segments(own, threshold)):
             for shift in range(-threshold, threshold + 1):
                 if max(-i, shorter - (threshold - i)) <= shift <= min(i, shorter + threshold - i):
-                    fits = (own >= min_chars) & (start + shift >= 0) & (start + shift + size <= length)
-                    out.append(F.when(fits, _key(i, own, F.substring(line, start + shift + 1, size))))
-    return F.array_compact(F.array(*out))
+                    at = start + shift
+                    out.append(((own >= least) & (at >= 0) & (at + size <= length), _key(i, own, F.substring(line, at + 1, size)), at, size))
+    return out
+
+
+def index_keys(line: Column, length: Column, threshold: int) -> Column:
+    return F.array(*(key for key, _, _ in _indexed(line, length, threshold)))
+
+
+def probe_keys(line: Column, length: Column, threshold: int, min_chars: int) -> Column:
+    return F.array_compact(F.array(*(F.when(fits, key) for fits, key, _, _ in _probed(line, length, threshold, min_chars))))
+
+
+def _finer(rows: DataFrame, threshold: int, least: int) -> DataFrame:
+    """Rows (h1, place, kind, key, rest) by the segments of what is left of their lines, which goes on without the segment. Two
+    lines that share a segment are within the threshold only if what is left of them is."""
+    length = F.length("rest")
+    without = lambda start, size: F.concat(F.substring(F.col("rest"), F.lit(1), start), F.substring(F.col("rest"), start + size + 1, length))
+    item = lambda fits, key, start, size: F.when(fits & (size > 0), F.struct(F.xxhash64("key", key).alias("key"), without(start, size).alias("rest")))
+    index = [item((F.col("kind") == 0) & (length >= least), *x) for x in _indexed(F.col("rest"), length, threshold)]
+    probe = [item((F.col("kind") == 1) & x[0], *x[1:]) for x in _probed(F.col("rest"), length, threshold, least)]
+    return rows.select("h1", "place", "kind", F.inline(F.array_compact(F.array(*index, *probe))))
+
+
+def _met(index: DataFrame, probe: DataFrame) -> DataFrame:
+    met = index.select("h1", "key").join(probe.select(F.col("h1").alias("g1"), "key"), "key").where(F.col("h1") != F.col("g1"))
+    return met.select(F.least("h1", "g1").alias("a"), F.greatest("h1", "g1").alias("b"))
+
+
+def _crowded(texts: DataFrame, keys: DataFrame, threshold: int, min_chars: int) -> tuple[DataFrame, DataFrame]:
+    """Candidate pairs of lines (h1, place, line) that share a key with many others, and links that need no check.
+
+    A crowded key's lines are dealt by the segments of what is left of them, again and again, until no key is crowded. Lines of
+    which no more than threshold characters are left are all within the threshold of each other, so they are linked to the
+    first of them."""
+    pairs, links = [], []
+    start = texts.select("h1", "place", F.explode(F.array(F.lit(0), F.lit(1))).alias("kind"), F.lit(0).cast("long").alias("key"), F.col("line").alias("rest"))
+    rows = _finer(start, threshold, min_chars)
+    keys = keys.select(F.xxhash64(F.lit(0).cast("long"), "key").alias("key"))
+    while True:
+        rows = materialize(rows.join(keys, "key", "left_semi"), "crowded-lines")
+        if not rows.limit(1).count():
+            break
+        # Those of which hardly anything is left.
+        ends = rows.where(F.length("rest") <= threshold).select("key", "h1", "place").distinct()
+        first = ends.groupBy("key").agg(F.min_by("h1", "place").alias("f1"))
+        links.append(materialize(ends.join(first, "key").where(F.col("h1") != F.col("f1")).select(F.least("h1", "f1").alias("a"), F.greatest("h1", "f1").alias("b")).distinct(), "sure-links"))
+        rows = materialize(_finer(rows.where((F.col("kind") == 0) | (F.length("rest") > threshold)), threshold, 1).distinct(), "crowded-lines")
+        index, probe = rows.where("kind = 0"), rows.where("kind = 1")
+        keys = materialize(index.groupBy("key").agg(F.countDistinct("h1").alias("n")).where(F.col("n") > CROWD).select("key"), "crowded-keys")
+        pairs.append(materialize(_met(index.join(keys, "key", "left_anti"), probe).distinct(), "line-pairs"))
+    return reduce(DataFrame.union, pairs).distinct() if pairs else None, reduce(DataFrame.union, links).distinct() if links else None
 
 
 def within(a: Column, b: Column, threshold: int) -> Column:
@@ -138,21 +191,28 @@ def line_dedup(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN
     )
     # One row for each distinct line, with its first place.
     lone = materialize(keyed.groupBy("h1", "h2").agg(F.min("place").alias("place"), F.first("index").alias("index"), F.first("probe").alias("probe")), "lines")
-    index = lone.select("h1", F.explode("index").alias("key"))
-    probe = lone.select(F.col("h1").alias("g1"), F.explode("probe").alias("key"))
-    met = index.join(probe, "key").where(F.col("h1") != F.col("g1"))
-    pairs = materialize(met.select(F.least("h1", "g1").alias("a"), F.greatest("h1", "g1").alias("b")).distinct(), "line-pairs")
-    # Texts of the lines in a pair, from their first places.
-    wanted = pairs.select(F.col("a").alias("h1")).union(pairs.select("b")).distinct()
-    held = materialize(lone.select("h1", "place").join(wanted, "h1", "left_semi"), "pair-lines")
+    index, probe = (lone.select("h1", F.explode(k).alias("key")) for k in ("index", "probe"))
+    crowds = materialize(index.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > CROWD).select("key"), "crowded-keys")
+    crowded = crowds.limit(1).count() > 0
+    own = index.join(crowds, "key", "left_anti") if crowded else index
+    pairs = materialize(_met(own, probe).distinct(), "line-pairs")
+    # Texts of the lines in a pair or under a crowded key, from their first places.
+    wanted = pairs.select(F.col("a").alias("h1")).union(pairs.select("b"))
+    if crowded:
+        wanted = wanted.union(index.union(probe).join(crowds, "key", "left_semi").select("h1"))
+    held = materialize(lone.select("h1", "place").join(wanted.distinct(), "h1", "left_semi"), "pair-lines")
     holders = held.select(F.col("place.doc_id").alias("of"), F.col("place.t").alias("t")).distinct()
     if holders.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         holders = F.broadcast(holders)
     source = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(holders, F.col("doc_id").eqNullSafe(F.col("of")) & (F.xxhash64("text") == F.col("t")), "left_semi")
-    texts = full_lines(source).join(held, "h1", "left_semi").dropDuplicates(["h1"])
-    texts = materialize(texts, "pair-texts")
+    texts = materialize(full_lines(source).dropDuplicates(["h1"]).join(held, "h1"), "pair-texts")
+    sure = None
+    if crowded:
+        more, sure = _crowded(texts, crowds, threshold, min_chars)
+        pairs = pairs.union(more).distinct() if more is not None else pairs
     side = lambda name: texts.select(F.col("h1").alias(name), F.col("line").alias(f"{name}_line"))
     links = pairs.join(side("a"), "a").join(side("b"), "b").where(within(F.col("a_line"), F.col("b_line"), threshold)).select("a", "b")
+    links = links.union(sure) if sure is not None else links
     # The later line of a link is dropped wherever it stands.
     at = lambda name: held.select(F.col("h1").alias(name), F.col("place").alias(f"{name}_place"))
     near = links.join(at("a"), "a").join(at("b"), "b").select(F.when(F.col("a_place") < F.col("b_place"), F.col("b")).otherwise(F.col("a")).alias("h1")).distinct()
