@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gablework.llm.vectors import best, blocks, paired, usable
+from gablework.llm.vectors import best, blocks, paired, queries, usable
 
 #: Codebooks and their entries; beams of the encoder; candidates of a block that are ranked exactly, for each result wanted.
 BOOKS, ENTRIES, BEAM, RERANK = 16, 256, 3, 16
@@ -112,11 +112,11 @@ def search(table: DataFrame, k: int = 20, every: int = 20, rerank: int = RERANK,
                 x = np.frombuffer(batch.column("data")[r].as_py(), np.float64).reshape(batch.column("n")[r].as_py(), -1)
                 c, s = encode(x, shared.value[x.shape[1]])
                 codes.append(c.tobytes())
-                norms.append(s.tobytes())
+                norms.append(s.astype(np.float64).tobytes())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(codes, pa.binary()), pa.array(norms, pa.binary())], [*batch.schema.names, "codes", "norms"])
 
     index = all_blocks.mapInArrow(coded, coded_schema)
-    query_blocks = blocks(rows.where(F.col("vec_id") % every == 0), 1024)
+    query_blocks = blocks(queries(rows, every), 1024)
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -124,14 +124,14 @@ def search(table: DataFrame, k: int = 20, every: int = 20, rerank: int = RERANK,
                 get = lambda name: batch.column(name)[r].as_py()  # noqa: B023, E731
                 ids, query_ids = np.frombuffer(get("ids"), np.int64), np.frombuffer(get("q_ids"), np.int64)
                 x = np.frombuffer(get("data"), np.float64).reshape(len(ids), -1)
-                queries = np.frombuffer(get("q_data"), np.float64).reshape(len(query_ids), -1)
+                asked = np.frombuffer(get("q_data"), np.float64).reshape(len(query_ids), -1)
                 books = shared.value[x.shape[1]]
                 codes = np.frombuffer(get("codes"), np.uint8).reshape(len(ids), -1)
                 norms = np.frombuffer(get("norms"), np.float64)
                 wanted = min(len(ids), rerank * k + 1)
                 q, v, s = [], [], []
-                for lo in range(0, len(queries), 128):
-                    part = queries[lo : lo + 128]
+                for lo in range(0, len(asked), 128):
+                    part = asked[lo : lo + 128]
                     rough = scan(codes, norms, books, part)
                     # Falling score, then position (ids are ascending), as one number.
                     bits = rough.T.copy().view(np.int32).astype(np.int64)

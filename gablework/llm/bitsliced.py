@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gablework.llm.vectors import best, blocks, paired, usable
+from gablework.llm.vectors import best, blocks, paired, queries, usable
 
 SCALE = 1024
 
@@ -104,9 +104,9 @@ def top_k(table: DataFrame, k: int = 10, every: int = 100, scale: int = SCALE) -
 
     Vectors that are null, empty or hold null or non-finite components take no part, nor do rows without an id; vectors
     meet only those of their dimension. Scores must fit into 64 bits. Rows that repeat a vec_id are candidates each, but
-    never for a query of that id. Fewer than k candidates give all; an empty table gives none."""
+    never for a query of that id, and ask once. Fewer than k candidates give all; an empty table gives none."""
     rows = usable(table, nonzero=False).withColumn("embedding", F.transform("embedding", lambda x: F.floor(x * scale).cast("double")))
-    all_blocks, query_blocks = blocks(rows), blocks(rows.where(F.col("vec_id") % every == 0))
+    all_blocks, query_blocks = blocks(rows), blocks(queries(rows, every))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple[int, SlicedIndex] | None = None
@@ -118,9 +118,9 @@ def top_k(table: DataFrame, k: int = 10, every: int = 100, scale: int = SCALE) -
                 if held is None or held[0] != get("block"):
                     held = get("block"), SlicedIndex(ids, values)
                 query_ids = np.frombuffer(get("q_ids"), np.int64)
-                queries = np.frombuffer(get("q_data"), np.float64).reshape(len(query_ids), -1).astype(np.int64)
+                asked = np.frombuffer(get("q_data"), np.float64).reshape(len(query_ids), -1).astype(np.int64)
                 q, v, s = [], [], []
-                for own, query in zip(query_ids.tolist(), queries, strict=True):
+                for own, query in zip(query_ids.tolist(), asked, strict=True):
                     at = held[1].top(query, k, own)
                     q.append(np.full(len(at), own))
                     v.append(ids[at])

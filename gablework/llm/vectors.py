@@ -27,6 +27,13 @@ def usable(table: DataFrame, nonzero: bool) -> DataFrame:
     return rows.where(good & F.exists("embedding", lambda x: x != 0.0) if nonzero else good)
 
 
+def queries(rows: DataFrame, every: int) -> DataFrame:
+    """Rows whose vec_id is divisible by every, one for each vec_id (the least vector, if rows repeat an id)."""
+    own = rows.where(F.col("vec_id") % every == 0)
+    repeated = own.groupBy("vec_id").count().where("count > 1").limit(1).count()
+    return own.groupBy("vec_id").agg(F.min("embedding").alias("embedding")) if repeated else own
+
+
 def blocks(rows: DataFrame, rows_in_block: int = BLOCK) -> DataFrame:
     """Pack each task's rows, by dimension and in order of vec_id. block: task number and count, unique."""
 
@@ -59,10 +66,10 @@ def blocks(rows: DataFrame, rows_in_block: int = BLOCK) -> DataFrame:
     return rows.mapInArrow(packed, BLOCKS)
 
 
-def paired(candidates: DataFrame, queries: DataFrame) -> DataFrame:
-    """Each block of candidates with each block of queries of its dimension (columns of queries get a q_ before).
+def paired(candidates: DataFrame, asked: DataFrame) -> DataFrame:
+    """Each block of candidates with each block of queries of its dimension (columns of asked get a q_ before).
     One row for each pair of blocks, dealt by query block and spread over the candidates' blocks."""
-    mine = queries.select(*(F.col(c).alias(f"q_{c}") for c in queries.columns))
+    mine = asked.select(*(F.col(c).alias(f"q_{c}") for c in asked.columns))
     names = candidates.select(F.col("block").alias("to"), F.col("dim").alias("to_dim"))
     # Query blocks are far fewer and smaller; each is sent once to every block it has to meet.
     sent = mine.join(names, F.col("q_dim") == F.col("to_dim"))
