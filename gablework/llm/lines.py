@@ -179,7 +179,9 @@ def line_dedup(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN
     Blank lines always stay. A null text stays null and has no lines. Rows equal in doc_id and text count as one row and
     are reduced alike; a null doc_id comes before all others. Other columns are kept, but for columns of these three
     names, which are replaced. An empty table gives none."""
-    docs = docs.drop("n_lines", "n_dropped", "n_near")
+    names = [c for c in docs.columns if c not in ("n_lines", "n_dropped", "n_near")]
+    # Other columns go along as one, so that no name of theirs is in the way.
+    docs = docs.select("doc_id", "text", F.struct(*(F.col(f"`{c}`") for c in names)).alias("_row"))
     lines = _lines(docs.select("doc_id", "text"))
     full = lines.where(~_blank()).withColumn("length", F.length("line"))
     place = F.struct("doc_id", "t", "pos")
@@ -227,7 +229,7 @@ def line_dedup(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN
     joined = docs.withColumn("_t", F.xxhash64("text")).join(marks, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("_t") == F.col("of_t")) & F.col("text").isNotNull(), "left")
     stays = F.filter(F.split("text", "\n"), lambda x, i: ~F.get("_marks", i)["drop"])
     count = lambda name: F.coalesce(F.size(F.filter("_marks", lambda x: x[name])), F.lit(0))
-    columns = [F.array_join(stays, "\n").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
+    columns = [F.array_join(stays, "\n").alias("text") if c == "text" else F.col(f"_row.`{c}`") for c in names]
     sizes = [F.when(F.col("_marks").isNull(), 0).otherwise(F.size("_marks")).alias("n_lines")]
     sizes += [F.when(F.col("_marks").isNull(), 0).otherwise(count(k)).alias(v) for k, v in (("drop", "n_dropped"), ("near", "n_near"))]
     return joined.select(*columns, *sizes)

@@ -26,7 +26,7 @@ SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 @pytest.fixture(scope="module")
 def docs(spark):
-    clash = ["held_out", "score", "predicted", "size", "u", "copies", "class_id", "start", "length", "n_lines", "pos", "line", "bands", "rank"]
+    clash = ["held_out", "score", "predicted", "size", "u", "copies", "class_id", "start", "length", "n_lines", "pos", "line", "bands", "rank", "of", "h1", "node", "row", "lang_pred"]
     return spark.createDataFrame(DOCS, SCHEMA).withColumns({c: F.lit("x") for c in clash})
 
 
@@ -166,3 +166,16 @@ def test_archives(spark):
     assert sorted((r.page_id, r.status) for r in warc.audit(ours, worse, leaf_bytes=256, fan_out=2).collect()) == [(4, "altered"), (5, "missing")]
     assert [r.status for r in warc.audit(ours.where("page_id <> 1"), ours.where("page_id is not null")).collect()] == ["extra"]
     assert warc.audit(warc.layout(pages.limit(0)), warc.layout(pages.limit(0))).count() == 0
+
+
+def test_pipeline_stages(spark, docs, none):
+    import corpus_pipeline
+
+    for table in (docs, none):
+        at = table
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            at = stage(spark, at, "/root/testdata/sf0.001")
+            assert at.columns == table.columns, name
+            at = at.cache()
+            assert at.count() > 0 or table is none
+        assert corpus_pipeline.STAGES[-1][1](spark, at, "").count() >= at.count()
