@@ -16,15 +16,17 @@ from gablework.llm.tokens import public_path
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language (a null text, or none of the text's characters a letter) go."""
     model = ppm.train(docs, ppm.held_out())
-    # "_text" is what is scored; the columns of docs go along.
-    return ppm.classify(docs, model, docs.columns).where(F.col("lang_pred") != ppm.UNDECIDED).select(docs.columns)
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "text")
+    return ppm.classify(rows, model, ["row"]).where(F.col("lang_pred") != ppm.UNDECIDED).select("row.*")
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that an earlier document or line has, nearly or exactly, go; so do documents of which no line is left."""
-    reduced = lines.line_dedup(docs)
-    emptied = (F.col("n_dropped") > 0) & ~F.col("text").rlike(r"\S")
-    return reduced.where(~emptied).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    reduced = lines.line_dedup(docs.select("doc_id", "text", row))
+    emptied = (F.col("n_dropped") > 0) & ~F.coalesce(F.col("text"), F.lit("")).rlike(r"\S")
+    own = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return reduced.where(~emptied).select(*(own.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
