@@ -84,23 +84,25 @@ def _crowded(texts: DataFrame, keys: DataFrame, threshold: int, min_chars: int)
     A crowded key's lines are dealt by the segments of what is left of them, again and again, until no key is crowded. Lines of
     which no more than threshold characters are left are all within the threshold of each other, so they are linked to the
     first of them."""
-    pairs, links = [], []
     start = texts.select("h1", "place", F.explode(F.array(F.lit(0), F.lit(1))).alias("kind"), F.lit(0).cast("long").alias("key"), F.col("line").alias("rest"))
     rows = _finer(start, threshold, min_chars)
     keys = keys.select(F.xxhash64(F.lit(0).cast("long"), "key").alias("key"))
-    while True:
-        rows = materialize(rows.join(keys, "key", "left_semi"), "crowded-lines")
-        if not rows.limit(1).count():
-            break
-        # Those of which hardly anything is left.
-        ends = rows.where(F.length("rest") <= threshold).select("key", "h1", "place").distinct()
-        first = ends.groupBy("key").agg(F.min_by("h1", "place").alias("f1"))
-        links.append(materialize(ends.join(first, "key").where(F.col("h1") != F.col("f1")).select(F.least("h1", "f1").alias("a"), F.greatest("h1", "f1").alias("b")).distinct(), "sure-links"))
-        rows = materialize(_finer(rows.where((F.col("kind") == 0) | (F.length("rest") > threshold)), threshold, 1).distinct(), "crowded-lines")
-        index, probe = rows.where("kind = 0"), rows.where("kind = 1")
-        keys = materialize(index.groupBy("key").agg(F.countDistinct("h1").alias("n")).where(F.col("n") > CROWD).select("key"), "crowded-keys")
-        pairs.append(materialize(_met(index.join(keys, "key", "left_anti"), probe).distinct(), "line-pairs"))
-    return reduce(DataFrame.union, pairs).distinct() if pairs else None, reduce(DataFrame.union, links).distinct() if links else None
+    # A key names its whole path, so the rows of all levels are joined at once in the end.
+    indexed, probed, ended = [], [], []
+    while keys.limit(1).count():
+        crowd = rows.join(keys, "key", "left_semi")
+        ended.append(crowd.where(F.length("rest") <= threshold).select("key", "h1", "place"))
+        rows = materialize(_finer(crowd.where((F.col("kind") == 0) | (F.length("rest") > threshold)), threshold, 1), "crowded-lines")
+        index = rows.where("kind = 0").select("h1", "key")
+        keys = materialize(index.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > CROWD).select("key"), "crowded-keys")
+        indexed.append(index.join(keys, "key", "left_anti"))
+        probed.append(rows.where("kind = 1").select("h1", "key"))
+    pairs = _met(reduce(DataFrame.union, indexed), reduce(DataFrame.union, probed)).distinct()
+    # Those of which hardly anything is left.
+    ends = reduce(DataFrame.union, ended).distinct()
+    first = ends.groupBy("key").agg(F.min_by("h1", "place").alias("f1"))
+    links = ends.join(first, "key").where(F.col("h1") != F.col("f1")).select(F.least("h1", "f1").alias("a"), F.greatest("h1", "f1").alias("b")).distinct()
+    return pairs, links
 
 
 def within(a: Column, b: Column, threshold: int) -> Column:
@@ -211,7 +213,7 @@ def line_dedup(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN
     sure = None
     if crowded:
         more, sure = _crowded(texts, crowds, threshold, min_chars)
-        pairs = pairs.union(more).distinct() if more is not None else pairs
+        pairs = pairs.union(more).distinct()
     side = lambda name: texts.select(F.col("h1").alias(name), F.col("line").alias(f"{name}_line"))
     links = pairs.join(side("a"), "a").join(side("b"), "b").where(within(F.col("a_line"), F.col("b_line"), threshold)).select("a", "b")
     links = links.union(sure) if sure is not None else links
