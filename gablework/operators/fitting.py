@@ -52,55 +52,60 @@ def segment_candidates(segments: DataFrame, targets: DataFrame, s: Settings = Se
     return at.where(long_enough & (turn <= s.hough_angle_deg) & F.exists(F.array(*(F.lit(k) for k in (0.0, 1.0, 0.5, 0.75, 0.25))), near))
 
 
-def widest_scale(shape: list[g.Point], center: g.Point, wall: list[g.Point], inset: float, most: Column) -> Column:
-    """The largest scale up to most at which a shape (its corners from its center) at a center stays inset within a convex wall
-    (corners in order), 0 if the center itself is not: the distance to each side is linear in the scale, so it is the least ratio
-    over corners and sides."""
+def inward_sides(wall: list[g.Point]) -> list[g.Point]:
+    """(a, b, c) of each side of a convex wall (corners in order): ax + by + c is the distance to it, positive inside."""
     middle = tuple(sum(x[1:], x[0]) / float(len(wall)) for x in zip(*wall, strict=True))
-    out, admissible = most, F.lit(True)
-    for a, b in zip(wall, [*wall[1:], wall[0]], strict=True):
-        n = (-(b[1] - a[1]), b[0] - a[0])
-        length = g.norm(n)
-        sign = F.when(g.dot(n, g.minus(middle, a)) < 0, -1.0).otherwise(1.0)
-        n = tuple(x * sign / length for x in n)
-        room = g.dot(n, g.minus(center, a)) - inset
-        admissible = admissible & (room >= 0)
-        for p in shape:
-            inward = g.dot(n, p)
-            out = F.least(out, F.when(inward < 0, room / -inward).otherwise(most))
-    return F.when(admissible, out).otherwise(0.0)
+    out = []
+    for p, q in zip(wall, [*wall[1:], wall[0]], strict=True):
+        n = (-(q[1] - p[1]), q[0] - p[0])
+        length = g.norm(n) * F.when(g.dot(n, g.minus(middle, p)) < 0, -1.0).otherwise(1.0)
+        out.append((n[0] / length, n[1] / length, -(n[0] * p[0] + n[1] * p[1]) / length))
+    return out
+
+
+def widest_scale(shape: list[g.Point], center: g.Point, sides: list[g.Point], inset: float, most: Column) -> Column:
+    """The largest scale up to most at which a shape (its corners from its center) at a center stays inset from all sides,
+    0 if the center itself does not: the distance to each side is linear in the scale, so it is the least ratio over corners and
+    sides."""
+    rooms = [a * center[0] + b * center[1] + c - inset for a, b, c in sides]
+    ratios = [F.when(g.dot(n[:2], p) < 0, room / -g.dot(n[:2], p)).otherwise(most) for n, room in zip(sides, rooms, strict=True) for p in shape]
+    return F.when(F.least(*rooms) >= 0, F.least(most, *ratios)).otherwise(0.0)
+
+
+def _once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """With columns that are computed once, not written into every expression that uses them."""
+    return df.select("*", F.inline(F.array(F.struct(*(c.alias(k) for k, c in columns.items())))))
 
 
 def fit_quads(pairs: DataFrame, s: Settings = Settings()) -> DataFrame:  # noqa: B008
     """For pairs of a mask's quad and its wall's quad (id, seg, wall: arrays of four structs x, y), the scale and shift that make the
     mask's quad as large as it can be within the wall's: id, scale, tx, ty, center_dist. All placements of the center on a
     grid are tried; of equal scales the one nearest to the wall's center wins."""
-    corners = lambda c: [(F.get(c, F.lit(k))["x"], F.get(c, F.lit(k))["y"]) for k in range(4)]
-    seg, wall = corners("seg"), corners("wall")
+    name = {q: [(f"_{q}x{k}", f"_{q}y{k}") for k in range(4)] for q in ("seg", "wall")}
+    at = _once(pairs.select("id", "seg", "wall"), {n: F.get(q, F.lit(k))[c] for q in name for k in range(4) for n, c in zip(name[q][k], "xy", strict=True)})
+    seg, wall = ([(F.col(x), F.col(y)) for x, y in name[q]] for q in ("seg", "wall"))
     mean = lambda q: tuple(sum(x[1:], x[0]) / 4.0 for x in zip(*q, strict=True))
     area = lambda q: F.abs(sum((a[0] * b[1] - b[0] * a[1] for a, b in zip(q, [*q[1:], q[0]], strict=True)), F.lit(0.0))) / 2.0
-    at = pairs.withColumns({"sc": F.struct(*(x.alias(n) for x, n in zip(mean(seg), "xy", strict=True))), "wc": F.struct(*(x.alias(n) for x, n in zip(mean(wall), "xy", strict=True)))})
+    sides = {f"_n{k}{c}": x for k, line in enumerate(inward_sides(wall)) for c, x in zip("abc", line, strict=True)}
     size = [F.greatest(F.greatest(*(p[k] for p in wall)) - F.least(*(p[k] for p in wall)), F.lit(1.0)) for k in (0, 1)]
     guess = F.greatest(F.lit(0.05), F.sqrt(F.greatest(area(wall), F.lit(1e-6)) / F.greatest(area(seg), F.lit(1e-6))))
-    # How far the doubling search gets: it stops growing once past the largest scale that is asked for.
-    grown = guess
-    for _ in range(20):
-        grown = F.when(grown < s.fit_max_scale, grown * s.fit_growth).otherwise(grown)
-    at = at.withColumns({"w": size[0], "h": size[1], "most": grown})
+    at = _once(at, dict(zip(("scx", "scy", "wcx", "wcy", "w", "h", "guess"), (*mean(seg), *mean(wall), *size, guess), strict=True)) | sides)
+    # An upper bound grows from the guess until it is past the largest scale that is asked for, in at most 20 steps.
+    grown = F.least(F.lit(20.0), F.greatest(F.lit(0.0), F.ceil(F.log(F.lit(s.fit_max_scale) / F.col("guess")) / F.log(F.lit(s.fit_growth)))))
     k = s.fit_shift_steps - 1
     steps = F.sequence(F.lit(0), F.lit(k))
-    at = at.withColumn("i", F.explode(steps)).withColumn("j", F.explode(steps))
+    at = _once(at, {"most": F.col("guess") * F.pow(F.lit(s.fit_growth), grown)}).withColumn("i", F.explode(steps)).withColumn("j", F.explode(steps))
     shift = lambda side, n: F.col(side) * s.fit_shift * (2.0 * F.col(n) / float(k) - 1.0)
-    center = (F.col("wc.x") + shift("w", "i"), F.col("wc.y") + shift("h", "j"))
-    shape = [g.minus(p, (F.col("sc.x"), F.col("sc.y"))) for p in seg]
-    at = at.withColumns({"cx": center[0], "cy": center[1]})
-    at = at.withColumn("scale", widest_scale(shape, (F.col("cx"), F.col("cy")), wall, s.fit_inset_px, F.col("most")))
-    diag = F.greatest(g.norm((F.col("w"), F.col("h"))), F.lit(1.0))
-    away = g.norm((F.col("cx") - F.col("wc.x"), F.col("cy") - F.col("wc.y"))) / diag
+    at = _once(at, {"cx": F.col("wcx") + shift("w", "i"), "cy": F.col("wcy") + shift("h", "j")})
+    shape = [(x - F.col("scx"), y - F.col("scy")) for x, y in seg]
+    lines = [tuple(F.col(f"_n{n}{c}") for c in "abc") for n in range(4)]
+    scale = widest_scale(shape, (F.col("cx"), F.col("cy")), lines, s.fit_inset_px, F.col("most"))
+    away = g.norm((F.col("cx") - F.col("wcx"), F.col("cy") - F.col("wcy"))) / F.greatest(g.norm((F.col("w"), F.col("h"))), F.lit(1.0))
+    at = _once(at, {"scale": scale, "center_dist": away})
     # Scales and distances are compared to nine digits, as placements that differ by less are equal.
-    rank = F.struct(F.round(-F.col("scale"), 9), F.round(away, 9), "i", "j")
-    best = at.groupBy("id").agg(F.min_by(F.struct("scale", "cx", "cy", away.alias("center_dist"), "sc"), rank).alias("b"))
-    return best.select("id", "b.scale", (F.col("b.cx") - F.col("b.scale") * F.col("b.sc.x")).alias("tx"), (F.col("b.cy") - F.col("b.scale") * F.col("b.sc.y")).alias("ty"), "b.center_dist")
+    rank = F.struct(F.round(-F.col("scale"), 9), F.round("center_dist", 9), "i", "j")
+    best = at.groupBy("id").agg(F.min_by(F.struct("scale", "cx", "cy", "center_dist", "scx", "scy"), rank).alias("b"))
+    return best.select("id", "b.scale", (F.col("b.cx") - F.col("b.scale") * F.col("b.scx")).alias("tx"), (F.col("b.cy") - F.col("b.scale") * F.col("b.scy")).alias("ty"), "b.center_dist")
 
 
 def clockwise(points: Column) -> Column:
