@@ -6,10 +6,13 @@ level), alike in two documents with a chance equal to their weighted Jaccard sim
 that share a band's samples are candidates; candidates are verified by the exact weighted Jaccard similarity of their
 whole texts, and verified links are joined to classes.
 
-Exact copies are one node from the start. A bucket of up to SMALL nodes pairs all of them; a larger one pairs each node
-with two leaders (the node that meets most others over all its buckets, as the original of many copies does, and the
-least id), and again in the finer buckets of two and four bands taken together, where members that only share a passage
-have parted. So candidates grow with the nodes, not with the square of a group.
+Exact copies are one node from the start. A bucket of up to SMALL nodes pairs all of them; a larger, crowded one pairs each
+node with two leaders (the node that meets most others over all its buckets, as the original of many copies does, and the
+least id), and its nodes meet again in the finer buckets of two and four bands taken together. Then, as long as a crowded
+bucket holds several classes, some of its nodes that are not of its largest class lead in turn: each is paired with all
+nodes there that are not of its class. It ends when all nodes outside the largest class have led, so that any two nodes
+of a bucket are of one class or have been compared. Candidates thus grow with a bucket's nodes times those that no link
+brings into its largest class.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +35,8 @@ WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 16, 4
 SAMPLES = BANDS * ROWS
 SMALL = 8
+#: Leaders of a crowded bucket in the first round, and by how much their number grows from round to round.
+LEADERS, GROWTH = 2, 4
 #: Candidates whose samples agree in a smaller share are left out: for a true similarity of 0.8 that is four standard deviations away.
 LEAST_AGREEING = 0.55
 #: Counters of each of the sketch's two rows, and the pieces in which they are summed.
@@ -184,27 +189,56 @@ def _similarities(a: tuple, b: tuple, pairs: int, b_of: np.ndarray, weights: Wei
     return both / np.maximum(total - both, 1e-300)
 
 
-def _candidates(nodes: DataFrame) -> DataFrame:
-    """Distinct pairs a < b of nodes (node, bands) that a bucket pairs."""
-    out = []
+def _buckets(nodes: DataFrame, level: int) -> DataFrame:
+    """Nodes (node, bands) in buckets of level bands, in turn, taken together that hold others too: bucket, node and n, the
+    bucket's nodes."""
+    keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.xxhash64(F.lit(level), k, *(F.element_at("bands", ((k + j) % BANDS + 1).cast("int")) for j in range(level))))
+    rows = nodes.select("node", F.explode(keys).alias("bucket"))
+    return rows.join(rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "bucket")
+
+
+def _candidates(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Distinct pairs a < b of nodes (node, bands) that a bucket pairs at first, and the crowded buckets of one band with their
+    nodes: bucket, node."""
+    out, crowded = [], None
     for level in (1, 2, 4):
-        # level bands, in turn, taken together.
-        keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.xxhash64(F.lit(level), k, *(F.element_at("bands", ((k + j) % BANDS + 1).cast("int")) for j in range(level))))  # noqa: B023
-        rows = nodes.select("node", F.explode(keys).alias("bucket"))
-        counts = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-        # Nodes in buckets with others, and how many others each meets in all.
-        met = rows.join(counts, "bucket")
-        if level == 1:
-            small = met.where(F.col("n") <= SMALL).groupBy("bucket").agg(F.array_sort(F.collect_list("node")).alias("all"))
-            pairs = F.flatten(F.transform("all", lambda x, i: F.transform(F.slice("all", i + 2, F.size("all")), lambda y: F.struct(x.alias("a"), y.alias("b")))))
-            out.append(small.select(F.inline(pairs)))
+        met = materialize(_buckets(nodes, level), "buckets")
+        small = met.where(F.col("n") <= SMALL).groupBy("bucket").agg(F.array_sort(F.collect_list("node")).alias("all"))
+        pairs = F.flatten(F.transform("all", lambda x, i: F.transform(F.slice("all", i + 2, F.size("all")), lambda y: F.struct(x.alias("a"), y.alias("b")))))
+        out.append(small.select(F.inline(pairs)))
         large = met.where(F.col("n") > SMALL)
+        crowded = large.select("bucket", "node") if crowded is None else crowded
+        # Nodes of a finer bucket share the coarser ones, which have paired them if they are small.
+        nodes = nodes.join(large.select("node").distinct(), "node", "left_semi")
         degree = large.groupBy("node").agg(F.sum("n").alias("degree"))
         large = large.join(degree, "node")
         leaders = large.groupBy("bucket").agg(F.max(F.struct("degree", (-F.col("node")).alias("k"))).alias("top"), F.min("node").alias("least"))
         leaders = leaders.select("bucket", F.explode(F.array_distinct(F.array(-F.col("top.k"), F.col("least")))).alias("leader"))
         out.append(large.join(leaders, "bucket").where(F.col("node") != F.col("leader")).select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")))
-    return reduce(DataFrame.union, out).distinct()
+    return reduce(DataFrame.union, out).distinct(), crowded
+
+
+def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        x, y = (text_buffers(batch.column(c))[0].reshape(-1, SAMPLES) for c in ("a_samples", "b_samples"))
+        yield batch.select(["a", "b"]).filter(pa.array((x == y).mean(axis=1) >= LEAST_AGREEING))
+
+
+def _waiting(crowded: DataFrame, roots: DataFrame, led: DataFrame | None) -> DataFrame:
+    """Nodes of crowded buckets of several classes that still have nodes to lead: bucket, node, root (its class) and turn, the
+    order in which it leads, if it has not led (led) and is not of the largest class; a node of each class comes first."""
+    rows = crowded.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
+    sizes = rows.groupBy("bucket", "root").agg(F.count("*").alias("n"))
+    largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "root"))["root"].alias("largest"), F.count("*").alias("classes")).where("classes > 1")
+    rows = rows.join(largest.select("bucket", "largest"), "bucket")
+    waits = F.col("root") != F.col("largest")
+    if led is not None:
+        rows = rows.join(led.withColumn("led", F.lit(True)), ["bucket", "node"], "left")
+        waits &= F.col("led").isNull()
+    rows = rows.withColumn("waits", waits)
+    rows = rows.withColumn("place", F.row_number().over(Window.partitionBy("bucket", "waits", "root").orderBy("node")))
+    rows = rows.withColumn("turn", F.when(F.col("waits"), F.row_number().over(Window.partitionBy("bucket", "waits").orderBy("place", "node"))))
+    return rows.withColumn("any", F.max("waits").over(Window.partitionBy("bucket"))).where("any").select("bucket", "node", "root", "turn")
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -229,7 +263,9 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
             band = mix(reduce(lambda a, b: mix(a) + b, (bits[:, :, j] for j in range(ROWS))) + np.arange(BANDS, dtype=np.uint64)).astype(np.int64)
             some = np.isin(np.arange(k), row)
             bands = pa.array([x if s else None for x, s in zip(band, some, strict=True)], pa.list_(pa.int64()))
-            samples = pa.array([x.tobytes() if s else None for x, s in zip(drawn, some, strict=True)], pa.binary())
+            # A byte of each sample: those that agree stay so.
+            short = mix(bits.reshape(k, SAMPLES)).astype(np.uint8)
+            samples = pa.array([x.tobytes() if s else None for x, s in zip(short, some, strict=True)], pa.binary())
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "h1", "h2")), bands, samples], schema.names)
 
     known = materialize(rows.mapInArrow(sampled, schema), "samples")
@@ -237,23 +273,6 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     # Exact copies are one node, named by their least doc_id.
     exact = used.groupBy("h1", "h2").agg(F.min("doc_id").alias("node"))
     nodes = materialize(used.join(exact, ["h1", "h2"]).where(F.col("doc_id") == F.col("node")).select("node", "bands", "samples").dropDuplicates(["node"]), "nodes")
-    pairs = _candidates(nodes.select("node", "bands"))
-    side = lambda name: nodes.select(F.col("node").alias(name), F.col("samples").alias(f"{name}_samples"))
-    pairs = pairs.join(side("a"), "a").join(side("b"), "b")
-
-    def agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.float32).reshape(-1, SAMPLES) for c in ("a_samples", "b_samples"))
-            yield batch.select(["a", "b"]).filter(pa.array((x == y).mean(axis=1) >= LEAST_AGREEING))
-
-    pairs = materialize(pairs.mapInArrow(agreeing, "a long, b long"), "candidates")
-    # Texts of documents in a candidate pair.
-    needed = materialize(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "needed")
-    if needed.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
-        needed = F.broadcast(needed)
-    texts = materialize(docs.select("doc_id", "text").join(needed, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
-    text = lambda name: texts.select(F.col("doc_id").alias(name), F.col("text").alias(f"{name}_text"))
-    joined = pairs.join(text("a"), "a").join(text("b"), "b")
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -262,8 +281,38 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
             a, b = shingles(batch.column("a_text")), shingles(batch.column("b_text").take(pa.array(where)))
             yield batch.select(["a", "b"]).filter(pa.array(_similarities(a, b, batch.num_rows, b_of, shared.value) >= similarity))
 
-    links = joined.mapInArrow(verified, "a long, b long")
-    roots = components(links, "a", "b")
+    def near(pairs: DataFrame) -> DataFrame:
+        # Texts of documents in a candidate pair.
+        needed = materialize(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "needed")
+        if needed.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+            needed = F.broadcast(needed)
+        texts = materialize(docs.select("doc_id", "text").join(needed, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
+        text = lambda name: texts.select(F.col("doc_id").alias(name), F.col("text").alias(f"{name}_text"))
+        return pairs.join(text("a"), "a").join(text("b"), "b").mapInArrow(verified, "a long, b long")
+
+    pairs, crowded = _candidates(nodes.select("node", "bands"))
+    samples = lambda name: nodes.select(F.col("node").alias(name), F.col("samples").alias(f"{name}_samples"))
+    seen = materialize(pairs.join(samples("a"), "a").join(samples("b"), "b").mapInArrow(_agreeing, "a long, b long"), "candidates")
+    roots = materialize(components(near(seen), "a", "b"), "roots")
+    led, most = None, LEADERS
+    while True:
+        rows = materialize(_waiting(crowded, roots, led), "crowded")
+        if not rows.limit(1).count():
+            break
+        crowded = rows.select("bucket", "node")
+        leaders = rows.where(F.col("turn") <= most).join(samples("node"), "node").select("bucket", F.col("node").alias("a"), F.col("root").alias("a_root"), F.col("node_samples").alias("a_samples"))
+        others = rows.join(samples("node"), "node").select("bucket", F.col("node").alias("b"), F.col("root").alias("b_root"), F.col("node_samples").alias("b_samples"))
+        met = leaders.join(others, "bucket").where("a_root <> b_root").select("a", "b", "a_samples", "b_samples").mapInArrow(_agreeing, "a long, b long")
+        met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(seen, ["a", "b"], "left_anti")
+        met = materialize(met, "candidates")
+        if met.limit(1).count():
+            seen = seen.union(met)
+            links = materialize(near(met), "links")
+            if links.limit(1).count():
+                roots = materialize(components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links), "a", "b"), "roots")
+        now = rows.where(F.col("turn") <= most).select("bucket", "node")
+        led = now if led is None else led.union(now)
+        most *= GROWTH
     classes = exact.join(roots, "node", "left").select("h1", "h2", F.coalesce("root", "node").alias("class_id"))
     mine = known.select("doc_id", "h1", "h2", (F.col("doc_id").isNotNull() & F.col("bands").isNotNull()).alias("used"))
     found = mine.where("used").join(classes, ["h1", "h2"]).select("doc_id", "class_id")

@@ -194,3 +194,42 @@ def test_pipeline(spark):
 
     out = corpus_pipeline.run(spark, DATA)
     assert out.count() > 0 and out.columns == packing.PIECES.names
+
+
+def test_crowded_near_duplicates_equal_all_pairs(spark):
+    """Sub-families that drift under one template, so that nodes in crowded buckets are near others than the leaders."""
+    rnd = random.Random(8)
+    words = [f"w{k}" for k in range(4000)]
+    template, rows, ids = [rnd.choice(words) for _ in range(360)], [], rnd.sample(range(10**6), 120)
+    for _ in range(4):
+        text = template[:260] + [rnd.choice(words) for _ in range(100)]
+        for k in range(10):
+            if k:
+                at = rnd.randrange(336)
+                text[at : at + 24] = [rnd.choice(words) for _ in range(24)]
+            for v in range(3):
+                own = list(text)
+                if v:
+                    own[rnd.randrange(360)] = "edit"
+                rows.append((ids.pop(), " ".join(own)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in cws.near_duplicates(docs).collect()}
+    weights = cws.Weights(*cws.frequencies(docs))
+    sets = {}
+    for i, text in rows:
+        _, key, count = cws.shingles(pa.array([text]))
+        sets[i] = dict(zip(key.tolist(), (count * weights(key)).tolist(), strict=True))
+    root = {i: i for i in sets}
+
+    def find(i):
+        return i if root[i] == i else find(root[i])
+
+    for i in sets:
+        for j in sets:
+            if i < j:
+                both = sum(min(w, sets[j].get(k, 0)) for k, w in sets[i].items())
+                if both >= 0.8 * (sum(sets[i].values()) + sum(sets[j].values()) - both):
+                    x, y = sorted((find(i), find(j)))
+                    root[y] = x
+    assert len({find(i) for i in sets}) == 4
+    assert got == {i: find(i) for i in sets}
