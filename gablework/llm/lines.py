@@ -79,11 +79,12 @@ def _met(index: DataFrame, probe: DataFrame) -> DataFrame:
 
 
 def _crowded(texts: DataFrame, keys: DataFrame, threshold: int, min_chars: int) -> tuple[DataFrame, DataFrame]:
-    """Candidate pairs of lines (h1, place, line) that share a key with many others, and links that need no check.
+    """Candidate pairs of lines (h1, place, line) that share a key with many others, and links that are verified already.
 
     A crowded key's lines are dealt by the segments of what is left of them, again and again, until no key is crowded. Lines of
-    which no more than threshold characters are left are all within the threshold of each other, so they are linked to the
-    first of them."""
+    which no more than threshold characters are left are checked against the first of them, and those that are not near it
+    (what was taken out may have stood at shifted places) are paired with all others there. Segments of such a rest may be
+    empty, so it also meets the rests of up to twice the threshold that are within the threshold of it."""
     start = texts.select("h1", "place", F.explode(F.array(F.lit(0), F.lit(1))).alias("kind"), F.lit(0).cast("long").alias("key"), F.col("line").alias("rest"))
     rows = _finer(start, threshold, min_chars)
     keys = keys.select(F.xxhash64(F.lit(0).cast("long"), "key").alias("key"))
@@ -91,7 +92,7 @@ def _crowded(texts: DataFrame, keys: DataFrame, threshold: int, min_chars: int)
     indexed, probed, ended = [], [], []
     while keys.limit(1).count():
         crowd = rows.join(keys, "key", "left_semi")
-        ended.append(crowd.where(F.length("rest") <= threshold).select("key", "h1", "place"))
+        ended.append(crowd.where(F.length("rest") <= 2 * threshold).select("key", "h1", "place", "kind", "rest"))
         rows = materialize(_finer(crowd.where((F.col("kind") == 0) | (F.length("rest") > threshold)), threshold, 1), "crowded-lines")
         index = rows.where("kind = 0").select("h1", "key")
         keys = materialize(index.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > CROWD).select("key"), "crowded-keys")
@@ -99,9 +100,19 @@ def _crowded(texts: DataFrame, keys: DataFrame, threshold: int, min_chars: int)
         probed.append(rows.where("kind = 1").select("h1", "key"))
     pairs = _met(reduce(DataFrame.union, indexed), reduce(DataFrame.union, probed)).distinct()
     # Those of which hardly anything is left.
-    ends = reduce(DataFrame.union, ended).distinct()
-    first = ends.groupBy("key").agg(F.min_by("h1", "place").alias("f1"))
-    links = ends.join(first, "key").where(F.col("h1") != F.col("f1")).select(F.least("h1", "f1").alias("a"), F.greatest("h1", "f1").alias("b")).distinct()
+    ends = materialize(reduce(DataFrame.union, ended).distinct(), "crowded-ends")
+    few = ends.where(F.length("rest") <= threshold)
+    short = few.select("key", "h1", "place").distinct()
+    first = short.groupBy("key").agg(F.min_by("h1", "place").alias("f1"))
+    line = lambda name: texts.select(F.col("h1").alias(name), F.col("line").alias(f"{name}_line"))
+    checked = short.join(first, "key").where(F.col("h1") != F.col("f1")).join(line("h1"), "h1").join(line("f1"), "f1")
+    checked = materialize(checked.select("key", "h1", "f1", within(F.col("h1_line"), F.col("f1_line"), threshold).alias("near")), "crowded-links")
+    pair = (F.least("h1", "g1").alias("a"), F.greatest("h1", "g1").alias("b"))
+    links = checked.where("near").select("h1", F.col("f1").alias("g1")).select(*pair).distinct()
+    others = checked.where("not near").select("key", "h1").join(short.select("key", F.col("h1").alias("g1")), "key")
+    wide = ends.where((F.col("kind") == 1) & (F.length("rest") > threshold)).select("key", F.col("h1").alias("g1"), F.col("rest").alias("more"))
+    wide = few.where("kind = 0").join(wide, "key").where(F.levenshtein("rest", "more") <= threshold).select("key", "h1", "g1")
+    pairs = pairs.union(others.union(wide).where(F.col("h1") != F.col("g1")).select(*pair)).distinct()
     return pairs, links
 
 

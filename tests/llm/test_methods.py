@@ -233,3 +233,36 @@ def test_crowded_near_duplicates_equal_all_pairs(spark):
                     root[y] = x
     assert len({find(i) for i in sets}) == 4
     assert got == {i: find(i) for i in sets}
+
+
+@pytest.mark.parametrize("threshold", [1, 2])
+def test_crowded_lines_at_thresholds_equal_brute_force(spark, monkeypatch, threshold):
+    monkeypatch.setattr(lines, "CROWD", 2)
+    rnd, base, texts = random.Random(threshold), "abcabcabcabc", set()
+    while len(texts) < 90:
+        b = list(base)
+        for _ in range(rnd.randint(0, threshold + 1)):
+            at = rnd.randrange(len(b))
+            b[at : at + rnd.randint(0, 1)] = [rnd.choice("abcx")] * rnd.randint(0, 1)
+        texts.add("".join(b))
+    texts = sorted(texts, key=lambda x: rnd.random())
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    near = {i for i, x in enumerate(texts) if any(min(len(x), len(y)) >= 8 and distance(x, y) <= threshold for y in texts[:i])}
+    got = {r.doc_id for r in lines.line_dedup(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), threshold, 8).where("n_near > 0").collect()}
+    assert got == near
+
+
+@pytest.mark.parametrize(("threshold", "a", "b", "near"), [(2, "xy{}", "z{}w", 0), (1, "{}", "{}x", 1)])
+def test_ended_crowded_keys_are_verified(spark, monkeypatch, threshold, a, b, near):
+    """Every key is crowded: what is left may have stood at shifted places, or be a character that follows an empty segment."""
+    monkeypatch.setattr(lines, "CROWD", 0)
+    docs = [(k, x.format("abcdefghijklmno")) for k, x in enumerate((a, b))]
+    assert lines.line_dedup(spark.createDataFrame(docs, "doc_id long, text string"), threshold, 8).agg(F.sum("n_near")).first()[0] == near
