@@ -9,19 +9,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gablework.llm import cws, lines, mixing, packing, ppm
-from gablework.llm.common import materialize, read_table
+from gablework.llm.common import Scratch, read_table
 from gablework.llm.tokens import public_path
 
 
+#: Bits for each byte from which no language explains a text: as many as printable characters drawn at random would take.
+REJECTED_BITS = 6.57
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language (a null text, or none of the text's characters a letter) go."""
+    """Documents in none of the learned languages go: those whose text is null, empty or without a letter, and those of whose bytes even
+    the best language's model takes REJECTED_BITS or more. Where lang is null, it becomes the predicted one.
+
+    The languages are those that the documents themselves name; if they name none, only texts without a letter go. Repeated rows
+    and null ids are judged like all others, ties go to the first language by name, and an empty table gives none."""
     model = ppm.train(docs, ppm.held_out())
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "text")
-    return ppm.classify(rows, model, ["row"]).where(F.col("lang_pred") != ppm.UNDECIDED).select("row.*")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    if model is None:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    known = ppm.classify(rows, model, ["row"], inside="row").where((F.col("lang_pred") != ppm.UNDECIDED) & (F.col("bits_per_byte") < REJECTED_BITS))
+    return known.select(*(F.coalesce(F.col("row.lang"), F.col("lang_pred")).alias(c) if c == "lang" else F.col(f"row.`{c}`").alias(c) for c in docs.columns))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that an earlier document or line has, nearly or exactly, go; so do documents of which no line is left."""
+    """Lines that an earlier document or line has, nearly or exactly, go; so do documents of which no line is left. n_chars follows the
+    text. Blank lines and null texts stay as they are; documents are in order of doc_id, a null one first; an empty table gives none."""
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
     reduced = lines.line_dedup(docs.select("doc_id", "text", row))
     emptied = (F.col("n_dropped") > 0) & ~F.coalesce(F.col("text"), F.lit("")).rlike(r"\S")
@@ -30,20 +42,32 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates stays, the one with the least doc_id."""
+    """One document of each class of near duplicates stays, the one with the least doc_id; of rows that share a doc_id (they are of
+    one class) the one whose text isn't null and has the least hash, then the one whose other columns have.
+
+    Texts that are null or without words are alike to none, rows without a doc_id stay, and an empty table gives none."""
     others = cws.near_duplicates(docs).where(F.col("class_id") != F.col("doc_id")).select("doc_id").distinct()
     kept = docs.join(others, "doc_id", "left_anti").select(docs.columns)
-    # Repeated rows of one doc_id are a group too; texts are dealt out for them only if there are any.
-    again = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1").limit(1).count()
-    return kept.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"]).unionByName(kept.where(F.col("doc_id").isNull())) if again else kept
+    # Texts are dealt out for repeated doc_ids only if there are any.
+    if not docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1").limit(1).count():
+        return kept
+    rank = F.struct(F.col("text").isNull().alias("a"), F.xxhash64("text").alias("b"), F.xxhash64(F.to_json(F.struct(*(F.col(f"`{c}`") for c in docs.columns)))).alias("c"))
+    named = kept.where(F.col("doc_id").isNotNull()).select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("doc_id"), rank.alias("rank"))
+    best = named.groupBy(F.col("doc_id").alias("of")).agg(F.min("rank").alias("least"))
+    one = named.join(best, (F.col("doc_id") == F.col("of")) & (F.col("rank") == F.col("least"))).select("doc_id", "row").dropDuplicates(["doc_id"])
+    return one.select("row.*").unionByName(kept.where(F.col("doc_id").isNull()))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
+    """Documents as often as the mix of sources takes them, up to three times, with their columns as they are; those that it
+    doesn't take go. A null source is a source of its own, null texts count as empty and are taken by the ranking alone, repeated
+    rows are taken alike, and an empty table gives none. Reruns agree."""
     return mixing.repeated(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of at most 2048 tokens, a row for each piece. Null and empty texts are one end token,
+    copies of a document are packed each, other columns are ignored, and an empty table gives none."""
     return packing.pack(docs, public_path("byte_bpe_50k.json"), 1)
 
 
@@ -60,7 +84,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    """All stages in turn over documents. A stage's table is deleted when the next one is written."""
+    docs, scratch = read_table(spark, sf_dir, "documents"), Scratch(spark)
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs = scratch.table(stage(spark, docs, sf_dir), f"stage-{name}")
+        scratch.drop(docs)
     return docs

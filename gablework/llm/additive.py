@@ -15,16 +15,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gablework.llm.common import materialize
 from gablework.llm.vectors import best, blocks, paired, queries, usable
 
 #: Codebooks and their entries; beams of the encoder; candidates of a block that are ranked exactly, for each result wanted.
-BOOKS, ENTRIES, BEAM, RERANK = 16, 256, 3, 16
+BOOKS, ENTRIES, BEAM, RERANK = 16, 256, 3, 12
 #: Rows (expected, by hash of vec_id) that the codebooks are fitted on, and rounds of k-means for each.
 SAMPLE_ROWS, ROUNDS = 8_000, 8
 
 
 def fit(sample: np.ndarray, books: int = BOOKS, entries: int = ENTRIES, seed: int = 0) -> np.ndarray:
-    """Codebooks (books, entries, dim) by k-means on residuals, then improved jointly by least squares on the codes."""
+    """Codebooks (books, entries, dim), each by k-means on what the ones before leave."""
     rng = np.random.default_rng(seed)
     rest, out = sample.copy(), []
     for _ in range(books):
@@ -83,9 +84,10 @@ def scan(codes: np.ndarray, norms: np.ndarray, books: np.ndarray, queries: np.nd
     return out
 
 
-def search(table: DataFrame, k: int = 20, every: int = 20, rerank: int = RERANK, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+def search(table: DataFrame, k: int = 20, every: int = 20, rerank: int = RERANK, sample_rows: int = SAMPLE_ROWS, euclidean: bool = False) -> DataFrame:
     """For each row of vec_id and embedding whose vec_id is divisible by every, the k nearest other rows found, by the
-    largest inner product: query_id, rank, vec_id, score (that product in double precision, on the original vectors).
+    largest inner product: query_id, rank, vec_id, score (that product in double precision, on the original vectors). euclidean: by
+    the least distance instead; coded rows are then scored with their stored norms, and score is minus the squared distance.
 
     Codebooks are fitted on about sample_rows rows of each dimension, chosen by hash; every row is encoded. Null, empty and zero
     vectors, and those that hold null or non-finite components, take no part, nor do rows without an id; vectors meet only
@@ -115,8 +117,8 @@ def search(table: DataFrame, k: int = 20, every: int = 20, rerank: int = RERANK,
                 norms.append(s.astype(np.float64).tobytes())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(codes, pa.binary()), pa.array(norms, pa.binary())], [*batch.schema.names, "codes", "norms"])
 
-    index = all_blocks.mapInArrow(coded, coded_schema)
-    query_blocks = blocks(queries(rows, every), 1024)
+    index = materialize(all_blocks.mapInArrow(coded, coded_schema), "additive-index")
+    query_blocks = blocks(queries(rows, every), 4096)
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -132,13 +134,15 @@ def search(table: DataFrame, k: int = 20, every: int = 20, rerank: int = RERANK,
                 q, v, s = [], [], []
                 for lo in range(0, len(asked), 128):
                     part = asked[lo : lo + 128]
-                    rough = scan(codes, norms, books, part)
+                    rough = scan(codes, norms, books, part, euclidean)
                     # Falling score, then position (ids are ascending), as one number.
                     bits = rough.T.copy().view(np.int32).astype(np.int64)
                     bits = np.where(bits < 0, -(bits & 0x7FFFFFFF), bits)
                     key = -(bits << 28) + np.arange(len(ids))
                     at = np.argpartition(key, wanted - 1, axis=1)[:, :wanted] if wanted < len(ids) else np.tile(np.arange(len(ids)), (len(part), 1))
                     exact = np.einsum("qd,qcd->qc", part, x[at])
+                    if euclidean:
+                        exact = 2 * exact - (part**2).sum(axis=1)[:, None] - (x[at] ** 2).sum(axis=2)
                     exact[ids[at] == query_ids[lo : lo + 128, None]] = -np.inf
                     for own, places, score in zip(query_ids[lo : lo + 128].tolist(), at, exact, strict=True):
                         order = np.lexsort((ids[places], -score))[:k]

@@ -16,24 +16,27 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gablework.llm.vectors import best, blocks, paired, queries, usable
+from gablework.llm.common import materialize
+from gablework.llm.vectors import BLOCKS, best, blocks, paired, queries, usable
 
 SCALE = 1024
 
 
+def sliced(values: np.ndarray) -> np.ndarray:
+    """The slices (attributes, bits, words) of integers, a row of values each, less each attribute's least value."""
+    low = values.min(axis=0)
+    width = max(1, int((values.max(axis=0) - low).max()).bit_length())
+    shifted, words = (values - low).astype(np.uint64), -(-len(values) // 64)
+    return np.stack([np.stack([_bitmap(column >> np.uint64(b) & np.uint64(1), words) for b in range(width)]) for column in shifted.T])
+
+
 class SlicedIndex:
-    def __init__(self, ids: np.ndarray, values: np.ndarray):
-        """values: integers, a row for each id; ids ascending."""
-        self.ids, self.values = ids, values
-        n, dim = values.shape
-        self.words = -(-n // 64)
-        self.low = values.min(axis=0)
-        width = int((values.max(axis=0) - self.low).max()).bit_length()
-        shifted = (values - self.low).astype(np.uint64)
-        # A slice for each attribute and bit, and its complement over the block's rows.
-        self.width = max(1, width)
-        self.slices = np.stack([np.stack([_bitmap(shifted[:, d] >> np.uint64(b) & np.uint64(1), self.words) for b in range(self.width)]) for d in range(dim)])
-        self.all = _bitmap(np.ones(n, np.uint64), self.words)
+    def __init__(self, ids: np.ndarray, slices: np.ndarray):
+        """ids: ascending, one for each row."""
+        self.ids, self.slices = ids, slices
+        _, self.width, self.words = slices.shape
+        # A slice's complement is over the block's rows.
+        self.all = _bitmap(np.ones(len(ids), np.uint64), self.words)
 
     def scores(self, query: np.ndarray) -> list[np.ndarray]:
         """Slices of the score, least significant first. Negative components add the complement of a slice: both
@@ -105,27 +108,32 @@ def top_k(table: DataFrame, k: int = 10, every: int = 100, scale: int = SCALE) -
     Vectors that are null, empty or hold null or non-finite components take no part, nor do rows without an id; vectors
     meet only those of their dimension. Scores must fit into 64 bits. Rows that repeat a vec_id are candidates each, but
     never for a query of that id, and ask once. Fewer than k candidates give all; an empty table gives none."""
-    rows = usable(table, nonzero=False).withColumn("embedding", F.transform("embedding", lambda x: F.floor(x * scale).cast("double")))
-    all_blocks, query_blocks = blocks(rows), blocks(queries(rows, every))
+    rows = usable(table, nonzero=False).withColumn("embedding", F.transform("embedding", lambda x: F.floor(x * scale).cast("long")))
+
+    def indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slices = [sliced(np.frombuffer(d.as_py(), np.int64).reshape(n, -1)) for d, n in zip(batch.column("data"), batch.column("n").to_pylist(), strict=True)]
+            widths = pa.array([x.shape[1] for x in slices], pa.int32())
+            yield pa.RecordBatch.from_arrays([*batch.columns, widths, pa.array([x.tobytes() for x in slices], pa.binary())], [*batch.schema.names, "width", "slices"])
+
+    index = materialize(blocks(rows).mapInArrow(indexed, f"{BLOCKS}, width int, slices binary"), "sliced-index")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple[int, SlicedIndex] | None = None
         for batch in batches:
             for r in range(batch.num_rows):
                 get = lambda name: batch.column(name)[r].as_py()  # noqa: B023, E731
                 ids = np.frombuffer(get("ids"), np.int64)
-                values = np.frombuffer(get("data"), np.float64).reshape(len(ids), -1).astype(np.int64)
-                if held is None or held[0] != get("block"):
-                    held = get("block"), SlicedIndex(ids, values)
+                values = np.frombuffer(get("data"), np.int64).reshape(len(ids), -1)
+                held = SlicedIndex(ids, np.frombuffer(get("slices"), np.uint64).reshape(values.shape[1], get("width"), -1))
                 query_ids = np.frombuffer(get("q_ids"), np.int64)
-                asked = np.frombuffer(get("q_data"), np.float64).reshape(len(query_ids), -1).astype(np.int64)
+                asked = np.frombuffer(get("q_data"), np.int64).reshape(len(query_ids), -1)
                 q, v, s = [], [], []
                 for own, query in zip(query_ids.tolist(), asked, strict=True):
-                    at = held[1].top(query, k, own)
+                    at = held.top(query, k, own)
                     q.append(np.full(len(at), own))
                     v.append(ids[at])
                     s.append(values[at] @ query)
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (q, v, s)], ["query_id", "vec_id", "score"])
 
-    found = paired(all_blocks, query_blocks).mapInArrow(search, "query_id long, vec_id long, score long")
+    found = paired(index, blocks(queries(rows, every), 4096)).mapInArrow(search, "query_id long, vec_id long, score long")
     return best(found, k, F.col("score"))

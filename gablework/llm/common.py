@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows and bytes of an Arrow batch handed to Python; whole texts can be long, so batches stay bounded.
-BATCH_ROWS, BATCH_BYTES = 6000, 24 << 20
+BATCH_ROWS, BATCH_BYTES = 6000, 4 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,9 +45,36 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it again: cuts the lineage and survives lost executors."""
-    path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return Scratch(df.sparkSession).table(df, name)
+
+
+class Scratch:
+    """Tables in the shared folder that an operator needs for a while."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.held = spark, []
+
+    def table(self, df: DataFrame, name: str) -> DataFrame:
+        """df, written to the shared folder and read again."""
+        path = shared_dir(self.spark, name)
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.held.append((path, out))
+        return out
+
+    def drop(self, *keep: DataFrame) -> None:
+        """Delete all tables but those that are still read."""
+        stays = {id(x) for x in keep}
+        for path, out in self.held:
+            if id(out) not in stays:
+                remove(self.spark, path)
+        self.held = [x for x in self.held if id(x[1]) in stays]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
 
 
 def with_lit_crc(column: Column) -> Column:

@@ -1,18 +1,17 @@
 """Near-duplicate documents by improved consistent weighted sampling (ICWS) over TF-IDF word shingles.
 
-A document is the weighted set of its five-word shingles; a shingle weighs its count times its damped inverse document
-frequency, which a count-min sketch of all documents gives. ICWS draws for each of SAMPLES hashes one shingle (at one weight
-level), alike in two documents with a chance equal to their weighted Jaccard similarity. Samples are banded; documents
-that share a band's samples are candidates; candidates are verified by the exact weighted Jaccard similarity of their
-whole texts, and verified links are joined to classes.
-
-Exact copies are one node from the start. A bucket of up to SMALL nodes pairs all of them; a larger, crowded one pairs each
-node with two leaders (the node that meets most others over all its buckets, as the original of many copies does, and the
-least id), and its nodes meet again in the finer buckets of two and four bands taken together. Then, as long as a crowded
-bucket holds several classes, some of its nodes that are not of its largest class lead in turn: each is paired with all
-nodes there that are not of its class. It ends when all nodes outside the largest class have led, so that any two nodes
-of a bucket are of one class or have been compared. Candidates thus grow with a bucket's nodes times those that no link
-brings into its largest class.
+A document is the weighted set of its five-word shingles; a shingle weighs its count times its inverse document frequency, on
+a scale from 1 (in all documents) to 2 (in one). ICWS draws for each of SAMPLES hashes one shingle (at one weight level),
+alike in two documents with a chance equal to their weighted Jaccard similarity. Samples are banded; documents that share
+a band's samples are candidates; candidates are verified by the exact weighted Jaccard similarity of their whole texts,
+and verified links are joined to classes.
+
+Equal texts are one node from the start. A bucket of up to SMALL nodes pairs all of them. In a larger, crowded one all nodes are
+paired with a leader first, which joins most families of copies. What is left, nodes outside a crowded bucket's largest class, is
+held against all nodes of other classes there, in blocks of samples that meet in many tasks: at first only each node's best
+match in every other class, then, with the classes that this gives, all that agree. So any two nodes of a bucket end in one
+class, or agree too little, or have been verified. The work on a crowded bucket grows with its nodes times those outside
+its largest class.
 """
 
 from __future__ import annotations
@@ -23,22 +22,23 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gablework.llm.common import materialize, ranges, short_batches, text_buffers
+from gablework.llm.common import Scratch, ranges, short_batches, text_buffers
 from gablework.llm.components import components
 from gablework.llm.texts import distinct, hashes, mix, runs, spans
 
 WORDS, SIMILARITY = 5, 0.8
-BANDS, ROWS = 16, 4
+#: A pair of similarity 0.8 shares a band with a chance of 0.99, one of 0.5 with one of 0.32.
+BANDS, ROWS = 12, 5
 SAMPLES = BANDS * ROWS
-SMALL = 8
-#: Leaders of a crowded bucket in the first round, and by how much their number grows from round to round.
-LEADERS, GROWTH = 2, 4
-#: Candidates whose samples agree in a smaller share are left out: for a true similarity of 0.8 that is four standard deviations away.
-LEAST_AGREEING = 0.55
+SMALL = 16
+#: Nodes (expected) of a block of a crowded bucket.
+BLOCK = 1024
+#: Candidates of which fewer samples agree are left out. At a true similarity of 0.8 that happens to 6 pairs of 10,000.
+LEAST_AGREEING = 38
 #: Counters of each of the sketch's two rows, and the pieces in which they are summed.
 SKETCH_BITS, SEGMENTS, FAN_IN = 18, 16, 512
 
@@ -125,15 +125,22 @@ def frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
 
 
 class Weights:
-    """Damped inverse document frequency: 1 for a shingle of all documents, up to 2 for the rarest."""
+    """Inverse document frequency of a shingle, 1 + ln(n / df) / ln(n + 1): 1 if all n documents have it, near 2 if one has.
+
+    df is read from the sketch, less what other shingles add to a counter on average. The rest of the error has a
+    standard deviation of about sqrt(n * shingles in a document / 2**SKETCH_BITS) documents, so that its share of n falls as n
+    grows; frequencies below that are taken for each other."""
 
     def __init__(self, sketch: np.ndarray, n: int):
-        self.rows = [(1 + np.log(max(n, 1) / np.clip(x, 1, max(n, 1))) / np.log(n + 2)).astype(np.float32) for x in sketch]
+        others = (sketch.sum(axis=1, keepdims=True) - sketch) / (sketch.shape[1] - 1)
+        self.n, self.rows = n, (sketch - others).astype(np.float32)
 
-    def __call__(self, key: np.ndarray) -> np.ndarray:
-        # The lesser count is the nearer to the truth, and the greater weight.
+    def frequency(self, key: np.ndarray) -> np.ndarray:
         a, b = _slots(key)
-        return np.maximum(self.rows[0][a], self.rows[1][b])
+        return np.clip(np.minimum(self.rows[0][a], self.rows[1][b]), 1, max(self.n, 1))
+
+    def __call__(self, key: np.ndarray) -> np.ndarray:
+        return 1 + np.log(max(self.n, 1) / self.frequency(key)) / np.log(self.n + 1 if self.n else 2)
 
 
 def _draws() -> tuple[np.ndarray, ...]:
@@ -172,86 +179,92 @@ def sample(row: np.ndarray, key: np.ndarray, weight: np.ndarray, n: int) -> np.n
     return out
 
 
-def _similarities(a: tuple, b: tuple, pairs: int, b_of: np.ndarray, weights: Weights) -> np.ndarray:
-    """Weighted Jaccard similarity of each pair: set p of a with set b_of[p] of b."""
-    b_first = np.searchsorted(b[0], np.arange(int(b_of.max()) + 2)) if len(b_of) else np.zeros(1, np.int64)
-    length = b_first[b_of + 1] - b_first[b_of]
-    at = ranges(b_first[b_of], length)
-    tag = np.concatenate((a[0], np.repeat(np.arange(pairs), length))).astype(np.uint64)
-    key = np.concatenate((a[1], b[1][at]))
-    w = np.concatenate((a[2], b[2][at])) * weights(key).astype(float)
-    tagged = (tag << np.uint64(44)) | key
-    order = np.argsort(tagged, kind="stable")
-    tagged, w, tag = tagged[order], w[order], tag[order].astype(np.int64)
-    twice = np.flatnonzero(tagged[1:] == tagged[:-1])
-    both = np.bincount(tag[twice], weights=np.minimum(w[twice], w[twice + 1]), minlength=pairs)
-    total = np.bincount(tag, weights=w, minlength=pairs)
-    return both / np.maximum(total - both, 1e-300)
-
-
-def _buckets(nodes: DataFrame, level: int) -> DataFrame:
-    """Nodes (node, bands) in buckets of level bands, in turn, taken together that hold others too: bucket, node and n, the
-    bucket's nodes."""
-    keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.xxhash64(F.lit(level), k, *(F.element_at("bands", ((k + j) % BANDS + 1).cast("int")) for j in range(level))))
-    rows = nodes.select("node", F.explode(keys).alias("bucket"))
-    return rows.join(rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "bucket")
-
-
-def _candidates(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Distinct pairs a < b of nodes (node, bands) that a bucket pairs at first, and the crowded buckets of one band with their
-    nodes: bucket, node."""
-    out, crowded = [], None
-    for level in (1, 2, 4):
-        met = materialize(_buckets(nodes, level), "buckets")
-        small = met.where(F.col("n") <= SMALL).groupBy("bucket").agg(F.array_sort(F.collect_list("node")).alias("all"))
-        pairs = F.flatten(F.transform("all", lambda x, i: F.transform(F.slice("all", i + 2, F.size("all")), lambda y: F.struct(x.alias("a"), y.alias("b")))))
-        out.append(small.select(F.inline(pairs)))
-        large = met.where(F.col("n") > SMALL)
-        crowded = large.select("bucket", "node") if crowded is None else crowded
-        # Nodes of a finer bucket share the coarser ones, which have paired them if they are small.
-        nodes = nodes.join(large.select("node").distinct(), "node", "left_semi")
-        degree = large.groupBy("node").agg(F.sum("n").alias("degree"))
-        large = large.join(degree, "node")
-        leaders = large.groupBy("bucket").agg(F.max(F.struct("degree", (-F.col("node")).alias("k"))).alias("top"), F.min("node").alias("least"))
-        leaders = leaders.select("bucket", F.explode(F.array_distinct(F.array(-F.col("top.k"), F.col("least")))).alias("leader"))
-        out.append(large.join(leaders, "bucket").where(F.col("node") != F.col("leader")).select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")))
-    return reduce(DataFrame.union, out).distinct(), crowded
+def similarities(sets: tuple, a: np.ndarray, b: np.ndarray, weights: Weights) -> np.ndarray:
+    """Weighted Jaccard similarity of sets a[p] and b[p] of sets (row, key, count; sorted by row) for each pair p."""
+    row, key, count = sets
+    weight = count * weights(key).astype(float)
+    first = np.searchsorted(row, np.arange((int(max(a.max(), b.max())) if len(a) else 0) + 2))
+    out = np.zeros(len(a))
+    size = first[a + 1] - first[a] + first[b + 1] - first[b]
+    part = np.cumsum(size) >> 18
+    for lo, hi in zip(*(lambda x: (x[:-1], x[1:]))(np.append(np.searchsorted(part, np.unique(part)), len(a))), strict=True):
+        own_a, own_b = a[lo:hi], b[lo:hi]
+        at = np.concatenate([ranges(first[x], first[x + 1] - first[x]) for x in (own_a, own_b)])
+        tag = np.concatenate([np.repeat(np.arange(hi - lo), first[x + 1] - first[x]) for x in (own_a, own_b)]).astype(np.uint64)
+        tagged = (tag << np.uint64(44)) | key[at]
+        order = np.argsort(tagged, kind="stable")
+        tagged, w, tag = tagged[order], weight[at][order], tag[order].astype(np.int64)
+        twice = np.flatnonzero(tagged[1:] == tagged[:-1])
+        both = np.bincount(tag[twice], weights=np.minimum(w[twice], w[twice + 1]), minlength=hi - lo)
+        out[lo:hi] = both / np.maximum(np.bincount(tag, weights=w, minlength=hi - lo) - both, 1e-300)
+    return out
 
 
-def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        x, y = (text_buffers(batch.column(c))[0].reshape(-1, SAMPLES) for c in ("a_samples", "b_samples"))
-        yield batch.select(["a", "b"]).filter(pa.array((x == y).mean(axis=1) >= LEAST_AGREEING))
+def _samples(column: pa.Array) -> np.ndarray:
+    return text_buffers(column)[0].reshape(-1, SAMPLES)
 
 
-def _waiting(crowded: DataFrame, roots: DataFrame, led: DataFrame | None) -> DataFrame:
-    """Nodes of crowded buckets of several classes that still have nodes to lead: bucket, node, root (its class) and turn, the
-    order in which it leads, if it has not led (led) and is not of the largest class; a node of each class comes first."""
+def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keep = (_samples(batch.column("a_samples")) == _samples(batch.column("b_samples"))).sum(axis=1) >= LEAST_AGREEING
+        yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+
+def _met(batch: pa.RecordBatch, r: int, best_only: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes of a block of others and of a block of all nodes of a bucket that agree and are of unlike classes. best_only: for each
+    of the others only the best in every class."""
+    side = lambda n: tuple(batch.column(f"{n}_{c}")[r].values for c in ("node", "root", "other", "samples"))
+    (x, x_root, _, x_samples), (y, y_root, y_other, y_samples) = side("o"), side("m")
+    x, x_root, y, y_root = (np.asarray(c) for c in (x, x_root, y, y_root))
+    x_samples, y_samples = _samples(x_samples), _samples(y_samples)
+    alike = np.zeros((len(x), len(y)), np.uint8)
+    for k in range(SAMPLES):
+        alike += x_samples[:, k, None] == y_samples[:, k]
+    # Of two others, each pair once.
+    good = (alike >= LEAST_AGREEING) & (x_root[:, None] != y_root) & ((x[:, None] < y) | ~np.asarray(y_other).astype(bool))
+    i, j = np.nonzero(good)
+    if best_only and len(i):
+        order = np.lexsort((y[j], -alike[i, j].astype(int), y_root[j], i))
+        i, j = i[order], j[order]
+        new = np.concatenate(([True], (i[1:] != i[:-1]) | (y_root[j][1:] != y_root[j][:-1])))
+        i, j = i[new], j[new]
+    return x[i], y[j]
+
+
+def _rest(crowded: DataFrame, roots: DataFrame, samples: DataFrame, best_only: bool) -> DataFrame:
+    """Distinct pairs a < b that agree, of one crowded bucket (bucket, node) but of unlike classes (roots: node, root)."""
     rows = crowded.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
     sizes = rows.groupBy("bucket", "root").agg(F.count("*").alias("n"))
-    largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "root"))["root"].alias("largest"), F.count("*").alias("classes")).where("classes > 1")
-    rows = rows.join(largest.select("bucket", "largest"), "bucket")
-    waits = F.col("root") != F.col("largest")
-    if led is not None:
-        rows = rows.join(led.withColumn("led", F.lit(True)), ["bucket", "node"], "left")
-        waits &= F.col("led").isNull()
-    rows = rows.withColumn("waits", waits)
-    rows = rows.withColumn("place", F.row_number().over(Window.partitionBy("bucket", "waits", "root").orderBy("node")))
-    rows = rows.withColumn("turn", F.when(F.col("waits"), F.row_number().over(Window.partitionBy("bucket", "waits").orderBy("place", "node"))))
-    return rows.withColumn("any", F.max("waits").over(Window.partitionBy("bucket"))).where("any").select("bucket", "node", "root", "turn")
+    largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "root"))["root"].alias("largest"), F.count("*").alias("classes"), F.sum("n").alias("n")).where("classes > 1")
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    rows = rows.join(largest, "bucket").join(samples, "node").select("bucket", "node", "root", (F.col("root") != F.col("largest")).alias("other"), "samples", blocks.alias("blocks"), F.pmod(F.xxhash64("node"), blocks.cast("long")).cast("int").alias("block"))
+    packed = lambda n: [F.collect_list(c).alias(f"{n}_{c}") for c in ("node", "root", "other", "samples")]
+    every = rows.groupBy("bucket", "block").agg(*packed("m"))
+    # A block of others is sent to every block of its bucket.
+    others = rows.where("other").groupBy("bucket", "block").agg(F.max("blocks").alias("blocks"), *packed("o"))
+    others = others.drop("block").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(batch.num_rows):
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in _met(batch, r, best_only)], ["a", "b"])
+
+    met = others.join(every, ["bucket", "block"]).drop("bucket", "block").mapInArrow(compared, "a long, b long")
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """For every row of doc_id and text, doc_id and class_id, the least doc_id of its class of near duplicates.
 
-    Equal texts are always of one class. Texts that are null or without words are of no class but their own; rows that share a
-    doc_id share a class; a null doc_id stands for itself and takes no part. Other columns are ignored; an empty table
-    gives none."""
-    spark = docs.sparkSession
+    Equal texts are always of one class, and so are the rows that share a doc_id, whatever their texts. Texts that are null or
+    without words are of no class but their own; a null doc_id stands for itself and takes no part. Other columns are
+    ignored; an empty table gives none."""
+    spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
     short_batches(spark)
     sketch, n = frequencies(docs)
     shared = spark.sparkContext.broadcast(Weights(sketch, n))
-    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit("second"), "text").alias("h2"))
+    hashed = [F.xxhash64("text").alias("h1"), F.xxhash64(F.lit("second"), "text").alias("h2")]
+    rows = docs.select("doc_id", "text", *hashed)
     schema = T.StructType([*rows.select("doc_id", "h1", "h2").schema.fields, T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("samples", T.BinaryType())])
 
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,52 +281,62 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
             samples = pa.array([x.tobytes() if s else None for x, s in zip(short, some, strict=True)], pa.binary())
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "h1", "h2")), bands, samples], schema.names)
 
-    known = materialize(rows.mapInArrow(sampled, schema), "samples")
+    known = scratch.table(rows.mapInArrow(sampled, schema), "samples")
     used = known.where("doc_id is not null and bands is not null")
-    # Exact copies are one node, named by their least doc_id.
-    exact = used.groupBy("h1", "h2").agg(F.min("doc_id").alias("node"))
-    nodes = materialize(used.join(exact, ["h1", "h2"]).where(F.col("doc_id") == F.col("node")).select("node", "bands", "samples").dropDuplicates(["node"]), "nodes")
+    # Equal texts are one node; of their rows, one with the least doc_id stands for them.
+    nodes = used.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.first("bands").alias("bands"), F.first("samples").alias("samples"))
+    nodes = scratch.table(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    member = scratch.table(used.select("doc_id", "h1", "h2").join(nodes.select("h1", "h2", "node"), ["h1", "h2"]).select("doc_id", "node"), "members")
+    samples = nodes.select("node", "samples")
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, where = np.unique(batch.column("b").to_numpy(), return_index=True)
-            b_of = np.searchsorted(names, batch.column("b").to_numpy())
-            a, b = shingles(batch.column("a_text")), shingles(batch.column("b_text").take(pa.array(where)))
-            yield batch.select(["a", "b"]).filter(pa.array(_similarities(a, b, batch.num_rows, b_of, shared.value) >= similarity))
+            both = pa.concat_arrays([batch.column(c) for c in ("a", "b")]).to_numpy()
+            names, where, of = np.unique(both, return_index=True, return_inverse=True)
+            texts = pa.concat_arrays([batch.column(f"{c}_text") for c in ("a", "b")]).take(pa.array(where))
+            alike = similarities(shingles(texts), of[: batch.num_rows], of[batch.num_rows :], shared.value)
+            yield batch.select(["a", "b"]).filter(pa.array(alike >= similarity))
 
     def near(pairs: DataFrame) -> DataFrame:
-        # Texts of documents in a candidate pair.
-        needed = materialize(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "needed")
+        # Texts of nodes in a candidate pair, from one row each.
+        needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(nodes.select("node", "h1", "h2", "least"), "node")
+        needed = scratch.table(needed, "needed")
         if needed.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
             needed = F.broadcast(needed)
-        texts = materialize(docs.select("doc_id", "text").join(needed, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
-        text = lambda name: texts.select(F.col("doc_id").alias(name), F.col("text").alias(f"{name}_text"))
-        return pairs.join(text("a"), "a").join(text("b"), "b").mapInArrow(verified, "a long, b long")
-
-    pairs, crowded = _candidates(nodes.select("node", "bands"))
-    samples = lambda name: nodes.select(F.col("node").alias(name), F.col("samples").alias(f"{name}_samples"))
-    seen = materialize(pairs.join(samples("a"), "a").join(samples("b"), "b").mapInArrow(_agreeing, "a long, b long"), "candidates")
-    roots = materialize(components(near(seen), "a", "b"), "roots")
-    led, most = None, LEADERS
-    while True:
-        rows = materialize(_waiting(crowded, roots, led), "crowded")
-        if not rows.limit(1).count():
-            break
-        crowded = rows.select("bucket", "node")
-        leaders = rows.where(F.col("turn") <= most).join(samples("node"), "node").select("bucket", F.col("node").alias("a"), F.col("root").alias("a_root"), F.col("node_samples").alias("a_samples"))
-        others = rows.join(samples("node"), "node").select("bucket", F.col("node").alias("b"), F.col("root").alias("b_root"), F.col("node_samples").alias("b_samples"))
-        met = leaders.join(others, "bucket").where("a_root <> b_root").select("a", "b", "a_samples", "b_samples").mapInArrow(_agreeing, "a long, b long")
-        met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(seen, ["a", "b"], "left_anti")
-        met = materialize(met, "candidates")
-        if met.limit(1).count():
-            seen = seen.union(met)
-            links = materialize(near(met), "links")
-            if links.limit(1).count():
-                roots = materialize(components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links), "a", "b"), "roots")
-        now = rows.where(F.col("turn") <= most).select("bucket", "node")
-        led = now if led is None else led.union(now)
-        most *= GROWTH
-    classes = exact.join(roots, "node", "left").select("h1", "h2", F.coalesce("root", "node").alias("class_id"))
-    mine = known.select("doc_id", "h1", "h2", (F.col("doc_id").isNotNull() & F.col("bands").isNotNull()).alias("used"))
-    found = mine.where("used").join(classes, ["h1", "h2"]).select("doc_id", "class_id")
-    return found.union(mine.where("not used").select("doc_id", F.col("doc_id").alias("class_id")))
+        found = docs.select("doc_id", "text", *hashed).join(needed, ["h1", "h2"]).where("doc_id = least")
+        texts = scratch.table(found.select("node", "text").dropDuplicates(["node"]), "texts")
+        text = lambda name: texts.select(F.col("node").alias(name), F.col("text").alias(f"{name}_text"))
+        return pairs.join(text("a"), "a").join(text("b"), "b").select("a", "b", "a_text", "b_text").mapInArrow(verified, "a long, b long")
+
+    # Rows of one doc_id are linked as they are.
+    own = member.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("most")).where("a < most").select("doc_id", "a")
+    links = member.join(own, "doc_id").where("node > a").select("a", F.col("node").alias("b"))
+    bands = nodes.select("node", F.posexplode("bands").alias("k", "band")).select("node", F.xxhash64("k", "band").alias("bucket"))
+    met = scratch.table(bands.join(bands.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "bucket"), "buckets")
+    small = met.where(F.col("n") <= SMALL).groupBy("bucket").agg(F.array_sort(F.collect_list("node")).alias("all"))
+    pairs = small.select(F.inline(F.flatten(F.transform("all", lambda x, i: F.transform(F.slice("all", i + 2, F.size("all")), lambda y: F.struct(x.alias("a"), y.alias("b")))))))
+    # The leader of a crowded bucket is the node that meets most others over all its buckets.
+    crowded = met.where(F.col("n") > SMALL)
+    degree = crowded.groupBy("node").agg(F.sum("n").alias("degree"))
+    leaders = crowded.join(degree, "node").groupBy("bucket").agg(F.max(F.struct("degree", "node"))["node"].alias("leader"))
+    stars = crowded.join(leaders, "bucket").where("node <> leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
+    side = lambda name: samples.select(F.col("node").alias(name), F.col("samples").alias(f"{name}_samples"))
+    pairs = pairs.union(stars).distinct().join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_samples", "b_samples")
+    seen = scratch.table(pairs.mapInArrow(_agreeing, "a long, b long"), "candidates")
+    links = scratch.table(links.union(near(seen)), "links")
+    roots = scratch.table(components(links, "a", "b", scratch), "roots")
+    crowded = crowded.select("bucket", "node")
+    for best_only in (True, False) if crowded.limit(1).count() else ():
+        more = scratch.table(_rest(crowded, roots, samples, best_only).join(seen, ["a", "b"], "left_anti"), "candidates")
+        if more.limit(1).count():
+            seen, fresh = seen.union(more), scratch.table(near(more), "links")
+            if fresh.limit(1).count():
+                roots = scratch.table(components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(fresh), "a", "b", scratch), "roots")
+    placed = nodes.select("node", "least").join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
+    classes = placed.groupBy("root").agg(F.min("least").alias("class_id"))
+    found = member.join(placed.select("node", "root"), "node").join(classes, "root").select("doc_id", "class_id")
+    alone = known.where("doc_id is null or bands is null").select("doc_id", F.col("doc_id").alias("class_id"))
+    # A row without words stays alone, but for its doc_id's other rows.
+    out = scratch.table(found.union(alone), "classes")
+    scratch.drop(out)
+    return out

@@ -1,11 +1,11 @@
 """Mixing of sources to target weights by Pareto order sampling.
 
 Targets: sources share all words by weight, none above max_copies times its size; what a source can't take is
-shared again by weight. A document's expected copies are its source's target over the source's size (times the
-document's own relative weight, if given). The whole part is allocated for certain. For the rest, documents are ranked
-by q = (u / (1 - u)) / (p / (1 - p)) with u a uniform number from the document's hash and p the remaining expected
-copies, and the first in that order are taken until the source's words come nearest to its target: a sample of fixed
-size in words with unequal inclusion probabilities.
+shared again by weight. Within a source a document's expected copies are in proportion to its class (by default longer
+documents are of higher classes), up to max_copies, at the rate that makes the expected words the target. The whole part
+is allocated for certain. For the rest, documents are ranked by q = (u / (1 - u)) / (p / (1 - p)) with u a uniform number
+from the document's hash and p the remaining expected copies, and the first in that order are taken until the source's
+words come nearest to its target: a sample of fixed size in words with unequal inclusion probabilities.
 
 The cut in a source's ranking is found by radix steps: words are summed by source and slice of the ranking, the slice
 that holds the cut is kept, and it is sliced again. So no source, however large, is sorted or gathered by one task.
@@ -21,6 +21,9 @@ from gablework.llm.common import materialize
 #: A word is a run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 MAX_COPIES, WEIGHTS = 3, (1, 2, 3)
+#: A document's class is its size's number of binary digits, from LEAST_CLASS to MOST_CLASS, on top of BASE_CLASS: one of thousands of
+#: words is expected about twice as often as one of a few.
+BASE_CLASS, LEAST_CLASS, MOST_CLASS = 8, 0, 16
 #: Each radix step cuts what is left of a source's ranking into 2**BITS slices.
 BITS, STEPS = 10, 3
 
@@ -40,9 +43,15 @@ def targets(sizes: DataFrame, max_copies: int = MAX_COPIES, weights: tuple[int,
 
     Sources in order of code points, null last, weigh weights[0], weights[1], ... and again. Each round fixes the
     sources whose share is above max_copies times their size; only totals come to the driver."""
-    order = Window.orderBy(F.col("source").asc_nulls_last())
-    weight = F.element_at(F.array(*map(F.lit, weights)), (F.pmod(F.row_number().over(order) - 1, F.lit(len(weights))) + 1).cast("int"))
-    at = materialize(sizes.select("source", "source_size", weight.cast("long").alias("weight")), "mix-sources")
+    # Places in the order of all sources: within a range of sources, and the sources of the ranges before.
+    order = F.col("source").asc_nulls_last()
+    ranged = materialize(sizes.repartitionByRange(order).withColumn("part", F.spark_partition_id()), "mix-sources")
+    # One row for each range, so this window and its broadcast hold as many rows as the write had tasks.
+    before = ranged.groupBy("part").agg(F.count("*").alias("k")).select(F.col("part").alias("of"), (F.sum("k").over(Window.orderBy("part")) - F.col("k")).alias("before"))
+    place = F.col("before") + F.row_number().over(Window.partitionBy("part").orderBy(order)) - 1
+    weight = F.element_at(F.array(*map(F.lit, weights)), (F.pmod(place, F.lit(len(weights))) + 1).cast("int"))
+    at = ranged.join(F.broadcast(before), F.col("part") == F.col("of")).select("source", "source_size", weight.cast("long").alias("weight"))
+    at = materialize(at, "mix-sources")
     share = F.lit(0.0)
     total = at.agg(F.coalesce(F.sum("source_size"), F.lit(0)).alias("n")).first().n
     free, weight_sum, fixed = total, None, -1
@@ -60,7 +69,8 @@ def targets(sizes: DataFrame, max_copies: int = MAX_COPIES, weights: tuple[int,
 def mix(docs: DataFrame, max_copies: int = MAX_COPIES, weights: tuple[int, ...] = WEIGHTS, seed: int = 0, relative: str | None = None) -> DataFrame:
     """How much of each document the mix takes: doc_id, source, size, source_size, target, copies, taken.
 
-    relative: a column with a document's weight within its source (1 if not given); copies never exceed max_copies.
+    relative: a column with a document's class within its source, a whole number from 1 to 64 (others count as the nearest, null as 1); by
+    default by its size. Copies never exceed max_copies.
     Null texts count as empty, a null source is a source of its own, repeated rows of one doc_id and size are ranked
     alike and taken together, other columns are ignored, and an empty table gives none."""
     sized = materialize(_sized(docs, seed, relative), "mix-sizes")
@@ -78,8 +88,10 @@ def repeated(docs: DataFrame, max_copies: int = MAX_COPIES, weights: tuple[int,
 
 
 def _sized_columns(seed: int, relative: str | None) -> list[Column]:
-    own = F.coalesce(F.col(relative).cast("double"), F.lit(1.0)) if relative else F.lit(1.0)
-    return [F.col("doc_id"), F.col("source"), words(F.col("text")).alias("size"), uniform(F.col("doc_id"), seed).alias("u"), own.alias("own")]
+    size = words(F.col("text"))
+    digits = F.length(F.bin(size)) * (size > 0).cast("int")
+    own = F.coalesce(F.col(relative).cast("long"), F.lit(1)) if relative else F.lit(BASE_CLASS) + F.least(F.greatest(digits, F.lit(LEAST_CLASS)), F.lit(MOST_CLASS))
+    return [F.col("doc_id"), F.col("source"), size.alias("size"), uniform(F.col("doc_id"), seed).alias("u"), F.least(F.greatest(own, F.lit(1)), F.lit(64)).cast("long").alias("own")]
 
 
 def _sized(docs: DataFrame, seed: int, relative: str | None) -> DataFrame:
@@ -94,7 +106,7 @@ def _ranked(sized: DataFrame, goal: DataFrame, max_copies: int) -> DataFrame:
     """With expected and certain copies and the place in the Pareto ranking, in [0, 1)."""
     # One row a source: Spark broadcasts it only while it is small.
     at = sized.join(goal.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).drop("of")
-    expected = F.least(F.lit(float(max_copies)), F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0) * F.col("own"))
+    expected = F.least(F.lit(float(max_copies)), F.col("rate") * F.col("own"))
     at = at.withColumn("expected", expected).withColumn("certain", F.floor("expected"))
     p = F.least(F.lit(1 - 1e-9), F.greatest(F.lit(1e-9), F.col("expected") - F.col("certain")))
     q = (F.col("u") / (1 - F.col("u"))) / (p / (1 - p))
@@ -104,7 +116,9 @@ def _ranked(sized: DataFrame, goal: DataFrame, max_copies: int) -> DataFrame:
 
 def _plan(sized: DataFrame, max_copies: int, weights: tuple[int, ...]) -> DataFrame:
     """For each source: source_size, target and cut, the last place of the ranking that is taken."""
-    goal = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), max_copies, weights)
+    levels = materialize(sized.groupBy("source", "own").agg(F.sum("size").alias("n")), "mix-classes")
+    goal = targets(levels.groupBy("source").agg(F.sum("n").alias("source_size")), max_copies, weights)
+    goal = _rated(goal, levels, max_copies)
     at = _ranked(sized, goal, max_copies)
     wanted = at.groupBy("source").agg((F.max("target") - F.sum(F.col("certain") * F.col("size"))).alias("wanted"))
     cut = _cuts(at.where("extra"), wanted)
@@ -118,6 +132,21 @@ def _plan(sized: DataFrame, max_copies: int, weights: tuple[int, ...]) -> DataFr
     return materialize(goal.join(cut, F.col("source").eqNullSafe(F.col("of")), "left").drop("of"), "mix-plan")
 
 
+def _rated(goal: DataFrame, levels: DataFrame, max_copies: int) -> DataFrame:
+    """With each source's rate: copies expected of a document for each unit of its class, so that the words expected are the
+    target though no document is above max_copies. levels: words by source and class (own), of which there are few."""
+    up, down = (Window.partitionBy("of").orderBy(F.col("own").asc() if k else F.col("own").desc()) for k in (1, 0))
+    at = levels.withColumnRenamed("source", "of").withColumn("above", F.sum("n").over(down) - F.col("n")).withColumn("inside", F.sum(F.col("n") * F.col("own")).over(up))
+    at = goal.join(at, F.col("source").eqNullSafe(F.col("of")))
+    # All classes above one are at max_copies; it is the highest one that is not above it then.
+    rate = (F.col("target") - F.col("above") * F.lit(float(max_copies))) / F.col("inside")
+    fits = (F.col("inside") > 0) & (rate * F.col("own") <= max_copies)
+    all_full = F.max("source_size") > 0
+    best = at.groupBy("of").agg(F.max(F.when(fits, F.struct("own", rate.alias("rate"))))["rate"].alias("rate"), F.when(all_full, F.lit(float(max_copies))).otherwise(0.0).alias("most"))
+    rated = goal.join(best, F.col("source").eqNullSafe(F.col("of")))
+    return materialize(rated.select("source", "source_size", "target", F.coalesce("rate", "most").alias("rate")), "mix-rates")
+
+
 def _decide(sized: DataFrame, goal: DataFrame, max_copies: int) -> DataFrame:
     at = _ranked(sized, goal, max_copies)
     more = F.when(F.col("extra") & (F.struct(*_KEY) <= F.col("cut")), 1).otherwise(0)

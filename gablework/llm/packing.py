@@ -5,8 +5,9 @@ to k windows by the differencing method: partial partitions (k sums each) wait i
 with the widest spread are merged, the fullest windows of one onto the emptiest of the other, until one partition is
 left. If its fullest window exceeds the capacity, k rises by one and the batch is dealt again. A batch is closed by a
 cut where its windows come out nearly full, and the batch's short pieces (a few remainders cut small) let the method
-even the windows out to a few tokens. What a task has left over at its end is cut into windows whose lengths are
-powers of two, which stay unpadded.
+even the windows out to a few tokens. What a task has left over at its end is dealt likewise to as many windows as it
+fills; only what is beyond them, about a window's tokens, is cut into windows whose lengths are powers of two, which stay
+unpadded.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from gablework.llm.tokens import encoder, with_end
 CAPACITY, WINDOWS, SLACK = 2048, 64, 256
 #: So many of a batch's remainders are cut for short pieces of these lengths.
 EVENED, SHORT = 32, (128, 64, 32, 16, 8, 4, 2, 1)
+#: Tokens that each window of a task's rest leaves free, and the step in which what is beyond those windows is taken.
+FREE, STEP = 4, 32
 
 
 def differencing(sizes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -107,10 +110,14 @@ class Packer:
         return out
 
     def _close(self) -> list[tuple[int, int, int, int, int]]:
-        """Deal a full batch. Its longest remainders give the short pieces by which windows even out."""
-        pieces = sorted(self.open, key=lambda x: -x[2])
-        self.open, self.held = [], 0
-        cut, spare = [], EVENED
+        """Deal a full batch."""
+        pieces, self.open, self.held = self.open, [], 0
+        return self._deal(pieces, EVENED)
+
+    def _deal(self, pieces, spare: int) -> list[tuple[int, int, int, int, int]]:
+        """Deal pieces. The longest give the short pieces by which windows even out."""
+        pieces = sorted(pieces, key=lambda x: -x[2])
+        cut = []
         for doc, at, n in pieces:
             if spare and n > 2 * sum(self.short):
                 spare -= 1
@@ -130,11 +137,24 @@ class Packer:
         return out
 
     def finish(self) -> list[tuple[int, int, int, int, int]]:
-        """The rest: full windows, then windows of powers of two."""
-        room = [self.capacity] * (self.held // self.capacity) + powers(self.held % self.capacity)
-        out, w = [], 0
-        used = 0
-        for doc, at, n in self.open:
+        """Deal the rest to as many windows as it fills, but for what is beyond them: that goes to windows of powers of two."""
+        k = self.held // self.capacity
+        beyond = self.held
+        if k:
+            # Each window stays free by a few tokens; what is beyond comes in steps, so that no window of it is tiny.
+            step = min(STEP, self.capacity // 8)
+            beyond = max(0, -(-(self.held - k * self.capacity + FREE * k) // step) * step)
+        cut, left = [], beyond
+        while left:
+            doc, at, n = self.open.pop()
+            x = min(n, left)
+            left -= x
+            cut.append((doc, at + n - x, x))
+            if n > x:
+                self.open.append((doc, at, n - x))
+        out = self._deal(self.open, max(4, EVENED * k // WINDOWS)) if self.open else []
+        room, w, used = powers(beyond), 0, 0
+        for doc, at, n in cut:
             while n:
                 x = min(n, room[w] - used)
                 out.append((doc, at, x, self.next + w, used))

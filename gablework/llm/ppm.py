@@ -21,12 +21,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gablework.llm.common import short_batches, text_buffers, with_lit_crc
+from gablework.llm.texts import runs
 
 ORDER = 3
 #: Bytes of text for each language that the trees are fitted on (expected, chosen by hash among all training rows).
 SAMPLE_BYTES = 4_000_000
 UNDECIDED = "und"
-_START, _CHUNK, _SLOTS = 10, 1 << 20, 21
+_START, _CHUNK, _SLOTS = 10, 1 << 19, 20
 
 
 def grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -41,6 +42,20 @@ def grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return out[where], offsets
 
 
+def windows(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """grams() of about _CHUNK bytes at a time: the first row, its groups and the rows' offsets. A longer text comes in
+    several parts."""
+    for lo, hi in runs(offsets, _CHUNK):
+        if hi > lo + 1 or offsets[hi] - offsets[lo] <= _CHUNK:
+            yield lo, *grams(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
+            continue
+        for a in range(int(offsets[lo]), int(offsets[hi]), _CHUNK):
+            # Three bytes more on the left are the first groups' contexts.
+            b, before = min(a + _CHUNK, int(offsets[hi])), min(ORDER, a - int(offsets[lo]))
+            four, _ = grams(data[a - before : b], np.array([0, b - a + before]))
+            yield lo, four[before:], np.array([0, b - a])
+
+
 class Tree:
     """A language's counts: for each order, the sorted contexts and the sorted contexts with a next byte."""
 
@@ -104,7 +119,7 @@ class Model:
     def _cache(self) -> None:
         self.key = np.zeros(1 << _SLOTS, np.uint32)
         self.full = np.zeros(1 << _SLOTS, bool)
-        self.value = np.zeros((1 << _SLOTS, len(self.trees)), np.float32)
+        self.value = np.zeros((1 << _SLOTS, len(self.trees)))
 
     def __getstate__(self):
         return {"languages": self.languages, "trees": self.trees}
@@ -120,7 +135,7 @@ class Model:
         if not len(miss):
             return self.value[slot]
         new, back = np.unique(four[miss], return_inverse=True)
-        bits = np.stack([t.bits(new) for t in self.trees], axis=1).astype(np.float32)
+        bits = np.stack([t.bits(new) for t in self.trees], axis=1)
         at = (new * np.uint32(2654435769)) >> np.uint32(32 - _SLOTS)
         out = self.value[slot]
         out[miss] = bits[back]
@@ -133,20 +148,11 @@ class Model:
     def score(self, column: pa.Array) -> np.ndarray:
         """Code length of every text in every language."""
         data, offsets = text_buffers(column)
-        n = len(offsets) - 1
-        out = np.zeros((n, len(self.trees)))
-        # Rows in runs of about _CHUNK bytes; a longer text is summed by parts.
-        lo = 0
-        while lo < n:
-            hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + _CHUNK, "right")) - 1)
-            four, rows = grams(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
+        out = np.zeros((len(offsets) - 1, len(self.trees)))
+        for lo, four, rows in windows(data, offsets):
             full = np.flatnonzero(np.diff(rows))
-            for a in range(0, len(four), _CHUNK):
-                b = min(len(four), a + _CHUNK)
-                rows_in = full[(rows[full] < b) & (rows[full + 1] > a)]
-                part = np.add.reduceat(self.lengths(four[a:b]), np.maximum(rows[rows_in], a) - a, axis=0, dtype=np.float64)
-                out[lo + rows_in] += part
-            lo = hi
+            if len(full):
+                out[lo + full] += np.add.reduceat(self.lengths(four), rows[full], axis=0, dtype=np.float64)
         return out
 
 
@@ -167,8 +173,11 @@ def train(docs: DataFrame, held_out: Column, sample_bytes: int = SAMPLE_BYTES) -
         for batch in batches:
             names = np.array(batch.column("lang").to_pylist(), object)
             for lang in sorted(set(names)):
-                four, _ = grams(*text_buffers(batch.column("text").take(pa.array(np.flatnonzero(names == lang)))))
-                key, n = np.unique(four, return_counts=True)
+                parts = [np.unique(four, return_counts=True) for _, four, _ in windows(*text_buffers(batch.column("text").take(pa.array(np.flatnonzero(names == lang)))))]
+                if not parts:
+                    continue
+                key, back = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+                n = np.bincount(back, weights=np.concatenate([c for _, c in parts]), minlength=len(key)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(key), pa.string()), pa.array(key.astype(np.int64)), pa.array(n)], schema.names)
 
     counts = rows.where(part < share[F.col("lang")]).select("lang", "text").mapInArrow(counted, schema).groupBy("lang", "four").agg(F.sum("n").alias("n")).toArrow()
@@ -180,31 +189,33 @@ def train(docs: DataFrame, held_out: Column, sample_bytes: int = SAMPLE_BYTES) -
     return Model(languages, [Tree(four[at == found.index(k)], n[at == found.index(k)]) for k in languages]) if languages else None
 
 
-def classify(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
-    """The columns keep with lang_pred (a learned language; und if the text is null or has no letter), score (the
+def classify(docs: DataFrame, model: Model | None, keep: list[str], inside: str | None = None) -> DataFrame:
+    """The columns keep (inside: one of them that is a struct with the text, which then is sent to Python once) with lang_pred (a learned language; und if the text is null or has no letter), score (the
     posterior of that language when all are as likely before; 0 for und) and bits_per_byte. One pass without a shuffle; a task holds one
     Arrow batch. Ties go to the first language by name."""
     short_batches(docs.sparkSession)
     if model is None:
         return docs.select(*keep, F.lit(UNDECIDED).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("bits_per_byte"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    inside = docs.select(*keep, F.col("text").alias("_text"), F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("_letters"))
+    text = F.col(inside)["text"] if inside else F.col("text")
+    rows = docs.select(*keep, *([] if inside else [text.alias("_text")]), F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("_letters"))
     schema = T.StructType([*docs.select(*keep).schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("bits_per_byte", T.DoubleType())])
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         names = np.array(known.languages, object)
         for batch in batches:
-            bits = known.score(batch.column("_text"))
+            texts = batch.column(inside).field("text") if inside else batch.column("_text")
+            bits = known.score(texts)
             best = bits.argmin(axis=1) if len(bits) else np.zeros(0, int)
             least = bits.min(axis=1, keepdims=True) if len(bits) else bits
             sure = 1 / np.exp2(np.maximum(least - bits, -1000)).sum(axis=1)
             letters = batch.column("_letters").to_numpy(zero_copy_only=False).astype(bool)
-            size = np.maximum(1, np.diff(text_buffers(batch.column("_text"))[1]))
+            size = np.maximum(1, np.diff(text_buffers(texts)[1]))
             columns = [pa.array(np.where(letters, names[best], UNDECIDED), pa.string()), pa.array(np.where(letters, sure, 0.0)), pa.array(least[:, 0] / size)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in range(len(keep))), *columns], schema.names)
 
-    return inside.mapInArrow(predict, schema)
+    return rows.mapInArrow(predict, schema)
 
 
 def held_out(doc_id: Column | str = "doc_id", folds: int = 5) -> Column:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gablework.llm.common import short_batches, text_buffers, with_lit_crc
-from gablework.llm.texts import distinct, hashes, runs, spans
+from gablework.llm.texts import RUN, distinct, hashes, runs, spans
 
 #: Labelled rows (expected, by hash of doc_id) that the trees are fitted on.
 TRAIN_ROWS = 20_000
@@ -57,10 +57,17 @@ def statistics(column: pa.Array) -> np.ndarray:
 
 def _statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     n, size = len(offsets) - 1, np.diff(offsets)
-    row = np.repeat(np.arange(n), size)
-    kind = _TABLE[data]
+    # How often each row has each byte, by parts, as a row can be long.
+    bytes_ = np.zeros(n * 256, np.int64)
+    for at in range(0, len(data), RUN):
+        own = data[at : at + RUN]
+        row = np.repeat(np.arange(n), np.diff(np.clip(offsets, at, at + len(own))))
+        bytes_ += np.bincount(row * 256 + own, minlength=n * 256)
+    bytes_ = bytes_.reshape(n, 256)
     k = len(_CLASSES)
-    share = np.bincount(row * k + kind, minlength=n * k).reshape(n, k) / np.maximum(size, 1)[:, None]
+    sums = np.stack([bytes_[:, c == _TABLE].sum(axis=1) for c in range(k)], axis=1)
+    share = sums / np.maximum(size, 1)[:, None]
+    kind = _TABLE[data]
     white = (kind == _CLASSES.index("blank")) | (kind == _CLASSES.index("line_end"))
     starts, ends, first = spans(~white, offsets)
     length, words = ends - starts, np.diff(first)
@@ -78,14 +85,14 @@ def _statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     l_start, l_end, l_first = spans(kind != _CLASSES.index("line_end"), offsets)
     lines = np.diff(l_first)
     l_row = np.repeat(np.arange(n), lines)
-    breaks = np.bincount(row[kind == _CLASSES.index("line_end")], minlength=n)
+    breaks = sums[:, _CLASSES.index("line_end")]
     line_hash = hashes(data, l_start, l_end)
     order = np.lexsort((line_hash, l_row))
     again = np.zeros(len(order), bool)
     again[1:] = (line_hash[order][1:] == line_hash[order][:-1]) & (l_row[order][1:] == l_row[order][:-1])
     repeated = np.bincount(l_row[order][again], minlength=n)
     repeated_bytes = np.bincount(l_row[order][again], weights=(l_end - l_start)[order][again], minlength=n)
-    bytes_ = np.bincount(row * 256 + data, minlength=n * 256).reshape(n, 256) / np.maximum(size, 1)[:, None]
+    bytes_ = bytes_ / np.maximum(size, 1)[:, None]
     entropy = -(bytes_ * np.log2(np.where(bytes_ > 0, bytes_, 1))).sum(axis=1)
     return np.column_stack(
         (share, np.log1p(size), np.log1p(words), mean, spread, total(length <= 3) / per, total(length >= 12) / per, different / per, top / per,

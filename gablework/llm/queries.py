@@ -17,8 +17,11 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ours = materialize(warc.layout(read_table(spark, sf_dir, "pages")), "replica")
-    return warc.audit(ours, warc.decayed(ours))
+    """Two stored replicas of the pages, the second with decayed bytes; each is hashed from what it holds."""
+    records = warc.records(read_table(spark, sf_dir, "pages"))
+    ours = materialize(warc.stored(records, warc.catalogue(records)), "replica")
+    theirs = materialize(warc.damaged(ours), "replica")
+    return warc.audit(*(materialize(warc.hashed(x), "hashes") for x in (ours, theirs)))
 
 
 def op3_additive_quantisation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,9 +76,17 @@ shares(round, total, free, w, n) AS (
 share AS (SELECT free, w FROM shares WHERE w IS NOT NULL ORDER BY round DESC LIMIT 1),
 goal AS (
   SELECT source, source_size, least(source_size * 3e0, free::DOUBLE * weight / w::DOUBLE) AS target FROM src, share),
+classed AS (
+  SELECT *, 8 + least(16, CASE WHEN size > 0 THEN length(bin(size)) ELSE 0 END) AS own FROM sized),
+sums AS (SELECT source, own, sum(size) AS n FROM classed GROUP BY ALL),
+levels AS (
+  SELECT source, own, (sum(n) OVER (PARTITION BY source ORDER BY own DESC) - n)::BIGINT AS above, (sum(n * own) OVER (PARTITION BY source ORDER BY own))::BIGINT AS inside FROM sums),
+rates AS (
+  SELECT g.source, max(g.source_size) AS source_size, max(g.target) AS target, coalesce(arg_max((target - above * 3e0) / inside, own) FILTER (WHERE inside > 0 AND (target - above * 3e0) / inside * own <= 3),
+         CASE WHEN max(g.source_size) > 0 THEN 3e0 ELSE 0e0 END) AS rate
+  FROM goal g JOIN levels l ON g.source IS NOT DISTINCT FROM l.source GROUP BY g.source),
 expect AS (
-  SELECT s.*, source_size, target, CASE WHEN source_size > 0 THEN least(3e0, target / source_size) ELSE 0e0 END AS expected
-  FROM sized s JOIN goal g ON s.source IS NOT DISTINCT FROM g.source),
+  SELECT s.*, source_size, target, least(3e0, rate * own) AS expected FROM classed s JOIN rates r ON s.source IS NOT DISTINCT FROM r.source),
 ranked AS (
   SELECT *, floor(expected)::BIGINT AS certain, expected > floor(expected) AS extra,
          least(1 - 1e-9::DOUBLE, greatest(1e-9::DOUBLE, expected - floor(expected))) AS p FROM expect),
@@ -96,16 +107,17 @@ WITH body AS (
 rec AS (
   SELECT page_id, 'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Target-URI: ' || url || chr(13) || chr(10)
          || 'Content-Length: ' || strlen(html) || chr(13) || chr(10) || chr(13) || chr(10) || html || chr(13) || chr(10) || chr(13) || chr(10) AS payload FROM body),
-hashed AS (
-  SELECT page_id, sha256(payload) AS digest, strlen(payload)::BIGINT AS size, count(*) AS copies FROM rec GROUP BY ALL),
+lone AS (
+  SELECT page_id, payload, sha256(payload) AS digest, strlen(payload)::BIGINT AS size, count(*) AS copies FROM rec GROUP BY page_id, payload),
+named AS (SELECT *, CASE WHEN count(*) OVER (PARTITION BY page_id) > 1 THEN digest ELSE '' END AS name FROM lone),
 dealt AS (
-  SELECT *, ('0x' || substr(digest, 1, 8))::BIGINT % greatest(1, ((SELECT sum(size * copies) FROM hashed) + 8388607) // 8388608) AS archive,
-         ('0x' || substr(digest, 9, 8))::BIGINT % 53 AS turn FROM hashed),
+  SELECT *, ('0x' || substr(md5(coalesce(page_id::VARCHAR, 'null') || ':' || name), 1, 8))::BIGINT % greatest(1, ((SELECT sum(size * copies) FROM lone) + 8388607) // 8388608) AS archive,
+         ('0x' || substr(digest, 9, 8))::BIGINT % 53 AS turn FROM named),
 placed AS (
-  SELECT *, sum(size * copies) OVER (PARTITION BY archive ORDER BY page_id NULLS FIRST, digest) - size * copies AS "offset" FROM dealt)
+  SELECT *, sum(size * copies) OVER (PARTITION BY archive ORDER BY page_id NULLS FIRST, name) - size * copies AS "offset" FROM dealt)
 SELECT archive::BIGINT AS archive, "offset"::BIGINT AS "offset", page_id, CASE turn WHEN 1 THEN 'missing' ELSE 'altered' END AS status, digest AS expected,
-       CASE turn WHEN 0 THEN sha256('decayed ' || digest) END AS found
-FROM placed WHERE turn < 2
+       CASE turn WHEN 0 THEN sha256('WARC/1.!' || substr(payload, 9)) WHEN 2 THEN sha256(left(payload, length(payload) - 2)) END AS found
+FROM placed WHERE turn < 3 AND ('0x' || substr(md5(archive::BIGINT::VARCHAR), 1, 8))::BIGINT % 4 = 0
 """
 
 #: Within one edit: the common beginning and end cover all but one character of the longer line. Candidates share their first

@@ -55,7 +55,19 @@ def spans(letters: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span of bytes."""
+    """A 64-bit hash of each span of bytes (starts ascending). Spans are worked on by about RUN bytes at a time."""
+    if len(data) <= 2 * RUN:
+        return _hashes(data, starts, ends)
+    out, lo = np.empty(len(starts), np.uint64), 0
+    while lo < len(starts):
+        a = starts[lo]
+        hi = max(lo + 1, int(np.searchsorted(starts, a + RUN)))
+        out[lo:hi] = _hashes(data[a : ends[hi - 1]], starts[lo:hi] - a, ends[lo:hi] - a)
+        lo = hi
+    return out
+
+
+def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     power, inverse = _powers(len(data) + 1)
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_BYTE[data] * power[: len(data)], out=total[1:])

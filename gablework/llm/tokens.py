@@ -1,27 +1,33 @@
 """Token ids of whole texts by the tokenizers library.
 
-Both public vocabularies cut a text into pre-tokens before merging, and a blank after a character other than
-white space always ends one. So each text is cut at blanks (by Arrow, whole batches at once), the library encodes
-every distinct piece once, and a batch's ids are put together by numpy. Texts in which a blank stands inside longer
-white space are encoded as they are.
+Both public vocabularies cut a text into pre-tokens before merging. Where a run of texts holds common characters only (Latin letters,
+digits, punctuation, white space), its pre-tokens follow from the classes of neighbouring characters, so they are cut
+for whole runs at once; the library's merges encode every distinct pre-token once, and the runs' ids are put together
+by numpy. Texts with any other character, or with the beginning of a special token, are encoded by the library as they are.
 """
 
 from __future__ import annotations
 
 import os
 import re
-from itertools import chain
+import unicodedata
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 
-from gablework.llm.common import ranges
+from gablework.llm.common import ranges, text_buffers
 
-#: Pieces that a worker remembers; the memory is emptied when it is full.
-CACHE_PIECES = 1_000_000
-#: A blank between white space, or one at the end after white space.
-_LOOSE = re.compile(r"\s (?:\s|$)")
+#: Pre-tokens that a worker remembers, and ids that it holds for them; when it is full, those seen in one run alone are forgotten.
+CACHE_PIECES, CACHE_IDS = 600_000, 4_000_000
+#: Longer pre-tokens are not remembered.
+LONGEST = 64
+#: Bytes of text that are worked on at a time. A longer text is cut where a single blank or line end stands between
+#: plain letters or digits, which ends a pre-token in both vocabularies.
+RUN = 4 << 20
+_SAFE = re.compile(rb"[0-9A-Za-z][ \n][0-9A-Za-z]")
+
+_OTHER, _LETTER, _NUMBER, _SPACE, _ODD = range(5)
 _ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
@@ -35,12 +41,33 @@ def public_path(name: str) -> str:
 def encoder(path: str, blank_counts: bool) -> Encoder:
     """The worker's encoder of a vocabulary file; blank_counts: the blank before a word is part of its pre-token."""
     if (path, blank_counts) not in _ENCODERS:
+        # One vocabulary's memory at a time.
+        _ENCODERS.clear()
         _ENCODERS[path, blank_counts] = Encoder(path, blank_counts)
     return _ENCODERS[path, blank_counts]
 
 
+def _classes(keeps_case: bool) -> np.ndarray:
+    """Classes of code points; all from the table's length on are odd. Control characters are left to the library, and so is
+    the one Latin letter whose lower case isn't a letter alone."""
+    table = np.full(0x20B1, _ODD, np.uint8)
+    for c in (*range(0x250), *range(0x2010, 0x2028), 0x20AC):
+        kind = unicodedata.category(chr(c))
+        if kind[0] == "L":
+            table[c] = _LETTER
+        elif kind[0] == "N":
+            table[c] = _NUMBER
+        elif c in (9, 10, 13, 32, 0xA0):
+            table[c] = _SPACE
+        elif kind != "Cc":
+            table[c] = _OTHER
+    if not keeps_case:
+        table[0x130] = _ODD
+    return table
+
+
 class Encoder:
-    """One vocabulary's pieces and their ids: ids[start[k] : start[k] + size[k]] for the piece at place k."""
+    """One vocabulary's pre-tokens and their ids: ids[start[k] : start[k] + size[k]] for the one at place k."""
 
     def __init__(self, path: str, blank_counts: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -49,127 +76,176 @@ class Encoder:
         self.model = Tokenizer.from_file(path)
         self.merges = self.model.model
         self.blank = blank_counts
-        self._empty()
+        self.classes = _classes(blank_counts)
+        self.ids, self.used = np.zeros(1 << 18, np.uint32), 0
+        self.start, self.size, self.n = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int32), 0
+        #: Runs in which a pre-token was met.
+        self.runs = np.zeros(1 << 16, np.int32)
+        self.known: dict[bytes, int] = {}
 
-    def _empty(self) -> None:
-        self.ids, self.used = np.zeros(1 << 20, np.uint32), 0
-        self.start, self.size, self.n = np.zeros(1 << 18, np.int64), np.zeros(1 << 18, np.int64), 0
-        # Known pieces and their places, by whether a blank stands before them.
-        self.known = {" ": pa.array([], pa.string()), "": pa.array([], pa.string())}
-        self.place = {" ": np.zeros(0, np.int64), "": np.zeros(0, np.int64)}
+    def _forget(self) -> None:
+        least = 2
+        while np.count_nonzero(self.runs[list(self.known.values())] >= least) > CACHE_PIECES // 2:
+            least *= 2
+        kept = {p: k for p, k in self.known.items() if self.runs[k] >= least}
+        at = np.fromiter(kept.values(), np.int64, len(kept))
+        ids, sizes, runs = self.ids[ranges(self.start[at], self.size[at])], self.size[at], self.runs[at]
+        if len(ids) > CACHE_IDS // 2:
+            kept, ids, sizes, runs = {}, ids[:0], sizes[:0], runs[:0]
+        self.used = self.n = 0
+        self._store(ids, sizes)
+        self.runs[: self.n] = runs // 2
+        self.known = {p: k for k, p in enumerate(kept)}
 
-    def _store(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    def _store(self, ids: np.ndarray, sizes: np.ndarray) -> int:
+        """The place of the first of new pre-tokens."""
         n, k = len(ids), len(sizes)
         while self.used + n > len(self.ids):
             self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
         while self.n + k > len(self.start):
             self.start = np.concatenate((self.start, np.zeros_like(self.start)))
             self.size = np.concatenate((self.size, np.zeros_like(self.size)))
+            self.runs = np.concatenate((self.runs, np.zeros_like(self.runs)))
         self.ids[self.used : self.used + n] = ids
         self.start[self.n : self.n + k] = self.used + np.cumsum(sizes) - sizes
         self.size[self.n : self.n + k] = sizes
+        self.runs[self.n : self.n + k] = 0
         self.used, self.n = self.used + n, self.n + k
-        return np.arange(self.n - k, self.n)
-
-    def _raw(self, pieces: list[str], before: str) -> list[list[int]]:
-        """Ids of pieces. One of Latin letters alone is one pre-token, which goes straight to the merges."""
-        out: list = [None] * len(pieces)
-        rest, merge, head = [], self.merges.tokenize, "\u0120" * len(before)
-        for k, piece in enumerate(pieces):
-            if piece.isalpha() and max(piece) < "\u0250":
-                letters = piece if self.blank else piece.lower()
-                if not letters.isascii():
-                    letters = letters.encode().decode("latin-1").translate(_BYTE_LETTERS)
-                out[k] = [x.id for x in merge(head + letters)]
+        return self.n - k
+
+    def _merged(self, pieces: list[bytes]) -> list[list[int]]:
+        """Ids of pre-tokens; where blanks don't count, white space has none and letters are in lower case."""
+        merge, blank = self.merges.tokenize, _BYTE_LETTERS[32]
+        out = []
+        for p in pieces:
+            if self.blank:
+                letters = blank + p[1:].decode() if p[0] == 32 and p[1:].isalpha() else p.decode("latin-1").translate(_BYTE_LETTERS)
+            elif p.isalpha():
+                letters = p.lower().decode()
+            elif p[0] in b"\t\n\r " or p[:2] == b"\xc2\xa0":
+                out.append([])
+                continue
             else:
-                rest.append(k)
-        for k, x in zip(rest, self.model.encode_batch_fast([before + pieces[k] for k in rest], add_special_tokens=False), strict=True):
-            out[k] = x.ids
+                letters = p.decode().lower().encode().decode("latin-1").translate(_BYTE_LETTERS)
+            out.append([x.id for x in merge(letters)])
         return out
 
-    @staticmethod
-    def _cut(piece: str) -> list[str]:
-        """A full stop or comma after a letter, and a line end between other characters than white space, begin a
-        pre-token of their own, so what stands before and after is looked up by itself."""
-        head, line_end, tail = piece.partition("\n")
-        if line_end and head[-1:].strip() and tail[-1:].strip() and "\n" not in tail:
-            return [*Encoder._cut(head), "\n", *Encoder._cut(tail)]
-        if len(piece) > 2 and piece[-1] in ".," and piece[-2].isalpha():
-            return [piece[:-1], piece[-1]]
-        return [piece]
-
-    def _simple(self, pieces: dict[str, None], before: str) -> dict[str, int]:
-        """Places of pieces that are not cut further."""
-        names = pa.array(list(pieces), pa.string())
-        at = pc.index_in(names, self.known[before]).fill_null(-1).to_numpy()
-        places = np.where(at >= 0, self.place[before][at] if len(self.place[before]) else 0, -1)
-        new = [x for x, p in zip(pieces, places, strict=True) if p < 0]
-        raw = self._raw(new, before)
-        sizes = np.fromiter(map(len, raw), np.int64, len(raw))
-        made = self._store(np.fromiter(chain.from_iterable(raw), np.uint32, int(sizes.sum())), sizes)
-        places[places < 0] = made
-        self._know(pa.array(new, pa.string()), made, before)
-        return dict(zip(pieces, places.tolist(), strict=True))
-
-    def _know(self, names: pa.Array, places: np.ndarray, before: str) -> None:
-        self.known[before] = pa.concat_arrays([self.known[before], names])
-        self.place[before] = np.concatenate((self.place[before], places))
-
-    def places(self, names: pa.Array, before: str) -> np.ndarray:
-        """Places of distinct pieces; before: what stands before each."""
-        before = before if self.blank else ""
-        at = pc.index_in(names, self.known[before]).fill_null(-1).to_numpy()
-        out = np.where(at >= 0, self.place[before][at] if len(self.place[before]) else 0, -1)
-        lost = np.flatnonzero(out < 0)
-        if not len(lost):
-            return out
-        cuts = [self._cut(x) if x[-1:] in (".", ",") or "\n" in x else [x] for x in names.take(pa.array(lost)).to_pylist()]
-        first = self._simple(dict.fromkeys(own[0] for own in cuts), before)
-        later = self._simple(dict.fromkeys(x for own in cuts for x in own[1:]), "") if before else self._simple(dict.fromkeys(x for own in cuts for x in own[1:]), before)
-        whole = np.fromiter((first[own[0]] if len(own) == 1 else -1 for own in cuts), np.int64, len(cuts))
-        many = [own for own in cuts if len(own) > 1]
-        if many:
-            counts = np.fromiter(map(len, many), np.int64, len(many))
-            parts = np.fromiter((later[x] if k else first[x] for own in many for k, x in enumerate(own)), np.int64, int(counts.sum()))
-            made = self._store(self.ids[ranges(self.start[parts], self.size[parts])], np.add.reduceat(self.size[parts], np.cumsum(counts) - counts))
-            whole[whole < 0] = made
-            self._know(names.take(pa.array(lost[[len(own) > 1 for own in cuts]])), made, before)
-        out[lost] = whole
-        return out
+    def _places(self, names: list[bytes]) -> np.ndarray:
+        places = np.fromiter(map(self.known.get, names, repeat(-1)), np.int64, len(names))
+        lost = np.flatnonzero(places < 0)
+        if len(lost):
+            new = [names[k] for k in lost.tolist()]
+            ids = self._merged(new)
+            sizes = np.fromiter(map(len, ids), np.int32, len(ids))
+            first = self._store(np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())), sizes)
+            places[lost] = np.arange(first, first + len(new))
+            self.known.update((p, first + k) for k, p in enumerate(new) if len(p) <= LONGEST)
+        self.runs[places] += 1
+        return places
+
+    def _cuts(self, codes: np.ndarray, kinds: np.ndarray, heads: np.ndarray) -> np.ndarray:
+        """Whether a pre-token begins at each character; heads: where rows begin."""
+        n = len(codes)
+        cut = np.ones(n, bool)
+        np.not_equal(kinds[1:], kinds[:-1], out=cut[1:])
+        if self.blank:
+            ends = np.flatnonzero((kinds[:-1] == _SPACE) & (kinds[1:] != _SPACE))
+            inside = np.ones(n + 1, bool)
+            inside[heads] = False
+            ends = ends[inside[ends + 1]]
+            # The last of white space before a word stands alone; a blank goes with the word.
+            cut[ends] = True
+            cut[ends[codes[ends] == 32] + 1] = False
+        else:
+            cut[kinds == _NUMBER] = True
+        cut[heads] = True
+        # Short forms after an apostrophe that begins a pre-token.
+        at = np.flatnonzero(codes == 39)
+        at = at[cut[at]]
+        if len(at):
+            ends = np.append(heads, n)[np.searchsorted(heads, at, "right")]
+            wide = np.concatenate((codes, np.zeros(2, codes.dtype)))
+            one, two = (np.where(at + k < ends, wide[at + k], 0) for k in (1, 2))
+            if not self.blank:
+                one, two = (np.where((x >= 65) & (x <= 90), x + 32, x) for x in (one, two))
+            short = np.isin(one, [ord(c) for c in "stmd"])
+            long = ((one == ord("r")) | (one == ord("v"))) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))
+            own, size = at[short | long], np.where(long, 3, 2)[short | long]
+            cut[own + 1] = False
+            after = own + size
+            cut[after[after < n]] = True
+        return cut
+
+    def _run(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and row offsets of a run of rows."""
+        if not len(data):
+            return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
+        if data.max() < 128:
+            codes, begins, rows, kinds = data, None, offsets, self.classes[data]
+        else:
+            codes = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
+            begins = np.flatnonzero((data & 0xC0) != 0x80)
+            rows = np.searchsorted(begins, offsets)
+            # The table's last class is odd.
+            kinds = self.classes[np.minimum(codes, len(self.classes) - 1)]
+        odd = np.concatenate((np.flatnonzero(kinds == _ODD), np.flatnonzero((codes[:-1] == 60) & (codes[1:] == 124))))
+        if len(odd):
+            return self._mixed(data, offsets, np.unique(np.searchsorted(rows, odd, "right") - 1))
+        starts = np.flatnonzero(self._cuts(codes, kinds, np.unique(rows[:-1][rows[:-1] < len(codes)])))
+        ends = np.append(starts if begins is None else begins[starts], len(data)).astype(np.int32)
+        pieces = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
+        places = self._places(pieces.dictionary.to_numpy(zero_copy_only=False).tolist())
+        index = pieces.indices.to_numpy()
+        size = self.size[places][index]
+        done = np.zeros(len(size) + 1, np.int64)
+        np.cumsum(size, out=done[1:])
+        return self.ids[ranges(self.start[places][index], size)], done[np.searchsorted(starts, rows)]
+
+    def _mixed(self, data: np.ndarray, offsets: np.ndarray, odd: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows odd by the library, the others together."""
+        whole = self.model.encode_batch_fast([data[offsets[k] : offsets[k + 1]].tobytes().decode() for k in odd.tolist()], add_special_tokens=False)
+        plain = np.ones(len(offsets) - 1, bool)
+        plain[odd] = False
+        length = np.diff(offsets)
+        ids, rows = self._run(data[np.repeat(plain, length)], np.concatenate(([0], np.cumsum(np.where(plain, length, 0)))))
+        parts, lo = [], 0
+        for k, x in zip(odd.tolist(), whole, strict=True):
+            parts += [ids[rows[lo] : rows[k]], np.asarray(x.ids, np.uint32)]
+            lo = k
+        parts.append(ids[rows[lo] :])
+        sizes = np.diff(rows)
+        sizes[odd] = [len(x) for x in whole]
+        return np.concatenate(parts), np.concatenate(([0], np.cumsum(sizes)))
 
     def __call__(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts (null: none), one after the other, and the offsets of the rows."""
-        if isinstance(column, pa.ChunkedArray):
-            column = column.combine_chunks()
-        column = column.fill_null("") if column.null_count else column
-        if not len(column):
-            return np.zeros(0, np.uint32), np.zeros(1, np.int64)
-        if self.n > CACHE_PIECES:
-            self._empty()
-        loose = np.zeros(len(column), bool)
-        maybe = np.flatnonzero(pc.match_substring_regex(column, r"[\s\pZ\x{85}\x1c-\x1f] (?:[\s\pZ\x{85}\x1c-\x1f]|$)").to_numpy(zero_copy_only=False)) if self.blank else []
-        for i in maybe:
-            loose[i] = bool(_LOOSE.search(column[i].as_py()))
-        tight = pc.if_else(pa.array(loose), pa.scalar("", column.type), column) if loose.any() else column
-        lists = pc.split_pattern(tight, " ")
-        offs = np.asarray(lists.offsets).astype(np.int64)
-        words = lists.flatten().dictionary_encode()
-        offs = offs - offs[0]
-        code, names = words.indices.to_numpy(zero_copy_only=False), words.dictionary
-        place = self.places(names, " ")[code]
-        if self.blank:
-            # A row's first piece has no blank before it.
-            first = offs[:-1][offs[1:] > offs[:-1]]
-            heads, back = np.unique(code[first], return_inverse=True)
-            place[first] = self.places(names.take(pa.array(heads)), "")[back]
-        size = self.size[place]
-        ids = self.ids[ranges(self.start[place], size)]
-        rows = np.concatenate(([0], np.cumsum(size)))[offs]
-        if not loose.any():
-            return ids, rows
-        odd = dict(zip(np.flatnonzero(loose).tolist(), (x.ids for x in self.model.encode_batch_fast([column[int(i)].as_py() for i in np.flatnonzero(loose)], add_special_tokens=False)), strict=True))
-        parts = [np.asarray(odd[i], np.uint32) if i in odd else ids[rows[i] : rows[i + 1]] for i in range(len(column))]
-        return np.concatenate(parts), np.concatenate(([0], np.cumsum([len(x) for x in parts])))
+        data, offsets = text_buffers(column)
+        # Parts of long texts are rows of their own at first.
+        cuts = [offsets]
+        for k in np.flatnonzero(np.diff(offsets) > RUN).tolist():
+            at, end, view = int(offsets[k]) + RUN // 2, int(offsets[k + 1]), memoryview(data)
+            while (found := _SAFE.search(view, at, end)) is not None:
+                cuts.append(np.array([found.start() + 1]))
+                at = found.start() + RUN // 2
+        split = np.sort(np.concatenate(cuts)) if len(cuts) > 1 else offsets
+        ids, sizes, lo = [], [], 0
+        while lo < len(split) - 1:
+            hi = max(lo + 1, int(np.searchsorted(split, split[lo] + RUN, "right")) - 1)
+            if len(self.known) > CACHE_PIECES or self.used > CACHE_IDS or self.n > 2 * CACHE_PIECES:
+                self._forget()
+            own, rows = self._run(data[split[lo] : split[hi]], split[lo : hi + 1] - split[lo])
+            ids.append(own)
+            sizes.append(np.diff(rows))
+            lo = hi
+        if not ids:
+            return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
+        ends = np.concatenate(([0], np.cumsum(np.concatenate(sizes))))
+        if len(cuts) == 1:
+            return np.concatenate(ids), ends
+        # Empty rows at one place take its first boundary, so the last of a row's parts ends where the next row begins.
+        kept = np.ones(len(split), bool)
+        kept[np.searchsorted(split, np.concatenate(cuts[1:]))] = False
+        return np.concatenate(ids), ends[kept]
 
 
 def _byte_letters() -> dict[int, str]:
@@ -185,10 +261,9 @@ _BYTE_LETTERS = _byte_letters()
 def with_end(ids: np.ndarray, rows: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
     """Append the id end to every row."""
     n = len(rows) - 1
-    out = np.empty(len(ids) + n, np.uint32)
     rows2 = rows + np.arange(n + 1)
-    mask = np.ones(len(out), bool)
+    mask = np.ones(len(ids) + n, bool)
     mask[rows2[1:] - 1] = False
+    out = np.full(len(mask), end, np.uint32)
     out[mask] = ids
-    out[~mask] = end
     return out, rows2

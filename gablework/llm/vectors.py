@@ -1,8 +1,8 @@
 """Blocks of vectors, and the pairing of query blocks with blocks of all rows.
 
 A block packs up to BLOCK rows of one dimension into binary values. Every block of candidates meets every block of
-queries, as a stated query set against all rows does; both sides are joined on a block number, so that neither is
-broadcast or collected."""
+queries, as a stated query set against all rows does; a block of queries is sent to the groups into which the candidates'
+blocks are dealt, so that pairs of blocks spread over tasks and neither side is broadcast or collected."""
 
 from __future__ import annotations
 
@@ -67,13 +67,16 @@ def blocks(rows: DataFrame, rows_in_block: int = BLOCK) -> DataFrame:
 
 
 def paired(candidates: DataFrame, asked: DataFrame) -> DataFrame:
-    """Each block of candidates with each block of queries of its dimension (columns of asked get a q_ before).
-    One row for each pair of blocks, dealt by query block and spread over the candidates' blocks."""
-    mine = asked.select(*(F.col(c).alias(f"q_{c}") for c in asked.columns))
-    names = candidates.select(F.col("block").alias("to"), F.col("dim").alias("to_dim"))
-    # Query blocks are far fewer and smaller; each is sent once to every block it has to meet.
-    sent = mine.join(names, F.col("q_dim") == F.col("to_dim"))
-    return sent.join(candidates, F.col("to") == F.col("block")).drop("to", "to_dim", "dim", "q_dim")
+    """Each block of candidates (a written table) with each block of queries of its dimension (columns of asked get a q_ before).
+    Candidates are dealt to about as many groups as they have blocks."""
+    sizes = {r["dim"]: r["count"] for r in candidates.groupBy("dim").count().collect()}
+    if not sizes:
+        return candidates.select(*candidates.columns, *(F.lit(None).cast(t).alias(f"q_{c}") for c, t in asked.dtypes)).drop("dim", "q_dim")
+    groups = F.create_map(*(F.lit(x) for item in sizes.items() for x in item))
+    mine = asked.select(*(F.col(c).alias(f"q_{c}") for c in asked.columns)).where(groups[F.col("q_dim")].isNotNull())
+    sent = mine.withColumn("to", F.explode(F.sequence(F.lit(0), groups[F.col("q_dim")].cast("int") - 1)))
+    held = candidates.withColumn("of", F.pmod(F.xxhash64("block"), groups[F.col("dim")].cast("long")).cast("int"))
+    return sent.join(held, (F.col("q_dim") == F.col("dim")) & (F.col("to") == F.col("of"))).drop("to", "of", "dim", "q_dim")
 
 
 def best(found: DataFrame, k: int, score: Column) -> DataFrame:

@@ -1,9 +1,10 @@
 """Fixity audit of WARC archives by Merkle trees.
 
-Pages are laid out as records of archives: every record has its archive and its byte offset there. A replica's tree has
-a leaf for each offset range of LEAF_BYTES, the hash of its records' hashes in offset order, and nodes of FAN_OUT children
-above, up to a root for each archive. Two replicas are compared from the roots downward: only children of nodes that
-differ are looked at, down to the offset ranges and the records in them.
+A catalogue gives every page's record an archive and a byte offset; a replica is the records' bytes as they are stored
+there. Each replica is hashed from its own bytes: its tree has a leaf for each offset range of LEAF_BYTES, the hash of its
+records' hashes in offset order, and nodes of FAN_OUT children above, up to a root for each archive. Two replicas are
+compared from the roots downward: only children of nodes that differ are looked at, down to the offset ranges and the
+records in them.
 """
 
 from __future__ import annotations
@@ -23,22 +24,45 @@ def record(url: Column, html: Column) -> Column:
     return F.concat(head, body, F.lit("\r\n\r\n")).cast("binary")
 
 
-def layout(pages: DataFrame, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
-    """Records of pages (page_id, url, html) in archives: page_id, archive, offset, copies, size, digest.
+def _number(text: Column, first: int, digits: int = 8) -> Column:
+    return F.conv(F.substring(text, first, digits), 16, 10).cast("long")
 
-    An archive takes the records that the first digits of their hash deal to it, in order of page_id (nulls first) and
-    hash. Repeated rows are one record with copies, which stand one after the other. Null urls and texts count as
-    empty."""
+
+def records(pages: DataFrame) -> DataFrame:
+    """Distinct records of pages (page_id, url, html): page_id, name (empty for a page's only record, its hash otherwise), payload,
+    size, copies. Repeated rows are one record with copies. Null urls and texts count as empty."""
     rows = pages.select("page_id", record(F.col("url"), F.col("html")).alias("payload")).withColumn("digest", F.sha2("payload", 256))
-    rows = rows.withColumn("size", F.octet_length("payload").cast("long"))
-    sizes = materialize(rows.groupBy("page_id", "digest", "size").agg(F.count("*").alias("copies")), "records")
-    total = sizes.agg(F.coalesce(F.sum(F.col("size") * F.col("copies")), F.lit(0)).alias("n")).first().n
+    one = rows.groupBy("page_id", "digest").agg(F.first("payload").alias("payload"), F.count("*").alias("copies"))
+    one = materialize(one, "records")
+    several = one.groupBy(F.col("page_id").alias("of")).agg(F.count("*").alias("n")).where("n > 1").select("of", F.lit(True).alias("several"))
+    named = one.join(several, F.col("page_id").eqNullSafe(F.col("of")), "left")
+    return named.select("page_id", F.when(F.col("several"), F.col("digest")).otherwise("").alias("name"), "payload", F.octet_length("payload").cast("long").alias("size"), "copies")
+
+
+def catalogue(of: DataFrame, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
+    """Places of records: page_id, name, archive, offset. The md5 of a record's page_id and name deals it to an archive, where
+    records stand in order of page_id (nulls first) and name, copies one after the other. So a page whose bytes change
+    keeps its place in a catalogue that was made before."""
+    total = of.agg(F.coalesce(F.sum(F.col("size") * F.col("copies")), F.lit(0)).alias("n")).first().n
     archives = max(1, -(-total // archive_bytes))
-    archive = F.pmod(F.conv(F.substring("digest", 1, 8), 16, 10).cast("long"), F.lit(archives))
+    key = F.concat(F.coalesce(F.col("page_id").cast("string"), F.lit("null")), F.lit(":"), F.col("name"))
+    archive = F.pmod(_number(F.md5(key.cast("binary")), 1), F.lit(archives))
     # An archive has a bounded number of bytes, so its records are ordered by one task.
-    order = Window.partitionBy("archive").orderBy(F.col("page_id").asc_nulls_first(), "digest")
+    order = Window.partitionBy("archive").orderBy(F.col("page_id").asc_nulls_first(), "name")
     length = F.col("size") * F.col("copies")
-    return sizes.withColumn("archive", archive).withColumn("offset", F.sum(length).over(order) - length)
+    return of.select("page_id", "name", "size", "copies", archive.alias("archive")).select("page_id", "name", "archive", (F.sum(length).over(order) - length).alias("offset"))
+
+
+def stored(of: DataFrame, places: DataFrame) -> DataFrame:
+    """A replica: the records that the catalogue knows, at their places: archive, offset, page_id, copies, payload. A place
+    holds a record of its page, whatever its bytes are now."""
+    where = places.select(F.col("page_id").alias("of"), F.col("name").alias("of_name"), "archive", "offset")
+    return of.join(where, F.col("page_id").eqNullSafe(F.col("of")) & (F.col("name") == F.col("of_name"))).select("archive", "offset", "page_id", "copies", "payload")
+
+
+def hashed(replica: DataFrame) -> DataFrame:
+    """Hashes of a replica's records, from the bytes that are stored: archive, offset, page_id, copies, digest."""
+    return replica.select("archive", "offset", "page_id", "copies", F.sha2("payload", 256).alias("digest"))
 
 
 def leaves(records: DataFrame, leaf_bytes: int = LEAF_BYTES) -> DataFrame:
@@ -84,8 +108,11 @@ def audit(ours: DataFrame, theirs: DataFrame, leaf_bytes: int = LEAF_BYTES, fan_
     return met.select("archive", "offset", F.coalesce("o.page_id", "t.page_id").alias("page_id"), status.alias("status"), F.col("o.digest").alias("expected"), F.col("t.digest").alias("found"))
 
 
-def decayed(records: DataFrame, every: int = 53) -> DataFrame:
-    """A replica with decay at places that the records' hashes choose: of every records, one has lost its payload's
-    integrity (its hash is that of other bytes) and one is gone."""
-    turn = F.pmod(F.conv(F.substring("digest", 9, 8), 16, 10).cast("long"), F.lit(every))
-    return records.where(turn != 1).withColumn("digest", F.when(turn == 0, F.sha2(F.concat(F.lit("decayed "), "digest").cast("binary"), 256)).otherwise(F.col("digest")))
+def damaged(replica: DataFrame, every: int = 53, archives: int = 4) -> DataFrame:
+    """A replica whose bytes have decayed at places that hashes choose, in one of so many archives: of every records one has a
+    byte changed, one has lost its last two bytes, and one is gone."""
+    turn = F.pmod(_number(F.sha2("payload", 256), 9), F.lit(every))
+    struck = F.pmod(_number(F.md5(F.col("archive").cast("string").cast("binary")), 1), F.lit(archives)) == 0
+    changed = F.concat(F.substring("payload", 1, 7), F.lit("!").cast("binary"), F.expr("substring(payload, 9)"))
+    payload = F.when(struck & (turn == 0), changed).when(struck & (turn == 2), F.expr("substring(payload, 1, octet_length(payload) - 2)")).otherwise(F.col("payload"))
+    return replica.where(~(struck & (turn == 1))).select("archive", "offset", "page_id", "copies", payload.alias("payload"))
