@@ -7,16 +7,16 @@ a band's samples are candidates; candidates are verified by the exact weighted J
 and verified links are joined to classes.
 
 Equal texts are one node from the start. A bucket of up to SMALL nodes pairs all of them. In a larger, crowded one all nodes are
-paired with a leader first, which joins most families of copies. What is left, nodes outside a crowded bucket's largest class, is
-held against all nodes of other classes there, in blocks of samples that meet in many tasks: at first only each node's best
-match in every other class, then, with the classes that this gives, all that agree. So any two nodes of a bucket end in one
-class, or agree too little, or have been verified. The work on a crowded bucket grows with its nodes times those outside
-its largest class.
+paired with a leader first, which joins most families of copies. Crowded buckets of one leader are then a group, and what is
+left, nodes outside a group's largest class, is held against all nodes of other classes there, in blocks that meet in many
+tasks. A task verifies what agrees, best matches first, and goes on only where no link has joined two nodes' classes yet. So
+any two nodes of a bucket end in one class, or agree too little, or have been verified, and no pair is sent but links. The
+work on a group grows with its nodes times those outside its largest class.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -35,8 +35,8 @@ WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 12, 5
 SAMPLES = BANDS * ROWS
 SMALL = 16
-#: Nodes (expected) of a block of a crowded bucket.
-BLOCK = 1024
+#: Nodes and bytes of text (expected) of a block of a group of crowded buckets.
+BLOCK, BLOCK_BYTES = 1024, 8 << 20
 #: Candidates of which fewer samples agree are left out. At a true similarity of 0.8 that happens to 6 pairs of 10,000.
 LEAST_AGREEING = 38
 #: Counters of each of the sketch's two rows, and the pieces in which they are summed.
@@ -210,55 +210,74 @@ def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(keep))
 
 
-def _met(batch: pa.RecordBatch, r: int, best_only: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Nodes of a block of others and of a block of all nodes of a bucket that agree and are of unlike classes. best_only: for each
-    of the others only the best in every class."""
-    side = lambda n: tuple(batch.column(f"{n}_{c}")[r].values for c in ("node", "root", "other", "samples"))
-    (x, x_root, _, x_samples), (y, y_root, y_other, y_samples) = side("o"), side("m")
-    x, x_root, y, y_root = (np.asarray(c) for c in (x, x_root, y, y_root))
-    x_samples, y_samples = _samples(x_samples), _samples(y_samples)
-    alike = np.zeros((len(x), len(y)), np.uint8)
+def _joined(samples: tuple, texts: tuple, roots: tuple, similarity: float, weights: Weights) -> tuple[np.ndarray, np.ndarray]:
+    """Links (indices) between a block of x and a block of y that together join all classes between which one of similarity is to be
+    found. Pairs of one class are never verified, the others from the best agreement downward."""
+    (xs, ys), (xt, yt), (xr, yr) = samples, texts, roots
+    alike = np.zeros((len(xs), len(ys)), np.uint8)
     for k in range(SAMPLES):
-        alike += x_samples[:, k, None] == y_samples[:, k]
-    # Of two others, each pair once.
-    good = (alike >= LEAST_AGREEING) & (x_root[:, None] != y_root) & ((x[:, None] < y) | ~np.asarray(y_other).astype(bool))
-    i, j = np.nonzero(good)
-    if best_only and len(i):
-        order = np.lexsort((y[j], -alike[i, j].astype(int), y_root[j], i))
-        i, j = i[order], j[order]
-        new = np.concatenate(([True], (i[1:] != i[:-1]) | (y_root[j][1:] != y_root[j][:-1])))
-        i, j = i[new], j[new]
-    return x[i], y[j]
-
-
-def _rest(crowded: DataFrame, roots: DataFrame, samples: DataFrame, best_only: bool) -> DataFrame:
-    """Distinct pairs a < b that agree, of one crowded bucket (bucket, node) but of unlike classes (roots: node, root)."""
-    rows = crowded.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
-    sizes = rows.groupBy("bucket", "root").agg(F.count("*").alias("n"))
-    largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "root"))["root"].alias("largest"), F.count("*").alias("classes"), F.sum("n").alias("n")).where("classes > 1")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    rows = rows.join(largest, "bucket").join(samples, "node").select("bucket", "node", "root", (F.col("root") != F.col("largest")).alias("other"), "samples", blocks.alias("blocks"), F.pmod(F.xxhash64("node"), blocks.cast("long")).cast("int").alias("block"))
-    packed = lambda n: [F.collect_list(c).alias(f"{n}_{c}") for c in ("node", "root", "other", "samples")]
-    every = rows.groupBy("bucket", "block").agg(*packed("m"))
-    # A block of others is sent to every block of its bucket.
-    others = rows.where("other").groupBy("bucket", "block").agg(F.max("blocks").alias("blocks"), *packed("o"))
+        alike += xs[:, k, None] == ys[:, k]
+    names, back = np.unique(np.concatenate((xr, yr)), return_inverse=True)
+    root, x_of, y_of = np.arange(len(names)), back[: len(xr)], back[len(xr) :]
+    alike[(alike < LEAST_AGREEING) | (x_of[:, None] == y_of)] = 0
+    rows, found, count = np.flatnonzero(alike.any(axis=1)), [], 4
+    if not len(rows):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    sets = shingles(pa.concat_arrays([xt, yt]))
+    while len(rows):
+        # The best of each row that is left.
+        own = alike[rows]
+        width = min(count, own.shape[1])
+        at = np.argpartition(own, own.shape[1] - width, axis=1)[:, -width:]
+        i, j = np.repeat(rows, width), at.ravel()
+        some = alike[i, j] > 0
+        i, j = i[some], j[some]
+        alike[i, j] = 0
+        near = similarities(sets, i, len(xs) + j, weights) >= similarity
+        for p, q in zip(i[near].tolist(), j[near].tolist(), strict=True):
+            u, v = root[x_of[p]], root[y_of[q]]
+            if u != v:
+                root[root == max(u, v)] = min(u, v)
+                found.append((p, q))
+        if near.any():
+            alike[root[x_of][:, None] == root[y_of]] = 0
+        rows, count = rows[alike[rows].any(axis=1)], count * 2
+    return tuple(np.array(found, np.int64).reshape(-1, 2).T)
+
+
+def _rest(groups: DataFrame, roots: DataFrame, nodes: DataFrame, texts_of: Callable[[DataFrame], DataFrame], scratch: Scratch, similarity: float, shared) -> DataFrame:
+    """Links a, b between nodes of one group (leader, node) whose classes (roots: node, root) they join."""
+    rows = groups.join(roots, "node", "left").select("leader", "node", F.coalesce("root", "node").alias("root"))
+    sizes = rows.groupBy("leader", "root").agg(F.count("*").alias("n"))
+    largest = sizes.groupBy("leader").agg(F.max(F.struct("n", "root"))["root"].alias("largest"), F.count("*").alias("classes")).where("classes > 1")
+    rows = scratch.table(rows.join(largest.select("leader", "largest"), "leader"), "crowded")
+    texts = texts_of(rows.select("node").distinct())
+    blocks = rows.join(texts.select("node", F.octet_length("text").alias("bytes")), "node").groupBy("leader").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("bytes") / BLOCK_BYTES)).cast("int").alias("blocks"))
+    rows = rows.join(blocks, "leader").join(nodes.select("node", "samples"), "node").join(texts, "node")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int"))
+    packed = lambda n: [F.collect_list(c).alias(f"{n}_{c}") for c in ("node", "root", "samples", "text")]
+    every = rows.groupBy("leader", "block").agg(*packed("y"))
+    # A block of others is sent to every block of its group.
+    others = rows.where("root <> largest").groupBy("leader", "block").agg(F.max("blocks").alias("blocks"), *packed("x"))
     others = others.drop("block").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in range(batch.num_rows):
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in _met(batch, r, best_only)], ["a", "b"])
+                get = lambda c: tuple(batch.column(f"{n}_{c}")[r].values for n in "xy")  # noqa: B023, E731
+                x, y = (np.asarray(c) for c in get("node"))
+                i, j = _joined(tuple(map(_samples, get("samples"))), get("text"), tuple(map(np.asarray, get("root"))), similarity, shared.value)
+                yield pa.RecordBatch.from_arrays([pa.array(x[i], pa.int64()), pa.array(y[j], pa.int64())], ["a", "b"])
 
-    met = others.join(every, ["bucket", "block"]).drop("bucket", "block").mapInArrow(compared, "a long, b long")
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return others.join(every, ["leader", "block"]).drop("leader", "block").mapInArrow(compared, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """For every row of doc_id and text, doc_id and class_id, the least doc_id of its class of near duplicates.
 
-    Equal texts are always of one class, and so are the rows that share a doc_id, whatever their texts. Texts that are null or
-    without words are of no class but their own; a null doc_id stands for itself and takes no part. Other columns are
-    ignored; an empty table gives none."""
+    Equal texts are always of one class, and so are the rows with words that share a doc_id, whatever their texts. Texts that are
+    null or without words are of no class but their own; a null doc_id stands for itself and takes no part. Other columns
+    are ignored; an empty table gives none."""
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
     short_batches(spark)
     sketch, n = frequencies(docs)
@@ -287,7 +306,6 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     nodes = used.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.first("bands").alias("bands"), F.first("samples").alias("samples"))
     nodes = scratch.table(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     member = scratch.table(used.select("doc_id", "h1", "h2").join(nodes.select("h1", "h2", "node"), ["h1", "h2"]).select("doc_id", "node"), "members")
-    samples = nodes.select("node", "samples")
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -297,14 +315,16 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
             alike = similarities(shingles(texts), of[: batch.num_rows], of[batch.num_rows :], shared.value)
             yield batch.select(["a", "b"]).filter(pa.array(alike >= similarity))
 
-    def near(pairs: DataFrame) -> DataFrame:
-        # Texts of nodes in a candidate pair, from one row each.
-        needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(nodes.select("node", "h1", "h2", "least"), "node")
-        needed = scratch.table(needed, "needed")
+    def texts_of(some: DataFrame) -> DataFrame:
+        """node and text of distinct nodes, from one row each."""
+        needed = scratch.table(some.join(nodes.select("node", "h1", "h2", "least"), "node"), "needed")
         if needed.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
             needed = F.broadcast(needed)
         found = docs.select("doc_id", "text", *hashed).join(needed, ["h1", "h2"]).where("doc_id = least")
-        texts = scratch.table(found.select("node", "text").dropDuplicates(["node"]), "texts")
+        return scratch.table(found.select("node", "text").dropDuplicates(["node"]), "texts")
+
+    def near(pairs: DataFrame) -> DataFrame:
+        texts = texts_of(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
         text = lambda name: texts.select(F.col("node").alias(name), F.col("text").alias(f"{name}_text"))
         return pairs.join(text("a"), "a").join(text("b"), "b").select("a", "b", "a_text", "b_text").mapInArrow(verified, "a long, b long")
 
@@ -319,24 +339,20 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     crowded = met.where(F.col("n") > SMALL)
     degree = crowded.groupBy("node").agg(F.sum("n").alias("degree"))
     leaders = crowded.join(degree, "node").groupBy("bucket").agg(F.max(F.struct("degree", "node"))["node"].alias("leader"))
-    stars = crowded.join(leaders, "bucket").where("node <> leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
-    side = lambda name: samples.select(F.col("node").alias(name), F.col("samples").alias(f"{name}_samples"))
+    groups = scratch.table(crowded.join(leaders, "bucket").select("leader", "node").distinct(), "groups")
+    stars = groups.where("node <> leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
+    side = lambda name: nodes.select(F.col("node").alias(name), F.col("samples").alias(f"{name}_samples"))
     pairs = pairs.union(stars).distinct().join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_samples", "b_samples")
-    seen = scratch.table(pairs.mapInArrow(_agreeing, "a long, b long"), "candidates")
-    links = scratch.table(links.union(near(seen)), "links")
+    links = scratch.table(links.union(near(scratch.table(pairs.mapInArrow(_agreeing, "a long, b long"), "candidates"))), "links")
     roots = scratch.table(components(links, "a", "b", scratch), "roots")
-    crowded = crowded.select("bucket", "node")
-    for best_only in (True, False) if crowded.limit(1).count() else ():
-        more = scratch.table(_rest(crowded, roots, samples, best_only).join(seen, ["a", "b"], "left_anti"), "candidates")
-        if more.limit(1).count():
-            seen, fresh = seen.union(more), scratch.table(near(more), "links")
-            if fresh.limit(1).count():
-                roots = scratch.table(components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(fresh), "a", "b", scratch), "roots")
+    if groups.limit(1).count():
+        fresh = scratch.table(_rest(groups, roots, nodes, texts_of, scratch, similarity, shared), "links")
+        if fresh.limit(1).count():
+            roots = scratch.table(components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(fresh), "a", "b", scratch), "roots")
     placed = nodes.select("node", "least").join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     classes = placed.groupBy("root").agg(F.min("least").alias("class_id"))
     found = member.join(placed.select("node", "root"), "node").join(classes, "root").select("doc_id", "class_id")
     alone = known.where("doc_id is null or bands is null").select("doc_id", F.col("doc_id").alias("class_id"))
-    # A row without words stays alone, but for its doc_id's other rows.
     out = scratch.table(found.union(alone), "classes")
     scratch.drop(out)
     return out

@@ -215,24 +215,70 @@ def test_crowded_near_duplicates_equal_all_pairs(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r.class_id for r in cws.near_duplicates(docs).collect()}
     weights = cws.Weights(*cws.frequencies(docs))
-    sets = {}
+    classes = _classes(rows, _near_pairs(rows, weights))
+    assert len(set(classes.values())) == 4
+    assert got == classes
+
+
+def _near_pairs(rows, weights, least=0.8):
+    """All pairs of rows (id, text) whose sets' weighted Jaccard similarity is at least so much, by plain dictionaries."""
+    sets, out = {}, []
     for i, text in rows:
         _, key, count = cws.shingles(pa.array([text]))
         sets[i] = dict(zip(key.tolist(), (count * weights(key)).tolist(), strict=True))
-    root = {i: i for i in sets}
+    total, places = {i: sum(s.values()) for i, s in sets.items()}, {}
+    for i, s in sets.items():
+        shared = {}
+        for k, w in s.items():
+            for j, v in places.setdefault(k, []):
+                shared[j] = shared.get(j, 0) + min(w, v)
+            places[k].append((i, w))
+        out += [(j, i) for j, both in shared.items() if both >= least * (total[i] + total[j] - both)]
+    return out
+
+
+def _classes(rows, pairs):
+    root = {i: i for i, _ in rows}
 
     def find(i):
-        return i if root[i] == i else find(root[i])
-
-    for i in sets:
-        for j in sets:
-            if i < j:
-                both = sum(min(w, sets[j].get(k, 0)) for k, w in sets[i].items())
-                if both >= 0.8 * (sum(sets[i].values()) + sum(sets[j].values()) - both):
-                    x, y = sorted((find(i), find(j)))
-                    root[y] = x
-    assert len({find(i) for i in sets}) == 4
-    assert got == {i: find(i) for i in sets}
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in pairs:
+        x, y = sorted((find(i), find(j)))
+        root[y] = x
+    return {i: find(i) for i in root}
+
+
+def test_near_duplicates_recall_on_the_table(spark):
+    """Against all pairs of the whole table: nearly no link is lost, and no class joins what isn't linked."""
+    docs = read_table(spark, "/root/testdata/sf0.01", "documents")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect() if r.text]
+    pairs = _near_pairs(rows, cws.Weights(*cws.frequencies(docs)))
+    got = {r.doc_id: r.class_id for r in cws.near_duplicates(docs).collect()}
+    assert len(pairs) > 50 and np.mean([got[i] == got[j] for i, j in pairs]) > 0.98
+    truth = _classes(rows, pairs)
+    assert all(truth[i] == truth[c] for i, c in got.items() if c != i)
+
+
+def test_frequencies_come_near_the_truth(spark):
+    docs = read_table(spark, "/root/testdata/sf0.1", "documents")
+    weights = cws.Weights(*cws.frequencies(docs))
+    keys = np.concatenate([cws.shingles(pa.array([r.text]))[1] for r in docs.select("text").collect() if r.text])
+    key, true = np.unique(keys, return_counts=True)
+    rough = weights.frequency(key)
+    assert np.median(np.abs(rough - true)) <= 1 and np.abs(rough - true).mean() < 5
+    ideal = 1 + np.log(weights.n / true) / np.log(weights.n + 1)
+    assert np.abs(weights(key) - ideal).mean() < 0.1
+
+
+def test_rows_of_one_doc_id_with_unlike_texts(spark):
+    rnd = random.Random(3)
+    a, b = (" ".join(f"w{rnd.randrange(9000)}" for _ in range(200)) for _ in range(2))
+    rows = [(5, a), (5, b), (6, a + " more"), (7, b + " more"), (8, a), (None, a), (9, " ".join(f"w{rnd.randrange(9000)}" for _ in range(200)))]
+    got = sorted((str(r.doc_id), r.class_id) for r in cws.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == [("5", 5), ("5", 5), ("6", 5), ("7", 5), ("8", 5), ("9", 9), ("None", None)]
 
 
 @pytest.mark.parametrize("threshold", [1, 2])
