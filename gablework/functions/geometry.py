@@ -46,7 +46,7 @@ def cross(a: Point, b: Point) -> Point:
     return (a[1] * b[2] - a[2] * b[1], a[2] * b[0] - a[0] * b[2], a[0] * b[1] - a[1] * b[0])
 
 
-def safe_unit(a: Point, eps: float = 1e-12) -> Point:
+def safe_unit(a: Point, eps: float = 1e-9) -> Point:
     """The unit vector, or zeros for a vector of no length."""
     n = norm(a)
     return tuple(F.when(n > eps, x / n).otherwise(0.0) for x in a)
@@ -203,6 +203,15 @@ def meter_to_pixel(x: Column, y: Column, xmin: Column, ymin: Column, xmax: Colum
     return (x - xmin) * lit(ppm), F.when(flip, (ymax - y) * lit(ppm)).otherwise((y - ymin) * lit(ppm))
 
 
+def flipped(top: Sequence[Column], bottom: Sequence[Column], ymin: Column, ymax: Column, ppm: Number) -> Column:
+    """Whether a wall's pixels have to grow downward for it to stand upright: the heights of its top corners and bottom corners, as pixels
+    both ways, and their means compared."""
+    y = lambda v, flip: meter_to_pixel(v, v, ymin, ymin, ymax, ymax, ppm, F.lit(flip))[1]
+    mean = lambda vs, flip: lit(0.5) * (y(vs[0], flip) + y(vs[1], flip))
+    plain, turned = (mean(top, f) < mean(bottom, f) for f in (False, True))
+    return F.when(plain & ~turned, False).when(turned & ~plain, True).otherwise(~plain)
+
+
 def segment_angle(dx: Column, dy: Column) -> Column:
     return floor_mod(F.degrees(F.atan2(dy, dx)), 180.0)
 

@@ -31,16 +31,33 @@ def image_size(text: Column) -> tuple[Column, Column]:
     return parts[0].cast("int"), parts[1].cast("int")
 
 
-def wall_base(building: Column, component: Column, loop: Column, index: Column) -> Column:
-    return F.format_string("%s_c%d_l%d_w%d", building, F.coalesce(component, F.lit(-1)), F.coalesce(loop, F.lit(-1)), index)
-
-
-def artifact(building: Column, index: Column, kind: str, extension: str, pattern: str = "legacy", component: Column | None = None, loop: Column | None = None) -> Column:
-    """Name of a wall's file, by one of two patterns."""
-    if pattern == "verbose":
-        base = wall_base(sanitize(building), component if component is not None else F.lit(None), loop if loop is not None else F.lit(None), index)
-        return F.concat(base, F.lit(f"_{kind}.{extension}"))
-    return F.format_string(f"%s_wall%02d_{kind}.{extension}", sanitize(building), index)
+def wall_base(index: Column, pano_id: Column, heading: Column, pitch: Column, fov: Column) -> Column:
+    """A wall's view in a name, with angles to whole degrees (halves to even)."""
+    whole = lambda x: F.rint(x).cast("int")
+    return F.format_string("wall_%02d__pano_%s__hdg_%d__pit_%d__fov_%d", index, sanitize(pano_id.cast("string")), whole(heading), whole(pitch), whole(fov))
+
+
+#: What each stage's file is called, after the building and wall (legacy) or after the view (verbose).
+LEGACY = {
+    "raw_overlay": "_overlay.png", "lr_band_overlay": "_lr_overlay.png", "sam3_overlay": "_sam3_overlay.png", "ortho_png": "_ortho.png", "ortho_overlay": "_ortho_overlay.png",
+    "ortho_meta": "_ortho.json", "sam3_instances_overlay": "_sam3_instances_overlay.png", "ortho_prefit_overlay": "_ortho_prefit_overlay.png", "hough_overlay": "_hough_overlay.png",
+    "hough_warp_overlay": "_hough_warp_overlay.png",
+}
+VERBOSE = {
+    "raw_overlay": "__overlay.png", "lr_band_overlay": "__lr_band_rgba__overlay.png", "sam3_overlay": "__sam3_building_rgba__overlay.png", "ortho_png": "__ortho_final_rgba.png",
+    "ortho_overlay": "__ortho_final_rgba__overlay.png", "ortho_meta": "__ortho_final_meta.json", "sam3_instances_overlay": "__sam3_instances_overlay.png",
+    "ortho_prefit_overlay": "__ortho_prefit_rgba__overlay.png", "hough_overlay": "__hough_overlay.png", "hough_warp_overlay": "__hough_warp_overlay.png",
+}
+
+
+def artifact(stage: str, building: Column, index: Column, view: Column | None = None) -> Column:
+    """Name of a stage's file for a wall of a building: by wall number, or by the wall's view (wall_base) if one is given. The stage glb
+    has one file a building."""
+    if stage == "glb":
+        return F.concat(building, F.lit("__textured.glb"))
+    if view is not None:
+        return F.concat(view, F.lit(VERBOSE[stage]))
+    return F.concat(building, F.format_string("_wall%02d", index), F.lit(LEGACY[stage]))
 
 
 def image_url(pano_id: Column, heading: Column, pitch: Column, fov: Column, size: str = "640x640", base: str = "https://panorama.invalid/image") -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gablework.config import Settings
@@ -73,3 +73,14 @@ def ortho_canvas(boxes: DataFrame, s: Settings = Settings()) -> DataFrame:  # no
     ppm = F.when(area > s.max_ortho_pixels, full * F.sqrt(F.lit(float(s.max_ortho_pixels)) / area.cast("double"))).otherwise(full)
     at = at.withColumn("ppm", ppm)
     return at.withColumns({"width_px": pixels("w", F.col("ppm")), "height_px": pixels("h", F.col("ppm"))}).drop("w", "h")
+
+
+def circular_spans(angles: DataFrame) -> DataFrame:
+    """The shortest arc that holds all angles (degrees) of each group (grp, angle): grp, span, start. What the largest gap leaves; of
+    equal gaps the one after the least angle. Equal angles count once, so a group is sorted by its distinct ones."""
+    turned = angles.select("grp", g.floor_mod(F.col("angle"), 360.0).alias("a")).distinct()
+    order = Window.partitionBy("grp").orderBy("a")
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    after = turned.select("grp", "a", F.coalesce(F.lead("a").over(order), F.min("a").over(whole) + 360.0).alias("b"))
+    best = after.groupBy("grp").agg(F.max(F.struct((F.col("b") - F.col("a")).alias("gap"), (-F.col("a")).alias("k"), "a", "b")).alias("g"))
+    return best.select("grp", (F.col("g.a") + 360.0 - F.col("g.b")).alias("span"), g.floor_mod(F.col("g.b"), 360.0).alias("start"))

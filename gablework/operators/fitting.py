@@ -2,25 +2,59 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gablework.config import Settings
 from gablework.functions import geometry as g
 
 
-def ratio_matches(queries: DataFrame, targets: DataFrame, ratio: float = 0.75, pairs: int = 32) -> DataFrame:
-    """For descriptors (grp, id, v), each query's nearest target of its group, where it is nearer than ratio times the
-    second nearest: grp, query_id, target_id, distance. A group's targets are dealt to so many parts, of which each gives its two
-    nearest first."""
-    t = targets.select("grp", F.col("id").alias("target_id"), F.col("v").alias("tv"), F.pmod(F.xxhash64("id"), F.lit(pairs)).alias("part"))
-    q = queries.select("grp", F.col("id").alias("query_id"), F.col("v").alias("qv")).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(pairs - 1).cast("long"))))
-    square = F.aggregate(F.zip_with("qv", "tv", lambda a, b: (a.cast("double") - b.cast("double")) * (a.cast("double") - b.cast("double"))), F.lit(0.0), lambda s, x: s + x)
-    met = q.join(t, ["grp", "part"]).select("grp", "part", "query_id", "target_id", F.sqrt(square).alias("d"))
-    first = met.withColumn("k", F.row_number().over(Window.partitionBy("grp", "query_id", "part").orderBy("d", "target_id"))).where("k <= 2")
-    order = Window.partitionBy("grp", "query_id").orderBy("d", "target_id")
-    ranked = first.select("grp", "query_id", "target_id", "d", F.lead("d").over(order).alias("d2"), F.row_number().over(order).alias("k"))
-    return ranked.where((F.col("k") == 1) & (F.col("d") < ratio * F.col("d2"))).select("grp", "query_id", "target_id", F.col("d").alias("distance"))
+#: Descriptors of a block.
+BLOCK = 2048
+
+
+def _packed(rows: DataFrame, name: str) -> DataFrame:
+    """Blocks of descriptors (grp, id, v): grp, block, and the ids and values of about BLOCK of them."""
+    sizes = rows.groupBy("grp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    at = rows.join(sizes, "grp").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks").cast("long")).cast("int"))
+    one = F.array_sort(F.collect_list(F.struct("id", F.col("v").cast("array<double>").alias("v"))))
+    return at.groupBy("grp", "block").agg(F.max("blocks").alias("blocks"), one.alias("rows")).select("grp", "block", "blocks", F.col("rows.id").alias(f"{name}_id"), F.flatten("rows.v").alias(f"{name}_v"))
+
+
+def ratio_matches(queries: DataFrame, targets: DataFrame, ratio: float = 0.75) -> DataFrame:
+    """For descriptors (grp, id, v) of equal lengths, each query's nearest target of its group, where it is nearer than ratio times the
+    second nearest (ties to the lesser id): grp, query_id, target_id, distance. Rows are packed in blocks, each block of queries is
+    sent to its group's blocks of targets, and a pair of blocks gives two targets for each query."""
+    t = _packed(targets, "t")
+    counts = t.groupBy("grp").agg(F.max("blocks").alias("to"))
+    q = _packed(queries, "q").drop("block", "blocks").join(counts, "grp").select("grp", "q_id", "q_v", F.explode(F.sequence(F.lit(0), F.col("to") - 1)).alias("block"))
+    schema = T.StructType([targets.select("grp").schema[0], T.StructField("query_id", T.LongType()), T.StructField("target_id", T.LongType()), T.StructField("d", T.DoubleType())])
+
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(batch.num_rows):
+                own = {n: np.asarray(batch.column(n)[r].values) for n in ("q_id", "q_v", "t_id", "t_v")}
+                q, t = (own[f"{n}_v"].reshape(len(own[f"{n}_id"]), -1) for n in "qt")
+                k = min(2, len(t))
+                rough = (t**2).sum(axis=1) - 2 * (q @ t.T)
+                # The products narrow the choice; distances are taken from the differences.
+                wide = min(len(t), 8)
+                at = np.argpartition(rough, wide - 1, axis=1)[:, :wide] if wide < len(t) else np.tile(np.arange(len(t)), (len(q), 1))
+                d = np.sqrt(((q[:, None, :] - t[at]) ** 2).sum(axis=2))
+                order = np.lexsort((own["t_id"][at], d), axis=1)[:, :k]
+                at, d = np.take_along_axis(at, order, 1), np.take_along_axis(d, order, 1)
+                columns = [pa.array([batch.column("grp")[r].as_py()] * at.size, batch.schema.field("grp").type), pa.array(np.repeat(own["q_id"], k)), pa.array(own["t_id"][at].ravel()), pa.array(d.ravel())]
+                yield pa.RecordBatch.from_arrays(columns, schema.names)
+
+    met = q.join(t.drop("blocks"), ["grp", "block"]).drop("block").mapInArrow(nearest, schema)
+    two = met.groupBy("grp", "query_id").agg(F.array_sort(F.collect_list(F.struct("d", "target_id"))).alias("near"))
+    near = two.select("grp", "query_id", F.col("near")[0].alias("first"), F.get("near", F.lit(1)).alias("second"))
+    return near.where(F.col("first.d") < ratio * F.col("second.d")).select("grp", "query_id", F.col("first.target_id").alias("target_id"), F.col("first.d").alias("distance"))
 
 
 def fit_line(points: DataFrame, margin: float = 20.0) -> DataFrame:
@@ -63,15 +97,6 @@ def inward_sides(wall: list[g.Point]) -> list[g.Point]:
     return out
 
 
-def widest_scale(shape: list[g.Point], center: g.Point, sides: list[g.Point], inset: float, most: Column) -> Column:
-    """The largest scale up to most at which a shape (its corners from its center) at a center stays inset from all sides,
-    0 if the center itself does not: the distance to each side is linear in the scale, so it is the least ratio over corners and
-    sides."""
-    rooms = [a * center[0] + b * center[1] + c - inset for a, b, c in sides]
-    ratios = [F.when(g.dot(n[:2], p) < 0, room / -g.dot(n[:2], p)).otherwise(most) for n, room in zip(sides, rooms, strict=True) for p in shape]
-    return F.when(F.least(*rooms) >= 0, F.least(most, *ratios)).otherwise(0.0)
-
-
 def _once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """With columns that are computed once, not written into every expression that uses them."""
     return df.select("*", F.inline(F.array(F.struct(*(c.alias(k) for k, c in columns.items())))))
@@ -94,18 +119,50 @@ def fit_quads(pairs: DataFrame, s: Settings = Settings()) -> DataFrame:  # noqa:
     grown = F.least(F.lit(20.0), F.greatest(F.lit(0.0), F.ceil(F.log(F.lit(s.fit_max_scale) / F.col("guess")) / F.log(F.lit(s.fit_growth)))))
     k = s.fit_shift_steps - 1
     steps = F.sequence(F.lit(0), F.lit(k))
-    at = _once(at, {"most": F.col("guess") * F.pow(F.lit(s.fit_growth), grown)}).withColumn("i", F.explode(steps)).withColumn("j", F.explode(steps))
-    shift = lambda side, n: F.col(side) * s.fit_shift * (2.0 * F.col(n) / float(k) - 1.0)
-    at = _once(at, {"cx": F.col("wcx") + shift("w", "i"), "cy": F.col("wcy") + shift("h", "j")})
+    # How far the shape reaches towards each side, for a scale of one: the distance to a side falls by that much.
     shape = [(x - F.col("scx"), y - F.col("scy")) for x, y in seg]
     lines = [tuple(F.col(f"_n{n}{c}") for c in "abc") for n in range(4)]
-    scale = widest_scale(shape, (F.col("cx"), F.col("cy")), lines, s.fit_inset_px, F.col("most"))
-    away = g.norm((F.col("cx") - F.col("wcx"), F.col("cy") - F.col("wcy"))) / F.greatest(g.norm((F.col("w"), F.col("h"))), F.lit(1.0))
-    at = _once(at, {"scale": scale, "center_dist": away})
-    # Scales and distances are compared to nine digits, as placements that differ by less are equal.
-    rank = F.struct(F.round(-F.col("scale"), 9), F.round("center_dist", 9), "i", "j")
-    best = at.groupBy("id").agg(F.min_by(F.struct("scale", "cx", "cy", "center_dist", "scx", "scy"), rank).alias("b"))
-    return best.select("id", "b.scale", (F.col("b.cx") - F.col("b.scale") * F.col("b.scx")).alias("tx"), (F.col("b.cy") - F.col("b.scale") * F.col("b.scy")).alias("ty"), "b.center_dist")
+    reach = {f"_m{n}": F.greatest(*(-g.dot(line[:2], p) for p in shape)) for n, line in enumerate(lines)}
+    room = {f"_r{n}": line[0] * F.col("wcx") + line[1] * F.col("wcy") + line[2] - s.fit_inset_px for n, line in enumerate(lines)}
+    at = _once(at, {"most": F.col("guess") * F.pow(F.lit(s.fit_growth), grown)} | reach | room)
+    k = s.fit_shift_steps
+    shift = lambda side, n: F.col(side) * s.fit_shift * (2.0 * n / float(k - 1) - 1.0)
+    away = lambda x, y: g.norm((x, y)) / F.greatest(g.norm((F.col("w"), F.col("h"))), F.lit(1.0))
+    tried = at.withColumn("n", F.explode(F.sequence(F.lit(0), F.lit(k * k - 1))))
+    tried = _once(tried, {"x": shift("w", F.floor(F.col("n") / k)), "y": shift("h", F.col("n") % k)})
+    tried = _once(tried, {f"_d{n}": F.col(f"_r{n}") + F.col(f"_n{n}a") * F.col("x") + F.col(f"_n{n}b") * F.col("y") for n in range(4)})
+    # The distance to each side is linear in the scale, so the largest scale is the least ratio over the sides.
+    ratios = [F.when(F.col(f"_m{n}") > 0, F.col(f"_d{n}") / F.col(f"_m{n}")).otherwise(F.col("most")) for n in range(4)]
+    scale = F.when(F.least(*(F.col(f"_d{n}") for n in range(4))) >= 0, F.least(F.col("most"), *ratios)).otherwise(0.0)
+    tried = _once(tried, {"scale": scale, "away": away(F.col("x"), F.col("y"))})
+    # One number ranks placements: the scale to eight digits, then nearness to the wall's center to seven, then the place.
+    key = F.rint(F.col("scale") * 1e8).cast("long") * F.lit(1 << 32) + (F.lit((1 << 23) - 1) - F.least(F.rint(F.col("away") * 1e7).cast("long"), F.lit((1 << 23) - 1))) * F.lit(1 << 9) + (F.lit(k * k - 1) - F.col("n"))
+    # Rows of a pair are summed up where they are made, so one of them is sent.
+    best = tried.groupBy("id", "scx", "scy", "wcx", "wcy", "w", "h").agg(F.max(key).alias("key"), F.max("scale").alias("scale"))
+    n = F.lit(k * k - 1) - F.pmod(F.col("key"), F.lit(1 << 9))
+    best = _once(best, {"x": shift("w", F.floor(n / k)), "y": shift("h", n % k)})
+    to = lambda c: F.col(f"wc{c}") + F.col(c) - F.col("scale") * F.col(f"sc{c}")
+    return best.select("id", "scale", to("x").alias("tx"), to("y").alias("ty"), away(F.col("x"), F.col("y")).alias("center_dist"))
+
+
+def chains(links: DataFrame, ref: int) -> DataFrame:
+    """Homographies of a group's images to image ref: links (grp, k, h: nine values that take image k to image k + 1, null if
+    there is none) become grp, image, h. Images before ref have the product of the links up to it, those after it the inverse of
+    the product of the links from it (null if its determinant is below 1e-12); past a missing link there is none."""
+    own = links.groupBy("grp").agg(F.array_sort(F.collect_list(F.struct("k", "h"))).alias("ls"))
+    n = F.size("ls")
+    at = F.transform(F.sequence(F.lit(0), n), lambda i: F.struct(i.alias("image"), F.slice("ls", F.least(i, F.lit(ref)) + 1, F.abs(i - ref)).alias("between")))
+    rows = own.select("grp", F.inline(at))
+    one = F.array(*(F.lit(float(k % 4 == 0)) for k in range(9)))
+    cells = lambda m: [F.get(m, F.lit(k)) for k in range(9)]
+    # Each link is applied after those before it; a missing one makes all values null.
+    product = F.aggregate("between", one, lambda m, x: F.array(*g.matmul(cells(x["h"]), cells(m))))
+    before = F.aggregate("between", one, lambda m, x: F.array(*g.matmul(cells(m), cells(x["h"]))))
+    rows = rows.select("grp", "image", F.when(F.col("image") < ref, before).otherwise(product).alias("h"))
+    m = cells(F.col("h"))
+    det = m[0] * (m[4] * m[8] - m[5] * m[7]) - m[1] * (m[3] * m[8] - m[5] * m[6]) + m[2] * (m[3] * m[7] - m[4] * m[6])
+    inverse = F.when(F.abs(det) >= 1e-12, F.array(*(x / det for x in g.adjugate(m))))
+    return rows.select("grp", "image", F.when(F.get("h", F.lit(0)).isNull(), None).when(F.col("image") > ref, inverse).otherwise(F.col("h")).alias("h"))
 
 
 def clockwise(points: Column) -> Column:

@@ -65,17 +65,19 @@ def closed(mask: DataFrame, radius: int, width: int, height: int) -> DataFrame:
 
 def score_instances(instances: DataFrame, roof: DataFrame, wall: DataFrame, width: int, height: int) -> DataFrame:
     """Soft scores of facade instances (img, instance, x, y) without the roof's pixels against the wall's: img, instance, area, inside,
-    outside, distance, score. Instances without a pixel left are not scored."""
+    outside, distance, score. Instances without a pixel left are not scored. In an image whose wall has no pixel an instance's score is
+    its area, so that the largest is the best."""
     left = instances.select("img", "instance", "x", "y").distinct().join(roof.select(PIXEL), PIXEL, "left_anti")
     on_wall = wall.select(PIXEL).distinct()
     walls = on_wall.groupBy("img").agg(F.count("*").alias("wall_area"), F.avg("x").alias("wx"), F.avg("y").alias("wy"))
     marked = left.join(on_wall.withColumn("w", F.lit(1)), PIXEL, "left")
     sums = marked.groupBy("img", "instance").agg(F.count("*").alias("area"), F.count("w").alias("inside"), F.avg("x").alias("cx"), F.avg("y").alias("cy"))
     diagonal = float((width * width + height * height) ** 0.5)
-    at = sums.join(walls, "img").withColumn("outside", F.col("area") - F.col("inside"))
+    at = sums.join(walls, "img", "left").withColumn("outside", F.when(F.col("wall_area").isNull(), 0).otherwise(F.col("area") - F.col("inside")))
     at = at.withColumn("distance", g.norm((F.col("cx") - F.col("wx"), F.col("cy") - F.col("wy"))) / diagonal)
     score = g.facade_score(F.col("area"), F.col("inside"), F.col("outside"), F.col("wall_area"), F.col("distance"))
-    return at.select("img", "instance", "area", "inside", "outside", "distance", score.alias("score"))
+    score = F.when(F.col("wall_area").isNull(), F.col("area").cast("double")).otherwise(score)
+    return at.select("img", "instance", "area", "inside", "outside", F.coalesce("distance", F.lit(0.0)).alias("distance"), score.alias("score"))
 
 
 def best_instance(scored: DataFrame) -> DataFrame:

@@ -53,7 +53,7 @@ walls AS (
 shaped AS (
   SELECT *, sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1)) AS base_m, (y2 - y1) * (zhi1 - zlo1) AS n1, -(x2 - x1) * (zhi1 - zlo1) AS n2 FROM walls),
 faced AS (
-  SELECT *, CASE WHEN sqrt(n1 * n1 + n2 * n2) > 1e-12 THEN n1 / sqrt(n1 * n1 + n2 * n2) ELSE 0 END AS nx, CASE WHEN sqrt(n1 * n1 + n2 * n2) > 1e-12 THEN n2 / sqrt(n1 * n1 + n2 * n2) ELSE 0 END AS ny,
+  SELECT *, CASE WHEN sqrt(n1 * n1 + n2 * n2) > 1e-9::DOUBLE THEN n1 / sqrt(n1 * n1 + n2 * n2) ELSE 0 END AS nx, CASE WHEN sqrt(n1 * n1 + n2 * n2) > 1e-9::DOUBLE THEN n2 / sqrt(n1 * n1 + n2 * n2) ELSE 0 END AS ny,
          (x1 + x2 + (x1 + x2)) * 0.25e0 AS cx, (y1 + y2 + (y1 + y2)) * 0.25e0 AS cy, (zlo1 + zlo2 + (zhi1 + zhi2)) * 0.25e0 AS cz FROM shaped)"""
 )
 

@@ -170,7 +170,7 @@ def test_quad_fit_equals_bisection(spark):
 
 def test_rasters(spark):
     image = np.arange(48, dtype=np.uint8).reshape(4, 4, 3)
-    df = spark.createDataFrame([(1, 4, 4, 3, bytearray(image.tobytes()), [1.0, 0, 1, 0, 1, 0, 0, 0, 1], 4, 4)], rasters.IMAGE + ", h array<double>, to_width int, to_height int")
+    df = spark.createDataFrame([(1, 4, 4, 3, bytearray(image.tobytes()), [1.0, 0.0, 1.0, 0.0, 1.0, 0.0, 0.0, 0.0, 1.0], 4, 4)], rasters.IMAGE + ", h array<double>, to_width int, to_height int")
     out = rasters.pixels(rasters.warp(df).first())
     assert (out[:, 1:] == image[:, :-1]).all() and (out[:, 0] == 0).all()
     assert rasters.instances(df, rasters.bright_segments).count() == 16
