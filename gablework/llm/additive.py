@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gablework.llm.common import materialize
+from gablework.llm.common import lean, materialize
 from gablework.llm.vectors import best, blocks, paired, queries, usable
 
 #: Codebooks and their entries; beams of the encoder; candidates of a block that are ranked exactly, for each result wanted.
@@ -117,7 +117,7 @@ def search(table: DataFrame, k: int = 20, every: int = 20, rerank: int = RERANK,
                 norms.append(s.astype(np.float64).tobytes())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(codes, pa.binary()), pa.array(norms, pa.binary())], [*batch.schema.names, "codes", "norms"])
 
-    index = materialize(all_blocks.mapInArrow(coded, coded_schema), "additive-index")
+    index = materialize(all_blocks.mapInArrow(lean(coded), coded_schema), "additive-index")
     query_blocks = blocks(queries(rows, every), 4096)
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,5 +152,5 @@ def search(table: DataFrame, k: int = 20, every: int = 20, rerank: int = RERANK,
                         s.append(score[order])
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (q, v, s)], ["query_id", "vec_id", "score"])
 
-    found = paired(index, query_blocks).mapInArrow(nearest, "query_id long, vec_id long, score double")
+    found = paired(index, query_blocks).mapInArrow(lean(nearest), "query_id long, vec_id long, score double")
     return best(found, k, F.col("score"))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gablework.llm.common import materialize
+from gablework.llm.common import lean, materialize
 from gablework.llm.vectors import BLOCKS, best, blocks, paired, queries, usable
 
 SCALE = 1024
@@ -116,7 +116,7 @@ def top_k(table: DataFrame, k: int = 10, every: int = 100, scale: int = SCALE) -
             widths = pa.array([x.shape[1] for x in slices], pa.int32())
             yield pa.RecordBatch.from_arrays([*batch.columns, widths, pa.array([x.tobytes() for x in slices], pa.binary())], [*batch.schema.names, "width", "slices"])
 
-    index = materialize(blocks(rows).mapInArrow(indexed, f"{BLOCKS}, width int, slices binary"), "sliced-index")
+    index = materialize(blocks(rows).mapInArrow(lean(indexed), f"{BLOCKS}, width int, slices binary"), "sliced-index")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -135,5 +135,5 @@ def top_k(table: DataFrame, k: int = 10, every: int = 100, scale: int = SCALE) -
                     s.append(values[at] @ query)
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (q, v, s)], ["query_id", "vec_id", "score"])
 
-    found = paired(index, blocks(queries(rows, every), 4096)).mapInArrow(search, "query_id long, vec_id long, score long")
+    found = paired(index, blocks(queries(rows, every), 4096)).mapInArrow(lean(search), "query_id long, vec_id long, score long")
     return best(found, k, F.col("score"))

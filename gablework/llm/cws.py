@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gablework.llm.common import Scratch, ranges, short_batches, text_buffers
+from gablework.llm.common import Scratch, lean, ranges, short_batches, text_buffers
 from gablework.llm.components import components
 from gablework.llm.texts import distinct, hashes, mix, runs, spans
 
@@ -117,7 +117,7 @@ def frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
         return pa.table({"part": pa.array([table.column("part")[0].as_py()], pa.int64()), "segment": pa.array([table.column("segment")[0].as_py()], pa.int32()), "counts": pa.array([total.tobytes()], pa.binary())})
 
     schema = "part long, segment int, counts binary"
-    sums = docs.select("text").mapInArrow(counted, schema).groupBy("part", "segment").applyInArrow(added, schema).groupBy("segment").applyInArrow(added, schema)
+    sums = docs.select("text").mapInArrow(lean(counted), schema).groupBy("part", "segment").applyInArrow(added, schema).groupBy("segment").applyInArrow(added, schema)
     got = {r.segment: np.frombuffer(r.counts, np.int64) for r in sums.collect()}
     if not got:
         return np.zeros((2, size), np.int64), 0
@@ -269,7 +269,7 @@ def _rest(groups: DataFrame, roots: DataFrame, nodes: DataFrame, texts_of: Calla
                 i, j = _joined(tuple(map(_samples, get("samples"))), get("text"), tuple(map(np.asarray, get("root"))), similarity, shared.value)
                 yield pa.RecordBatch.from_arrays([pa.array(x[i], pa.int64()), pa.array(y[j], pa.int64())], ["a", "b"])
 
-    return others.join(every, ["leader", "block"]).drop("leader", "block").mapInArrow(compared, "a long, b long")
+    return others.join(every, ["leader", "block"]).drop("leader", "block").mapInArrow(lean(compared), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -300,7 +300,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
             samples = pa.array([x.tobytes() if s else None for x, s in zip(short, some, strict=True)], pa.binary())
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "h1", "h2")), bands, samples], schema.names)
 
-    known = scratch.table(rows.mapInArrow(sampled, schema), "samples")
+    known = scratch.table(rows.mapInArrow(lean(sampled), schema), "samples")
     used = known.where("doc_id is not null and bands is not null")
     # Equal texts are one node; of their rows, one with the least doc_id stands for them.
     nodes = used.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.first("bands").alias("bands"), F.first("samples").alias("samples"))
@@ -326,7 +326,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     def near(pairs: DataFrame) -> DataFrame:
         texts = texts_of(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
         text = lambda name: texts.select(F.col("node").alias(name), F.col("text").alias(f"{name}_text"))
-        return pairs.join(text("a"), "a").join(text("b"), "b").select("a", "b", "a_text", "b_text").mapInArrow(verified, "a long, b long")
+        return pairs.join(text("a"), "a").join(text("b"), "b").select("a", "b", "a_text", "b_text").mapInArrow(lean(verified), "a long, b long")
 
     # Rows of one doc_id are linked as they are.
     own = member.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("most")).where("a < most").select("doc_id", "a")
@@ -343,7 +343,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     stars = groups.where("node <> leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
     side = lambda name: nodes.select(F.col("node").alias(name), F.col("samples").alias(f"{name}_samples"))
     pairs = pairs.union(stars).distinct().join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_samples", "b_samples")
-    links = scratch.table(links.union(near(scratch.table(pairs.mapInArrow(_agreeing, "a long, b long"), "candidates"))), "links")
+    links = scratch.table(links.union(near(scratch.table(pairs.mapInArrow(lean(_agreeing), "a long, b long"), "candidates"))), "links")
     roots = scratch.table(components(links, "a", "b", scratch), "roots")
     if groups.limit(1).count():
         fresh = scratch.table(_rest(groups, roots, nodes, texts_of, scratch, similarity, shared), "links")

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from gablework.llm.common import crc_of_ids, short_batches
+from gablework.llm.common import crc_of_ids, lean, short_batches
 from gablework.llm.tokens import encoder, with_end
 
 #: Tokens of a window; windows of a batch; tokens that a full batch leaves free in all.
@@ -212,4 +212,4 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int, blank_counts: bool = Tru
         if out := packer.finish():
             yield rows(out)
 
-    return docs.select("doc_id", "text").mapInArrow(pieces, PIECES)
+    return docs.select("doc_id", "text").mapInArrow(lean(pieces), PIECES)

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gablework.llm.common import short_batches, text_buffers, with_lit_crc
+from gablework.llm.common import lean, short_batches, text_buffers, with_lit_crc
 from gablework.llm.texts import runs
 
 ORDER = 3
@@ -180,7 +180,7 @@ def train(docs: DataFrame, held_out: Column, sample_bytes: int = SAMPLE_BYTES) -
                 n = np.bincount(back, weights=np.concatenate([c for _, c in parts]), minlength=len(key)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(key), pa.string()), pa.array(key.astype(np.int64)), pa.array(n)], schema.names)
 
-    counts = rows.where(part < share[F.col("lang")]).select("lang", "text").mapInArrow(counted, schema).groupBy("lang", "four").agg(F.sum("n").alias("n")).toArrow()
+    counts = rows.where(part < share[F.col("lang")]).select("lang", "text").mapInArrow(lean(counted), schema).groupBy("lang", "four").agg(F.sum("n").alias("n")).toArrow()
     code = counts.column("lang").combine_chunks().dictionary_encode()
     code = code.combine_chunks() if isinstance(code, pa.ChunkedArray) else code
     at, found = code.indices.to_numpy(zero_copy_only=False), code.dictionary.to_pylist()
@@ -215,7 +215,7 @@ def classify(docs: DataFrame, model: Model | None, keep: list[str], inside: str
             columns = [pa.array(np.where(letters, names[best], UNDECIDED), pa.string()), pa.array(np.where(letters, sure, 0.0)), pa.array(least[:, 0] / size)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in range(len(keep))), *columns], schema.names)
 
-    return rows.mapInArrow(predict, schema)
+    return rows.mapInArrow(lean(predict), schema)
 
 
 def held_out(doc_id: Column | str = "doc_id", folds: int = 5) -> Column:

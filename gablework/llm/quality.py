@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gablework.llm.common import short_batches, text_buffers, with_lit_crc
+from gablework.llm.common import lean, short_batches, text_buffers, with_lit_crc
 from gablework.llm.texts import RUN, distinct, hashes, runs, spans
 
 #: Labelled rows (expected, by hash of doc_id) that the trees are fitted on.
@@ -183,7 +183,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Trees:
             x = statistics(batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("quality").cast(pa.int32()), pa.array(list(x), pa.list_(pa.float64()))], schema.names)
 
-    got = joined.mapInArrow(described, schema).groupBy("doc_id").agg(F.max("quality").alias("quality"), F.max("x").alias("x")).orderBy("doc_id").toArrow()
+    got = joined.mapInArrow(lean(described), schema).groupBy("doc_id").agg(F.max("quality").alias("quality"), F.max("x").alias("x")).orderBy("doc_id").toArrow()
     x = np.array(got.column("x").to_pylist(), float).reshape(-1, len(NAMES))
     return boost(x, got.column("quality").to_numpy().astype(float))
 
@@ -200,7 +200,7 @@ def classify(docs: DataFrame, trees: Trees, keep: list[str]) -> DataFrame:
             columns = [*(batch.column(c) for c in range(len(keep))), pa.array(score), pa.array((score >= 0.5).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-    return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(scored, schema)
+    return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(lean(scored), schema)
 
 
 def quality(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gablework.llm.common import crc_of_ids, ranges, shared_dir, short_batches
+from gablework.llm.common import crc_of_ids, lean, ranges, shared_dir, short_batches
 from gablework.llm.tokens import encoder, with_end
 
 MAGIC = b"RPG2"
@@ -253,7 +253,7 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int, blank_co
 
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("_hash"))
     ordered = rows.repartitionByRange("doc_id", "_hash").sortWithinPartitions("doc_id", "_hash", "text").select("doc_id", "text")
-    ordered.mapInArrow(shards, SHARDS).write.parquet(path)
+    ordered.mapInArrow(lean(shards), SHARDS).write.parquet(path)
 
 
 def read_ids(spark: SparkSession, path: str, digest: bool = True, wanted: list[int] | None = None) -> DataFrame:
@@ -287,7 +287,7 @@ def read_ids(spark: SparkSession, path: str, digest: bool = True, wanted: list[i
                 last = pa.array([crc_of_ids(x) for x in own], pa.int64()) if digest else pa.array([x.tolist() for x in own], pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([names.take(pa.array(at)), pa.array((first + ends - sizes)[at], pa.int64()), pa.array(sizes[at], pa.int64()), last], schema.names)
 
-    return shards.join(F.broadcast(before), "part").mapInArrow(documents, schema)
+    return shards.join(F.broadcast(before), "part").mapInArrow(lean(documents), schema)
 
 
 def token_files(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 
 #: Bytes of text that are worked on at a time (a longer text is worked on alone).
-RUN = 1 << 20
+RUN = 1 << 19
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _BYTE = np.random.default_rng(7).integers(1, 1 << 63, 256).astype(np.uint64) * np.uint64(2) + np.uint64(1)
@@ -33,7 +33,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """_BASE**i and its inverse modulo 2**64."""
     if not _POWERS or len(_POWERS[0]) < n:
-        size = 1 << max(21, int(n - 1).bit_length())
+        size = 1 << max(20, int(n - 1).bit_length())
         inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
         _POWERS[:] = [np.concatenate(([np.uint64(1)], np.multiply.accumulate(np.full(size, b, np.uint64)))) for b in (_BASE, inverse)]
     return _POWERS[0], _POWERS[1]

@@ -19,12 +19,12 @@ import pyarrow as pa
 from gablework.llm.common import ranges, text_buffers
 
 #: Pre-tokens that a worker remembers, and ids that it holds for them; when it is full, those seen in one run alone are forgotten.
-CACHE_PIECES, CACHE_IDS = 600_000, 4_000_000
+CACHE_PIECES, CACHE_IDS = 200_000, 2_000_000
 #: Longer pre-tokens are not remembered.
 LONGEST = 64
 #: Bytes of text that are worked on at a time. A longer text is cut where a single blank or line end stands between
 #: plain letters or digits, which ends a pre-token in both vocabularies.
-RUN = 4 << 20
+RUN = 2 << 20
 _SAFE = re.compile(rb"[0-9A-Za-z][ \n][0-9A-Za-z]")
 
 _OTHER, _LETTER, _NUMBER, _SPACE, _ODD = range(5)

@@ -14,6 +14,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gablework.llm.common import lean
+
 BLOCK = 16_384
 BLOCKS = "block long, dim int, n int, ids binary, data binary"
 
@@ -63,7 +65,7 @@ def blocks(rows: DataFrame, rows_in_block: int = BLOCK) -> DataFrame:
         for dim in list(held):
             yield close(dim)
 
-    return rows.mapInArrow(packed, BLOCKS)
+    return rows.mapInArrow(lean(packed), BLOCKS)
 
 
 def paired(candidates: DataFrame, asked: DataFrame) -> DataFrame:
