@@ -158,14 +158,33 @@ def test_lines(docs, none):
 
 
 def test_archives(spark):
-    pages = spark.createDataFrame([(1, "u", "<p>x</p>"), (1, "u", "<p>x</p>"), (2, None, None), (None, "v", ""), (4, "w", LONG), (5, "z", "b")], "page_id long, url string, html string").withColumn("offset", F.lit(1))
-    ours = warc.layout(pages).cache()
-    assert ours.agg(F.sum("copies")).first()[0] == 6
-    assert warc.audit(ours, ours).count() == 0
-    worse = ours.where("page_id is null or page_id <> 5").withColumn("digest", F.when(F.col("page_id") == 4, F.lit("bad")).otherwise(F.col("digest")))
-    assert sorted((r.page_id, r.status) for r in warc.audit(ours, worse, leaf_bytes=256, fan_out=2).collect()) == [(4, "altered"), (5, "missing")]
-    assert [r.status for r in warc.audit(ours.where("page_id <> 1"), ours.where("page_id is not null")).collect()] == ["extra"]
-    assert warc.audit(warc.layout(pages.limit(0)), warc.layout(pages.limit(0))).count() == 0
+    rows = [(1, "u", "<p>x</p>"), (1, "u", "<p>x</p>"), (2, None, None), (None, "v", ""), (None, "w", ""), (4, "w", LONG), (5, "z", "b"), (6, "y", "c")]
+    pages = lambda r: spark.createDataFrame(r, "page_id long, url string, html string").withColumn("offset", F.lit(1))
+    records = warc.records(pages(rows))
+    places = warc.catalogue(records, archive_bytes=400).cache()
+    ours = warc.hashed(warc.stored(records, places)).cache()
+    assert ours.agg(F.sum("copies")).first()[0] == 8 and warc.audit(ours, ours).count() == 0
+    # Two tables that differ in one page, altered, and in one that is gone: no other record is reported.
+    other = warc.records(pages([(i, u, "<p>another, longer text</p>" if i == 5 else h) for i, u, h in rows if i != 6]))
+    theirs = warc.hashed(warc.stored(other, places))
+    got = warc.audit(ours, theirs, leaf_bytes=256, fan_out=2).collect()
+    assert sorted((r.page_id, r.status) for r in got) == [(5, "altered"), (6, "missing")]
+    assert next(r.found for r in got if r.page_id == 5) == other.where("page_id = 5").select(F.sha2("payload", 256)).first()[0]
+    assert [r.status for r in warc.audit(ours.where("page_id is null or page_id <> 1"), ours).collect()] == ["extra"]
+    none = warc.records(pages(rows).limit(0))
+    assert warc.audit(*(warc.hashed(warc.stored(none, warc.catalogue(none))) for _ in range(2))).count() == 0
+
+
+def test_damage_is_found_from_bytes(spark):
+    pages = spark.range(3000).select(F.col("id").alias("page_id"), F.concat(F.lit("http://x/"), "id").alias("url"), F.repeat(F.col("id").cast("string"), 30).alias("html"))
+    records = warc.records(pages)
+    ours = warc.stored(records, warc.catalogue(records, archive_bytes=20_000)).cache()
+    theirs = warc.damaged(ours).cache()
+    key = ["archive", "offset", "page_id"]
+    both = ours.select(*key, F.col("payload").alias("a")).join(theirs.select(*key, F.col("payload").alias("b")), key, "left")
+    want = sorted((r.page_id, "missing" if r.b is None else "altered") for r in both.where("b is null or a <> b").collect())
+    got = sorted((r.page_id, r.status) for r in warc.audit(warc.hashed(ours), warc.hashed(theirs)).collect())
+    assert got == want and len(want) > 10 and {s for _, s in want} == {"missing", "altered"}
 
 
 def test_pipeline_stages(spark, docs, none):
@@ -179,3 +198,30 @@ def test_pipeline_stages(spark, docs, none):
             at = at.cache()
             assert at.count() > 0 or table is none
         assert corpus_pipeline.STAGES[-1][1](spark, at, "").count() >= at.count()
+
+
+def test_language_stage_uses_its_prediction(spark):
+    import corpus_pipeline
+
+    text = {"de": "der hund und die katze laufen durch das haus und den garten ", "en": "the dog and the cat run through the house and the garden "}
+    rows = [(k, text[lang] * 3, lang) for k in range(40) for lang in ("de", "en") if k % 2 == (lang == "en")]
+    rows += [(100, text["de"], None), (101, text["en"], None), (102, "Q7#zX!9@kW$3^vJ&5*pL(2)" * 9, None), (103, "12 34", "en"), (104, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang for r in corpus_pipeline.identify_language(spark, docs, "").collect()}
+    assert got == {k: lang for k, _, lang in rows[:40]} | {100: "de", 101: "en"}
+    unnamed = corpus_pipeline.identify_language(spark, docs.withColumn("lang", F.lit(None).cast("string")), "")
+    assert unnamed.count() == 43
+
+
+def test_near_duplicate_stage_on_repeated_ids(spark):
+    import corpus_pipeline
+
+    words = [f"w{k}" for k in range(400)]
+    a, b, c = (" ".join(words[k : k + 100]) for k in (0, 120, 260))
+    rows = [(5, a, 1), (5, b, 1), (5, a, 1), (6, a, 2), (7, c, 3), (7, None, 4), (None, a, 5), (None, a, 5)]
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id long, text string, extra long")
+        got = sorted(corpus_pipeline.drop_near_duplicates(spark, docs, "").collect(), key=str)
+        assert [r.doc_id for r in got] == [5, 7, None, None] or sorted(str(r.doc_id) for r in got) == ["5", "7", "None", "None"]
+        kept = {r.doc_id: r.text for r in got}
+        assert kept[7] == c and kept[5] == min((a, b), key=lambda x: spark.range(1).select(F.xxhash64(F.lit(x))).first()[0])

@@ -31,16 +31,35 @@ def test_grammar_of_large_ids():
     assert (repair.Shard(blob).ids() == ids).all() and len(blob) < ids.nbytes
 
 
-@pytest.mark.parametrize(("name", "blank"), [("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)])
-def test_tokens_equal_the_library(name, blank):
+VOCABULARIES = [("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)]
+
+
+def _same_as_the_library(name, blank, texts):
     from tokenizers import Tokenizer
 
-    model, encode = Tokenizer.from_file(tokens.public_path(name)), tokens.encoder(tokens.public_path(name), blank)
+    model, encode = Tokenizer.from_file(tokens.public_path(name)), tokens.Encoder(tokens.public_path(name), blank)
+    ids, rows = encode(pa.array(texts, pa.string()))
+    assert len(rows) == len(texts) + 1
+    for k, x in enumerate(model.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)):
+        assert ids[rows[k] : rows[k + 1]].tolist() == x.ids, texts[k]
+
+
+@pytest.mark.parametrize(("name", "blank"), VOCABULARIES)
+@pytest.mark.parametrize("run", [64, 1 << 20])
+def test_tokens_equal_the_library(name, blank, run, monkeypatch):
+    """Also with texts cut into small runs, and with little memory for pre-tokens."""
+    monkeypatch.setattr(tokens, "RUN", run)
+    monkeypatch.setattr(tokens, "CACHE_PIECES", 50)
     rnd = random.Random(5)
-    texts = ["".join(rnd.choice(["a", "B", "é", "É", " ", "\n", ".", ",", "'s", "1", "!", "\t", " ", "́", "　", "ß", "日本"]) for _ in range(rnd.randint(0, 30))) for _ in range(800)] + ["", None]
-    ids, rows = encode(pa.array(texts))
-    for k, t in enumerate(texts):
-        assert ids[rows[k] : rows[k + 1]].tolist() == model.encode(t or "", add_special_tokens=False).ids
+    parts = ["a", "B", "é", "É", " ", "\n", ".", ",", "'s", "'", "'S", "'ll", "re", "1", "²", "!", "\t", "  ", "\r", "\u00a0", "<|", "<|endoftext|>", "–", "€", "İ", "ß", "日本", "\u0301", "\u3000", "\x1c", "x y", "dog "]
+    texts = ["".join(rnd.choice(parts[: rnd.choice([22, 32])]) for _ in range(rnd.randint(0, 40))) for _ in range(1500)]
+    _same_as_the_library(name, blank, [*texts, "", None, "word " * 300])
+
+
+@pytest.mark.parametrize(("name", "blank"), VOCABULARIES)
+def test_tokens_of_all_code_points(name, blank):
+    """Each code point up to U+FFFF beside letters, digits, blanks, line ends, apostrophes and itself."""
+    _same_as_the_library(name, blank, [f"a{c}b {c}x 1{c}\n{c}{c} 's{c}'S {c} " for c in map(chr, range(1 << 16)) if not "\ud800" <= c <= "\udfff"])
 
 
 @settings(max_examples=60, deadline=None)
@@ -63,6 +82,150 @@ def test_packing_leaves_little_free():
     assert sums.sum() == sum(sizes) and padded <= 1.01 * sum(sizes)
 
 
+@pytest.mark.parametrize("n", [1, 40, 300])
+def test_remainders_are_dealt(n):
+    """What a task has left at its end goes through differencing, but for about a window."""
+    rng = np.random.default_rng(n)
+    packer, sizes = packing.Packer(), np.minimum(rng.lognormal(6, 1.1, n).astype(int) + 1, 30000).tolist()
+    out = [p for k, x in enumerate(sizes) for p in packer.place(k, x)]
+    rest, held = packer.finish(), 0
+    held = sum(x[2] for x in rest)
+    windows = {}
+    for x in rest:
+        windows[x[3]] = windows.get(x[3], 0) + x[2]
+    dealt = sum(v for v in windows.values() if v >= 2040)
+    assert held - dealt < 2048 + 32 + packing.FREE * 64
+    for k, x in enumerate(sizes):
+        own = sorted((p[1], p[2]) for p in out + rest if p[0] == k)
+        assert sum(v for _, v in own) == x and all(a + v == b for (a, v), (b, _) in zip(own, own[1:], strict=False))
+
+
+def test_frequent_pairs_are_all_replaced():
+    """No pair is left that would pay, and the rules' lengths are those of what they stand for."""
+    rng = np.random.default_rng(4)
+    words = [rng.integers(0, 40, rng.integers(2, 9)) for _ in range(60)]
+    ids = np.concatenate([words[k] for k in rng.integers(0, 60, 3000)]).astype(np.uint32)
+    shard = repair.Shard(repair.compress(ids))
+    pairs, last = {}, {}
+    for k, p in enumerate(zip(shard.seq[:-1].tolist(), shard.seq[1:].tolist(), strict=True)):
+        if last.get(p) != k - 1:
+            pairs[p], last[p] = pairs.get(p, 0) + 1, k
+    assert max(pairs.values()) < repair.MIN_USES and len(shard.seq) < len(ids) / 3
+    assert (shard.ids() == ids).all() and shard.size[shard.seq].sum() == len(ids)
+
+
+def test_documents_by_range(spark, tmp_path):
+    docs = read_table(spark, DATA, "documents")
+    path = tokens.public_path("word_bpe_49k.json")
+    repair.write_ids(docs, str(tmp_path / "ids"), path, 2, shard_ids=5000)
+    every = {r.doc_id: tuple(r) for r in repair.read_ids(spark, str(tmp_path / "ids")).collect()}
+    some = repair.read_ids(spark, str(tmp_path / "ids"), wanted=[3, 50, 199]).collect()
+    assert sorted(r.doc_id for r in some) == [3, 50, 199] and all(every[r.doc_id] == tuple(r) for r in some)
+
+
+def test_boosted_trees_equal_plain_search():
+    """The first tree against a search over all features and edges, and the walk over arrays against one node by node."""
+    from gablework.llm import quality
+
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(120, 3))
+    y = (x[:, 0] + 0.5 * x[:, 1] ** 2 + 0.2 * rng.normal(size=120) > 0.3).astype(float)
+    trees = quality.boost(x, y, trees=3, depth=2, bins=8)
+    share = np.clip(y.mean(), 1e-3, 1 - 1e-3)
+    g, h = share - y, np.full(120, share * (1 - share))
+
+    def best(rows):
+        score = lambda r: g[r].sum() ** 2 / (h[r].sum() + quality.SHRINK)
+        found = (1e-9, None, None)
+        for f in range(3):
+            for edge in np.unique(np.quantile(x[:, f], np.linspace(0, 1, 9)[1:-1])):
+                left, right = rows[x[rows, f] <= edge], rows[x[rows, f] > edge]
+                if min(len(left), len(right)) >= quality.LEAST and (gain := score(left) + score(right) - score(rows)) > found[0] + 1e-12:
+                    found = (gain, f, edge)
+        return found[1:]
+
+    def grow(rows, node, depth):
+        if depth == 2:
+            assert trees.leaf[0, node - 3] == pytest.approx(-quality.RATE * g[rows].sum() / (h[rows].sum() + quality.SHRINK))
+            return
+        f, edge = best(rows)
+        if f is not None:
+            assert (trees.feature[0, node], trees.threshold[0, node]) == (f, pytest.approx(edge))
+        right = x[rows, trees.feature[0, node]] > trees.threshold[0, node]
+        grow(rows[~right], 2 * node + 1, depth + 1)
+        grow(rows[right], 2 * node + 2, depth + 1)
+
+    grow(np.arange(120), 0, 0)
+    for row, margin in zip(x[:30], trees.margin(x[:30]), strict=True):
+        total = trees.base
+        for t in range(3):
+            node = 0
+            while node < 3:
+                node = 2 * node + (2 if row[trees.feature[t, node]] > trees.threshold[t, node] else 1)
+            total += trees.leaf[t, node - 3]
+        assert margin == pytest.approx(total)
+
+
+def test_long_texts_are_worked_on_by_parts(monkeypatch):
+    """Statistics and code lengths of one text are the same whatever the parts are."""
+    from gablework.llm import quality, texts
+
+    rnd = random.Random(1)
+    text = pa.array([" ".join(rnd.choice(["alpha", "Bé", "12", "x.\n", "!!"]) for _ in range(4000)), "short", None, ""])
+    data, offsets = cws.text_buffers(text)
+    four, _ = ppm.grams(data, offsets)
+    key, n = np.unique(four, return_counts=True)
+    model = ppm.Model(["a", "b"], [ppm.Tree(key, n.astype(float)), ppm.Tree(key[::3], n[::3].astype(float))])
+    whole = quality.statistics(text), model.score(text), [x.tolist() for x in cws.shingles(text)]
+    for module, name in ((quality, "RUN"), (texts, "RUN"), (ppm, "_CHUNK")):
+        monkeypatch.setattr(module, name, 777)
+    assert np.allclose(whole[0], quality.statistics(text)) and np.allclose(whole[1], model.score(text))
+    assert whole[2] == [x.tolist() for x in cws.shingles(text)]
+
+
+def test_additive_recall_on_the_table(spark):
+    from gablework.llm import additive
+
+    table = read_table(spark, "/root/testdata/sf0.1", "embeddings")
+    rows = table.select("vec_id", "embedding").collect()
+    ids, x = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], float)
+    got = {}
+    for r in additive.search(table).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = []
+    for k in np.flatnonzero(ids % 20 == 0):
+        score = x @ x[k]
+        score[k] = -np.inf
+        hits.append(len(got[int(ids[k])] & set(ids[np.argsort(-score)[:20]].tolist())) / 20)
+    assert np.mean(hits) >= 0.9
+
+
+def test_additive_by_distance(spark):
+    from gablework.llm import additive
+
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(400, 8)) * rng.uniform(0.2, 3, 400)[:, None]
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    hits = []
+    got = additive.search(table, k=5, every=40, euclidean=True).collect()
+    for q in {r.query_id for r in got}:
+        d = ((x - x[q]) ** 2).sum(axis=1)
+        d[q] = np.inf
+        own = [r for r in got if r.query_id == q]
+        assert all(r.score == pytest.approx(-d[r.vec_id]) for r in own)
+        hits.append(len({r.vec_id for r in own} & set(np.argsort(d)[:5].tolist())) / 5)
+    assert np.mean(hits) >= 0.9
+
+
+def test_mix_favours_higher_classes(spark):
+    rows = [(k, "word " * 10, "a", 1 + k % 3) for k in range(3000)] + [(5000 + k, "word " * 10, "b", 1) for k in range(9000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, own int")
+    got = mixing.mix(docs, weights=(1, 3), relative="own").join(docs.select("doc_id", "own"), "doc_id").where("source = 'a'")
+    taken = {r.own: r.c for r in got.groupBy("own").agg(F.avg("copies").alias("c")).collect()}
+    # A target as large as the source: classes 1, 2 and 3 are expected 0.5, 1 and 1.5 times.
+    assert all(taken[k] == pytest.approx(k / 2, abs=0.06) for k in (1, 2, 3))
+
+
 def test_code_lengths_are_exact():
     """Against a plain PPM that walks the contexts byte by byte."""
     text, probe = b"the cat sat on the mat and the bat", b"the rat sat on that\x00"
