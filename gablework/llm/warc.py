@@ -29,40 +29,48 @@ def _number(text: Column, first: int, digits: int = 8) -> Column:
 
 
 def records(pages: DataFrame) -> DataFrame:
-    """Distinct records of pages (page_id, url, html): page_id, name (empty for a page's only record, its hash otherwise), payload,
-    size, copies. Repeated rows are one record with copies. Null urls and texts count as empty."""
-    rows = pages.select("page_id", record(F.col("url"), F.col("html")).alias("payload")).withColumn("digest", F.sha2("payload", 256))
-    one = rows.groupBy("page_id", "digest").agg(F.first("payload").alias("payload"), F.count("*").alias("copies"))
-    one = materialize(one, "records")
+    """The record of every row of pages (page_id, url, html): page_id, payload, digest, size. Null urls and texts count as empty."""
+    rows = pages.select("page_id", record(F.col("url"), F.col("html")).alias("payload"))
+    return rows.select("page_id", "payload", F.sha2("payload", 256).alias("digest"), F.octet_length("payload").cast("long").alias("size"))
+
+
+def _named(of: DataFrame) -> DataFrame:
+    """Distinct records without their bytes: page_id, digest, size, copies and name, empty for a page's only record, its hash otherwise."""
+    one = materialize(of.groupBy("page_id", "digest", "size").agg(F.count("*").alias("copies")), "records")
     several = one.groupBy(F.col("page_id").alias("of")).agg(F.count("*").alias("n")).where("n > 1").select("of", F.lit(True).alias("several"))
     named = one.join(several, F.col("page_id").eqNullSafe(F.col("of")), "left")
-    return named.select("page_id", F.when(F.col("several"), F.col("digest")).otherwise("").alias("name"), "payload", F.octet_length("payload").cast("long").alias("size"), "copies")
+    return named.select("page_id", "digest", "size", "copies", F.when(F.col("several"), F.col("digest")).otherwise("").alias("name"))
 
 
 def catalogue(of: DataFrame, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Places of records: page_id, name, archive, offset. The md5 of a record's page_id and name deals it to an archive, where
-    records stand in order of page_id (nulls first) and name, copies one after the other. So a page whose bytes change
-    keeps its place in a catalogue that was made before."""
-    total = of.agg(F.coalesce(F.sum(F.col("size") * F.col("copies")), F.lit(0)).alias("n")).first().n
+    records stand in order of page_id (nulls first) and name, with room for all copies. So a page whose bytes change keeps its
+    place in a catalogue that was made before."""
+    named = _named(of)
+    total = named.agg(F.coalesce(F.sum(F.col("size") * F.col("copies")), F.lit(0)).alias("n")).first().n
     archives = max(1, -(-total // archive_bytes))
     key = F.concat(F.coalesce(F.col("page_id").cast("string"), F.lit("null")), F.lit(":"), F.col("name"))
     archive = F.pmod(_number(F.md5(key.cast("binary")), 1), F.lit(archives))
     # An archive has a bounded number of bytes, so its records are ordered by one task.
     order = Window.partitionBy("archive").orderBy(F.col("page_id").asc_nulls_first(), "name")
     length = F.col("size") * F.col("copies")
-    return of.select("page_id", "name", "size", "copies", archive.alias("archive")).select("page_id", "name", "archive", (F.sum(length).over(order) - length).alias("offset"))
+    return materialize(named.withColumn("archive", archive).select("page_id", "name", "archive", (F.sum(length).over(order) - length).alias("offset")), "catalogue")
 
 
 def stored(of: DataFrame, places: DataFrame) -> DataFrame:
     """A replica: the records that the catalogue knows, at their places: archive, offset, page_id, copies, payload. A place
-    holds a record of its page, whatever its bytes are now."""
+    holds a record of its page, whatever its bytes are now; repeated rows share theirs. Only this join can send bytes, and
+    it doesn't while the places are small enough for Spark to broadcast them."""
+    same = F.col("page_id").eqNullSafe(F.col("of")) & (F.col("name") == F.col("of_name"))
     where = places.select(F.col("page_id").alias("of"), F.col("name").alias("of_name"), "archive", "offset")
-    return of.join(where, F.col("page_id").eqNullSafe(F.col("of")) & (F.col("name") == F.col("of_name"))).select("archive", "offset", "page_id", "copies", "payload")
+    at = _named(of).join(where, same).select(F.col("page_id").alias("at_id"), F.col("digest").alias("at_digest"), "copies", "archive", "offset")
+    at = materialize(at, "places")
+    return of.join(at, F.col("page_id").eqNullSafe(F.col("at_id")) & (F.col("digest") == F.col("at_digest"))).select("archive", "offset", "page_id", "copies", "payload")
 
 
 def hashed(replica: DataFrame) -> DataFrame:
     """Hashes of a replica's records, from the bytes that are stored: archive, offset, page_id, copies, digest."""
-    return replica.select("archive", "offset", "page_id", "copies", F.sha2("payload", 256).alias("digest"))
+    return replica.select("archive", "offset", "page_id", "copies", F.sha2("payload", 256).alias("digest")).distinct()
 
 
 def leaves(records: DataFrame, leaf_bytes: int = LEAF_BYTES) -> DataFrame:
