@@ -46,6 +46,8 @@ class Settings:
     hough_min_length_px: float = 120.0
     hough_angle_deg: float = 12.0
     naming: str = "legacy"
+    enable_quad_fit: bool = True
+    enable_line_detection: bool = True
 
     def overridden(self, local: dict[str, Any] | None = None) -> Settings:
         """Values of upper-case keys that name a setting replace it; other keys are ignored."""

@@ -269,6 +269,17 @@ def vertical_map(y: Column, x: Column, from_top, to_top, height: Number) -> Colu
     return piecewise(y, [y_at_x(from_top, x)], [y_at_x(to_top, x)], lit(height) - 1.0)
 
 
+def warped_line(line: Sequence[Column], from_left, from_right, to_left, to_right, width: Number) -> tuple[Column, ...]:
+    """A line (x0, y0, x1, y1) whose ends are moved along their rows as horizontal_map does."""
+    x0, y0, x1, y1 = line
+    return horizontal_map(x0, y0, from_left, from_right, to_left, to_right, width), y0, horizontal_map(x1, y1, from_left, from_right, to_left, to_right, width), y1
+
+
+def texture_uv(x: Column, y: Column, width: Number, height: Number) -> tuple[Column, Column]:
+    """Texture coordinates of a pixel, v upward."""
+    return x / lit(width), 1.0 - y / lit(height)
+
+
 def affine(m: Sequence[Number], x: Column, y: Column) -> tuple[Column, Column]:
     return lit(m[0]) * x + lit(m[1]) * y + lit(m[2]), lit(m[3]) * x + lit(m[4]) * y + lit(m[5])
 

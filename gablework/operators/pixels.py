@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from gablework.config import Settings
 from gablework.functions import geometry as g
+from gablework.operators import graphs
 
 PIXEL = ["img", "x", "y"]
 
@@ -32,35 +37,83 @@ def union(*masks: DataFrame) -> DataFrame:
     return out.distinct()
 
 
-def _offsets(radius: int) -> Column:
-    steps = range(-radius, radius + 1)
-    return F.explode(F.array(*(F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx in steps for dy in steps)))
+def _rows(radius: int, shape: str) -> dict[int, int]:
+    """Half width of each row of a structuring element."""
+    return {dy: radius if shape == "square" else round((radius * radius - dy * dy) ** 0.5) for dy in range(-radius, radius + 1)}
 
 
-def _around(mask: DataFrame, radius: int, width: int, height: int) -> DataFrame:
-    at = mask.select(PIXEL).distinct().withColumn("_o", _offsets(radius))
+def _offsets(radius: int, shape: str) -> Column:
+    return F.explode(F.array(*(F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dy, half in _rows(radius, shape).items() for dx in range(-half, half + 1))))
+
+
+def _around(mask: DataFrame, radius: int, width: int, height: int, shape: str) -> DataFrame:
+    at = mask.select(PIXEL).distinct().withColumn("_o", _offsets(radius, shape))
     moved = at.select("img", (F.col("x") + F.col("_o.dx")).alias("x"), (F.col("y") + F.col("_o.dy")).alias("y"))
     return moved.where(F.col("x").between(0, width - 1) & F.col("y").between(0, height - 1))
 
 
-def dilate(mask: DataFrame, radius: int, width: int, height: int) -> DataFrame:
-    """By a square of side 2 * radius + 1, within the image."""
-    return _around(mask, radius, width, height).distinct()
+def dilate(mask: DataFrame, radius: int, width: int, height: int, shape: str = "square") -> DataFrame:
+    """By a square of side 2 * radius + 1, or the ellipse within it, within the image."""
+    return _around(mask, radius, width, height, shape).distinct()
+
+
+def erode(mask: DataFrame, radius: int, width: int, height: int, shape: str = "square") -> DataFrame:
+    """Pixels whose whole square (or ellipse), as far as it lies within the image, is in the mask."""
+    count = _around(mask, radius, width, height, shape).groupBy(PIXEL).agg(F.count("*").alias("n"))
+    span = lambda c, half, size: F.least(F.col(c) + half, F.lit(size - 1)) - F.greatest(F.col(c) - half, F.lit(0)) + 1
+    if shape == "square":
+        whole = span("x", radius, width) * span("y", radius, height)
+    else:
+        whole = sum((F.when((F.col("y") + dy).between(0, height - 1), span("x", half, width)).otherwise(0) for dy, half in _rows(radius, shape).items()), F.lit(0))
+    return count.where(F.col("n") == whole).select(PIXEL)
+
+
+def opened(mask: DataFrame, radius: int, width: int, height: int, shape: str = "square") -> DataFrame:
+    return dilate(erode(mask, radius, width, height, shape), radius, width, height, shape)
+
+
+def closed(mask: DataFrame, radius: int, width: int, height: int, shape: str = "square") -> DataFrame:
+    return erode(dilate(mask, radius, width, height, shape), radius, width, height, shape)
+
+
+def cleaned(mask: DataFrame, width: int, height: int, s: Settings = Settings()) -> DataFrame:  # noqa: B008
+    """A selected mask closed, opened (both by ellipses), without small components and with its holes filled, in this order."""
+    if s.mask_close_px > 0:
+        mask = closed(mask, s.mask_close_px, width, height, "ellipse")
+    if s.mask_open_px > 0:
+        mask = opened(mask, s.mask_open_px, width, height, "ellipse")
+    return graphs.filled_holes(graphs.without_small(graphs.pixel_components(mask), s.min_component_px), width, height)
+
 
+#: Length of a step to the side and across, of distances in a mask.
+STEP, ACROSS = 0.955, 1.3693
 
-def erode(mask: DataFrame, radius: int, width: int, height: int) -> DataFrame:
-    """Pixels whose whole square, as far as it lies within the image, is in the mask."""
-    count = _around(mask, radius, width, height).groupBy(PIXEL).agg(F.count("*").alias("n"))
-    span = lambda c, size: F.least(F.col(c) + radius, F.lit(size - 1)) - F.greatest(F.col(c) - radius, F.lit(0)) + 1
-    return count.where(F.col("n") == span("x", width) * span("y", height)).select(PIXEL)
 
+def distance_weights(mask: DataFrame, width: int, height: int) -> DataFrame:
+    """Weights (img, x, y, w) of a mask's pixels: their distance from the background by steps of STEP and ACROSS over the image's greatest,
+    at least 0.001. An image that is all mask has 1 everywhere. An image is measured by one task, in two sweeps over its rows."""
 
-def opened(mask: DataFrame, radius: int, width: int, height: int) -> DataFrame:
-    return dilate(erode(mask, radius, width, height), radius, width, height)
+    def sweep(d: np.ndarray) -> np.ndarray:
+        ramp = STEP * np.arange(d.shape[1])
+        for y in range(len(d)):
+            if y:
+                up = np.pad(d[y - 1], 1, constant_values=np.inf)
+                d[y] = np.minimum(d[y], np.minimum(up[1:-1] + STEP, np.minimum(up[:-2], up[2:]) + ACROSS))
+            d[y] = np.minimum(d[y], np.minimum.accumulate(d[y] - ramp) + ramp)
+            d[y] = np.minimum(d[y], (np.minimum.accumulate(d[y][::-1] - ramp) + ramp)[::-1])
+        return d
 
+    def weigh(rows: pd.DataFrame) -> pd.DataFrame:
+        x, y = rows["x"].to_numpy(), rows["y"].to_numpy()
+        d = np.zeros((height, width))
+        d[y, x] = np.inf
+        d = sweep(sweep(d)[::-1])[::-1]
+        near = d[y, x]
+        w = np.ones(len(near)) if np.isinf(near).all() else np.clip(near / near.max(), 1e-3, 1.0)
+        return rows.assign(w=w)
 
-def closed(mask: DataFrame, radius: int, width: int, height: int) -> DataFrame:
-    return erode(dilate(mask, radius, width, height), radius, width, height)
+    at = mask.select("img", F.col("x").cast("long"), F.col("y").cast("long")).where(F.col("x").between(0, width - 1) & F.col("y").between(0, height - 1)).distinct()
+    return at.groupBy("img").applyInPandas(weigh, T.StructType([*at.schema, T.StructField("w", T.DoubleType())]))
 
 
 def score_instances(instances: DataFrame, roof: DataFrame, wall: DataFrame, width: int, height: int) -> DataFrame:

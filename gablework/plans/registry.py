@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gablework.functions import geometry as g
 from gablework.functions import naming
-from gablework.operators import cameras, fitting, graphs, panoramas, pixels, rings
+from gablework.operators import cameras, documents, fitting, graphs, panoramas, pixels, rings
 from gablework.plans import tables as t
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -563,18 +563,7 @@ def json_lookup(s, d):
 @query()
 def wall_document_json(s, d):
     """A wall's document: what the view, the wall and its canvas are, as JSON."""
-    at = cameras.views(_aimed(s, d))
-    xyz = lambda n: F.array(*(F.col(f"{n}.{c}") for c in "xyz"))
-    doc = F.struct(
-        F.lit("facade").alias("type"), F.lit(1).alias("version"),
-        F.struct(F.array(*(F.array(f"{n}_u", f"{n}_v") for n in ("b1", "b2", "t2", "t1"))).alias("uv_quad_px"), F.col("tier")).alias("cropped_image"),
-        F.struct(g.focal(640, F.col("fov")).alias("fx"), F.col("fov").alias("fov_deg")).alias("intrinsics"),
-        F.struct(F.array("cam_x", "cam_y", "cam_z").alias("camera_utm_xyz"), F.col("heading").alias("heading_deg"), F.col("pitch").alias("pitch_deg")).alias("extrinsics"),
-        F.struct("building", F.coalesce("component", F.lit(-1)).alias("component_id"), F.coalesce("loop", F.lit(-1)).alias("loop_id"), "loop_index", "wall_index").alias("wall_identity"),
-        F.struct(F.array(*(xyz(n) for n in ("t1", "t2", "b2", "b1"))).alias("quad_xyz"), F.array("cx", "cy", "cz").alias("center_xyz")).alias("wall_geometry"),
-        F.struct("pano_id", "pano_x", "pano_y").alias("source"),
-    )
-    return at.select("building", "wall_index", F.to_json(doc).alias("document"))
+    return documents.wall_documents(cameras.views(_aimed(s, d)))
 
 
 @query("""

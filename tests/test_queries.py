@@ -5,7 +5,7 @@ import math
 import duckdb
 import pytest
 
-from gablework.plans import registry
+from gablework.plans import areas, registry  # noqa: F401 - areas registers its queries
 
 DATA = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
