@@ -86,6 +86,21 @@ def segment_candidates(segments: DataFrame, targets: DataFrame, s: Settings = Se
     return at.where(long_enough & (turn <= s.hough_angle_deg) & F.exists(F.array(*(F.lit(k) for k in (0.0, 1.0, 0.5, 0.75, 0.25))), near))
 
 
+def side_lines(segments: DataFrame, targets: DataFrame, s: Settings = Settings()) -> DataFrame:  # noqa: B008
+    """The line through the ends of all candidates of each target side (see segment_candidates; one side a grp): n_segments, x0, y0, x1, y1 in the
+    side's direction, its length, its turn from the side and its middle's distance from the side's line. A side without candidates
+    has no row."""
+    kept = segment_candidates(segments, targets, s).select("grp", F.explode(F.array(*(F.struct(F.col(f"x{k}").alias("x"), F.col(f"y{k}").alias("y")) for k in (0, 1)))).alias("p"))
+    at = fit_line(kept.select("grp", "p.x", "p.y")).drop("cx", "cy", "angle_deg").join(targets, "grp")
+    back = (F.col("x1") - F.col("x0")) * (F.col("tx1") - F.col("tx0")) + (F.col("y1") - F.col("y0")) * (F.col("ty1") - F.col("ty0")) < 0
+    turned = {f"{c}{k}": F.when(back, F.col(f"{c}{1 - k}")).otherwise(F.col(f"{c}{k}")) for c in "xy" for k in (0, 1)}
+    at = at.withColumns(turned)
+    dx, dy = F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")
+    turn = g.angle_difference(g.segment_angle(dx, dy), g.segment_angle(F.col("tx1") - F.col("tx0"), F.col("ty1") - F.col("ty0")))
+    away = g.point_line_distance(((F.col("x0") + F.col("x1")) * 0.5, (F.col("y0") + F.col("y1")) * 0.5), (F.col("tx0"), F.col("ty0")), (F.col("tx1"), F.col("ty1")))
+    return at.select("grp", (F.col("n") / 2).cast("long").alias("n_segments"), "x0", "y0", "x1", "y1", g.norm((dx, dy)).alias("length"), turn.alias("turn"), away.alias("distance"))
+
+
 def inward_sides(wall: list[g.Point]) -> list[g.Point]:
     """(a, b, c) of each side of a convex wall (corners in order): ax + by + c is the distance to it, positive inside."""
     middle = tuple(sum(x[1:], x[0]) / float(len(wall)) for x in zip(*wall, strict=True))

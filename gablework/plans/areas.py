@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gablework.functions import geometry as g
-from gablework.operators import documents, pixels, polygons
+from gablework.operators import documents, fitting, pixels, polygons
 from gablework.plans import registry
 from gablework.plans import tables as t
 from gablework.plans.registry import _AIM_SQL, _BEST_SQL, _aimed, _best, _round, query
@@ -142,6 +142,20 @@ def line_warp(s, d):
     return _round(t.read(s, d, "customer").select(F.col("c_custkey").alias("id"), warped[0].alias("x0"), warped[2].alias("x1")), "x0", "x1", digits=6)
 
 
+@query("WITH" + registry._SEGMENTS_SQL + ",\nkept AS (" + registry.oracle_sql()["hough_candidate_filter"] + """),
+p AS (SELECT grp, x0 AS x, y0 AS y FROM s JOIN kept USING (grp, seg) UNION ALL SELECT grp, x1, y1 FROM s JOIN kept USING (grp, seg)),
+m AS (SELECT grp, count(*) // 2 AS n, avg(x) AS cx, avg(y) AS cy, 0.5e0 * atan2(2e0 * covar_pop(x, y), var_pop(x) - var_pop(y)) AS a FROM p GROUP BY grp),
+w AS (SELECT m.*, tx0, ty0, tx1, ty1, CASE WHEN cos(a) * (tx1 - tx0) + sin(a) * (ty1 - ty0) < 0 THEN -1e0 ELSE 1e0 END AS f FROM m JOIN t USING (grp)),
+e AS (SELECT grp, min((x - cx) * cos(a) * f + (y - cy) * sin(a) * f) - 20e0 AS lo, max((x - cx) * cos(a) * f + (y - cy) * sin(a) * f) + 20e0 AS hi FROM p JOIN w USING (grp) GROUP BY grp),
+l AS (SELECT *, cx + cos(a) * f * lo AS x0, cy + sin(a) * f * lo AS y0, cx + cos(a) * f * hi AS x1, cy + sin(a) * f * hi AS y1 FROM w JOIN e USING (grp))
+SELECT grp, n AS n_segments, round(x0, 3) + 0e0 AS x0, round(y0, 3) + 0e0 AS y0, round(x1, 3) + 0e0 AS x1, round(y1, 3) + 0e0 AS y1, round(hi - lo, 3) + 0e0 AS length,
+       round(degrees(acos(least(1e0, abs(cos(a) * (tx1 - tx0) + sin(a) * (ty1 - ty0)) / sqrt((tx1 - tx0) * (tx1 - tx0) + (ty1 - ty0) * (ty1 - ty0))))), 3) + 0e0 AS turn,
+       round(abs((tx1 - tx0) * (ty0 - (y0 + y1) / 2) - (tx0 - (x0 + x1) / 2) * (ty1 - ty0)) / sqrt((tx1 - tx0) * (tx1 - tx0) + (ty1 - ty0) * (ty1 - ty0)), 3) + 0e0 AS distance FROM l""")
+def side_lines(s, d):
+    """The best line for each side, of the segments near it."""
+    return _round(fitting.side_lines(*registry._segments(s, d)), "x0", "y0", "x1", "y1", "length", "turn", "distance", digits=3)
+
+
 @query("""
 WITH spot AS (SELECT event_id, value - 40e0 AS dx, hour(ts) * 3e0 - 90e0 AS dy FROM events)
 SELECT event_id, round((-0.54e0 * dx - 0.1e0 * dy) / (-0.26e0) / 400e0, 8) + 0e0 AS u, round(1e0 - (0.5e0 * dy + 0.1e0 * dx) / (-0.26e0) / 300e0, 8) + 0e0 AS v FROM spot""")

@@ -443,11 +443,15 @@ near AS (SELECT *, least(greatest(((sx - tx0) * (tx1 - tx0) + (sy - ty0) * (ty1
 SELECT DISTINCT grp, seg FROM near WHERE sqrt((x1 - x0) * (x1 - x0) + (y1 - y0) * (y1 - y0)) >= 120 AND least(turn, 180e0 - turn) <= 12
   AND sqrt((sx - (tx0 + (tx1 - tx0) * u)) * (sx - (tx0 + (tx1 - tx0) * u)) + (sy - (ty0 + (ty1 - ty0) * u)) * (sy - (ty0 + (ty1 - ty0) * u))) <= 80""")
 def hough_candidate_filter(s, d):
+    return fitting.segment_candidates(*_segments(s, d)).select("grp", "seg")
+
+
+def _segments(s, d):
     c = t.read(s, d, "customer")
     x, y, k = F.col("c_acctbal") / 10.0, F.length("c_name") * F.lit(10.0), F.col("c_custkey")
     seg = c.select(k.alias("seg"), F.col("c_nationkey").alias("grp"), x.alias("x0"), y.alias("y0"), (x + (k % 97) * F.lit(4.0) - 150.0).alias("x1"), (y + (k % 53) * F.lit(9.0) - 200.0).alias("y1"))
     n = t.read(s, d, "nation").select(F.col("n_nationkey").alias("grp"), (F.col("n_nationkey") * F.lit(20.0)).alias("tx0"), F.lit(0.0).alias("ty0"), (F.col("n_nationkey") * F.lit(20.0) + 30.0).alias("tx1"), F.lit(600.0).alias("ty1"))
-    return fitting.segment_candidates(seg, n).select("grp", "seg")
+    return seg, n
 
 
 @query("""
