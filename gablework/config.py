@@ -25,23 +25,17 @@ class Settings:
     tile_overlap_deg: float = 20.0
     band_buffer_px: float = 20.0
     prism_length_m: float = 1000.0
-    prism_back_m: float = 1.0
     pixels_per_meter: float = 100.0
     ortho_margin_m: float = 0.25
     max_ortho_pixels: int = 30_000_000
-    roof_dilate_px: int = 2
-    hole_dilate_px: int = 5
-    min_hole_px: int = 64
     fit_shift: float = 0.20
     fit_shift_steps: int = 21
-    fit_bisections: int = 40
     fit_inset_px: float = 0.25
     fit_growth: float = 1.35
     fit_max_scale: float = 6.0
     mask_close_px: int = 7
     mask_open_px: int = 3
     min_component_px: int = 200
-    min_contour_px: int = 500
     hough_band_px: float = 80.0
     hough_min_length_px: float = 120.0
     hough_angle_deg: float = 12.0
