@@ -120,13 +120,6 @@ def crc_of_ids(ids: np.ndarray) -> int:
     return zlib.crc32(np.ascontiguousarray(ids, "<u4").tobytes())
 
 
-def segment_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Sums of values within offsets[i]:offsets[i+1]; empty ranges sum to 0."""
-    total = np.zeros(len(values) + 1, np.float64 if values.dtype.kind == "f" else np.int64)
-    np.cumsum(values, out=total[1:])
-    return total[offsets[1:]] - total[offsets[:-1]]
-
-
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Concatenated arange(s, s + n) for each start and length."""
     total = int(lengths.sum())
