@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gablework.llm import additive, bitsliced, cws, lines, mixing, packing, ppm, quality, repair, warc
+from gablework.llm import additive, bitsliced, cws, lines, manifest, mixing, packing, ppm, quality, repair, warc
 from gablework.llm.common import materialize, read_table
 from gablework.llm.tokens import public_path
 
@@ -57,6 +57,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest(read_table(spark, sf_dir, "documents"))
+
+
 OP10_SQL = r"""
 WITH RECURSIVE sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
@@ -158,6 +162,50 @@ SELECT query_id, rank, vec_id, score FROM (
   SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank FROM ranked) WHERE rank <= 10
 """
 
+OP13_SQL = """
+WITH RECURSIVE leaves AS (
+  SELECT *, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+         || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+         list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+           lambda crc, c: list_reduce([xor(crc, c), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END))) AS crc
+  FROM documents),
+hashed AS (
+  SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         CASE WHEN xor(4294967295, crc) % 5 = 0
+              THEN sha256(head || coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')) END AS changed
+  FROM leaves),
+placed AS (
+  SELECT *, row_number() OVER () AS id, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY source) AS n FROM hashed),
+low(tree, level, pos, n, h) AS (
+  SELECT tree, 0, pos, n, leaf FROM placed
+  UNION ALL
+  SELECT tree, level + 1, pos // 16, (n + 15) // 16, sha256(string_agg(h, '' ORDER BY pos)) FROM low WHERE n > 1 GROUP BY tree, level, pos // 16, n),
+high(level, pos, n, h) AS (
+  SELECT 0, tree, count(*) OVER (), h FROM low WHERE n = 1
+  UNION ALL
+  SELECT level + 1, pos // 16, (n + 15) // 16, sha256(string_agg(h, '' ORDER BY pos)) FROM high WHERE n > 1 GROUP BY level, pos // 16, n),
+every AS (
+  SELECT * FROM low UNION ALL SELECT -1, level, pos, n, h FROM high),
+kin AS (
+  SELECT tree, level, pos, n,
+         coalesce(string_agg(h, '') OVER (PARTITION BY tree, level, pos // 16 ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+         coalesce(string_agg(h, '') OVER (PARTITION BY tree, level, pos // 16 ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM every),
+inner_fold(id, tree, level, pos, n, h, proof) AS (
+  SELECT id, tree, 0, pos, n, coalesce(changed, leaf), '' FROM placed
+  UNION ALL
+  SELECT f.id, f.tree, f.level + 1, f.pos // 16, (f.n + 15) // 16, sha256(l || h || r), proof || l || r
+  FROM inner_fold f JOIN kin k ON k.tree = f.tree AND k.level = f.level AND k.pos = f.pos WHERE f.n > 1),
+outer_fold(id, level, pos, n, h, proof) AS (
+  SELECT id, 0, tree, (SELECT count(*) FROM high WHERE level = 0), h, proof FROM inner_fold WHERE n = 1
+  UNION ALL
+  SELECT f.id, f.level + 1, f.pos // 16, (f.n + 15) // 16, sha256(l || h || r), proof || l || r
+  FROM outer_fold f JOIN kin k ON k.tree = -1 AND k.level = f.level AND k.pos = f.pos WHERE f.n > 1)
+SELECT p.doc_id, p.leaf, s.h AS subroot, top.h AS root, sha256(f.proof) AS proof_sha256, f.h AS folded_root, f.h = top.h AS verified
+FROM placed p JOIN outer_fold f ON f.id = p.id AND f.n = 1 JOIN high s ON s.level = 0 AND s.pos = p.tree JOIN (SELECT h FROM high WHERE n = 1) top ON true
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
@@ -171,8 +219,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language_id": op8_language_id,
         "op9_packing": op9_packing,
         "op10_mixing": op10_mixing,
+        "op13_merkle_manifest": op13_merkle_manifest,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_merkle_audit": OP2_SQL, "op5_line_dedup": OP5_SQL, "op6_bit_sliced_top_k": OP6_SQL, "op10_mixing": OP10_SQL}
+    return {"op2_merkle_audit": OP2_SQL, "op5_line_dedup": OP5_SQL, "op6_bit_sliced_top_k": OP6_SQL, "op10_mixing": OP10_SQL, "op13_merkle_manifest": OP13_SQL}
