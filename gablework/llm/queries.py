@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gablework.llm import additive, bitsliced, cws, lines, manifest, mixing, packing, ppm, quality, repair, warc
+from gablework.llm import additive, bitsliced, cws, lines, manifest, mixing, packing, pieces, ppm, quality, repair, warc
 from gablework.llm.common import materialize, read_table
 from gablework.llm.tokens import public_path
 
@@ -57,6 +57,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = pieces.encode(read_table(spark, sf_dir, "documents"), public_path("piece_bpe_32k.model"))
+    return encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.manifest(read_table(spark, sf_dir, "documents"))
 
@@ -219,6 +224,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language_id": op8_language_id,
         "op9_packing": op9_packing,
         "op10_mixing": op10_mixing,
+        "op11_sentence_pieces": op11_sentence_pieces,
         "op13_merkle_manifest": op13_merkle_manifest,
     }
 

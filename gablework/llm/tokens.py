@@ -66,17 +66,11 @@ def _classes(keeps_case: bool) -> np.ndarray:
     return table
 
 
-class Encoder:
-    """One vocabulary's pre-tokens and their ids: ids[start[k] : start[k] + size[k]] for the one at place k."""
+class Remembering:
+    """Pre-tokens and their ids: ids[start[k] : start[k] + size[k]] for the one at place k. A class that extends it
+    encodes runs of rows (_run) and new pre-tokens (_merged)."""
 
-    def __init__(self, path: str, blank_counts: bool):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.model = Tokenizer.from_file(path)
-        self.merges = self.model.model
-        self.blank = blank_counts
-        self.classes = _classes(blank_counts)
+    def __init__(self):
         self.ids, self.used = np.zeros(1 << 18, np.uint32), 0
         self.start, self.size, self.n = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int32), 0
         #: Runs in which a pre-token was met.
@@ -113,8 +107,74 @@ class Encoder:
         self.used, self.n = self.used + n, self.n + k
         return self.n - k
 
-    def _merged(self, pieces: list[bytes]) -> list[list[int]]:
-        """Ids of pre-tokens; where blanks don't count, white space has none and letters are in lower case."""
+    def _places(self, names: list[bytes]) -> np.ndarray:
+        places = np.fromiter(map(self.known.get, names, repeat(-1)), np.int64, len(names))
+        lost = np.flatnonzero(places < 0)
+        if len(lost):
+            new = [names[k] for k in lost.tolist()]
+            first = self._store(*self._merged(new))
+            places[lost] = np.arange(first, first + len(new))
+            self.known.update((p, first + k) for k, p in enumerate(new) if len(p) <= LONGEST)
+        self.runs[places] += 1
+        return places
+
+    def _joined(self, data: np.ndarray, starts: np.ndarray, begins: np.ndarray | None, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and row offsets of a run whose pre-tokens begin at the characters starts (bytes begins[starts]); rows: characters."""
+        ends = np.append(starts if begins is None else begins[starts], len(data)).astype(np.int32)
+        pieces = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
+        places = self._places(pieces.dictionary.to_numpy(zero_copy_only=False).tolist())
+        index = pieces.indices.to_numpy()
+        size = self.size[places][index]
+        done = np.zeros(len(size) + 1, np.int64)
+        np.cumsum(size, out=done[1:])
+        return self.ids[ranges(self.start[places][index], size)], done[np.searchsorted(starts, rows)]
+
+    def __call__(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts (null: none), one after the other, and the offsets of the rows."""
+        data, offsets = text_buffers(column)
+        # Parts of long texts are rows of their own at first.
+        cuts = [offsets]
+        for k in np.flatnonzero(np.diff(offsets) > RUN).tolist():
+            at, end, view = int(offsets[k]) + RUN // 2, int(offsets[k + 1]), memoryview(data)
+            while (found := _SAFE.search(view, at, end)) is not None:
+                cuts.append(np.array([found.start() + 1]))
+                at = found.start() + RUN // 2
+        split = np.sort(np.concatenate(cuts)) if len(cuts) > 1 else offsets
+        ids, sizes, lo = [], [], 0
+        while lo < len(split) - 1:
+            hi = max(lo + 1, int(np.searchsorted(split, split[lo] + RUN, "right")) - 1)
+            if len(self.known) > CACHE_PIECES or self.used > CACHE_IDS or self.n > 2 * CACHE_PIECES:
+                self._forget()
+            own, rows = self._run(data[split[lo] : split[hi]], split[lo : hi + 1] - split[lo])
+            ids.append(own)
+            sizes.append(np.diff(rows))
+            lo = hi
+        if not ids:
+            return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
+        ends = np.concatenate(([0], np.cumsum(np.concatenate(sizes))))
+        if len(cuts) == 1:
+            return np.concatenate(ids), ends
+        # Empty rows at one place take its first boundary, so the last of a row's parts ends where the next row begins.
+        kept = np.ones(len(split), bool)
+        kept[np.searchsorted(split, np.concatenate(cuts[1:]))] = False
+        return np.concatenate(ids), ends[kept]
+
+
+class Encoder(Remembering):
+    """One vocabulary of the tokenizers library."""
+
+    def __init__(self, path: str, blank_counts: bool):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        super().__init__()
+        self.model = Tokenizer.from_file(path)
+        self.merges = self.model.model
+        self.blank = blank_counts
+        self.classes = _classes(blank_counts)
+
+    def _merged(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pre-tokens and how many each has; where blanks don't count, white space has none and letters are in lower case."""
         merge, blank = self.merges.tokenize, _BYTE_LETTERS[32]
         out = []
         for p in pieces:
@@ -128,20 +188,8 @@ class Encoder:
             else:
                 letters = p.decode().lower().encode().decode("latin-1").translate(_BYTE_LETTERS)
             out.append([x.id for x in merge(letters)])
-        return out
-
-    def _places(self, names: list[bytes]) -> np.ndarray:
-        places = np.fromiter(map(self.known.get, names, repeat(-1)), np.int64, len(names))
-        lost = np.flatnonzero(places < 0)
-        if len(lost):
-            new = [names[k] for k in lost.tolist()]
-            ids = self._merged(new)
-            sizes = np.fromiter(map(len, ids), np.int32, len(ids))
-            first = self._store(np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())), sizes)
-            places[lost] = np.arange(first, first + len(new))
-            self.known.update((p, first + k) for k, p in enumerate(new) if len(p) <= LONGEST)
-        self.runs[places] += 1
-        return places
+        sizes = np.fromiter(map(len, out), np.int32, len(out))
+        return np.fromiter(chain.from_iterable(out), np.uint32, int(sizes.sum())), sizes
 
     def _cuts(self, codes: np.ndarray, kinds: np.ndarray, heads: np.ndarray) -> np.ndarray:
         """Whether a pre-token begins at each character; heads: where rows begin."""
@@ -192,14 +240,7 @@ class Encoder:
         if len(odd):
             return self._mixed(data, offsets, np.unique(np.searchsorted(rows, odd, "right") - 1))
         starts = np.flatnonzero(self._cuts(codes, kinds, np.unique(rows[:-1][rows[:-1] < len(codes)])))
-        ends = np.append(starts if begins is None else begins[starts], len(data)).astype(np.int32)
-        pieces = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
-        places = self._places(pieces.dictionary.to_numpy(zero_copy_only=False).tolist())
-        index = pieces.indices.to_numpy()
-        size = self.size[places][index]
-        done = np.zeros(len(size) + 1, np.int64)
-        np.cumsum(size, out=done[1:])
-        return self.ids[ranges(self.start[places][index], size)], done[np.searchsorted(starts, rows)]
+        return self._joined(data, starts, begins, rows)
 
     def _mixed(self, data: np.ndarray, offsets: np.ndarray, odd: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rows odd by the library, the others together."""
@@ -217,36 +258,6 @@ class Encoder:
         sizes[odd] = [len(x) for x in whole]
         return np.concatenate(parts), np.concatenate(([0], np.cumsum(sizes)))
 
-    def __call__(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts (null: none), one after the other, and the offsets of the rows."""
-        data, offsets = text_buffers(column)
-        # Parts of long texts are rows of their own at first.
-        cuts = [offsets]
-        for k in np.flatnonzero(np.diff(offsets) > RUN).tolist():
-            at, end, view = int(offsets[k]) + RUN // 2, int(offsets[k + 1]), memoryview(data)
-            while (found := _SAFE.search(view, at, end)) is not None:
-                cuts.append(np.array([found.start() + 1]))
-                at = found.start() + RUN // 2
-        split = np.sort(np.concatenate(cuts)) if len(cuts) > 1 else offsets
-        ids, sizes, lo = [], [], 0
-        while lo < len(split) - 1:
-            hi = max(lo + 1, int(np.searchsorted(split, split[lo] + RUN, "right")) - 1)
-            if len(self.known) > CACHE_PIECES or self.used > CACHE_IDS or self.n > 2 * CACHE_PIECES:
-                self._forget()
-            own, rows = self._run(data[split[lo] : split[hi]], split[lo : hi + 1] - split[lo])
-            ids.append(own)
-            sizes.append(np.diff(rows))
-            lo = hi
-        if not ids:
-            return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
-        ends = np.concatenate(([0], np.cumsum(np.concatenate(sizes))))
-        if len(cuts) == 1:
-            return np.concatenate(ids), ends
-        # Empty rows at one place take its first boundary, so the last of a row's parts ends where the next row begins.
-        kept = np.ones(len(split), bool)
-        kept[np.searchsorted(split, np.concatenate(cuts[1:]))] = False
-        return np.concatenate(ids), ends[kept]
-
 
 def _byte_letters() -> dict[int, str]:
     """The letters that byte-level vocabularies write for bytes which don't print."""
