@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gablework.llm import additive, bitsliced, cws, lines, manifest, mixing, packing, pieces, ppm, quality, repair, warc
+from gablework.llm import additive, bitsliced, cws, lines, manifest, mixing, negatives, packing, pieces, ppm, quality, repair, warc
 from gablework.llm.common import materialize, read_table
 from gablework.llm.tokens import public_path
 
@@ -62,6 +62,11 @@ def op11_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = read_table(spark, sf_dir, "embeddings")
+    return negatives.hard_negatives(table.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.manifest(read_table(spark, sf_dir, "documents"))
 
@@ -166,6 +171,22 @@ ranked AS (
 SELECT query_id, rank, vec_id, score FROM (
   SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank FROM ranked) WHERE rank <= 10
 """
+OP12_SQL = """
+WITH v AS (
+  SELECT vec_id, (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END)::BIGINT AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE a.vec_id % 100 = 0),
+positive AS (
+  SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS k FROM scored WHERE same),
+ranked AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, (row_number() OVER (PARTITION BY p.anchor_id, p.k ORDER BY n.score DESC, n.vec_id))::INTEGER AS rank, n.vec_id AS negative_id,
+         p.score AS positive_score, n.score AS negative_score
+  FROM positive p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score WHERE p.k <= 5)
+SELECT * FROM ranked WHERE rank <= 5
+"""
 
 OP13_SQL = """
 WITH RECURSIVE leaves AS (
@@ -225,9 +246,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_packing": op9_packing,
         "op10_mixing": op10_mixing,
         "op11_sentence_pieces": op11_sentence_pieces,
+        "op12_hard_negatives": op12_hard_negatives,
         "op13_merkle_manifest": op13_merkle_manifest,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_merkle_audit": OP2_SQL, "op5_line_dedup": OP5_SQL, "op6_bit_sliced_top_k": OP6_SQL, "op10_mixing": OP10_SQL, "op13_merkle_manifest": OP13_SQL}
+    return {"op2_merkle_audit": OP2_SQL, "op5_line_dedup": OP5_SQL, "op6_bit_sliced_top_k": OP6_SQL, "op10_mixing": OP10_SQL, "op12_hard_negatives": OP12_SQL, "op13_merkle_manifest": OP13_SQL}

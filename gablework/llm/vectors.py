@@ -20,10 +20,10 @@ BLOCK = 16_384
 BLOCKS = "block long, dim int, n int, ids binary, data binary"
 
 
-def usable(table: DataFrame, nonzero: bool) -> DataFrame:
-    """vec_id and embedding as doubles, without rows whose id is null or whose vector is null, empty, holds null or non-finite
-    components, or (nonzero) is all zeros."""
-    rows = table.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
+def usable(table: DataFrame, nonzero: bool, *others: Column) -> DataFrame:
+    """vec_id, embedding as doubles and others, without rows whose id is null or whose vector is null, empty, holds null or
+    non-finite components, or (nonzero) is all zeros."""
+    rows = table.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"), *others)
     bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     good = F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & ~bad
     return rows.where(good & F.exists("embedding", lambda x: x != 0.0) if nonzero else good)
