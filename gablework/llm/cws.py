@@ -22,7 +22,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,8 +37,11 @@ SAMPLES = BANDS * ROWS
 SMALL = 16
 #: Nodes and bytes of text (expected) of a block of a group of crowded buckets.
 BLOCK, BLOCK_BYTES = 1024, 8 << 20
-#: Candidates of which fewer samples agree are left out. At a true similarity of 0.8 that happens to 6 pairs of 10,000.
-LEAST_AGREEING = 38
+#: Candidates share a band, so as many samples agree at least; all of them are verified, but for those whose total weights alone
+#: keep their similarity below the bound.
+LEAST_AGREEING = ROWS
+#: What rounding can take from a ratio of total weights.
+ROUNDED = 1 - 1e-6
 #: Counters of each of the sketch's two rows, and the pieces in which they are summed.
 SKETCH_BITS, SEGMENTS, FAN_IN = 18, 16, 512
 
@@ -204,22 +207,17 @@ def _samples(column: pa.Array) -> np.ndarray:
     return text_buffers(column)[0].reshape(-1, SAMPLES)
 
 
-def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keep = (_samples(batch.column("a_samples")) == _samples(batch.column("b_samples"))).sum(axis=1) >= LEAST_AGREEING
-        yield batch.select(["a", "b"]).filter(pa.array(keep))
-
-
-def _joined(samples: tuple, texts: tuple, roots: tuple, similarity: float, weights: Weights) -> tuple[np.ndarray, np.ndarray]:
+def _joined(samples: tuple, masses: tuple, texts: tuple, roots: tuple, similarity: float, weights: Weights) -> tuple[np.ndarray, np.ndarray]:
     """Links (indices) between a block of x and a block of y that together join all classes between which one of similarity is to be
     found. Pairs of one class are never verified, the others from the best agreement downward."""
-    (xs, ys), (xt, yt), (xr, yr) = samples, texts, roots
+    (xs, ys), (xm, ym), (xt, yt), (xr, yr) = samples, masses, texts, roots
     alike = np.zeros((len(xs), len(ys)), np.uint8)
     for k in range(SAMPLES):
         alike += xs[:, k, None] == ys[:, k]
     names, back = np.unique(np.concatenate((xr, yr)), return_inverse=True)
     root, x_of, y_of = np.arange(len(names)), back[: len(xr)], back[len(xr) :]
     alike[(alike < LEAST_AGREEING) | (x_of[:, None] == y_of)] = 0
+    alike[np.minimum(xm[:, None], ym) < np.maximum(xm[:, None], ym) * (similarity * ROUNDED)] = 0
     rows, found, count = np.flatnonzero(alike.any(axis=1)), [], 4
     if not len(rows):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -253,9 +251,9 @@ def _rest(groups: DataFrame, roots: DataFrame, nodes: DataFrame, texts_of: Calla
     rows = scratch.table(rows.join(largest.select("leader", "largest"), "leader"), "crowded")
     texts = texts_of(rows.select("node").distinct())
     blocks = rows.join(texts.select("node", F.octet_length("text").alias("bytes")), "node").groupBy("leader").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("bytes") / BLOCK_BYTES)).cast("int").alias("blocks"))
-    rows = rows.join(blocks, "leader").join(nodes.select("node", "samples"), "node").join(texts, "node")
+    rows = rows.join(blocks, "leader").join(nodes.select("node", "samples", "mass"), "node").join(texts, "node")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int"))
-    packed = lambda n: [F.collect_list(c).alias(f"{n}_{c}") for c in ("node", "root", "samples", "text")]
+    packed = lambda n: [F.collect_list(c).alias(f"{n}_{c}") for c in ("node", "root", "samples", "mass", "text")]
     every = rows.groupBy("leader", "block").agg(*packed("y"))
     # A block of others is sent to every block of its group.
     others = rows.where("root <> largest").groupBy("leader", "block").agg(F.max("blocks").alias("blocks"), *packed("x"))
@@ -266,31 +264,38 @@ def _rest(groups: DataFrame, roots: DataFrame, nodes: DataFrame, texts_of: Calla
             for r in range(batch.num_rows):
                 get = lambda c: tuple(batch.column(f"{n}_{c}")[r].values for n in "xy")  # noqa: B023, E731
                 x, y = (np.asarray(c) for c in get("node"))
-                i, j = _joined(tuple(map(_samples, get("samples"))), get("text"), tuple(map(np.asarray, get("root"))), similarity, shared.value)
+                i, j = _joined(tuple(map(_samples, get("samples"))), tuple(map(np.asarray, get("mass"))), get("text"), tuple(map(np.asarray, get("root"))), similarity, shared.value)
                 yield pa.RecordBatch.from_arrays([pa.array(x[i], pa.int64()), pa.array(y[j], pa.int64())], ["a", "b"])
 
     return others.join(every, ["leader", "block"]).drop("leader", "block").mapInArrow(lean(compared), "a long, b long")
 
 
+def text_hashes() -> tuple[Column, Column]:
+    """The two hashes by which texts are told apart."""
+    return F.xxhash64("text"), F.xxhash64(F.lit("second"), "text")
+
+
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """For every row of doc_id and text, doc_id and class_id, the least doc_id of its class of near duplicates.
+    """For every row of doc_id and text: doc_id, class_id, kept (whether it is the one of its class that stays), h1 and h2 (its text's hashes).
 
-    Equal texts are always of one class, and so are the rows with words that share a doc_id, whatever their texts. Texts that are
-    null or without words are of no class but their own; a null doc_id stands for itself and takes no part. Other columns
-    are ignored; an empty table gives none."""
+    class_id is the least doc_id of the row's class of near duplicates. Classes are of texts: equal texts are always of one class, and rows that
+    share a doc_id are only if their texts are near. Where the least doc_ids of several classes are one, the class whose row of it has the
+    least hashes is named by it, the others by negative numbers made of theirs. Kept is the row with the least doc_id, then hashes; rows equal in both are all marked.
+    Texts that are null or without words are of no class but their own, as is a null doc_id, which stands for itself; these rows have class_id
+    doc_id, are kept and have null hashes. Other columns are ignored; an empty table gives none."""
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
     short_batches(spark)
     sketch, n = frequencies(docs)
     shared = spark.sparkContext.broadcast(Weights(sketch, n))
-    hashed = [F.xxhash64("text").alias("h1"), F.xxhash64(F.lit("second"), "text").alias("h2")]
+    hashed = [h.alias(f"h{k}") for k, h in enumerate(text_hashes(), 1)]
     rows = docs.select("doc_id", "text", *hashed)
-    schema = T.StructType([*rows.select("doc_id", "h1", "h2").schema.fields, T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("samples", T.BinaryType())])
+    schema = T.StructType([*rows.select("doc_id", "h1", "h2").schema.fields, T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("samples", T.BinaryType()), T.StructField("mass", T.DoubleType())])
 
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             row, key, count = shingles(batch.column("text"))
-            k = batch.num_rows
-            drawn = sample(row, key, count * shared.value(key), k)
+            k, weight = batch.num_rows, count * shared.value(key)
+            drawn, mass = sample(row, key, weight, k), np.bincount(row, weights=weight, minlength=k)
             bits = drawn.view(np.uint32).astype(np.uint64).reshape(k, BANDS, ROWS)
             band = mix(reduce(lambda a, b: mix(a) + b, (bits[:, :, j] for j in range(ROWS))) + np.arange(BANDS, dtype=np.uint64)).astype(np.int64)
             some = np.isin(np.arange(k), row)
@@ -298,12 +303,12 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
             # A byte of each sample: those that agree stay so.
             short = mix(bits.reshape(k, SAMPLES)).astype(np.uint8)
             samples = pa.array([x.tobytes() if s else None for x, s in zip(short, some, strict=True)], pa.binary())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "h1", "h2")), bands, samples], schema.names)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "h1", "h2")), bands, samples, pa.array(mass)], schema.names)
 
     known = scratch.table(rows.mapInArrow(lean(sampled), schema), "samples")
     used = known.where("doc_id is not null and bands is not null")
     # Equal texts are one node; of their rows, one with the least doc_id stands for them.
-    nodes = used.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.first("bands").alias("bands"), F.first("samples").alias("samples"))
+    nodes = used.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.first("bands").alias("bands"), F.first("samples").alias("samples"), F.first("mass").alias("mass"))
     nodes = scratch.table(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     member = scratch.table(used.select("doc_id", "h1", "h2").join(nodes.select("h1", "h2", "node"), ["h1", "h2"]).select("doc_id", "node"), "members")
 
@@ -328,9 +333,6 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
         text = lambda name: texts.select(F.col("node").alias(name), F.col("text").alias(f"{name}_text"))
         return pairs.join(text("a"), "a").join(text("b"), "b").select("a", "b", "a_text", "b_text").mapInArrow(lean(verified), "a long, b long")
 
-    # Rows of one doc_id are linked as they are.
-    own = member.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("most")).where("a < most").select("doc_id", "a")
-    links = member.join(own, "doc_id").where("node > a").select("a", F.col("node").alias("b"))
     bands = nodes.select("node", F.posexplode("bands").alias("k", "band")).select("node", F.xxhash64("k", "band").alias("bucket"))
     met = scratch.table(bands.join(bands.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "bucket"), "buckets")
     small = met.where(F.col("n") <= SMALL).groupBy("bucket").agg(F.array_sort(F.collect_list("node")).alias("all"))
@@ -341,18 +343,26 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     leaders = crowded.join(degree, "node").groupBy("bucket").agg(F.max(F.struct("degree", "node"))["node"].alias("leader"))
     groups = scratch.table(crowded.join(leaders, "bucket").select("leader", "node").distinct(), "groups")
     stars = groups.where("node <> leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
-    side = lambda name: nodes.select(F.col("node").alias(name), F.col("samples").alias(f"{name}_samples"))
-    pairs = pairs.union(stars).distinct().join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_samples", "b_samples")
-    links = scratch.table(links.union(near(scratch.table(pairs.mapInArrow(lean(_agreeing), "a long, b long"), "candidates"))), "links")
+    side = lambda name: nodes.select(F.col("node").alias(name), F.col("mass").alias(f"{name}_mass"))
+    mass = (F.col("a_mass"), F.col("b_mass"))
+    pairs = pairs.union(stars).distinct().join(side("a"), "a").join(side("b"), "b").where(F.least(*mass) >= F.greatest(*mass) * (similarity * ROUNDED)).select("a", "b")
+    links = scratch.table(near(scratch.table(pairs, "candidates")), "links")
     roots = scratch.table(components(links, "a", "b", scratch), "roots")
     if groups.limit(1).count():
         fresh = scratch.table(_rest(groups, roots, nodes, texts_of, scratch, similarity, shared), "links")
         if fresh.limit(1).count():
             roots = scratch.table(components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(fresh), "a", "b", scratch), "roots")
-    placed = nodes.select("node", "least").join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
-    classes = placed.groupBy("root").agg(F.min("least").alias("class_id"))
-    found = member.join(placed.select("node", "root"), "node").join(classes, "root").select("doc_id", "class_id")
-    alone = known.where("doc_id is null or bands is null").select("doc_id", F.col("doc_id").alias("class_id"))
+    placed = nodes.select("node", "least", "h1", "h2").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    classes = placed.groupBy("root").agg(F.min(F.struct("least", "h1", "h2")).alias("kept")).withColumn("class_id", F.col("kept.least"))
+    # A doc_id can name several classes only if its rows have several texts.
+    if member.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b").limit(1).count():
+        classes = scratch.table(classes, "named")
+        first = classes.groupBy("class_id").agg(F.min("kept").alias("first"))
+        other = -1 - F.xxhash64("kept.h1", "kept.h2").bitwiseAND(F.lit((1 << 62) - 1))
+        classes = classes.join(first, "class_id").withColumn("class_id", F.when(F.col("kept") == F.col("first"), F.col("class_id")).otherwise(other))
+    found = member.join(placed.select("node", "root", "h1", "h2"), "node").join(classes, "root")
+    found = found.select("doc_id", "class_id", (F.col("kept") == F.struct(F.col("doc_id").alias("least"), "h1", "h2")).alias("kept"), "h1", "h2")
+    alone = known.where("doc_id is null or bands is null").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(True).alias("kept"), *(F.lit(None).cast("long").alias(c) for c in ("h1", "h2")))
     out = scratch.table(found.union(alone), "classes")
     scratch.drop(out)
     return out

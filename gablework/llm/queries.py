@@ -42,7 +42,7 @@ def op6_bit_sliced_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cws.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return cws.near_duplicates(read_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "kept")
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
