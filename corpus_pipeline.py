@@ -42,20 +42,20 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates stays, the one with the least doc_id; of rows that share a doc_id (they are of
-    one class) the one whose text isn't null and has the least hash, then the one whose other columns have.
+    """One document of each class of near duplicates stays: the one with the least doc_id, then the least hashes of its text, then of its other
+    columns. Rows that share a doc_id are of one class only if their texts are near, so no text is lost with another one's class.
 
     Texts that are null or without words are alike to none, rows without a doc_id stay, and an empty table gives none."""
-    others = cws.near_duplicates(docs).where(F.col("class_id") != F.col("doc_id")).select("doc_id").distinct()
-    kept = docs.join(others, "doc_id", "left_anti").select(docs.columns)
-    # Texts are dealt out for repeated doc_ids only if there are any.
-    if not docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1").limit(1).count():
-        return kept
-    rank = F.struct(F.col("text").isNull().alias("a"), F.xxhash64("text").alias("b"), F.xxhash64(F.to_json(F.struct(*(F.col(f"`{c}`") for c in docs.columns)))).alias("c"))
-    named = kept.where(F.col("doc_id").isNotNull()).select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("doc_id"), rank.alias("rank"))
-    best = named.groupBy(F.col("doc_id").alias("of")).agg(F.min("rank").alias("least"))
-    one = named.join(best, (F.col("doc_id") == F.col("of")) & (F.col("rank") == F.col("least"))).select("doc_id", "row").dropDuplicates(["doc_id"])
-    return one.select("row.*").unionByName(kept.where(F.col("doc_id").isNull()))
+    classes = cws.near_duplicates(docs)
+    place = ["doc_id", "h1", "h2"]
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "doc_id", *(h.alias(f"h{k}") for k, h in enumerate(cws.text_hashes(), 1)))
+    stays = rows.join(classes.where("not kept").select(*place).distinct(), place, "left_anti")
+    # Rows are dealt out for equal ones only if there are any.
+    repeated = classes.where("kept and h1 is not null").groupBy(*place).count().where("count > 1").select(*place)
+    if repeated.limit(1).count():
+        one = stays.join(repeated, place, "left_semi").groupBy(*place).agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row"))
+        stays = stays.join(repeated, place, "left_anti").select("row").union(one.select("row"))
+    return stays.select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
