@@ -102,13 +102,14 @@ def side_lines(segments: DataFrame, targets: DataFrame, s: Settings = Settings()
 
 
 def inward_sides(wall: list[g.Point]) -> list[g.Point]:
-    """(a, b, c) of each side of a convex wall (corners in order): ax + by + c is the distance to it, positive inside."""
+    """(a, b, c) of each side of a convex wall (corners in order): ax + by + c is the distance to it, positive inside. Null for a side
+    without a length."""
     middle = tuple(sum(x[1:], x[0]) / float(len(wall)) for x in zip(*wall, strict=True))
     out = []
     for p, q in zip(wall, [*wall[1:], wall[0]], strict=True):
         n = (-(q[1] - p[1]), q[0] - p[0])
         length = g.norm(n) * F.when(g.dot(n, g.minus(middle, p)) < 0, -1.0).otherwise(1.0)
-        out.append((n[0] / length, n[1] / length, -(n[0] * p[0] + n[1] * p[1]) / length))
+        out.append(tuple(F.try_divide(v, length) for v in (*n, -(n[0] * p[0] + n[1] * p[1]))))
     return out
 
 
@@ -117,13 +118,28 @@ def _once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     return df.select("*", F.inline(F.array(F.struct(*(c.alias(k) for k, c in columns.items())))))
 
 
+#: What a fit says.
+FIT = ("scale", "tx", "ty", "center_x", "center_y", "min_dist", "center_dist", "touching")
+#: Parts of scale, of distance from the center and of distance from the sides within which placements are equal, and how far above
+#: the inset the least distance from a side still touches it.
+EQUAL, TOUCHING = 1e9, 0.5
+
+
 def fit_quads(pairs: DataFrame, s: Settings = Settings()) -> DataFrame:  # noqa: B008
-    """For pairs of a mask's quad and its wall's quad (id, seg, wall: arrays of four structs x, y), the scale and shift that make the
-    mask's quad as large as it can be within the wall's: id, scale, tx, ty, center_dist. All placements of the center on a
-    grid are tried; of equal scales the one nearest to the wall's center wins."""
+    """For pairs of a mask's quad and its convex wall's quad (id, seg, wall: arrays of four structs x, y), the scale and shift that make the
+    mask's quad as large as it can be within the wall's: id, scale, tx, ty, center_x and center_y (of the fitted quad), min_dist (from
+    the wall's sides, negative outside), center_dist (of the centers, as a part of the wall's diagonal) and touching.
+
+    All placements of the center on a grid are tried. Of equal scales the one nearest to the wall's center wins, then the one with
+    the least min_dist, then the first. Where a corner is null or not finite, or a side of the wall has no length, all are null."""
     name = {q: [(f"_{q}x{k}", f"_{q}y{k}") for k in range(4)] for q in ("seg", "wall")}
     at = _once(pairs.select("id", "seg", "wall"), {n: F.get(q, F.lit(k))[c] for q in name for k in range(4) for n, c in zip(name[q][k], "xy", strict=True)})
     seg, wall = ([(F.col(x), F.col(y)) for x, y in name[q]] for q in ("seg", "wall"))
+    odd = F.exists(F.array(*(c for q in (seg, wall) for p in q for c in p)), lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
+    flat = [g.norm(g.minus(q, p)) == 0 for p, q in zip(wall, [*wall[1:], wall[0]], strict=True)]
+    good = ~odd & ~(flat[0] | flat[1] | flat[2] | flat[3])
+    unfit = at.where(~F.coalesce(good, F.lit(False))).select("id", *(F.lit(None).cast("boolean" if n == "touching" else "double").alias(n) for n in FIT))
+    at = at.where(good)
     mean = lambda q: tuple(sum(x[1:], x[0]) / 4.0 for x in zip(*q, strict=True))
     area = lambda q: F.abs(sum((a[0] * b[1] - b[0] * a[1] for a, b in zip(q, [*q[1:], q[0]], strict=True)), F.lit(0.0))) / 2.0
     sides = {f"_n{k}{c}": x for k, line in enumerate(inward_sides(wall)) for c, x in zip("abc", line, strict=True)}
@@ -150,14 +166,18 @@ def fit_quads(pairs: DataFrame, s: Settings = Settings()) -> DataFrame:  # noqa:
     ratios = [F.when(F.col(f"_m{n}") > 0, F.col(f"_d{n}") / F.col(f"_m{n}")).otherwise(F.col("most")) for n in range(4)]
     scale = F.when(F.least(*(F.col(f"_d{n}") for n in range(4))) >= 0, F.least(F.col("most"), *ratios)).otherwise(0.0)
     tried = _once(tried, {"scale": scale, "away": away(F.col("x"), F.col("y"))})
-    # One number ranks placements: the scale to eight digits, then nearness to the wall's center to seven, then the place.
-    key = F.rint(F.col("scale") * 1e8).cast("long") * F.lit(1 << 32) + (F.lit((1 << 23) - 1) - F.least(F.rint(F.col("away") * 1e7).cast("long"), F.lit((1 << 23) - 1))) * F.lit(1 << 9) + (F.lit(k * k - 1) - F.col("n"))
+    near = F.least(*(F.col(f"_d{n}") - F.col("scale") * F.col(f"_m{n}") for n in range(4))) + s.fit_inset_px
+    rank = F.struct(F.rint(F.col("scale") * EQUAL).alias("a"), (-F.rint(F.col("away") * EQUAL)).alias("b"), (-F.rint(near * EQUAL)).alias("c"), (-F.col("n")).alias("d"), "scale", "away", "x", "y", near.alias("near"))
     # Rows of a pair are summed up where they are made, so one of them is sent.
-    best = tried.groupBy("id", "scx", "scy", "wcx", "wcy", "w", "h").agg(F.max(key).alias("key"), F.max("scale").alias("scale"))
-    n = F.lit(k * k - 1) - F.pmod(F.col("key"), F.lit(1 << 9))
-    best = _once(best, {"x": shift("w", F.floor(n / k)), "y": shift("h", n % k)})
-    to = lambda c: F.col(f"wc{c}") + F.col(c) - F.col("scale") * F.col(f"sc{c}")
-    return best.select("id", "scale", to("x").alias("tx"), to("y").alias("ty"), away(F.col("x"), F.col("y")).alias("center_dist"))
+    corners = [c for p in name["wall"] for c in p]
+    best = tried.groupBy("id", "scx", "scy", "wcx", "wcy", *corners).agg(F.max(rank).alias("r"))
+    best = _once(best, {c: F.col(f"r.{c}") for c in ("scale", "away", "x", "y", "near")} | {"center_x": F.col("wcx") + F.col("r.x"), "center_y": F.col("wcy") + F.col("r.y")})
+    # A quad that doesn't fit anywhere is a point, which may lie outside: its distance is from the nearest side itself.
+    outside = -F.least(*(g.point_segment_distance((F.col("center_x"), F.col("center_y")), p, q) for p, q in zip(wall, [*wall[1:], wall[0]], strict=True)))
+    best = _once(best, {"min_dist": F.when(F.col("near") < 0, outside).otherwise(F.col("near"))})
+    to = lambda c: F.col(f"center_{c}") - F.col("scale") * F.col(f"sc{c}")
+    fits = best.select("id", "scale", to("x").alias("tx"), to("y").alias("ty"), "center_x", "center_y", "min_dist", F.col("away").alias("center_dist"), (F.col("min_dist") <= s.fit_inset_px + TOUCHING).alias("touching"))
+    return fits.unionByName(unfit)
 
 
 def chains(links: DataFrame, ref: int) -> DataFrame:

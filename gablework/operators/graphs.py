@@ -1,52 +1,97 @@
-"""Connected components: of graphs by label rounds over the cluster, of small rasters within one task each."""
+"""Connected components: of graphs by label rounds, and of masks by their runs."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gablework.operators.lineage import kept
+
+#: A key with more than a HEAVY-th of all rows, and more than LEAST_HEAVY, is joined by a broadcast; there are fewer than HEAVY such keys.
+HEAVY, LEAST_HEAVY = 1000, 10_000
+#: Pixels of a cell in which runs of neighbouring rows meet.
+CELL = 64
+
+
+def _heavy(counts: DataFrame, key: str) -> DataFrame | None:
+    """Keys of counts (key, n) that hold too many rows for one task."""
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    if total <= LEAST_HEAVY:
+        return None
+    heavy = kept(counts.where(F.col("n") > max(LEAST_HEAVY, total // HEAVY)).select(key))
+    return heavy if heavy.limit(1).count() else None
+
+
+def _look_up(rows: DataFrame, table: DataFrame, key: str, heavy: DataFrame | None) -> DataFrame:
+    """rows with what table (one row for each key) says of their key."""
+    if heavy is None:
+        return rows.join(table, key)
+    few = F.broadcast(table.join(F.broadcast(heavy), key, "left_semi"))
+    return rows.join(F.broadcast(heavy), key, "left_anti").join(table, key).unionByName(rows.join(few, key))
+
 
 def graph_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """Least node of every node's component: node, label. Each round takes the least label around and then jumps to that
-    label's own label; rounds are checkpointed, and end when no label changes."""
-    both = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).union(edges.select(b, a)).distinct()
-    both = both.checkpoint()
-    labels = both.groupBy("u").agg(F.least("u", F.min("v")).alias("label")).checkpoint()
+    """Least node of every node's component: node, label. Each round takes the least label around, hooks every label to the least that one of
+    its nodes has met, and jumps to where the label then leads, so the number of rounds grows with the logarithm of a component's width.
+    Rounds are checkpointed, and end when no label changes. Hubs, and labels of very many nodes, are looked up
+    in a broadcast of fewer than HEAVY rows."""
+    both = kept(edges.select(F.col(a).alias("u"), F.col(b).alias("v")).union(edges.select(b, a)).distinct())
+    hubs = _heavy(both.groupBy("v").agg(F.count("*").alias("n")), "v")
+    labels = kept(both.groupBy("u").agg(F.least("u", F.min("v")).alias("label")))
     while True:
-        around = both.join(labels.select(F.col("u").alias("v"), "label"), "v").groupBy("u").agg(F.min("label").alias("near"))
-        least = labels.join(around, "u").select("u", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        jump = labels.select(F.col("u").alias("label"), F.col("label").alias("far"))
-        new = least.join(jump, "label").select("u", "old", F.least("label", "far").alias("label")).checkpoint()
+        around = _look_up(both, labels.select(F.col("u").alias("v"), "label"), "v", hubs).groupBy("u").agg(F.min("label").alias("near"))
+        least = kept(labels.join(around, "u").select("u", F.col("label").alias("old"), F.least("label", "near").alias("label")))
+        sizes = least.groupBy("label").agg(F.count("*").alias("n"))
+        hook = least.groupBy(F.col("old").alias("label")).agg(F.min("label").alias("met"))
+        jump = hook.join(least.select(F.col("u").alias("label"), F.col("label").alias("own")), "label").select("label", F.least("met", "own").alias("far"))
+        new = kept(_look_up(least, jump, "label", _heavy(sizes, "label")).select("u", "old", F.least("label", "far").alias("label")))
         if not new.where("label < old").limit(1).count():
             return new.select(F.col("u").alias("node"), "label")
         labels = new.select("u", "label")
 
 
+def runs(mask: DataFrame) -> DataFrame:
+    """Runs of neighbouring pixels in each row of each image's mask (img, x, y): img, y, x0, x1."""
+    row = Window.partitionBy("img", "y").orderBy("x")
+    at = mask.select("img", F.col("x").cast("long").alias("x"), F.col("y").cast("long").alias("y")).distinct()
+    return at.withColumn("_run", F.col("x") - F.row_number().over(row)).groupBy("img", "y", "_run").agg(F.min("x").alias("x0"), F.max("x").alias("x1")).drop("_run")
+
+
+def gaps(held: DataFrame, width: int, height: int) -> DataFrame:
+    """Runs of the pixels that no run of held covers, in all rows of the images that have one: img, y, x0, x1."""
+    edge = held.select("img").distinct().select("img", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(height - 1).cast("long"))).alias("y"), F.lit(-1).cast("long").alias("x0"), F.lit(-1).cast("long").alias("x1"))
+    row = Window.partitionBy("img", "y").orderBy("x0")
+    after = edge.union(held.select("img", "y", "x0", "x1")).select("img", "y", (F.col("x1") + 1).alias("x0"), (F.coalesce(F.lead("x0").over(row), F.lit(width)) - 1).cast("long").alias("x1"))
+    return after.where("x0 <= x1")
+
+
+def touching(rows: DataFrame, reach: int) -> DataFrame:
+    """Pairs a, b (structs img, y, x0) of runs in neighbouring rows that overlap, or (reach 1) touch at a corner. They meet by cells of
+    CELL pixels, so a row of many runs isn't paired with all of the next."""
+    cells = lambda more: F.explode(F.sequence(F.floor((F.col("x0") - more) / CELL), F.floor((F.col("x1") + more) / CELL)))
+    upper = rows.select("img", (F.col("y") + 1).alias("y"), F.col("x0").alias("u0"), F.col("x1").alias("u1"), cells(reach).alias("cell"))
+    met = rows.withColumn("cell", cells(0)).join(upper, ["img", "y", "cell"]).where((F.col("u0") <= F.col("x1") + reach) & (F.col("x0") <= F.col("u1") + reach))
+    run = lambda y, x: F.struct("img", y.alias("y"), F.col(x).alias("x0"))
+    return met.select(run(F.col("y") - 1, "u0").alias("a"), run(F.col("y"), "x0").alias("b")).distinct()
+
+
+def run_components(rows: DataFrame, reach: int = 1) -> DataFrame:
+    """Runs (img, y, x0, x1) with label: the first run, in raster order, of their component (a struct img, y, x0). Corners connect if reach
+    is 1. What is linked are runs, so an image of any size is dealt out, and one image may span tasks."""
+    rows = kept(rows)
+    node = F.struct("img", "y", "x0")
+    found = graph_components(touching(rows, reach))
+    return rows.withColumn("node", node).join(found, "node", "left").select("img", "y", "x0", "x1", F.coalesce("label", "node").alias("label"))
+
+
+def _pixels(rows: DataFrame, *others: str) -> DataFrame:
+    return rows.select("img", F.explode(F.sequence("x0", "x1")).alias("x"), "y", *others)
+
+
 def pixel_components(mask: DataFrame) -> DataFrame:
-    """8-connected components of each image's mask (img, x, y): img, x, y, label (the component's least y * 2**20 + x). An image is
-    labelled by one task."""
-
-    def label(pixels: pd.DataFrame) -> pd.DataFrame:
-        place = {(x, y) for x, y in zip(pixels["x"], pixels["y"], strict=True)}
-        names: dict[tuple[int, int], int] = {}
-        for start in sorted(place, key=lambda p: (p[1], p[0])):
-            if start in names:
-                continue
-            name, queue = (start[1] << 20) + start[0], [start]
-            names[start] = name
-            while queue:
-                x, y = queue.pop()
-                for near in ((x + dx, y + dy) for dx in (-1, 0, 1) for dy in (-1, 0, 1)):
-                    if near in place and near not in names:
-                        names[near] = name
-                        queue.append(near)
-        rows = sorted(names.items())
-        return pd.DataFrame({"img": pixels["img"].iloc[0], "x": [p[0] for p, _ in rows], "y": [p[1] for p, _ in rows], "label": [n for _, n in rows]})
-
-    return mask.select("img", F.col("x").cast("long"), F.col("y").cast("long")).groupBy("img").applyInPandas(label, "img long, x long, y long, label long")
+    """8-connected components of each image's mask (img, x, y): img, x, y, label (the component's least y * 2**20 + x)."""
+    found = run_components(runs(mask))
+    return _pixels(found.withColumn("label", F.shiftleft("label.y", 20) + F.col("label.x0")), "label")
 
 
 def component_areas(labelled: DataFrame) -> DataFrame:
@@ -61,21 +106,8 @@ def without_small(labelled: DataFrame, least: int) -> DataFrame:
 
 def filled_holes(mask: DataFrame, width: int, height: int) -> DataFrame:
     """The mask with the background that the corner (0, 0) doesn't reach (over 4 neighbours) filled. If the corner is in the mask, all of the
-    image is."""
-
-    def fill(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            for img, pixels in part.groupby("img"):
-                place = {p for row in pixels["pixels"] for p in ((q["x"], q["y"]) for q in row)}
-                outer, queue = ({(0, 0)}, [(0, 0)]) if (0, 0) not in place else (set(), [])
-                while queue:
-                    x, y = queue.pop()
-                    for near in ((x + 1, y), (x - 1, y), (x, y + 1), (x, y - 1)):
-                        if 0 <= near[0] < width and 0 <= near[1] < height and near not in place and near not in outer:
-                            outer.add(near)
-                            queue.append(near)
-                rows = [(img, x, y) for y in range(height) for x in range(width) if (x, y) not in outer]
-                yield pd.DataFrame(rows, columns=["img", "x", "y"])
-
-    at = mask.groupBy("img").agg(F.collect_list(F.struct(F.col("x").cast("long").alias("x"), F.col("y").cast("long").alias("y"))).alias("pixels"))
-    return at.mapInPandas(fill, "img long, x long, y long")
+    image is. Pixels outside the image are left out."""
+    held = kept(runs(mask.where(F.col("x").between(0, width - 1) & F.col("y").between(0, height - 1))))
+    # The component of the corner is named by it: no run comes before.
+    closed = run_components(gaps(held, width, height), reach=0).where((F.col("label.y") > 0) | (F.col("label.x0") > 0))
+    return _pixels(held.select("img", "y", "x0", "x1").union(closed.select("img", "y", "x0", "x1")))

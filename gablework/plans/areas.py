@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gablework.functions import geometry as g
-from gablework.operators import documents, fitting, pixels, polygons
+from gablework.operators import documents, fitting, pixels, planar, polygons
 from gablework.plans import registry
 from gablework.plans import tables as t
 from gablework.plans.registry import _AIM_SQL, _BEST_SQL, _aimed, _best, _round, query
@@ -51,6 +51,29 @@ def roof_of_point(s, d):
     return _round(at.select(F.col("id").alias("pano_id"), F.col("polygon").alias("building"), "inside", "distance"), "distance")
 
 
+@query("""
+WITH RECURSIVE c AS (SELECT DISTINCT l_orderkey // 20 AS grp, l_partkey % 12 AS i, l_suppkey % 12 AS j FROM lineitem),
+open AS (SELECT * FROM (SELECT g.grp, i, j FROM (SELECT DISTINCT grp FROM c) g, range(-1, 13) x(i), range(-1, 13) y(j)) ANTI JOIN c USING (grp, i, j)),
+near AS (SELECT a.grp, a.i, a.j, b.i AS ni, b.j AS nj FROM open a JOIN open b ON a.grp = b.grp AND abs(a.i - b.i) + abs(a.j - b.j) = 1),
+outside(grp, i, j) AS (
+  SELECT grp, i, j FROM open WHERE i = -1 AND j = -1 UNION SELECT n.grp, n.ni, n.nj FROM outside o JOIN near n ON o.grp = n.grp AND o.i = n.i AND o.j = n.j),
+closed AS (SELECT * FROM open ANTI JOIN outside USING (grp, i, j)),
+spread(grp, i, j, ri, rj) AS (
+  SELECT grp, i, j, i, j FROM closed UNION SELECT n.grp, n.ni, n.nj, ri, rj FROM spread s JOIN near n ON s.grp = n.grp AND s.i = n.i AND s.j = n.j WHERE (n.ni, n.nj) > (ri, rj))
+SELECT grp, i::DOUBLE AS x, j::DOUBLE AS y, 1e0 AS area FROM c
+UNION ALL
+SELECT grp, r[1]::DOUBLE, r[2]::DOUBLE, count(*)::DOUBLE FROM (SELECT grp, i, j, min((ri, rj)) AS r FROM spread GROUP BY ALL) GROUP BY grp, r""")
+def roof_faces(s, d):
+    """Districts of unit squares, some with an edge that leads nowhere: all faces of their sides, with the least corner and the area."""
+    e = t.read(s, d, "lineitem").select(F.floor(F.col("l_orderkey") / 20).alias("grp"), (F.col("l_partkey") % 12).cast("double").alias("x"), (F.col("l_suppkey") % 12).cast("double").alias("y"), "l_returnflag")
+    line = lambda *v: F.struct(*((F.col(c) + F.lit(k)).alias(n) for c, k, n in zip("xyxy", v, ("x1", "y1", "x2", "y2"), strict=True)))
+    square = [line(0.0, 0.0, 1.0, 0.0), line(1.0, 0.0, 1.0, 1.0), line(1.0, 1.0, 0.0, 1.0), line(0.0, 1.0, 0.0, 0.0)]
+    loose = F.when(F.col("l_returnflag") == "R", line(0.0, 0.0, -0.4, -0.3))
+    found = planar.faces(e.select("grp", F.inline(F.array_compact(F.array(*square, loose)))))
+    least = F.get("corners", F.lit(0))
+    return found.select("grp", least["x"].alias("x"), least["y"].alias("y"), F.round("area", 6).alias("area"))
+
+
 @query("""
 WITH c AS (SELECT c_custkey AS img, c_custkey % 13 AS c, c_custkey % 7 AS d FROM customer),
 ring AS (

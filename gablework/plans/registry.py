@@ -499,7 +499,8 @@ wall AS (
   SELECT id, 0 AS k, c::DOUBLE AS x, d::DOUBLE AS y FROM c UNION ALL SELECT id, 1, 100e0 + a, d / 2e0 FROM c
   UNION ALL SELECT id, 2, 110e0 + a - c, 80e0 + b FROM c UNION ALL SELECT id, 3, c / 2e0, 70e0 + b FROM c),
 seg AS (
-  SELECT id, 0 AS k, 0e0 AS x, 0e0 AS y FROM c UNION ALL SELECT id, 1, 10e0 + c, 1e0 + d / 4e0 FROM c UNION ALL SELECT id, 2, 9e0 + c, 8e0 + d FROM c UNION ALL SELECT id, 3, 1e0, 7e0 + d / 2e0 FROM c)"""
+  SELECT id, k, x / (1e0 + (id % 11) * (id % 11)) AS x, y / (1e0 + (id % 11) * (id % 11)) AS y FROM (
+    SELECT id, 0 AS k, 0e0 AS x, 0e0 AS y FROM c UNION ALL SELECT id, 1, 10e0 + c, 1e0 + d / 4e0 FROM c UNION ALL SELECT id, 2, 9e0 + c, 8e0 + d FROM c UNION ALL SELECT id, 3, 1e0, 7e0 + d / 2e0 FROM c))"""
 
 
 @query("WITH" + _QUADS_SQL + """,
@@ -517,17 +518,28 @@ reach AS (SELECT l.id, l.k, any_value(a) AS a, any_value(b) AS b, any_value(c) A
 tried AS (
   SELECT id, i, j, mx + w * 0.2e0 * (i / 10e0 - 1e0) AS cx, my + h * 0.2e0 * (j / 10e0 - 1e0) AS cy FROM mid, range(21) r(i), range(21) q(j)),
 fits AS (
-  SELECT t.id, i, j, CASE WHEN min(a * cx + b * cy + c - 0.25e0) >= 0 THEN least(any_value(most), min(CASE WHEN m > 0 THEN (a * cx + b * cy + c - 0.25e0) / m ELSE most END)) ELSE 0e0 END AS scale
-  FROM tried t JOIN reach r ON t.id = r.id JOIN most o ON o.id = t.id GROUP BY t.id, i, j)
-SELECT id, round(max(scale), 5) + 0e0 AS scale FROM fits GROUP BY id""")
+  SELECT t.id, i, j, any_value(cx) AS cx, any_value(cy) AS cy, CASE WHEN min(a * cx + b * cy + c - 0.25e0) >= 0 THEN least(any_value(most), min(CASE WHEN m > 0 THEN (a * cx + b * cy + c - 0.25e0) / m ELSE most END)) ELSE 0e0 END AS scale
+  FROM tried t JOIN reach r ON t.id = r.id JOIN most o ON o.id = t.id GROUP BY t.id, i, j),
+placed AS (
+  SELECT f.id, i, j, any_value(f.scale) AS scale, any_value(sqrt((cx - mx) * (cx - mx) + (cy - my) * (cy - my)) / greatest(sqrt(w * w + h * h), 1e0)) AS away,
+         min(a * cx + b * cy + c - f.scale * m) AS near, any_value(cx) AS cx, any_value(cy) AS cy
+  FROM fits f JOIN reach r ON f.id = r.id JOIN mid ON mid.id = f.id GROUP BY f.id, i, j),
+best AS (
+  SELECT id, arg_max({'scale': scale, 'away': away, 'near': near, 'cx': cx, 'cy': cy}, (round_even(scale * 1e9, 0), -round_even(away * 1e9, 0), -round_even(near * 1e9, 0), -(i * 21 + j))) AS b FROM placed GROUP BY id),
+turned AS (SELECT id, avg(x) AS sx, avg(y) AS sy FROM seg GROUP BY id)
+SELECT id, round(b.scale, 5) + 0e0 AS scale, round(b.cx - b.scale * sx, 4) + 0e0 AS tx, round(b.cy - b.scale * sy, 4) + 0e0 AS ty, round(b.cx, 4) + 0e0 AS center_x, round(b.cy, 4) + 0e0 AS center_y,
+       round(b.near, 4) + 0e0 AS min_dist, round(b.away, 6) + 0e0 AS center_dist, b.near <= 0.75e0 AS touching FROM best JOIN turned USING (id)""")
 def quad_scale_fit(s, d):
-    """Off-center quads within walls with no right angle, over all placements."""
+    """Off-center quads, down to a hundredth of the size, within walls with no right angle, over all placements."""
     k = {n: F.col("c_custkey") % v for n, v in (("b", 40), ("c", 13), ("d", 7))} | {"a": F.col("c_nationkey")}
     quad = lambda *ps: F.array(*(F.struct(x.cast("double").alias("x"), y.cast("double").alias("y")) for x, y in ps))
     lit = lambda x: F.lit(float(x))
     wall = quad((k["c"], k["d"]), (lit(100) + k["a"], k["d"] / 2.0), (lit(110) + k["a"] - k["c"], lit(80) + k["b"]), (k["c"] / 2.0, lit(70) + k["b"]))
     seg = quad((lit(0), lit(0)), (lit(10) + k["c"], lit(1) + k["d"] / 4.0), (lit(9) + k["c"], lit(8) + k["d"]), (lit(1), lit(7) + k["d"] / 2.0))
-    return _round(fitting.fit_quads(t.read(s, d, "customer").select(F.col("c_custkey").alias("id"), seg.alias("seg"), wall.alias("wall"))).select("id", "scale"), "scale")
+    small = F.lit(1.0) + (F.col("c_custkey") % 11) * (F.col("c_custkey") % 11)
+    seg = F.transform(seg, lambda p: F.struct((p["x"] / small).alias("x"), (p["y"] / small).alias("y")))
+    fits = fitting.fit_quads(t.read(s, d, "customer").select(F.col("c_custkey").alias("id"), seg.alias("seg"), wall.alias("wall")))
+    return _round(_round(_round(fits, "scale"), "center_dist", digits=6), "tx", "ty", "center_x", "center_y", "min_dist", digits=4)
 
 
 @query("""
@@ -538,21 +550,9 @@ SELECT node, min(root) AS label FROM walk GROUP BY node""")
 def graph_components(s, d):
     """Parts and suppliers that line items bring together."""
     e = t.read(s, d, "lineitem").select((F.col("l_partkey") * 2).alias("a"), (F.col("l_suppkey") * 2 + 1).alias("b")).distinct()
-    if not s.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        s.sparkContext.setCheckpointDir(checkpoint_dir(s))
     return graphs.graph_components(e)
 
 
-def checkpoint_dir(s: SparkSession) -> str:
-    """The session's shared checkpoint folder; a temporary one only for a local session that names none."""
-    import tempfile
-
-    named = s.conf.get("spark.checkpoint.dir", None)
-    if not named and not s.sparkContext.master.startswith("local["):
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    return named or tempfile.mkdtemp(prefix="spark-")
-
-
 # Documents
 
 
