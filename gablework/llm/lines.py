@@ -14,8 +14,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gablework.llm.common import materialize
+from gablework.llm.common import Scratch
 
+#: Edits, and the length from which near lines count as one: an edit changes the meaning of a shorter line (a number, a heading) too
+#: easily. Both are parameters; from 0 on all lines are compared.
 THRESHOLD, MIN_CHARS = 1, 24
 #: Keys with more distinct lines than this are crowded: their lines meet by finer keys instead.
 CROWD = 32
@@ -63,56 +65,56 @@ def probe_keys(line: Column, length: Column, threshold: int, min_chars: int) ->
 
 
 def _finer(rows: DataFrame, threshold: int, least: int) -> DataFrame:
-    """Rows (h1, place, kind, key, rest) by the segments of what is left of their lines, which goes on without the segment. Two
+    """Rows (node, place, kind, key, rest) by the segments of what is left of their lines, which goes on without the segment. Two
     lines that share a segment are within the threshold only if what is left of them is."""
     length = F.length("rest")
     without = lambda start, size: F.concat(F.substring(F.col("rest"), F.lit(1), start), F.substring(F.col("rest"), start + size + 1, length))
     item = lambda fits, key, start, size: F.when(fits & (size > 0), F.struct(F.xxhash64("key", key).alias("key"), without(start, size).alias("rest")))
     index = [item((F.col("kind") == 0) & (length >= least), *x) for x in _indexed(F.col("rest"), length, threshold)]
     probe = [item((F.col("kind") == 1) & x[0], *x[1:]) for x in _probed(F.col("rest"), length, threshold, least)]
-    return rows.select("h1", "place", "kind", F.inline(F.array_compact(F.array(*index, *probe))))
+    return rows.select("node", "place", "kind", F.inline(F.array_compact(F.array(*index, *probe))))
 
 
 def _met(index: DataFrame, probe: DataFrame) -> DataFrame:
-    met = index.select("h1", "key").join(probe.select(F.col("h1").alias("g1"), "key"), "key").where(F.col("h1") != F.col("g1"))
-    return met.select(F.least("h1", "g1").alias("a"), F.greatest("h1", "g1").alias("b"))
+    met = index.select("node", "key").join(probe.select(F.col("node").alias("g1"), "key"), "key").where(F.col("node") != F.col("g1"))
+    return met.select(F.least("node", "g1").alias("a"), F.greatest("node", "g1").alias("b"))
 
 
-def _crowded(texts: DataFrame, keys: DataFrame, threshold: int, min_chars: int) -> tuple[DataFrame, DataFrame]:
-    """Candidate pairs of lines (h1, place, line) that share a key with many others, and links that are verified already.
+def _crowded(texts: DataFrame, keys: DataFrame, threshold: int, min_chars: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Candidate pairs of lines (node, place, line) that share a key with many others, and links that are verified already.
 
     A crowded key's lines are dealt by the segments of what is left of them, again and again, until no key is crowded. Lines of
     which no more than threshold characters are left are checked against the first of them, and those that are not near it
     (what was taken out may have stood at shifted places) are paired with all others there. Segments of such a rest may be
     empty, so it also meets the rests of up to twice the threshold that are within the threshold of it."""
-    start = texts.select("h1", "place", F.explode(F.array(F.lit(0), F.lit(1))).alias("kind"), F.lit(0).cast("long").alias("key"), F.col("line").alias("rest"))
+    start = texts.select("node", "place", F.explode(F.array(F.lit(0), F.lit(1))).alias("kind"), F.lit(0).cast("long").alias("key"), F.col("line").alias("rest"))
     rows = _finer(start, threshold, min_chars)
     keys = keys.select(F.xxhash64(F.lit(0).cast("long"), "key").alias("key"))
     # A key names its whole path, so the rows of all levels are joined at once in the end.
     indexed, probed, ended = [], [], []
     while keys.limit(1).count():
         crowd = rows.join(keys, "key", "left_semi")
-        ended.append(crowd.where(F.length("rest") <= 2 * threshold).select("key", "h1", "place", "kind", "rest"))
-        rows = materialize(_finer(crowd.where((F.col("kind") == 0) | (F.length("rest") > threshold)), threshold, 1), "crowded-lines")
-        index = rows.where("kind = 0").select("h1", "key")
-        keys = materialize(index.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > CROWD).select("key"), "crowded-keys")
+        ended.append(crowd.where(F.length("rest") <= 2 * threshold).select("key", "node", "place", "kind", "rest"))
+        rows = scratch.table(_finer(crowd.where((F.col("kind") == 0) | (F.length("rest") > threshold)), threshold, 1), "crowded-lines")
+        index = rows.where("kind = 0").select("node", "key")
+        keys = scratch.table(index.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > CROWD).select("key"), "crowded-keys")
         indexed.append(index.join(keys, "key", "left_anti"))
-        probed.append(rows.where("kind = 1").select("h1", "key"))
+        probed.append(rows.where("kind = 1").select("node", "key"))
     pairs = _met(reduce(DataFrame.union, indexed), reduce(DataFrame.union, probed)).distinct()
     # Those of which hardly anything is left.
-    ends = materialize(reduce(DataFrame.union, ended).distinct(), "crowded-ends")
+    ends = scratch.table(reduce(DataFrame.union, ended).distinct(), "crowded-ends")
     few = ends.where(F.length("rest") <= threshold)
-    short = few.select("key", "h1", "place").distinct()
-    first = short.groupBy("key").agg(F.min_by("h1", "place").alias("f1"))
-    line = lambda name: texts.select(F.col("h1").alias(name), F.col("line").alias(f"{name}_line"))
-    checked = short.join(first, "key").where(F.col("h1") != F.col("f1")).join(line("h1"), "h1").join(line("f1"), "f1")
-    checked = materialize(checked.select("key", "h1", "f1", within(F.col("h1_line"), F.col("f1_line"), threshold).alias("near")), "crowded-links")
-    pair = (F.least("h1", "g1").alias("a"), F.greatest("h1", "g1").alias("b"))
-    links = checked.where("near").select("h1", F.col("f1").alias("g1")).select(*pair).distinct()
-    others = checked.where("not near").select("key", "h1").join(short.select("key", F.col("h1").alias("g1")), "key")
-    wide = ends.where((F.col("kind") == 1) & (F.length("rest") > threshold)).select("key", F.col("h1").alias("g1"), F.col("rest").alias("more"))
-    wide = few.where("kind = 0").join(wide, "key").where(F.levenshtein("rest", "more") <= threshold).select("key", "h1", "g1")
-    pairs = pairs.union(others.union(wide).where(F.col("h1") != F.col("g1")).select(*pair)).distinct()
+    short = few.select("key", "node", "place").distinct()
+    first = short.groupBy("key").agg(F.min_by("node", "place").alias("f1"))
+    line = lambda name: texts.select(F.col("node").alias(name), F.col("line").alias(f"{name}_line"))
+    checked = short.join(first, "key").where(F.col("node") != F.col("f1")).join(line("node"), "node").join(line("f1"), "f1")
+    checked = scratch.table(checked.select("key", "node", "f1", within(F.col("node_line"), F.col("f1_line"), threshold).alias("near")), "crowded-links")
+    pair = (F.least("node", "g1").alias("a"), F.greatest("node", "g1").alias("b"))
+    links = checked.where("near").select("node", F.col("f1").alias("g1")).select(*pair).distinct()
+    others = checked.where("not near").select("key", "node").join(short.select("key", F.col("node").alias("g1")), "key")
+    wide = ends.where((F.col("kind") == 1) & (F.length("rest") > threshold)).select("key", F.col("node").alias("g1"), F.col("rest").alias("more"))
+    wide = few.where("kind = 0").join(wide, "key").where(F.levenshtein("rest", "more") <= threshold).select("key", "node", "g1")
+    pairs = pairs.union(others.union(wide).where(F.col("node") != F.col("g1")).select(*pair)).distinct()
     return pairs, links
 
 
@@ -204,35 +206,36 @@ def line_dedup(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN
         F.when(F.col("length") >= min_chars, index_keys(F.col("line"), F.col("length"), threshold)).otherwise(none).alias("index"),
         F.when(F.col("length") >= min_chars, probe_keys(F.col("line"), F.col("length"), threshold, min_chars)).otherwise(none).alias("probe"),
     )
-    # One row for each distinct line, with its first place.
-    lone = materialize(keyed.groupBy("h1", "h2").agg(F.min("place").alias("place"), F.first("index").alias("index"), F.first("probe").alias("probe")), "lines")
-    index, probe = (lone.select("h1", F.explode(k).alias("key")) for k in ("index", "probe"))
-    crowds = materialize(index.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > CROWD).select("key"), "crowded-keys")
+    # One row for each distinct line, with its first place; lines are told apart by both hashes, then go by their row's number.
+    scratch = Scratch(docs.sparkSession)
+    lone = scratch.table(keyed.groupBy("h1", "h2").agg(F.min("place").alias("place"), F.first("index").alias("index"), F.first("probe").alias("probe")).withColumn("node", F.monotonically_increasing_id()), "lines")
+    index, probe = (lone.select("node", F.explode(k).alias("key")) for k in ("index", "probe"))
+    crowds = scratch.table(index.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > CROWD).select("key"), "crowded-keys")
     crowded = crowds.limit(1).count() > 0
     own = index.join(crowds, "key", "left_anti") if crowded else index
-    pairs = materialize(_met(own, probe).distinct(), "line-pairs")
+    pairs = scratch.table(_met(own, probe).distinct(), "line-pairs")
     # Texts of the lines in a pair or under a crowded key, from their first places.
-    wanted = pairs.select(F.col("a").alias("h1")).union(pairs.select("b"))
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
     if crowded:
-        wanted = wanted.union(index.union(probe).join(crowds, "key", "left_semi").select("h1"))
-    held = materialize(lone.select("h1", "place").join(wanted.distinct(), "h1", "left_semi"), "pair-lines")
+        wanted = wanted.union(index.union(probe).join(crowds, "key", "left_semi").select("node"))
+    held = scratch.table(lone.select("h1", "h2", "node", "place").join(wanted.distinct(), "node", "left_semi"), "pair-lines")
     holders = held.select(F.col("place.doc_id").alias("of"), F.col("place.t").alias("t")).distinct()
     if holders.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         holders = F.broadcast(holders)
     source = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(holders, F.col("doc_id").eqNullSafe(F.col("of")) & (F.xxhash64("text") == F.col("t")), "left_semi")
-    texts = materialize(full_lines(source).dropDuplicates(["h1"]).join(held, "h1"), "pair-texts")
+    texts = scratch.table(full_lines(source).dropDuplicates(["h1", "h2"]).join(held, ["h1", "h2"]).select("node", "place", "line"), "pair-texts")
     sure = None
     if crowded:
-        more, sure = _crowded(texts, crowds, threshold, min_chars)
+        more, sure = _crowded(texts, crowds, threshold, min_chars, scratch)
         pairs = pairs.union(more).distinct()
-    side = lambda name: texts.select(F.col("h1").alias(name), F.col("line").alias(f"{name}_line"))
+    side = lambda name: texts.select(F.col("node").alias(name), F.col("line").alias(f"{name}_line"))
     links = pairs.join(side("a"), "a").join(side("b"), "b").where(within(F.col("a_line"), F.col("b_line"), threshold)).select("a", "b")
     links = links.union(sure) if sure is not None else links
     # The later line of a link is dropped wherever it stands.
-    at = lambda name: held.select(F.col("h1").alias(name), F.col("place").alias(f"{name}_place"))
-    near = links.join(at("a"), "a").join(at("b"), "b").select(F.when(F.col("a_place") < F.col("b_place"), F.col("b")).otherwise(F.col("a")).alias("h1")).distinct()
-    near = materialize(near.withColumn("near", F.lit(True)), "near-lines")
-    firsts = lone.select("h1", "h2", F.col("place").alias("first")).join(near, "h1", "left")
+    at = lambda name: held.select(F.col("node").alias(name), F.col("place").alias(f"{name}_place"))
+    near = links.join(at("a"), "a").join(at("b"), "b").select(F.when(F.col("a_place") < F.col("b_place"), F.col("b")).otherwise(F.col("a")).alias("node")).distinct()
+    near = scratch.table(near.withColumn("near", F.lit(True)), "near-lines")
+    firsts = lone.select("h1", "h2", "node", F.col("place").alias("first")).join(near, "node", "left").drop("node")
     every = lines.select("doc_id", "t", "pos", _blank().alias("blank"), *(h("line").alias(f"h{k + 1}") for k, h in enumerate(_H)))
     judged = every.where("not blank").join(firsts, ["h1", "h2"])
     first = F.col("first") == place
@@ -245,9 +248,10 @@ def line_dedup(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN
     columns = [F.array_join(stays, "\n").alias("text") if c == "text" else F.col(f"_row.`{c}`") for c in names]
     sizes = [F.when(F.col("_marks").isNull(), 0).otherwise(F.size("_marks")).alias("n_lines")]
     sizes += [F.when(F.col("_marks").isNull(), 0).otherwise(count(k)).alias(v) for k, v in (("drop", "n_dropped"), ("near", "n_near"))]
+    scratch.drop(lone, near)
     return joined.select(*columns, *sizes)
 
 
 def full_lines(docs: DataFrame) -> DataFrame:
-    """Lines that are not blank, by their first hash."""
-    return _lines(docs).where(~_blank()).select(F.xxhash64("line").alias("h1"), "line")
+    """Lines that are not blank, by their hashes."""
+    return _lines(docs).where(~_blank()).select(*(h("line").alias(f"h{k + 1}") for k, h in enumerate(_H)), "line")

@@ -6,8 +6,8 @@ with the widest spread are merged, the fullest windows of one onto the emptiest
 left. If its fullest window exceeds the capacity, k rises by one and the batch is dealt again. A batch is closed by a
 cut where its windows come out nearly full, and the batch's short pieces (a few remainders cut small) let the method
 even the windows out to a few tokens. What a task has left over at its end is dealt likewise to as many windows as it
-fills; only what is beyond them, about a window's tokens, is cut into windows whose lengths are powers of two, which stay
-unpadded.
+fills. What is beyond them, about a window's tokens of each task, is gathered from POOLED tasks and dealt once more; only
+what is left of that, a window's tokens or less, is cut into windows whose lengths are powers of two, which stay unpadded.
 """
 
 from __future__ import annotations
@@ -19,17 +19,21 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gablework.llm.common import crc_of_ids, lean, short_batches
+from gablework.llm.common import Scratch, crc_of_ids, lean, short_batches
 from gablework.llm.tokens import encoder, with_end
 
 #: Tokens of a window; windows of a batch; tokens that a full batch leaves free in all.
 CAPACITY, WINDOWS, SLACK = 2048, 64, 256
 #: So many of a batch's remainders are cut for short pieces of these lengths.
 EVENED, SHORT = 32, (128, 64, 32, 16, 8, 4, 2, 1)
-#: Tokens that each window of a task's rest leaves free, and the step in which what is beyond those windows is taken.
-FREE, STEP = 4, 32
+#: Tokens that each window of a task's rest leaves free (the first number that does), and the step in which what is beyond those
+#: windows is taken.
+FREE, STEP = (4, 16, 64, 160), 32
+#: Tasks whose rests are dealt together.
+POOLED = 512
 
 
 def differencing(sizes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -115,18 +119,20 @@ class Packer:
         return self._deal(pieces, EVENED)
 
     def _deal(self, pieces, spare: int) -> list[tuple[int, int, int, int, int]]:
-        """Deal pieces. The longest give the short pieces by which windows even out."""
-        pieces = sorted(pieces, key=lambda x: -x[2])
+        cut = self._shortened(pieces, spare)
+        return self._lay(cut, *deal(np.array([x[2] for x in cut]), self.capacity))
+
+    def _shortened(self, pieces, spare: int) -> list[tuple[int, int, int]]:
+        """Pieces, of which the longest give the short pieces by which windows even out."""
         cut = []
-        for doc, at, n in pieces:
+        for doc, at, n in sorted(pieces, key=lambda x: -x[2]):
             if spare and n > 2 * sum(self.short):
                 spare -= 1
                 for x in self.short:
                     cut.append((doc, at, x))
                     at, n = at + x, n - x
             cut.append((doc, at, n))
-        window, k = deal(np.array([x[2] for x in cut]), self.capacity)
-        return self._lay(cut, window, k)
+        return cut
 
     def _lay(self, pieces, window, k) -> list[tuple[int, int, int, int, int]]:
         out, ends = [], [0] * k
@@ -136,24 +142,40 @@ class Packer:
         self.next += k
         return out
 
-    def finish(self) -> list[tuple[int, int, int, int, int]]:
-        """Deal the rest to as many windows as it fills, but for what is beyond them: that goes to windows of powers of two."""
-        k = self.held // self.capacity
-        beyond = self.held
+    def finish(self) -> tuple[list[tuple[int, int, int, int, int]], list[tuple[int, int, int]]]:
+        """Deal the rest to as many windows as it fills: the pieces, and what is beyond those windows (document, start, length)."""
+        k, out = self.held // self.capacity, []
+        # Each window stays free by a few tokens, or by more where few pieces don't even out.
+        for free in FREE if k else (0,):
+            kept, cut = self._beyond(k, free)
+            pieces = self._shortened(kept, max(4, EVENED * k // WINDOWS))
+            if pieces:
+                window, n = deal(np.array([x[2] for x in pieces]), self.capacity)
+                if n > k and free != FREE[-1]:
+                    continue
+                out = self._lay(pieces, window, n)
+            break
+        self.open, self.held = [], 0
+        return out, cut
+
+    def _beyond(self, k: int, free: int) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+        """The open pieces that k windows hold, each but for free tokens, and what is beyond: in steps, so that no window of it is tiny."""
+        kept, cut, left = list(self.open), [], self.held
         if k:
-            # Each window stays free by a few tokens; what is beyond comes in steps, so that no window of it is tiny.
             step = min(STEP, self.capacity // 8)
-            beyond = max(0, -(-(self.held - k * self.capacity + FREE * k) // step) * step)
-        cut, left = [], beyond
+            left = max(0, -(-(self.held - k * self.capacity + free * k) // step) * step)
         while left:
-            doc, at, n = self.open.pop()
+            doc, at, n = kept.pop()
             x = min(n, left)
             left -= x
             cut.append((doc, at + n - x, x))
             if n > x:
-                self.open.append((doc, at, n - x))
-        out = self._deal(self.open, max(4, EVENED * k // WINDOWS)) if self.open else []
-        room, w, used = powers(beyond), 0, 0
+                kept.append((doc, at, n - x))
+        return kept, cut
+
+    def unpadded(self, cut: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int, int]]:
+        """Windows of powers of two."""
+        out, room, w, used = [], powers(sum(n for _, _, n in cut)), 0, 0
         for doc, at, n in cut:
             while n:
                 x = min(n, room[w] - used)
@@ -162,7 +184,6 @@ class Packer:
                 if used == room[w]:
                     w, used = w + 1, 0
         self.next += len(room)
-        self.open, self.held = [], 0
         return out
 
 
@@ -173,43 +194,68 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int, blank_counts: bool = Tru
     """Pieces of all documents in sequences of at most capacity tokens: doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset.
 
-    Each task packs its own partition in one pass, so nothing is shuffled and a task holds one Arrow batch and one
-    open batch of windows. A null text counts as empty; every document has end_id appended, so an empty one is a single
-    token. Repeated rows are packed each; other columns are ignored. sequence_id is the task's partition number times
-    2**40 plus the task's own count."""
+    Each task packs its own partition in one pass and holds one Arrow batch and one open batch of windows; only its rest, less than two
+    windows' tokens, is shuffled. A null text counts as empty; every document has end_id appended, so an empty one is a single
+    token. Repeated rows are packed each; other columns are ignored; an empty table gives none. sequence_id is the task's partition number
+    times 2**40 plus the task's own count; for pooled rests 2**62 is added."""
     short_batches(docs.sparkSession)
+    scratch = Scratch(docs.sparkSession)
+    schema = T.StructType([*PIECES, T.StructField("part", T.LongType()), T.StructField("ids", T.BinaryType())])
+
+    def batch_of(out, base: int, of) -> list[list[int]]:
+        """Columns of pieces; of: a document's id, ids, where they begin and how many it has in all."""
+        own = [of[x[0]] for x in out]
+        return [
+            [d for d, *_ in own],
+            [first + x[1] for x, (_, _, first, _) in zip(out, own, strict=True)],
+            [x[2] for x in out],
+            [crc_of_ids(ids[x[1] : x[1] + x[2]]) for x, (_, ids, _, _) in zip(out, own, strict=True)],
+            [total for *_, total in own],
+            [base + x[3] for x in out],
+            [x[4] for x in out],
+        ]
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base = TaskContext.get().partitionId() << 40
+        part = TaskContext.get().partitionId()
         encode, packer = encoder(vocabulary, blank_counts), Packer(capacity)
-        kept: dict[int, tuple[int | None, np.ndarray]] = {}
+        kept: dict[int, tuple[int | None, np.ndarray, int, int]] = {}
         count = 0
 
-        def rows(out) -> pa.RecordBatch:
-            own = [kept[x[0]] for x in out]
-            columns = (
-                [d for d, _ in own],
-                [x[1] for x in out],
-                [x[2] for x in out],
-                [crc_of_ids(ids[x[1] : x[1] + x[2]]) for x, (_, ids) in zip(out, own, strict=True)],
-                [len(ids) for _, ids in own],
-                [base + x[3] for x in out],
-                [x[4] for x in out],
-            )
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], PIECES.names)
+        def rows(out, ids=None) -> pa.RecordBatch:
+            columns = [pa.array(c, pa.int64()) for c in batch_of(out, part << 40, kept)]
+            return pa.RecordBatch.from_arrays([*columns, pa.array([part] * len(out), pa.int64()), pa.array(ids or [None] * len(out), pa.binary())], schema.names)
 
         for batch in batches:
             ids, ends = with_end(*encode(batch.column("text")), end_id)
             out = []
             for k, doc in enumerate(batch.column("doc_id").to_pylist()):
-                kept[count] = (doc, ids[ends[k] : ends[k + 1]])
-                out += packer.place(count, int(ends[k + 1] - ends[k]))
+                own = ids[ends[k] : ends[k + 1]]
+                kept[count] = (doc, own, 0, len(own))
+                out += packer.place(count, len(own))
                 count += 1
             if out:
                 yield rows(out)
             # Only documents in the open batch of windows are needed again.
-            kept = {x[0]: (kept[x[0]][0], kept[x[0]][1].copy()) for x in packer.open}
-        if out := packer.finish():
+            kept = {x[0]: (kept[x[0]][0], kept[x[0]][1].copy(), *kept[x[0]][2:]) for x in packer.open}
+        out, cut = packer.finish()
+        if out:
             yield rows(out)
+        if cut:
+            yield rows([(doc, at, n, 0, 0) for doc, at, n in cut], [kept[doc][1][at : at + n].astype("<u4").tobytes() for doc, at, n in cut])
+
+    def pooled(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("part", "ascending"), ("doc_id", "ascending"), ("start", "ascending"), ("ids_crc32", "ascending")])
+        get = lambda c: table.column(c).to_pylist()
+        of = [(d, np.frombuffer(ids, "<u4"), start, total) for d, ids, start, total in zip(get("doc_id"), get("ids"), get("start"), get("doc_tokens"), strict=True)]
+        packer, out = Packer(capacity), []
+        for k, x in enumerate(of):
+            out += packer.place(k, len(x[1]))
+        more, cut = packer.finish()
+        out += more
+        out += packer.unpadded(cut)
+        columns = batch_of(out, (1 << 62) + (get("part")[0] // POOLED << 40), of)
+        return pa.table([pa.array(c, pa.int64()) for c in columns], PIECES.names)
 
-    return docs.select("doc_id", "text").mapInArrow(lean(pieces), PIECES)
+    placed = scratch.table(docs.select("doc_id", "text").mapInArrow(lean(pieces), schema), "pieces")
+    rest = placed.where("ids is not null").groupBy(F.floor(F.col("part") / POOLED)).applyInArrow(pooled, PIECES)
+    return placed.where("ids is null").select(*PIECES.names).union(rest)

@@ -189,21 +189,23 @@ def train(docs: DataFrame, held_out: Column, sample_bytes: int = SAMPLE_BYTES) -
     return Model(languages, [Tree(four[at == found.index(k)], n[at == found.index(k)]) for k in languages]) if languages else None
 
 
-def classify(docs: DataFrame, model: Model | None, keep: list[str], inside: str | None = None) -> DataFrame:
+def classify(docs: DataFrame, model: Model | None, keep: list[str], inside: str | None = None, named: Column | None = None) -> DataFrame:
     """The columns keep (inside: one of them that is a struct with the text, which then is sent to Python once) with lang_pred (a learned language; und if the text is null or has no letter), score (the
     posterior of that language when all are as likely before; 0 for und) and bits_per_byte. One pass without a shuffle; a task holds one
-    Arrow batch. Ties go to the first language by name."""
+    Arrow batch. Ties go to the first language by name. named: a language that the text is said to be in; then excess_bits
+    says how many bits that one takes more than the best (null if it is no learned language)."""
     short_batches(docs.sparkSession)
+    more = [] if named is None else ["excess_bits"]
     if model is None:
-        return docs.select(*keep, F.lit(UNDECIDED).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("bits_per_byte"))
+        return docs.select(*keep, F.lit(UNDECIDED).alias("lang_pred"), F.lit(0.0).alias("score"), *(F.lit(None).cast("double").alias(c) for c in ("bits_per_byte", *more)))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     text = F.col(inside)["text"] if inside else F.col("text")
-    rows = docs.select(*keep, *([] if inside else [text.alias("_text")]), F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("_letters"))
-    schema = T.StructType([*docs.select(*keep).schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("bits_per_byte", T.DoubleType())])
+    rows = docs.select(*keep, *([] if inside else [text.alias("_text")]), F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("_letters"), *([] if named is None else [named.cast("string").alias("_named")]))
+    schema = T.StructType([*docs.select(*keep).schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), *(T.StructField(c, T.DoubleType()) for c in ("bits_per_byte", *more))])
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        names = np.array(known.languages, object)
+        names, place = np.array(known.languages, object), {x: k for k, x in enumerate(known.languages)}
         for batch in batches:
             texts = batch.column(inside).field("text") if inside else batch.column("_text")
             bits = known.score(texts)
@@ -213,6 +215,9 @@ def classify(docs: DataFrame, model: Model | None, keep: list[str], inside: str
             letters = batch.column("_letters").to_numpy(zero_copy_only=False).astype(bool)
             size = np.maximum(1, np.diff(text_buffers(texts)[1]))
             columns = [pa.array(np.where(letters, names[best], UNDECIDED), pa.string()), pa.array(np.where(letters, sure, 0.0)), pa.array(least[:, 0] / size)]
+            if more:
+                own = np.array([place.get(x, -1) for x in batch.column("_named").to_pylist()], np.int64)
+                columns.append(pa.array(bits[np.arange(len(own)), own] - least[:, 0], pa.float64(), mask=own < 0))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in range(len(keep))), *columns], schema.names)
 
     return rows.mapInArrow(lean(predict), schema)

@@ -209,6 +209,11 @@ def test_language_stage_uses_its_prediction(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     got = {r.doc_id: r.lang for r in corpus_pipeline.identify_language(spark, docs, "").collect()}
     assert got == {k: lang for k, _, lang in rows[:40]} | {100: "de", 101: "en"}
+    # Wrong names are mended; short texts keep theirs, whatever they are, and stay.
+    wrong = [(200, text["de"] * 2, "en"), (201, text["en"] * 2, "de"), (202, "HTTP/1.1 404", "en"), (203, "Tor", "de"), (204, text["de"], None)]
+    more = spark.createDataFrame(rows[:40] + wrong, docs.schema)
+    got = {r.doc_id: r.lang for r in corpus_pipeline.identify_language(spark, more, "").collect()}
+    assert got == {k: lang for k, _, lang in rows[:40]} | {200: "de", 201: "en", 202: "en", 203: "de", 204: "de"}
     unnamed = corpus_pipeline.identify_language(spark, docs.withColumn("lang", F.lit(None).cast("string")), "")
     assert unnamed.count() == 43
 
