@@ -13,22 +13,27 @@ from gablework.llm.common import Scratch, read_table
 from gablework.llm.tokens import public_path
 
 
-#: Bits for each byte from which no language explains a text: as many as printable characters drawn at random would take.
-REJECTED_BITS = 6.57
+#: Bits that a printable character drawn at random takes, and by how many bits an explanation must be better to count.
+RANDOM_BITS, MARGIN_BITS = 6.57, 40.0
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in none of the learned languages go: those whose text is null, empty or without a letter, and those of whose bytes even
-    the best language's model takes REJECTED_BITS or more. Where lang is null, it becomes the predicted one.
-
-    The languages are those that the documents themselves name; if they name none, only texts without a letter go. Repeated rows
-    and null ids are judged like all others, ties go to the first language by name, and an empty table gives none."""
+    """Documents in none of the learned languages go: those whose text is null, empty or without a letter, and those that printable
+    characters drawn at random explain better than the best language's model, by MARGIN_BITS or more. lang becomes the predicted language
+    where it is null, and where the language that it names takes MARGIN_BITS more than that. A short text takes too few bits for
+    either, so it stays as it is.
+
+    The languages are those that the documents themselves name; if they name none, only texts without a letter go. A lang that nothing was
+    learned for stays. Repeated rows and null ids are judged like all others, ties go to the first language by name, and an empty
+    table gives none."""
     model = ppm.train(docs, ppm.held_out())
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
     if model is None:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    known = ppm.classify(rows, model, ["row"], inside="row").where((F.col("lang_pred") != ppm.UNDECIDED) & (F.col("bits_per_byte") < REJECTED_BITS))
-    return known.select(*(F.coalesce(F.col("row.lang"), F.col("lang_pred")).alias(c) if c == "lang" else F.col(f"row.`{c}`").alias(c) for c in docs.columns))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    known = ppm.classify(rows, model, ["row"], inside="row", named=F.col("row.lang")).where(F.col("lang_pred") != ppm.UNDECIDED)
+    known = known.where((F.col("bits_per_byte") - RANDOM_BITS) * F.octet_length("row.text") < MARGIN_BITS)
+    mended = F.when(F.col("row.lang").isNull() | (F.col("excess_bits") >= MARGIN_BITS), F.col("lang_pred")).otherwise(F.col("row.lang"))
+    return known.select(*(mended.alias(c) if c == "lang" else F.col(f"row.`{c}`").alias(c) for c in docs.columns))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
