@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gablework.functions import geometry as g
-from gablework.operators import documents, fitting, pixels, planar, polygons
+from gablework.operators import documents, fitting, graphs, outlines, pixels, planar, polygons, votes
 from gablework.plans import registry
 from gablework.plans import tables as t
 from gablework.plans.registry import _AIM_SQL, _BEST_SQL, _aimed, _best, _round, query
@@ -105,6 +105,68 @@ def _mask(s, d):
     return t.pixels(s, d).where("v > 0").select("img", "x", "y")
 
 
+@query("WITH RECURSIVE" + t.PIXELS_SQL + """,
+img AS (SELECT DISTINCT img FROM px WHERE v > 0),
+open AS (SELECT i.img, x, y FROM img i, range(8) a(x), range(8) b(y) WHERE NOT EXISTS (SELECT 1 FROM px p WHERE p.img = i.img AND p.x = a.x AND p.y = b.y AND v > 0)),
+outer_(img, x, y) AS (
+  SELECT img, x, y FROM open WHERE x = 0 AND y = 0
+  UNION SELECT n.img, n.x, n.y FROM outer_ o JOIN open n ON n.img = o.img AND abs(n.x - o.x) + abs(n.y - o.y) = 1)
+SELECT i.img, a.x::BIGINT AS x, b.y::BIGINT AS y FROM img i, range(8) a(x), range(8) b(y) WHERE NOT EXISTS (SELECT 1 FROM outer_ o WHERE o.img = i.img AND o.x = a.x AND o.y = b.y)""")
+def mask_filled(s, d):
+    """Masks with their holes filled: what the first corner doesn't reach over the background."""
+    return graphs.filled_holes(t.pixels(s, d).where("v > 0"), 8, 8).select("img", "x", "y")
+
+
+@query("WITH" + t.PIXELS_SQL + """,
+p AS (SELECT img, x::DOUBLE AS x, y::DOUBLE AS y FROM px WHERE v > 0.1e0),
+turns AS (
+  SELECT a.img, a.x AS ax, a.y AS ay, b.x AS ux, b.y AS uy, min((b.x - a.x) * (c.y - a.y) - (b.y - a.y) * (c.x - a.x)) AS low, max((b.x - a.x) * (c.y - a.y) - (b.y - a.y) * (c.x - a.x)) AS high,
+         max((b.x - a.x) * (c.x - a.x) + (b.y - a.y) * (c.y - a.y)) AS far, min((b.x - a.x) * (c.x - a.x) + (b.y - a.y) * (c.y - a.y)) AS back
+  FROM p a JOIN p b ON a.img = b.img AND (a.x <> b.x OR a.y <> b.y) JOIN p c ON c.img = a.img GROUP BY ALL),
+beyond AS (
+  SELECT t.*, EXISTS (SELECT 1 FROM p c WHERE c.img = t.img AND (ux - ax) * (c.y - ay) - (uy - ay) * (c.x - ax) = 0
+    AND ((ux - ax) * (c.x - ax) + (uy - ay) * (c.y - ay) < 0 OR (ux - ax) * (c.x - ax) + (uy - ay) * (c.y - ay) > (ux - ax) * (ux - ax) + (uy - ay) * (uy - ay))) AS longer
+  FROM turns t WHERE low >= 0),
+side AS (SELECT * FROM beyond WHERE NOT longer),
+one AS (SELECT img, count(*) AS n FROM p GROUP BY img)
+SELECT o.img, CASE WHEN o.n = 1 THEN 1 ELSE count(s.img) END AS corners, coalesce(round(abs(sum(ax * uy - ay * ux)) / 2e0, 6), 0e0) AS area,
+       coalesce(round(min(high * (far - back) / ((ux - ax) * (ux - ax) + (uy - ay) * (uy - ay))), 6), 0e0) AS least_rectangle
+FROM one o LEFT JOIN side s ON o.img = s.img GROUP BY o.img, o.n""")
+def mask_hulls(s, d):
+    """Hulls of masks and the least rectangles around them."""
+    return _round(outlines.hulls(t.pixels(s, d).where("v > 0.1")), "area", "least_rectangle", digits=6)
+
+
+@query()
+def mask_quads(s, d):
+    """The quad of each image's mask; components of three pixels count."""
+    return outlines.mask_quads(t.pixels(s, d).where("v > 0.1"), 3)
+
+
+_TURNS = ", ".join(f"({k}, {c!r}::DOUBLE, {v!r}::DOUBLE)" for k, (c, v) in enumerate(votes.directions(12)))
+
+
+@query("WITH" + t.PIXELS_SQL + f""",
+dir(angle, c, s) AS (VALUES {_TURNS}),
+e AS (SELECT img, x::DOUBLE AS x, y::DOUBLE AS y FROM px WHERE v > 0),
+cast_ AS (SELECT img, angle, x, y, x * c + y * s AS d, round_even(x * c + y * s, 0)::BIGINT AS rho, y * c - x * s AS t FROM e, dir),
+votes AS (SELECT img, angle, rho, count(*) AS votes FROM cast_ GROUP BY ALL HAVING count(*) >= 5),
+peak AS (
+  SELECT * FROM votes v WHERE NOT EXISTS (
+    SELECT 1 FROM votes n WHERE n.img = v.img AND (n.angle <> v.angle OR n.rho <> v.rho)
+      AND ((abs(n.angle - v.angle) <= 1 AND abs(n.rho - v.rho) <= 1) OR (abs(n.angle - v.angle) = 11 AND abs(n.rho + v.rho) <= 1))
+      AND (n.votes, -n.angle, -n.rho) > (v.votes, -v.angle, -v.rho))),
+gap AS (
+  SELECT c.img, c.angle, p.rho, x, y, t, coalesce(c.t - lag(c.t) OVER w > 2e0, false)::INT AS cut FROM cast_ c JOIN peak p ON c.img = p.img AND c.angle = p.angle AND abs(d - p.rho) <= 1
+  WINDOW w AS (PARTITION BY c.img, c.angle, p.rho ORDER BY c.t, x, y)),
+part AS (SELECT *, sum(cut) OVER (PARTITION BY img, angle, rho ORDER BY t, x, y) AS part FROM gap),
+ends AS (SELECT img, angle, rho, part, min((t, x, y)) AS a, max((t, x, y)) AS b, count(*) AS pixels FROM part GROUP BY img, angle, rho, part)
+SELECT img, angle::INTEGER AS angle, rho, a[2] AS x0, a[3] AS y0, b[2] AS x1, b[3] AS y1, pixels FROM ends WHERE b[1] - a[1] >= 3e0""")
+def edge_segments(s, d):
+    """Segments in images of 8 x 8 pixels: at least five votes, three pixels long, with gaps of two."""
+    return votes.segments(t.pixels(s, d).where("v > 0"), angles=12, least_votes=5, least_length=3.0, most_gap=2.0)
+
+
 @query("WITH" + t.PIXELS_SQL + f""",
 grid AS (SELECT img, x, y FROM px), m AS (SELECT img, x, y FROM px WHERE v > 0),
 m1 AS MATERIALIZED ({_dilated("m")}), m2 AS MATERIALIZED ({_eroded("m1")}), m3 AS MATERIALIZED ({_eroded("m2")}), m4 AS ({_dilated("m3")})
