@@ -167,18 +167,19 @@ def side_band(b1: Point, b2: Point, t2: Point, t1: Point, width: float, height:
 
 
 def apply_homography(h: Sequence[Number], x: Column, y: Column) -> tuple[Column, Column]:
-    """h: nine values by rows."""
+    """h: nine values by rows. Null for a point that goes to infinity."""
     w = lit(h[6]) * x + lit(h[7]) * y + lit(h[8])
-    return (lit(h[0]) * x + lit(h[1]) * y + lit(h[2])) / w, (lit(h[3]) * x + lit(h[4]) * y + lit(h[5])) / w
+    return F.try_divide(lit(h[0]) * x + lit(h[1]) * y + lit(h[2]), w), F.try_divide(lit(h[3]) * x + lit(h[4]) * y + lit(h[5]), w)
 
 
 def square_to_quad(p: Sequence[tuple[Column, Column]]) -> list[Column]:
-    """Homography of the unit square (0,0), (1,0), (1,1), (0,1) to four points, in closed form, h[8] = 1."""
+    """Homography of the unit square (0,0), (1,0), (1,1), (0,1) to four points, in closed form, h[8] = 1; null where three of them are on a line
+    with the third."""
     (x0, y0), (x1, y1), (x2, y2), (x3, y3) = p
     dx1, dx2, sx = x1 - x2, x3 - x2, x0 - x1 + x2 - x3
     dy1, dy2, sy = y1 - y2, y3 - y2, y0 - y1 + y2 - y3
     det = dx1 * dy2 - dx2 * dy1
-    g, h = (sx * dy2 - dx2 * sy) / det, (dx1 * sy - sx * dy1) / det
+    g, h = F.try_divide(sx * dy2 - dx2 * sy, det), F.try_divide(dx1 * sy - sx * dy1, det)
     return [x1 - x0 + g * x1, x3 - x0 + h * x3, x0, y1 - y0 + g * y1, y3 - y0 + h * y3, y0, g, h, F.lit(1.0)]
 
 
@@ -285,10 +286,11 @@ def affine(m: Sequence[Number], x: Column, y: Column) -> tuple[Column, Column]:
 
 
 def world_to_pixel(a: Sequence[Column], x: Column, y: Column) -> tuple[Column, Column]:
-    """Inverse of a raster's affine transform (a, b, c, d, e, f): x = a col + b row + c, y = d col + e row + f."""
+    """Inverse of a raster's affine transform (a, b, c, d, e, f): x = a col + b row + c, y = d col + e row + f. Null if it
+    has none."""
     det = a[0] * a[4] - a[1] * a[3]
     dx, dy = x - a[2], y - a[5]
-    return (a[4] * dx - a[1] * dy) / det, (a[0] * dy - a[3] * dx) / det
+    return F.try_divide(a[4] * dx - a[1] * dy, det), F.try_divide(a[0] * dy - a[3] * dx, det)
 
 
 def facade_score(area: Column, inside: Column, outside: Column, wall_area: Column, distance: Column) -> Column:

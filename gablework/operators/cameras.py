@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gablework.config import Settings
 from gablework.functions import geometry as g
+from gablework.operators.columns import once
 from gablework.operators.rings import point
 
 
@@ -18,19 +19,19 @@ def aim(walls: DataFrame, s: Settings = Settings()) -> DataFrame:  # noqa: B008
     az = [g.bearing(p[0] - cam[0], p[1] - cam[1]) for p in (point("b1", "xy"), point("b2", "xy"))]
     middle = tuple((a + b) * 0.5 for a, b in zip(point("b1", "xy"), point("b2", "xy"), strict=True))
     forward = (middle[0] - cam[0]) * F.col("nx") + (middle[1] - cam[1]) * F.col("ny")
-    at = walls.withColumns({"cam_x": cam[0], "cam_y": cam[1], "cam_z": cam[2], "heading": heading, "pitch": pitch, "az1": az[0], "az2": az[1], "ahead": forward})
-    return at.withColumn("fov", g.solve_fov(F.col("heading"), F.col("az1"), F.col("az2"), F.col("ahead"), s)).drop("az1", "az2", "ahead")
+    at = once(walls, {"cam_x": cam[0], "cam_y": cam[1], "cam_z": cam[2], "heading": heading, "pitch": pitch, "az1": az[0], "az2": az[1], "ahead": forward})
+    return once(at, {"fov": g.solve_fov(F.col("heading"), F.col("az1"), F.col("az2"), F.col("ahead"), s)}).drop("az1", "az2", "ahead")
 
 
 def posed(aimed: DataFrame) -> tuple[DataFrame, tuple[g.Point, g.Point, g.Point]]:
     """With the camera's axes as columns, so that they are computed once: right, up and forward."""
     names = [tuple(f"_{a}{c}" for c in "xyz") for a in "ruf"]
-    at = aimed.withColumns(dict(zip(names[2], g.pose(F.col("heading"), F.col("pitch"))[2], strict=True)))
+    at = once(aimed, dict(zip(names[2], g.pose(F.col("heading"), F.col("pitch"))[2], strict=True)))
     f = tuple(F.col(n) for n in names[2])
     level = F.sqrt(f[0] * f[0] + f[1] * f[1])
-    at = at.withColumns({"_rx": F.when(level < 1e-6, 1.0).otherwise(f[1] / level), "_ry": F.when(level < 1e-6, 0.0).otherwise(-f[0] / level), "_rz": F.lit(0.0)})
+    at = once(at, {"_rx": F.when(level < 1e-6, 1.0).otherwise(f[1] / level), "_ry": F.when(level < 1e-6, 0.0).otherwise(-f[0] / level), "_rz": F.lit(0.0)})
     r = tuple(F.col(n) for n in names[0])
-    at = at.withColumns(dict(zip(names[1], g.cross(r, f), strict=True)))
+    at = once(at, dict(zip(names[1], g.cross(r, f), strict=True)))
     return at, tuple(tuple(F.col(n) for n in axis) for axis in names)
 
 
@@ -41,16 +42,16 @@ def views(aimed: DataFrame, s: Settings = Settings()) -> DataFrame:  # noqa: B00
     corners = ("b1", "b2", "t2", "t1")
     at, axes = posed(aimed)
     uv = [g.project(point(n), cam, axes, F.col("fov"), s)[:2] for n in corners]
-    at = at.withColumns({f"{n}_{c}": x for n, p in zip(corners, uv, strict=True) for c, x in zip("uv", p, strict=True)})
+    at = once(at, {f"{n}_{c}": x for n, p in zip(corners, uv, strict=True) for c, x in zip("uv", p, strict=True)})
     turns = [g.yaw_pitch(point(n), cam) for n in corners]
-    at = at.withColumns({"yaw": g.circular_span(F.array(*(y for y, _ in turns))), "low": F.least(*(p for _, p in turns)), "high": F.greatest(*(p for _, p in turns))})
+    at = once(at, {"yaw": g.circular_span(F.array(*(y for y, _ in turns))), "low": F.least(*(p for _, p in turns)), "high": F.greatest(*(p for _, p in turns))})
     fits = g.inside_image([(F.col(f"{n}_u"), F.col(f"{n}_v")) for n in corners], s.image_width, s.image_height, s.cover_margin_px)
-    at = at.withColumn("need", F.greatest(F.col("yaw.span"), F.col("high") - F.col("low")) + 2 * s.angle_margin_deg)
-    at = at.withColumn("tier", F.when(F.coalesce(fits, F.lit(False)), "as_is").when(F.col("need") <= s.fov_max_deg + 1e-6, "re_aimed").otherwise("tiled"))
+    at = once(at, {"need": F.greatest(F.col("yaw.span"), F.col("high") - F.col("low")) + 2 * s.angle_margin_deg})
+    at = once(at, {"tier": F.when(F.coalesce(fits, F.lit(False)), "as_is").when(F.col("need") <= s.fov_max_deg + 1e-6, "re_aimed").otherwise("tiled")})
     rows = F.greatest(F.lit(1), F.ceil((F.col("high") - F.col("low")) / (s.tile_fov_deg - s.tile_overlap_deg)).cast("int"))
     pitches = F.when(rows == 1, F.array((F.col("low") + F.col("high")) * 0.5)).otherwise(F.transform(F.sequence(F.lit(0), rows - 1), lambda k: F.col("low") + (F.col("high") - F.col("low")) * k / F.greatest(rows - 1, F.lit(1))))
     tiled = F.col("tier") == "tiled"
-    return at.withColumns({
+    return once(at, {
         "view_heading": F.when(F.col("tier") == "re_aimed", F.col("yaw.center")).otherwise(F.col("heading")),
         "view_pitch": F.when(F.col("tier") == "re_aimed", (F.col("low") + F.col("high")) * 0.5).otherwise(F.col("pitch")),
         "view_fov": F.when(F.col("tier") == "re_aimed", g.clip(F.col("need"), s.fov_min_deg, s.fov_max_deg)).otherwise(F.col("fov")),
@@ -66,13 +67,13 @@ def tiles(seen: DataFrame) -> DataFrame:
 
 def ortho_canvas(boxes: DataFrame, s: Settings = Settings()) -> DataFrame:  # noqa: B008
     """Size in pixels and effective resolution of a wall's metric canvas (xmin, ymin, xmax, ymax without the margin)."""
-    at = boxes.withColumns({"w": F.col("xmax") - F.col("xmin") + 2 * s.ortho_margin_m, "h": F.col("ymax") - F.col("ymin") + 2 * s.ortho_margin_m})
+    at = once(boxes, {"w": F.col("xmax") - F.col("xmin") + 2 * s.ortho_margin_m, "h": F.col("ymax") - F.col("ymin") + 2 * s.ortho_margin_m})
     pixels = lambda side, ppm: F.greatest(F.ceil(F.col(side) * ppm), F.lit(1)).cast("long")
     full = F.lit(s.pixels_per_meter)
     area = pixels("w", full) * pixels("h", full)
     ppm = F.when(area > s.max_ortho_pixels, full * F.sqrt(F.lit(float(s.max_ortho_pixels)) / area.cast("double"))).otherwise(full)
-    at = at.withColumn("ppm", ppm)
-    return at.withColumns({"width_px": pixels("w", F.col("ppm")), "height_px": pixels("h", F.col("ppm"))}).drop("w", "h")
+    at = once(at, {"ppm": ppm})
+    return once(at, {"width_px": pixels("w", F.col("ppm")), "height_px": pixels("h", F.col("ppm"))}).drop("w", "h")
 
 
 def circular_spans(angles: DataFrame) -> DataFrame:

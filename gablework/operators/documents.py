@@ -9,6 +9,8 @@ from gablework.config import Settings
 from gablework.functions import geometry as g
 from gablework.functions import naming
 from gablework.operators import cameras, panoramas, rings
+from gablework.operators.columns import once
+from gablework.operators.columns import once
 from gablework.operators.rings import point
 
 CORNERS = ("b1", "b2", "t2", "t1")
@@ -67,25 +69,37 @@ def _matrix(values: list[Column]) -> Column:
     return F.array(*(F.array(*values[3 * r : 3 * r + 3]) for r in range(3)))
 
 
+def _with_homography(rows: DataFrame, name: str, src: list[g.Point], dst: list[g.Point]) -> DataFrame:
+    """With the nine values of g.homography as an array, each step of it computed once; null for degenerate points."""
+    names = [[f"_{m}{k}" for k in range(9)] for m in "abcm"]
+    a, b, c, m = ([F.col(n) for n in own] for own in names)
+    for own, values in ((names[0], g.square_to_quad(dst)), (names[1], g.square_to_quad(src)), (names[2], g.adjugate(b)), (names[3], g.matmul(a, c))):
+        rows = once(rows, dict(zip(own, values, strict=True)))
+    rows = once(rows, {name: F.array(*(F.try_divide(x, m[8]) for x in m))})
+    sound = F.forall(name, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
+    return once(rows, {name: F.when(sound, F.col(name))}).drop(*(n for own in names for n in own))
+
+
 def wall_documents(seen: DataFrame, fits: DataFrame | None = None, lines: DataFrame | None = None, s: Settings = Settings()) -> DataFrame:  # noqa: B008
     """A document (building, wall_index, document) of each wall with a view (columns of cameras.views). fits: building, wall_index and a
     struct fit of the quad's fit; lines: the same with a struct lines of the best left, right and top line; without them, or where
-    the settings turn them off, their sections hold nulls."""
-    at = rings.wall_metrics(seen.where("pano_id is not null").withColumns({"heading": F.col("view_heading"), "pitch": F.col("view_pitch"), "fov": F.col("view_fov")}))
+    the settings turn them off, their sections hold nulls. So do the matrices of a wall whose corners have no homography to its
+    view (one without a length or height, or seen from one of its corners)."""
+    at = rings.wall_metrics(once(seen.where("pano_id is not null"), {"heading": F.col("view_heading"), "pitch": F.col("view_pitch"), "fov": F.col("view_fov")}))
     at, axes = cameras.posed(at)
     cam = tuple(F.col(f"cam_{c}") for c in "xyz")
     uv = {n: g.project(point(n), cam, axes, F.col("fov"), s)[:2] for n in CORNERS}
-    at = at.withColumns({f"{n}_px_{c}": x for n, p in uv.items() for c, x in zip("xy", p, strict=True)})
+    at = once(at, {f"{n}_px_{c}": x for n, p in uv.items() for c, x in zip("xy", p, strict=True)})
     pixel, metre = [(F.col(f"{n}_px_x"), F.col(f"{n}_px_y")) for n in CORNERS], [(F.col(f"{n}_u"), F.col(f"{n}_v")) for n in CORNERS]
     # wall_metrics names the corners' places on the wall as a view names their pixels, so these are taken anew above.
-    at = at.withColumns({f"{c}{n}": f(*(p[k] for p in metre)) for k, c in enumerate("xy") for n, f in (("min", F.least), ("max", F.greatest))})
+    at = once(at, {f"{c}{n}": f(*(p[k] for p in metre)) for k, c in enumerate("xy") for n, f in (("min", F.least), ("max", F.greatest))})
     at = cameras.ortho_canvas(at, s)
     low, high = {c: F.col(f"{c}min") - s.ortho_margin_m for c in "xy"}, {c: F.col(f"{c}max") + s.ortho_margin_m for c in "xy"}
     tops, feet = [v for _, v in metre[2:]], [v for _, v in metre[:2]]
-    at = at.withColumn("flip", g.flipped(tops, feet, low["y"], high["y"], F.col("ppm")))
+    at = once(at, {"flip": g.flipped(tops, feet, low["y"], high["y"], F.col("ppm"))})
     zero, one, ppm = F.lit(0.0), F.lit(1.0), F.col("ppm")
     scale = [ppm, zero, -low["x"] * ppm, zero, F.when(F.col("flip"), -ppm).otherwise(ppm), F.when(F.col("flip"), high["y"] * ppm).otherwise(-low["y"] * ppm), zero, zero, one]
-    at = at.withColumn("_h", F.array(*g.homography(pixel, metre)))
+    at = _with_homography(at, "_h", pixel, metre)
     h = [F.get("_h", F.lit(k)) for k in range(9)]
     for name, more, on in (("fit", fits, s.enable_quad_fit), ("lines", lines, s.enable_line_detection)):
         at = with_results(at, more.select("building", "wall_index", name)) if more is not None and on else at.withColumn(name, F.lit(None).cast("string"))

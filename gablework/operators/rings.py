@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gablework.functions import geometry as g
+from gablework.operators.columns import once
 
 RING = ("building", "component", "loop")
 ORDER = ("ring_order", "seq")
@@ -76,21 +77,21 @@ def wall_metrics(walls: DataFrame) -> DataFrame:
     the top edge at v = 0, and width_m, height_left_m, height_right_m. A wall without a roof edge has zeros for its axes."""
     b1, b2, t1, t2 = (point(n) for n in ("b1", "b2", "t1", "t2"))
     u, v = (tuple(F.col(f"{a}_{c}") for c in "xyz") for a in "uv")
-    at = walls.withColumns(dict(zip(("_x", "_y", "_z"), g.minus(t2, t1), strict=True)) | dict(zip(("_p", "_q", "_r"), g.times(g.plus(g.minus(t1, b1), g.minus(t2, b2)), 0.5), strict=True)))
-    at = at.withColumn("_n", g.norm(tuple(F.col(f"_{c}") for c in "xyz")))
-    at = at.withColumns({f"u_{c}": F.when(F.col("_n") > 1e-12, F.col(f"_{c}") / F.col("_n")).otherwise(0.0) for c in "xyz"})
+    at = once(walls, dict(zip(("_x", "_y", "_z"), g.minus(t2, t1), strict=True)) | dict(zip(("_p", "_q", "_r"), g.times(g.plus(g.minus(t1, b1), g.minus(t2, b2)), 0.5), strict=True)))
+    at = once(at, {"_n": g.norm(tuple(F.col(f"_{c}") for c in "xyz"))})
+    at = once(at, {f"u_{c}": F.when(F.col("_n") > 1e-12, F.col(f"_{c}") / F.col("_n")).otherwise(0.0) for c in "xyz"})
     seed = tuple(F.col(f"_{c}") for c in "pqr")
-    at = at.withColumn("_k", g.dot(seed, u))
-    at = at.withColumns({f"_{c}": a - F.col("_k") * b for c, a, b in zip("xyz", seed, u, strict=True)})
-    at = at.withColumn("_n", g.norm(tuple(F.col(f"_{c}") for c in "xyz")))
-    at = at.withColumns({f"v_{c}": F.when(F.col("_n") > 1e-12, F.col(f"_{c}") / F.col("_n")).otherwise(0.0) for c in "xyz"})
+    at = once(at, {"_k": g.dot(seed, u)})
+    at = once(at, {f"_{c}": a - F.col("_k") * b for c, a, b in zip("xyz", seed, u, strict=True)})
+    at = once(at, {"_n": g.norm(tuple(F.col(f"_{c}") for c in "xyz"))})
+    at = once(at, {f"v_{c}": F.when(F.col("_n") > 1e-12, F.col(f"_{c}") / F.col("_n")).otherwise(0.0) for c in "xyz"})
     # v points from the base to the roof.
-    at = at.withColumn("_k", F.when(g.dot(v, seed) < 0, -1.0).otherwise(1.0)).withColumns({f"v_{c}": F.col(f"v_{c}") * F.col("_k") for c in "xyz"})
+    at = once(once(at, {"_k": F.when(g.dot(v, seed) < 0, -1.0).otherwise(1.0)}), {f"v_{c}": F.col(f"v_{c}") * F.col("_k") for c in "xyz"})
     corners = (("b1", b1), ("b2", b2), ("t2", t2), ("t1", t1))
-    at = at.withColumns({f"{n}_{k}": g.dot(g.minus(p, t1), axis) for n, p in corners for k, axis in (("u", u), ("v", v))})
-    at = at.withColumn("_k", (F.col("t1_v") + F.col("t2_v")) * 0.5).withColumns({f"{n}_v": F.col(f"{n}_v") - F.col("_k") for n, _ in corners})
+    at = once(at, {f"{n}_{k}": g.dot(g.minus(p, t1), axis) for n, p in corners for k, axis in (("u", u), ("v", v))})
+    at = once(once(at, {"_k": (F.col("t1_v") + F.col("t2_v")) * 0.5}), {f"{n}_v": F.col(f"{n}_v") - F.col("_k") for n, _ in corners})
     sizes = {"width_m": F.col("t2_u") - F.col("t1_u"), "height_left_m": F.col("t1_v") - F.col("b1_v"), "height_right_m": F.col("t2_v") - F.col("b2_v")}
-    return at.withColumns(sizes).drop(*(f"_{c}" for c in "xyzpqrnk"))
+    return once(at, sizes).drop(*(f"_{c}" for c in "xyzpqrnk"))
 
 
 def base_height(edges: DataFrame) -> DataFrame:
