@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,30 +42,37 @@ def _rows(radius: int, shape: str) -> dict[int, int]:
     return {dy: radius if shape == "square" else round((radius * radius - dy * dy) ** 0.5) for dy in range(-radius, radius + 1)}
 
 
-def _offsets(radius: int, shape: str) -> Column:
-    return F.explode(F.array(*(F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dy, half in _rows(radius, shape).items() for dx in range(-half, half + 1))))
+def _grown(rows: DataFrame, radius: int, width: int, height: int, shape: str) -> DataFrame:
+    """Runs (img, y, x0, x1) of what a structuring element around each pixel of runs covers within the image. A run gives a span for each of the
+    element's rows; spans that overlap become one."""
+    steps = F.array(*(F.struct(F.lit(dy).alias("dy"), F.lit(half).alias("half")) for dy, half in _rows(radius, shape).items()))
+    at = rows.select("img", "y", "x0", "x1", F.inline(steps))
+    at = at.select("img", (F.col("y") + F.col("dy")).alias("y"), F.greatest(F.col("x0") - F.col("half"), F.lit(0)).alias("x0"), F.least(F.col("x1") + F.col("half"), F.lit(width - 1)).alias("x1"))
+    row = Window.partitionBy("img", "y").orderBy("x0", "x1")
+    at = at.where(F.col("y").between(0, height - 1) & (F.col("x0") <= F.col("x1"))).distinct()
+    before = F.max("x1").over(row.rowsBetween(Window.unboundedPreceding, -1))
+    at = at.withColumn("_new", F.when(F.col("x0") <= before + 1, 0).otherwise(1)).withColumn("_part", F.sum("_new").over(row))
+    return at.groupBy("img", "y", "_part").agg(F.min("x0").alias("x0"), F.max("x1").alias("x1")).drop("_part")
 
 
-def _around(mask: DataFrame, radius: int, width: int, height: int, shape: str) -> DataFrame:
-    at = mask.select(PIXEL).distinct().withColumn("_o", _offsets(radius, shape))
-    moved = at.select("img", (F.col("x") + F.col("_o.dx")).alias("x"), (F.col("y") + F.col("_o.dy")).alias("y"))
-    return moved.where(F.col("x").between(0, width - 1) & F.col("y").between(0, height - 1))
+def _as_in(mask: DataFrame, rows: DataFrame) -> DataFrame:
+    """Pixels of runs, in a mask's types."""
+    kinds = dict(mask.dtypes)
+    at = rows.select("img", F.explode(F.sequence("x0", "x1")).alias("x"), "y")
+    return at.select(*(F.col(c).cast(kinds[c]).alias(c) for c in PIXEL))
 
 
 def dilate(mask: DataFrame, radius: int, width: int, height: int, shape: str = "square") -> DataFrame:
     """By a square of side 2 * radius + 1, or the ellipse within it, within the image."""
-    return _around(mask, radius, width, height, shape).distinct()
+    return _as_in(mask, _grown(graphs.runs(mask.where(F.col("x").isNotNull() & F.col("y").isNotNull())), radius, width, height, shape))
 
 
 def erode(mask: DataFrame, radius: int, width: int, height: int, shape: str = "square") -> DataFrame:
-    """Pixels whose whole square (or ellipse), as far as it lies within the image, is in the mask."""
-    count = _around(mask, radius, width, height, shape).groupBy(PIXEL).agg(F.count("*").alias("n"))
-    span = lambda c, half, size: F.least(F.col(c) + half, F.lit(size - 1)) - F.greatest(F.col(c) - half, F.lit(0)) + 1
-    if shape == "square":
-        whole = span("x", radius, width) * span("y", radius, height)
-    else:
-        whole = sum((F.when((F.col("y") + dy).between(0, height - 1), span("x", half, width)).otherwise(0) for dy, half in _rows(radius, shape).items()), F.lit(0))
-    return count.where(F.col("n") == whole).select(PIXEL)
+    """Pixels whose whole square (or ellipse), as far as it lies within the image, is in the mask: those that the dilated background
+    doesn't reach."""
+    inside = mask.where(F.col("x").between(0, width - 1) & F.col("y").between(0, height - 1))
+    gone = _grown(graphs.gaps(graphs.runs(inside), width, height), radius, width, height, shape)
+    return difference(inside, _as_in(mask, gone))
 
 
 def opened(mask: DataFrame, radius: int, width: int, height: int, shape: str = "square") -> DataFrame:

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gablework.operators import outlines, votes
+from gablework.operators import outlines, pixels, votes
 from tests.test_planar import _flood
 
 EIGHT = [(a, b) for a in (-1, 0, 1) for b in (-1, 0, 1)]
@@ -111,3 +111,18 @@ def test_planted_lines_are_found(spark):
         assert many[k, round(50 * c + 15 * s)] == sum(round(x * c + y * s) == round(50 * c + 15 * s) for x, y in pixels)
     assert votes.segments(df.limit(0)).count() == 0
     assert votes.segments(df.withColumn("img", F.lit(None).cast("long"))).count() == 0
+
+
+@pytest.mark.parametrize(("radius", "shape"), [(1, "square"), (3, "ellipse"), (9, "ellipse")])
+def test_morphology_by_brute_force(spark, radius, shape):
+    w, h, rng = 17, 13, random.Random(radius)
+    masks = {i: {(x, y) for x in range(w) for y in range(h) if rng.random() < d} for i, d in enumerate((0.05, 0.6, 0.97, 1.0))}
+    element = [(dx, dy) for dy, half in pixels._rows(radius, shape).items() for dx in range(-half, half + 1)]
+    df = spark.createDataFrame([(i, x, y) for i, m in masks.items() for x, y in m], "img long, x int, y int")
+    inside = lambda x, y: 0 <= x < w and 0 <= y < h
+    grown = {(i, x + a, y + b) for i, m in masks.items() for x, y in m for a, b in element if inside(x + a, y + b)}
+    left = {(i, x, y) for i, m in masks.items() for x, y in m if all((x + a, y + b) in m for a, b in element if inside(x + a, y + b))}
+    for df_of, want in ((pixels.dilate, grown), (pixels.erode, left)):
+        got = [tuple(r) for r in df_of(df, radius, w, h, shape).collect()]
+        assert set(got) == want and len(got) == len(want)
+    assert pixels.dilate(df, radius, w, h, shape).dtypes == df.dtypes
