@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gablework.config import Settings
 from gablework.functions import geometry as g
+from gablework.operators.columns import once
 from gablework.operators.rings import point
 
 #: Side of the cells by which panoramas meet base lines.
@@ -54,6 +55,16 @@ def first_by_place(found: DataFrame, digits: int = 6) -> DataFrame:
     return found.withColumn("_k", F.row_number().over(order)).where("_k = 1").drop("_k")
 
 
+def discovered(bases: DataFrame, panos: DataFrame, s: Settings = Settings()) -> DataFrame:  # noqa: B008
+    """Panoramas that a search finds around buildings (bases: building, x1, y1, x2, y2): building, pano_id, x, y. Each point of a building's grid
+    asks for the nearest within its radius; of what is found, panoramas in the building's zone count, and of those at one place the first in
+    grid order. A panorama that is nearest to no grid point is never found."""
+    near = nearest_to_grid(search_grid(bases, s), panos).groupBy("building", "pano_id").agg(F.min(F.struct("i", "j", "x", "y")).alias("first"))
+    near = near.join(in_zone(bases, panos, s).select("building", "pano_id"), ["building", "pano_id"]).select("building", "pano_id", "first.*")
+    lat, lng = g.from_utm(F.col("x"), F.col("y"))
+    return first_by_place(once(near, {"lat": lat, "lng": lng})).select("building", "pano_id", "x", "y")
+
+
 def best_for_walls(walls: DataFrame, zone: DataFrame, s: Settings = Settings()) -> DataFrame:  # noqa: B008
     """Each wall (with its geometry) and its panorama: of those in front of the wall and within the prism over its base, the
     one with the least (lateral, forward, dist, pano_id); null if there is none. zone: building, pano_id, x, y."""

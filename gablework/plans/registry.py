@@ -145,6 +145,22 @@ def pano_zone(s, d):
     return panoramas.in_zone(t.bases(_walls(s, d)), t.panos(s, d)).select("building", "pano_id")
 
 
+@query("WITH" + t.WALLS_SQL + "," + t.ZONE_SQL + """,
+box AS (SELECT building, min(least(x1, x2)) - 20 AS x0, max(greatest(x1, x2)) + 20 AS xn, min(least(y1, y2)) - 20 AS y0, max(greatest(y1, y2)) + 20 AS yn FROM walls GROUP BY building),
+square AS (SELECT *, greatest(xn - x0, yn - y0) AS side FROM box),
+grid AS (
+  SELECT building, i, j, (x0 + xn) * 0.5e0 - side * 0.5e0 + i * (side / 10e0) AS gx, (y0 + yn) * 0.5e0 - side * 0.5e0 + j * (side / 10e0) AS gy, floor(greatest(30e0, 1.2e0 * (side / 10e0))) AS radius
+  FROM square, range(0, 11) a(i), range(0, 11) b(j)),
+spots AS (SELECT pano_id, x AS sx, y AS sy, floor(x / 100e0) + a.k AS cx, floor(y / 100e0) + b.k AS cy FROM panos, range(-1, 2) a(k), range(-1, 2) b(k)),
+found AS (
+  SELECT building, i, j, arg_min(pano_id, (sqrt((sx - gx) * (sx - gx) + (sy - gy) * (sy - gy)), pano_id)) AS pano_id FROM grid JOIN spots ON cx = floor(gx / 100e0) AND cy = floor(gy / 100e0)
+  WHERE sqrt((sx - gx) * (sx - gx) + (sy - gy) * (sy - gy)) <= radius GROUP BY building, i, j)
+SELECT DISTINCT f.building, f.pano_id FROM found f JOIN zone z ON z.building = f.building AND z.pano_id = f.pano_id""")
+def pano_discovery(s, d):
+    """What a grid search around each building finds, as one path from base lines to panoramas."""
+    return panoramas.discovered(t.bases(_walls(s, d)), t.panos(s, d)).select("building", "pano_id")
+
+
 @query("""
 SELECT building, i, j, pano_id, place FROM (
   SELECT *, row_number() OVER (PARTITION BY building, lat, lng ORDER BY i, j, pano_id) AS k FROM (
