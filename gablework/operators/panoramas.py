@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gablework.config import Settings
 from gablework.functions import geometry as g
+from gablework.functions import intervals
 from gablework.operators.columns import once
 from gablework.operators.rings import point
 
@@ -85,8 +90,35 @@ def best_for_walls(walls: DataFrame, zone: DataFrame, s: Settings = Settings())
     return walls.join(best, ["building", "wall_index"], "left").select(*walls.columns, "best.*")
 
 
+#: Points, and areas, of a zone that meet at once.
+BLOCK = 1 << 17
+
+
 def nearest_or_containing(points: DataFrame, areas: DataFrame) -> DataFrame:
-    """For points (id, zone, v) the area of their zone (area, zone, low, high): the first that contains v, or else the nearest."""
-    away = F.greatest(F.col("low") - F.col("v"), F.col("v") - F.col("high"), F.lit(0.0))
-    met = points.join(areas, "zone")
-    return met.groupBy("id").agg(F.min_by("area", F.struct(away.alias("d"), "area")).alias("area"), F.min(away).alias("distance"))
+    """For points (id, zone, v) the area of their zone (area, zone, low, high): the first that contains v, or else the nearest; of equals the first.
+    A zone's points and areas meet in blocks of about BLOCK, and a pair of blocks is searched by its sorted ends, so points are never paired with
+    every area. A null end is open; a null v is in every area."""
+    sizes = lambda rows: rows.groupBy("zone").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n"))
+    block = lambda c: F.pmod(F.xxhash64(c), F.col("n").cast("long")).cast("int")
+    areas, points = areas.where("zone is not null"), points.where("zone is not null")
+    to = sizes(areas)
+    a = areas.join(to, "zone").select("zone", block("area").alias("b"), "area", *(F.col(c).cast("double").alias(c) for c in ("low", "high")))
+    p = points.join(sizes(points), "zone").withColumn("a", block("id")).drop("n").join(to, "zone")
+    p = p.select("zone", "a", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("b"), "id", F.col("v").cast("double").alias("v"))
+    # An area's block goes to each of its zone's blocks of points.
+    a = a.join(p.groupBy("zone").agg(F.max("a").alias("to")), "zone").select("zone", F.explode(F.sequence(F.lit(0), "to")).alias("a"), "b", "area", "low", "high")
+    schema = T.StructType([T.StructField("id", points.schema["id"].dataType), T.StructField("area", areas.schema["area"].dataType), T.StructField("d", T.DoubleType())])
+
+    def met(own: pa.Table, others: pa.Table) -> pa.Table:
+        if not (own.num_rows and others.num_rows):
+            return pa.table({n: pa.array([], t.type) for n, t in (("id", own.schema.field("id")), ("area", others.schema.field("area")), ("d", own.schema.field("v")))})
+        others = others.take(pc.sort_indices(others, sort_keys=[("area", "ascending")], null_placement="at_start"))
+        known = own["v"].is_valid().to_numpy(zero_copy_only=False)
+        low, high = (others[c].fill_null(far).to_numpy() for c, far in (("low", -np.inf), ("high", np.inf)))
+        k, d = intervals.nearest(own["v"].fill_null(0.0).to_numpy(), low, high)
+        k, d = np.where(known, k, 0), np.where(known, d, 0.0)
+        return pa.table({"id": own["id"], "area": others["area"].take(pa.array(k)), "d": pa.array(d)})
+
+    keys = ("zone", "a", "b")
+    found = p.groupBy(*keys).cogroup(a.groupBy(*keys)).applyInArrow(met, schema)
+    return found.groupBy("id").agg(F.min_by("area", F.struct("d", "area")).alias("area"), F.min("d").alias("distance"))
