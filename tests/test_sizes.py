@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from gablework.functions import intervals
-from gablework.operators import panoramas
+from gablework.operators import fitting, panoramas
 
 
 def plain_nearest(v, lows, highs):
@@ -48,3 +48,12 @@ def test_areas_in_blocks(spark, monkeypatch):
         got = panoramas.nearest_or_containing(spark.createDataFrame(points, "id long, zone long, v double"), spark.createDataFrame(areas, "area long, zone long, low double, high double"))
         assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString().split("FlatMapCoGroupsInArrow")[0]
         assert {r.id: (r.area, r.distance) for r in got.collect()} == want
+
+
+def test_placements_are_no_rows(spark):
+    """A pair's placements are compared where the pair is."""
+    kind = "id long, seg array<struct<x double, y double>>, wall array<struct<x double, y double>>"
+    square = lambda n: [(0.0, 0.0), (n, 0.0), (n, n), (0.0, n)]
+    got = fitting.fit_quads(spark.createDataFrame([(1, square(1.0), square(10.0)), (1, square(1.0), square(10.0)), (2, square(2.0), square(10.0))], kind))
+    assert "explode" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r.id, r.touching) for r in got.collect()) == [(1, True), (2, True)]
