@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,20 +18,42 @@ from gablework.operators.columns import once
 from gablework.operators.rings import point
 
 #: Side of the cells by which panoramas meet base lines.
-CELL = 50.0
+CELL = 100.0
+#: Buildings whose grids are searched at once.
+ROWS = 2048
 
 
-def search_grid(bases: DataFrame, s: Settings = Settings()) -> DataFrame:  # noqa: B008
-    """Grid points (building, i, j, x, y, radius) of a square that covers a building's base lines (building, x1, y1, x2, y2) and
-    their surroundings."""
+def _squares(bases: DataFrame, s: Settings) -> DataFrame:
+    """The square around a building's base lines and their surroundings, and its grid: building, x0, y0, xn, yn, side, radius."""
     low, high = (lambda c: F.min(F.least(f"{c}1", f"{c}2")) - s.grid_offset_m), (lambda c: F.max(F.greatest(f"{c}1", f"{c}2")) + s.grid_offset_m)
     box = bases.groupBy("building").agg(low("x").alias("x0"), high("x").alias("xn"), low("y").alias("y0"), high("y").alias("yn"))
     box = box.withColumn("side", F.greatest(F.col("xn") - F.col("x0"), F.col("yn") - F.col("y0")))
+    return box.withColumn("radius", F.floor(F.greatest(F.lit(float(s.search_radius_m)), 1.2 * (F.col("side") / float(s.grid_n)))).cast("int"))
+
+
+def search_grid(bases: DataFrame, s: Settings = Settings()) -> DataFrame:  # noqa: B008
+    """Grid points (building, i, j, x, y, radius) of a square that covers a building's base lines (building, x1, y1, x2, y2) and
+    their surroundings."""
     step = F.col("side") / float(s.grid_n)
     steps = F.sequence(F.lit(0), F.lit(s.grid_n))
-    at = box.withColumn("i", F.explode(steps)).withColumn("j", F.explode(steps))
+    at = _squares(bases, s).withColumn("i", F.explode(steps)).withColumn("j", F.explode(steps))
     place = lambda c, k: (F.col(f"{c}0") + F.col(f"{c}n")) * 0.5 - F.col("side") * 0.5 + F.col(k) * step
-    return at.select("building", "i", "j", place("x", "i").alias("x"), place("y", "j").alias("y"), F.floor(F.greatest(F.lit(float(s.search_radius_m)), 1.2 * step)).cast("int").alias("radius"))
+    return at.select("building", "i", "j", place("x", "i").alias("x"), place("y", "j").alias("y"), "radius")
+
+
+def _met(boxes: DataFrame, panos: DataFrame) -> DataFrame:
+    """Boxes (low_x, high_x, low_y, high_y and more) with the panoramas (pano_id, x, y) in them, by cells of CELL: one building has one box, whatever
+    its lines or grid points."""
+    cells = lambda c: F.explode(F.sequence(F.floor(F.col(f"low_{c}") / CELL), F.floor(F.col(f"high_{c}") / CELL)))
+    spots = panos.select("pano_id", F.col("x").alias("px"), F.col("y").alias("py"), F.floor(F.col("x") / CELL).alias("cx"), F.floor(F.col("y") / CELL).alias("cy"))
+    at = boxes.withColumn("cx", cells("x")).withColumn("cy", cells("y")).join(spots, ["cx", "cy"])
+    return at.where(F.col("px").between(F.col("low_x"), F.col("high_x")) & F.col("py").between(F.col("low_y"), F.col("high_y"))).drop("cx", "cy")
+
+
+def _near_lines(bases: DataFrame, asked: DataFrame, m: float) -> DataFrame:
+    """Of panoramas of buildings (building, pano_id, x, y) those strictly within m of one of the building's base lines."""
+    d = g.point_segment_distance((F.col("x"), F.col("y")), (F.col("x1"), F.col("y1")), (F.col("x2"), F.col("y2")))
+    return bases.select("building", "x1", "y1", "x2", "y2").join(asked.hint("shuffle_hash"), "building").where(d < m).select(*asked.columns).distinct()
 
 
 def nearest_to_grid(grid: DataFrame, panos: DataFrame) -> DataFrame:
@@ -44,14 +68,14 @@ def nearest_to_grid(grid: DataFrame, panos: DataFrame) -> DataFrame:
 
 
 def in_zone(bases: DataFrame, panos: DataFrame, s: Settings = Settings()) -> DataFrame:  # noqa: B008
-    """Panoramas strictly within grid_offset_m of a building's base lines: building, pano_id, x, y. Both sides meet by cells, so the
-    join is an equi-join whatever their sizes."""
+    """Panoramas strictly within grid_offset_m of a building's base lines: building, pano_id, x, y. A building's box and panoramas meet by
+    cells, and only what is in the box meets the lines, so the joins are equi-joins whatever their sizes."""
     m = s.grid_offset_m
-    cells = lambda c: F.sequence(F.floor((F.least(f"{c}1", f"{c}2") - m) / CELL), F.floor((F.greatest(f"{c}1", f"{c}2") + m) / CELL))
-    lines = bases.select("building", "x1", "y1", "x2", "y2").withColumn("cx", F.explode(cells("x"))).withColumn("cy", F.explode(cells("y")))
-    spots = panos.select("pano_id", "x", "y", F.floor(F.col("x") / CELL).alias("cx"), F.floor(F.col("y") / CELL).alias("cy"))
-    d = g.point_segment_distance((F.col("x"), F.col("y")), (F.col("x1"), F.col("y1")), (F.col("x2"), F.col("y2")))
-    return lines.join(spots, ["cx", "cy"]).where(d < m).select("building", "pano_id", "x", "y").distinct()
+    bases = bases.where("building is not null")
+    low, high = (lambda c: (F.min(F.least(f"{c}1", f"{c}2")) - m).alias(f"low_{c}")), (lambda c: (F.max(F.greatest(f"{c}1", f"{c}2")) + m).alias(f"high_{c}"))
+    boxes = bases.groupBy("building").agg(low("x"), high("x"), low("y"), high("y"))
+    asked = _met(boxes, panos).select("building", "pano_id", F.col("px").alias("x"), F.col("py").alias("y"))
+    return _near_lines(bases, asked, m)
 
 
 def first_by_place(found: DataFrame, digits: int = 6) -> DataFrame:
@@ -60,34 +84,78 @@ def first_by_place(found: DataFrame, digits: int = 6) -> DataFrame:
     return found.withColumn("_k", F.row_number().over(order)).where("_k = 1").drop("_k")
 
 
+def _found(squares: DataFrame, panos: DataFrame, s: Settings) -> DataFrame:
+    """Panoramas that are nearest to a grid point of a building's square, with the first such point: building, pano_id, i, j, x, y. The grid is made
+    where a building and its panoramas are, so neither its points nor their distances are ever sent."""
+    n = s.grid_n + 1
+    reach = F.col("side") * 0.5 + F.col("radius") + 1.0
+    ends = {f"{e}_{c}": (F.col(f"{c}0") + F.col(f"{c}n")) * 0.5 + reach * k for c in "xy" for e, k in (("low", -1.0), ("high", 1.0))}
+    met = _met(squares.withColumns(ends), panos)
+    # The corner is that of search_grid.
+    own = [((F.col(f"{c}0") + F.col(f"{c}n")) * 0.5 - F.col("side") * 0.5).alias(c) for c in "xy"] + [(F.col("side") / float(s.grid_n)).alias("step")]
+    near = F.array_sort(F.collect_list(F.struct("pano_id", "px", "py"))).alias("near")
+    at = met.select("building", *own, "radius", "pano_id", "px", "py").groupBy("building", "x", "y", "step", "radius").agg(near)
+    kind = at.schema
+    out = T.StructType([kind["building"], T.StructField("pano_id", kind["near"].dataType.elementType["pano_id"].dataType), *(T.StructField(c, t) for c, t in (("i", T.IntegerType()), ("j", T.IntegerType()), ("x", T.DoubleType()), ("y", T.DoubleType())))])
+
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (b.slice(k, ROWS) for b in batches for k in range(0, b.num_rows, ROWS)):
+            lists = batch.column("near")
+            flat, sizes = lists.flatten(), pc.list_value_length(lists).to_numpy()
+            px, py = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("px", "py"))
+            row, first = np.repeat(np.arange(len(sizes)), sizes), np.cumsum(sizes) - sizes
+            x, y, step, radius = (batch.column(c).to_numpy(zero_copy_only=False)[row] for c in ("x", "y", "step", "radius"))
+            best, least = np.full((len(sizes), n * n), len(flat)), np.full((len(sizes), n * n), np.inf)
+            for k in range(n * n):
+                dx, dy = px - (x + k // n * step), py - (y + k % n * step)
+                d = np.sqrt(dx * dx + dy * dy)
+                d = np.where(d <= radius, d, np.inf)
+                least[:, k] = np.minimum.reduceat(d, first)
+                # Panoramas of a row are in order, so of equally near ones the first counts.
+                at = np.where((d == least[row, k]) & (d < np.inf), np.arange(len(flat)), len(flat))
+                best[:, k] = np.minimum.reduceat(at, first)
+            spot, k = np.unique(best.ravel(), return_index=True)
+            # Every panorama is of one row, so the first place in its row is the first in all.
+            k, spot = k[spot < len(flat)] % (n * n), spot[spot < len(flat)]
+            there = flat.take(pa.array(spot))
+            columns = [batch.column("building").take(pa.array(row[spot])), there.field("pano_id"), pa.array((k // n).astype(np.int32)), pa.array((k % n).astype(np.int32)), there.field("px"), there.field("py")]
+            yield pa.RecordBatch.from_arrays(columns, out.names)
+
+    return at.mapInArrow(nearest, out)
+
+
 def discovered(bases: DataFrame, panos: DataFrame, s: Settings = Settings()) -> DataFrame:  # noqa: B008
     """Panoramas that a search finds around buildings (bases: building, x1, y1, x2, y2): building, pano_id, x, y. Each point of a building's grid
     asks for the nearest within its radius; of what is found, panoramas in the building's zone count, and of those at one place the first in
     grid order. A panorama that is nearest to no grid point is never found."""
-    near = nearest_to_grid(search_grid(bases, s), panos).groupBy("building", "pano_id").agg(F.min(F.struct("i", "j", "x", "y")).alias("first"))
-    near = near.join(in_zone(bases, panos, s).select("building", "pano_id"), ["building", "pano_id"]).select("building", "pano_id", "first.*")
+    bases = bases.where("building is not null")
+    near = _near_lines(bases, _found(_squares(bases, s), panos, s), s.grid_offset_m)
+    near = near.groupBy("building", "pano_id").agg(F.min(F.struct("i", "j", "x", "y")).alias("first")).select("building", "pano_id", "first.*")
     lat, lng = g.from_utm(F.col("x"), F.col("y"))
     return first_by_place(once(near, {"lat": lat, "lng": lng})).select("building", "pano_id", "x", "y")
 
 
 def best_for_walls(walls: DataFrame, zone: DataFrame, s: Settings = Settings()) -> DataFrame:  # noqa: B008
     """Each wall (with its geometry) and its panorama: of those in front of the wall and within the prism over its base, the
-    one with the least (lateral, forward, dist, pano_id); null if there is none. zone: building, pano_id, x, y."""
+    one with the least (lateral, forward, dist, pano_id); null if there is none. zone: building, pano_id, x, y. Walls meet their building's panoramas
+    as one row, so they are neither multiplied nor sorted by wall."""
     b1, b2 = point("b1", "xy"), point("b2", "xy")
     flat = g.safe_unit((F.col("nx"), F.col("ny")))
     none = g.norm((F.col("nx"), F.col("ny"))) < 1e-9
     n = (F.when(none, -F.col("dy")).otherwise(flat[0]), F.when(none, F.col("dx")).otherwise(flat[1]))
-    extra = {"fx": n[0], "fy": n[1], "mx": (b1[0] + b2[0]) * 0.5, "my": (b1[1] + b2[1]) * 0.5}
-    at = walls.select("building", "wall_index", "base_m", "dx", "dy", F.inline(F.array(F.struct(*(c.alias(k) for k, c in extra.items())))))
-    vec = (F.col("o.x") - F.col("w.mx"), F.col("o.y") - F.col("w.my"))
-    # The prism is the base moved along n; with n square to the base its test is a range along each.
-    slant = lambda v: (v[0] * F.col("w.dx") + v[1] * F.col("w.dy"), v[0] * F.col("w.fx") + v[1] * F.col("w.fy"))
-    along, forward = slant(vec)
-    hit = (F.abs(along) <= F.col("w.base_m") / 2.0) & forward.between(0.0, s.prism_length_m)
-    met = at.alias("w").where("w.base_m >= 1e-9").join(zone.alias("o"), (F.col("w.building") == F.col("o.building")) & hit)
-    key = F.struct(F.abs(along).alias("lateral"), forward.alias("forward"), g.norm(vec).alias("dist"), F.col("o.pano_id").alias("pano_id"), F.col("o.x").alias("pano_x"), F.col("o.y").alias("pano_y"))
-    best = met.groupBy("w.building", "w.wall_index").agg(F.min(key).alias("best"))
-    return walls.join(best, ["building", "wall_index"], "left").select(*walls.columns, "best.*")
+    near = zone.groupBy("building").agg(F.collect_list(F.struct("pano_id", "x", "y")).alias("_near"))
+    at = walls.join(near.hint("shuffle_hash"), "building", "left")
+    mx, my = (b1[0] + b2[0]) * 0.5, (b1[1] + b2[1]) * 0.5
+
+    def seen(o: Column) -> Column:
+        # The prism is the base moved along n; with n square to the base its test is a range along each.
+        vec = (o["x"] - mx, o["y"] - my)
+        along, forward = vec[0] * F.col("dx") + vec[1] * F.col("dy"), vec[0] * n[0] + vec[1] * n[1]
+        return F.struct(F.abs(along).alias("lateral"), forward.alias("forward"), g.norm(vec).alias("dist"), o["pano_id"].alias("pano_id"), o["x"].alias("pano_x"), o["y"].alias("pano_y"))
+
+    hit = lambda o: (o["lateral"] <= F.col("base_m") / 2.0) & o["forward"].between(0.0, s.prism_length_m)
+    best = F.when(F.col("base_m") >= 1e-9, F.array_min(F.filter(F.transform("_near", seen), hit)))
+    return at.withColumn("_best", best).select(*walls.columns, "_best.*")
 
 
 #: Points, and areas, of a zone that meet at once.

@@ -57,3 +57,25 @@ def test_placements_are_no_rows(spark):
     got = fitting.fit_quads(spark.createDataFrame([(1, square(1.0), square(10.0)), (1, square(1.0), square(10.0)), (2, square(2.0), square(10.0))], kind))
     assert "explode" not in got._jdf.queryExecution().optimizedPlan().toString()
     assert sorted((r.id, r.touching) for r in got.collect()) == [(1, True), (2, True)]
+
+
+def test_search_makes_no_rows_of_grid_points(spark):
+    """The same as the grid points' own nearest panoramas, of those near a line; plans hold no grid, and boxes meet once a building."""
+    rnd = random.Random(3)
+    bases = [(b, 100.0 * b + x, y, 100.0 * b + x + rnd.uniform(0, 9), y + rnd.uniform(0, 9)) for b in range(12) for x, y in ((0.0, 0.0), (9.0, 2.0), (4.0, 30.0))]
+    panos = [(k, rnd.uniform(-60, 1260), rnd.uniform(-60, 90)) for k in range(400)] + [(900 + k, 5.0, 5.0) for k in range(3)]
+    bases, panos = spark.createDataFrame(bases, "building long, x1 double, y1 double, x2 double, y2 double"), spark.createDataFrame(panos, "pano_id long, x double, y double")
+    got = panoramas.discovered(bases, panos)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "sequence(0, 10" not in plan
+    zone = {(r.building, r.pano_id) for r in panoramas.in_zone(bases, panos).collect()}
+    near = panoramas.nearest_to_grid(panoramas.search_grid(bases), panos).collect()
+    assert {(r.building, r.pano_id) for r in got.collect()} == {(r.building, r.pano_id) for r in near} & zone
+    p, lines = {r.pano_id: r for r in panos.collect()}, bases.collect()
+
+    def away(o, r):
+        dx, dy = r.x2 - r.x1, r.y2 - r.y1
+        t = min(max(((o.x - r.x1) * dx + (o.y - r.y1) * dy) / (dx * dx + dy * dy), 0.0), 1.0)
+        return math.hypot(o.x - r.x1 - t * dx, o.y - r.y1 - t * dy)
+
+    assert zone == {(r.building, k) for r in lines for k, o in p.items() if away(o, r) < 20}
