@@ -40,12 +40,15 @@ def wall_faces(edges: DataFrame) -> DataFrame:
     """Walls of vertical edges (building, component, loop, ring_order, seq, p, q), p and q structs of x, y, z (null for a missing node): each
     edge with the next one of its ring, the last with the first. Columns b1, t1 and b2, t2 are the lower and upper ends;
     loop_index counts within the ring and wall_index over the building, walls without all nodes included."""
-    ring = Window.partitionBy(*RING).orderBy(*_order())
+    # Nulls stand in columns of their own, so that one order serves rings and buildings: rows are sorted once.
+    edges = edges.withColumns({"_c": F.col("component").isNull(), "_l": F.col("loop").isNull()})
+    place = ("_c", "component", "_l", "loop")
+    ring = Window.partitionBy("building", *place).orderBy(*_order())
     whole = ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     own = F.struct("p", "q")
     following = F.coalesce(F.lead(own).over(ring), F.first(own).over(whole))
-    at = edges.withColumn("n", F.count("*").over(Window.partitionBy(*RING))).where("n >= 2").withColumn("next", following).withColumn("loop_index", F.row_number().over(ring) - 1)
-    over = Window.partitionBy("building").orderBy(F.col("component").asc_nulls_last(), F.col("loop").asc_nulls_last(), *_order())
+    at = edges.withColumn("n", F.count("*").over(whole)).where("n >= 2").withColumn("next", following).withColumn("loop_index", F.row_number().over(ring) - 1)
+    over = Window.partitionBy("building").orderBy(*place, *_order())
     at = at.withColumn("wall_index", F.row_number().over(over) - 1)
     (b1, t1), (b2, t2) = g.by_height(F.col("p"), F.col("q")), g.by_height(F.col("next.p"), F.col("next.q"))
     # Generated columns are computed once; projected ones would be written into every expression that uses them.
@@ -96,9 +99,10 @@ def wall_metrics(walls: DataFrame) -> DataFrame:
 
 def base_height(edges: DataFrame) -> DataFrame:
     """Mean height of both ends of every base edge, each end counted; 0 for a building without any."""
-    z = F.explode(F.array("p.z", "q.z")).alias("z")
-    means = edges.where("type = 'base'").select("building", z).groupBy("building").agg(F.avg("z").alias("base_z"))
-    return edges.select("building").distinct().join(means, "building", "left").select("building", F.coalesce("base_z", F.lit(0.0)).alias("base_z"))
+    ends = [F.when(F.col("type") == "base", F.col(f"{e}.z")) for e in "pq"]
+    sums = edges.groupBy("building").agg(*(f(z).alias(f"{n}{k}") for k, z in enumerate(ends) for n, f in (("s", F.sum), ("n", F.count))))
+    total = F.coalesce("s0", F.lit(0.0)) + F.coalesce("s1", F.lit(0.0))
+    return sums.select("building", F.coalesce(F.try_divide(total, F.col("n0") + F.col("n1")), F.lit(0.0)).alias("base_z"))
 
 
 def shoelace(corners: DataFrame) -> DataFrame:
