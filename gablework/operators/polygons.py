@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gablework.functions import geometry as g
 from gablework.operators import pixels
+from gablework.operators.columns import spread
 from gablework.operators.rings import RING
 
 #: The least area of a roof, in square metres, and how far outside a raster a corner may lie, in pixels.
@@ -82,19 +89,62 @@ def to_raster(corners: Column, inverse: tuple[Column, ...] | None, width: int, h
     return F.filter(F.transform(corners, pixel), kept)
 
 
+#: Pixels of polygons' boxes that are tested at once.
+PIXELS = 1 << 18
+
+
+def _within(c: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether pixels (x, y) are within or on their rings (c: ring, corner, coordinate), by the even-odd test without a division."""
+    inside = np.zeros(np.broadcast_shapes((len(c), 1), x.shape), bool)
+    on = inside.copy()
+    for p, q in zip(np.moveaxis(c, 1, 0), np.moveaxis(np.roll(c, -1, axis=1), 1, 0), strict=True):
+        (x1, y1), (x2, y2) = ((v[:, :1], v[:, 1:]) for v in (p, q))
+        turn = (x2 - x1) * (y - y1) - (x - x1) * (y2 - y1)
+        inside ^= ((y1 > y) != (y2 > y)) & ((turn > 0) == (y2 > y1))
+        on |= (turn == 0) & (x >= np.minimum(x1, x2)) & (x <= np.maximum(x1, x2)) & (y >= np.minimum(y1, y2)) & (y <= np.maximum(y1, y2))
+    return inside | on
+
+
 def rasterized(polygons: DataFrame, width: int, height: int) -> DataFrame:
     """Pixels (img, x, y) of polygons (img, outer, holes: arrays of whole-pixel corners and of such arrays): within or on the outer ring
-    and neither within nor on a hole. Rings of fewer than three corners don't count. Rows of the polygon's box are dealt out first, so a large one is
-    not one row's work."""
-    at = polygons.where(F.size("outer") >= 3).select(
-        "img", sides(F.col("outer")).alias("outer"), F.transform(F.filter(F.coalesce("holes", F.array()), lambda h: F.size(h) >= 3), sides).alias("holes"),
-        *(f(F.col(f"outer.{c}")).cast("int").alias(n) for c in "xy" for f, n in ((F.array_min, f"{c}0"), (F.array_max, f"{c}1"))),
-    )
-    span = lambda c, size: F.explode(F.when(F.least(F.col(f"{c}1"), F.lit(size - 1)) >= F.greatest(F.col(f"{c}0"), F.lit(0)), F.sequence(F.greatest(F.col(f"{c}0"), F.lit(0)), F.least(F.col(f"{c}1"), F.lit(size - 1)))))
-    grid = at.withColumn("y", span("y", height)).withColumn("x", span("x", width))
-    x, y = F.col("x").cast("double"), F.col("y").cast("double")
-    within = lambda ring: contains(ring, x, y) | on_side(ring, x, y)
-    return grid.where(within(F.col("outer")) & ~F.exists("holes", within)).select("img", "x", "y")
+    and neither within nor on a hole. Rings of fewer than three corners don't count. Polygons are dealt out, and those whose rings have as many
+    corners are tested together, in blocks of about PIXELS pixels; of a larger box so many rows at a time."""
+    held = F.filter(F.coalesce("holes", F.array()), lambda h: F.size(h) >= 3)
+    at = spread(polygons.where(F.size("outer") >= 3).select("img", F.concat(F.array("outer"), held).alias("rings")), "img")
+    schema = T.StructType([polygons.schema["img"], T.StructField("x", T.IntegerType()), T.StructField("y", T.IntegerType())])
+
+    def filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            img, lists = batch.column("img"), batch.column("rings")
+            of, sizes = pc.list_value_length(lists).to_numpy(), pc.list_value_length(lists.flatten()).to_numpy()
+            flat = lists.flatten().flatten()
+            corners = np.stack([flat.field(c).to_numpy(zero_copy_only=False) for c in "xy"], axis=1)
+            ring, start = np.cumsum(of) - of, np.cumsum(sizes) - sizes
+            alike: dict[tuple[int, ...], list[int]] = {}
+            for k in range(len(of)):
+                alike.setdefault(tuple(sizes[ring[k] : ring[k] + of[k]].tolist()), []).append(k)
+            for shape, rows in alike.items():
+                rows = np.array(rows)
+                rings = [corners[start[ring[rows] + n][:, None] + np.arange(size)] for n, size in enumerate(shape)]
+                yield from _pixels(img, rows, rings)
+
+    def _pixels(img: pa.Array, rows: np.ndarray, rings: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        few = max(1, PIXELS // (width * height))
+        for k in range(0, len(rows), few):
+            own = [c[k : k + few] for c in rings]
+            (x0, y0), (x1, y1) = (np.clip(np.nan_to_num(f.reduce(own[0], axis=(0, 1)), nan=-1.0), -1, [width, height]) for f in (np.fmin, np.fmax))
+            x = np.arange(max(0, int(x0)), min(width - 1, int(x1)) + 1)
+            lines = max(1, PIXELS // max(1, len(x) * len(own[0])))
+            for low in range(max(0, int(y0)), min(height - 1, int(y1)) + 1, lines):
+                y = np.arange(low, min(low + lines - 1, height - 1, int(y1)) + 1)
+                px, py = np.tile(x, len(y)), np.repeat(y, len(x))
+                held = _within(own[0], px.astype(float)[None], py.astype(float)[None])
+                for hole in own[1:]:
+                    held &= ~_within(hole, px.astype(float)[None], py.astype(float)[None])
+                of, spot = np.nonzero(held)
+                yield pa.RecordBatch.from_arrays([img.take(pa.array(rows[k + of])), pa.array(px[spot].astype(np.int32)), pa.array(py[spot].astype(np.int32))], schema.names)
+
+    return at.mapInArrow(filled, schema)
 
 
 def line_band(lines: DataFrame, wall: DataFrame, band: float, width: int, height: int) -> DataFrame:

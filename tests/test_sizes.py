@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from gablework.functions import intervals
-from gablework.operators import fitting, panoramas
+from gablework.operators import fitting, panoramas, polygons
 
 
 def plain_nearest(v, lows, highs):
@@ -79,3 +79,30 @@ def test_search_makes_no_rows_of_grid_points(spark):
         return math.hypot(o.x - r.x1 - t * dx, o.y - r.y1 - t * dy)
 
     assert zone == {(r.building, k) for r in lines for k, o in p.items() if away(o, r) < 20}
+
+
+def test_raster_of_many_polygons(spark, monkeypatch):
+    """Pixels are tested in blocks, not as rows, and are the same whatever the blocks."""
+    ring = "array<struct<x double, y double>>"
+    rows = [
+        (1, [(-5.0, -5.0), (30.0, 2.0), (25.0, 40.0), (3.0, 17.0)], [[(8.0, 8.0), (15.0, 9.0), (11.0, 15.0)]]),
+        (2, [(2.0, 2.0), (9.0, 2.0), (9.0, 9.0)], None),
+        (3, [(2.0, 2.0), (9.0, 2.0)], []),
+        (4, [(50.0, 50.0), (60.0, 50.0), (60.0, 70.0)], []),
+        (5, [(0.0, 0.0), (19.0, 0.0), (19.0, 11.0), (0.0, 11.0)], [[(1.0, 1.0), (2.0, 2.0)], [(5.0, 5.0), (5.0, 9.0), (9.0, 9.0), (9.0, 5.0)]]),
+    ]
+
+    def within(c, x, y):
+        inside = on = False
+        for (x1, y1), (x2, y2) in zip(c, c[1:] + c[:1], strict=True):
+            turn = (x2 - x1) * (y - y1) - (x - x1) * (y2 - y1)
+            inside ^= (y1 > y) != (y2 > y) and (turn > 0) == (y2 > y1)
+            on |= turn == 0 and min(x1, x2) <= x <= max(x1, x2) and min(y1, y2) <= y <= max(y1, y2)
+        return inside or on
+
+    want = sorted((i, x, y) for i, o, h in rows if len(o) > 2 for x in range(20) for y in range(12) if within(o, x, y) and not any(within(c, x, y) for c in h or [] if len(c) > 2))
+    for size in (1 << 18, 30):
+        monkeypatch.setattr(polygons, "PIXELS", size)
+        got = polygons.rasterized(spark.createDataFrame(rows, f"img long, outer {ring}, holes array<{ring}>"), 20, 12)
+        assert "Generate" not in got._jdf.queryExecution().optimizedPlan().toString()
+        assert sorted(map(tuple, got.collect())) == want
