@@ -62,15 +62,17 @@ def least_rectangle(corners: np.ndarray) -> np.ndarray:
     return np.repeat(corners[:1], 4, axis=0) if best is None else best[1]
 
 
-def simplified(corners: np.ndarray, tolerance: float) -> np.ndarray:
-    """A closed chain without the corners that are within tolerance of what is left: halved at two corners far from each other, then each
-    half at its farthest corner, as long as that is farther away."""
+def _tolerances(corners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A closed chain, and for each corner the tolerance from which on it goes: halved at two corners far from each other, then each half at
+    its farthest corner. Where a half is cut doesn't depend on the tolerance, and a corner stays no longer than the one that cut its half."""
     first = int(np.argmax(np.hypot(*(corners - corners[0]).T)))
     chain = np.roll(corners, -first, axis=0)
     second = int(np.argmax(np.hypot(*(chain - chain[0]).T)))
-    closed, stays, todo = np.concatenate((chain, chain[:1])), {0, second}, [(0, second), (second, len(chain))]
+    closed, until = np.concatenate((chain, chain[:1])), np.zeros(len(chain))
+    until[[0, second]] = np.inf
+    todo = [(0, second, np.inf), (second, len(chain), np.inf)]
     while todo:
-        lo, hi = todo.pop()
+        lo, hi, most = todo.pop()
         if hi - lo < 2:
             continue
         a, b = closed[lo], closed[hi]
@@ -78,10 +80,15 @@ def simplified(corners: np.ndarray, tolerance: float) -> np.ndarray:
         length = np.hypot(*side)
         away = np.abs(inner[:, 0] * side[1] - inner[:, 1] * side[0]) / length if length else np.hypot(*inner.T)
         k = int(np.argmax(away))
-        if away[k] > tolerance:
-            stays.add(lo + 1 + k)
-            todo += [(lo, lo + 1 + k), (lo + 1 + k, hi)]
-    return chain[sorted(stays)]
+        most = until[lo + 1 + k] = min(most, away[k])
+        todo += [(lo, lo + 1 + k, most), (lo + 1 + k, hi, most)]
+    return chain, until
+
+
+def simplified(corners: np.ndarray, tolerance: float) -> np.ndarray:
+    """A closed chain without the corners that are within tolerance of what is left."""
+    chain, until = _tolerances(corners)
+    return chain[until > tolerance]
 
 
 def quad(points: np.ndarray) -> np.ndarray | None:
@@ -92,7 +99,10 @@ def quad(points: np.ndarray) -> np.ndarray | None:
     corners, found = hull(points), None
     if len(corners) >= 4:
         around = np.hypot(*(np.roll(corners, -1, axis=0) - corners).T).sum()
-        found = next((q for q in (simplified(corners, part * around) for part in np.linspace(*TOLERANCES)) if len(q) == 4), None)
+        chain, until = _tolerances(corners)
+        left = until > np.linspace(*TOLERANCES)[:, None] * around
+        fit = np.flatnonzero(left.sum(axis=1) == 4)
+        found = chain[left[fit[0]]] if len(fit) else None
     if found is None:
         found = least_rectangle(corners)
     turn = np.arctan2(*(found - found.mean(axis=0)).T[::-1])

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from gablework.functions import intervals
-from gablework.operators import fitting, panoramas, polygons
+from gablework.operators import fitting, outlines, panoramas, polygons
 
 
 def plain_nearest(v, lows, highs):
@@ -106,3 +106,33 @@ def test_raster_of_many_polygons(spark, monkeypatch):
         got = polygons.rasterized(spark.createDataFrame(rows, f"img long, outer {ring}, holes array<{ring}>"), 20, 12)
         assert "Generate" not in got._jdf.queryExecution().optimizedPlan().toString()
         assert sorted(map(tuple, got.collect())) == want
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_all_tolerances_at_once(seed, monkeypatch):
+    """A hull is cut once for all tolerances, and each leaves the same corners as a chain that is cut for it alone."""
+    rnd = np.random.default_rng(seed)
+    corners = outlines.hull(rnd.integers(0, 40, (int(rnd.integers(5, 200)), 2)).astype(float))
+
+    def alone(tolerance):
+        chain = np.roll(corners, -int(np.argmax(np.hypot(*(corners - corners[0]).T))), axis=0)
+        second = int(np.argmax(np.hypot(*(chain - chain[0]).T)))
+        closed, stays, todo = np.concatenate((chain, chain[:1])), {0, second}, [(0, second), (second, len(chain))]
+        while todo:
+            lo, hi = todo.pop()
+            if hi - lo > 1:
+                inner, side = closed[lo + 1 : hi] - closed[lo], closed[hi] - closed[lo]
+                length = np.hypot(*side)
+                away = np.abs(inner[:, 0] * side[1] - inner[:, 1] * side[0]) / length if length else np.hypot(*inner.T)
+                k = int(np.argmax(away))
+                if away[k] > tolerance:
+                    stays.add(lo + 1 + k)
+                    todo += [(lo, lo + 1 + k), (lo + 1 + k, hi)]
+        return chain[sorted(stays)]
+
+    for t in np.linspace(0.0, 20.0, 41):
+        assert outlines.simplified(corners, t).tolist() == alone(t).tolist()
+    calls, cut = [], outlines._tolerances
+    monkeypatch.setattr(outlines, "_tolerances", lambda c: calls.append(1) or cut(c))
+    outlines.quad(corners)
+    assert len(calls) <= 1
