@@ -2,25 +2,38 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from gablework.functions import facets
 from gablework.operators import polygons
 from gablework.operators.lineage import kept
 
+#: A group of up to GROUP lines is worked on where its lines meet, in tasks of about ROWS lines.
+GROUP, ROWS = 20_000, 200_000
+
 
 def _twin(h: Column) -> Column:
     return h.bitwiseXOR(F.lit(1).cast("long"))
 
 
+def _finite(lines: DataFrame) -> DataFrame:
+    """Lines without those that have a null or non-finite end, or no length."""
+    ends = {c: F.col(c).cast("double") + 0.0 for c in ("x1", "y1", "x2", "y2")}
+    good = lines.select("grp", *(v.alias(c) for c, v in ends.items()))
+    return good.where(" and ".join(f"abs({c}) < double('infinity')" for c in ends)).where("x1 <> x2 or y1 <> y2")
+
+
 def half_edges(lines: DataFrame) -> DataFrame:
     """Each distinct edge (grp, x1, y1, x2, y2; in either direction) in both directions: h, grp, p, q (structs x, y). The two halves of an edge
     are the numbers 2 k and 2 k + 1. Edges with a null or non-finite end, or without a length, are left out."""
-    point = lambda k: F.struct(*((F.col(f"{c}{k}").cast("double") + 0.0).alias(c) for c in "xy"))
-    ends = [F.col(f"{c}{k}").cast("double") for c in "xy" for k in (1, 2)]
-    good = lines.where(~F.exists(F.array(*ends), lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf"))))
-    p, q = point(1), point(2)
-    edges = good.select("grp", F.least(p, q).alias("a"), F.greatest(p, q).alias("b")).where("a <> b").distinct()
+    p, q = (F.struct(*(F.col(f"{c}{k}").alias(c) for c in "xy")) for k in (1, 2))
+    edges = _finite(lines).select("grp", F.least(p, q).alias("a"), F.greatest(p, q).alias("b")).distinct()
     edges = kept(edges.withColumn("k", F.monotonically_increasing_id() * 2))
     both = F.array(F.struct(F.col("k").alias("h"), F.col("a").alias("p"), F.col("b").alias("q")), F.struct((F.col("k") + 1).alias("h"), F.col("b").alias("p"), F.col("a").alias("q")))
     return edges.select("grp", F.inline(both)).select("h", "grp", "p", "q")
@@ -70,13 +83,67 @@ def _box() -> list[Column]:
     return [f(F.col(f"corners.{c}")).alias(f"{n}{c}") for c in "xy" for n, f in (("least_", F.array_min), ("most_", F.array_max))]
 
 
+CORNERS = "array<struct<x:double,y:double>>"
+
+
 def faces(lines: DataFrame, least_area: float = polygons.LEAST_ROOF) -> DataFrame:
     """The bounded faces of line work (grp, x1, y1, x2, y2) that meets only at its ends: grp, corners (counterclockwise, from the least), holes
     (arrays of corners, clockwise) and area, for those larger than least_area.
 
     Edges with the same face on both sides (dangling ones, and bridges between rings) bound nothing and go. Rings that touch at a corner
     stay one ring. The outer ring of whatever lies within a face is a hole of the smallest face around it. Repeated edges count once,
-    an empty table gives none."""
+    an empty table gives none. A null group is one too. Groups of up to GROUP lines are sent once, to where their faces are found; those of more are dealt out
+    by half-edges, in rounds."""
+    good = _finite(lines)
+    sizes = good.groupBy("grp").agg(F.count("*").alias("n"))
+    total, most = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    tasks = max(lines.sparkSession.sparkContext.defaultParallelism, total // ROWS)
+    if most <= GROUP:
+        return _near_faces(good, tasks, least_area)
+    # There are fewer such groups than a GROUP-th of the lines. A null stands in a struct, and so meets its like.
+    large = F.broadcast(kept(sizes.where(F.col("n") > GROUP).select(F.struct("grp").alias("_own"))))
+    own = good.withColumn("_own", F.struct("grp"))
+    near, far = (own.join(large, "_own", how) for how in ("left_anti", "left_semi"))
+    far = _far_faces(far.select(F.col("_own").alias("grp"), "x1", "y1", "x2", "y2"), least_area)
+    return _near_faces(near.drop("_own"), tasks, least_area).union(far.select("grp.grp", "corners", "holes", "area"))
+
+
+def _near_faces(lines: DataFrame, tasks: int, least_area: float) -> DataFrame:
+    """Faces of groups that are whole where their lines meet."""
+    names = ("x1", "y1", "x2", "y2")
+    schema = T.StructType([lines.schema["grp"], T.StructField("corners", T._parse_datatype_string(CORNERS)), T.StructField("holes", T._parse_datatype_string(f"array<{CORNERS}>")), T.StructField("area", T.DoubleType())])
+
+    def lists(sizes: np.ndarray, values: pa.Array) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32)), values)
+
+    def found(rows: pa.Table, code: np.ndarray) -> Iterator[pa.RecordBatch]:
+        got = facets.faces(code, np.stack([rows[c].to_numpy() for c in names], axis=1).reshape(-1, 2, 2), least_area)
+        if got is not None and len(got.group):
+            rings = lambda first, size: lists(size, pa.StructArray.from_arrays([pa.array(v) for v in got.xy[facets.ranges(first, size)].T], ["x", "y"]))
+            grp = rows["grp"].combine_chunks().take(pa.array(np.searchsorted(code, got.group)))
+            yield pa.RecordBatch.from_arrays([grp, rings(got.first, got.size), lists(got.holes, rings(got.hole_first, got.hole_size)), pa.array(got.area)], schema.names)
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        coded = lambda t: t["grp"].combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy().astype(np.int64)
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= ROWS:
+                rows = pa.Table.from_batches(held)
+                code = coded(rows)
+                # The last group may go on in the next batch.
+                cut = int(np.searchsorted(code, code[-1]))
+                yield from found(rows.slice(0, cut), code[:cut])
+                held = rows.slice(cut).to_batches()
+        if held:
+            rows = pa.Table.from_batches(held)
+            yield from found(rows, coded(rows))
+
+    return lines.repartition(tasks, "grp").sortWithinPartitions("grp").select("grp", *names).mapInArrow(whole, schema)
+
+
+def _far_faces(lines: DataFrame, least_area: float) -> DataFrame:
+    """Faces of groups that are too large for one task: by pointer doubling over all half-edges."""
     halves = half_edges(lines)
     at = kept(_rings(halves))
     edge = F.shiftright("h", 1)
@@ -92,7 +159,7 @@ def faces(lines: DataFrame, least_area: float = polygons.LEAST_ROOF) -> DataFram
     outer = ring.where("area < 0").select("grp", F.col("corners").alias("hole"), F.col("area").alias("hole_area"), *_box())
     held = _inside(outer, shells).groupBy("grp", "ring").agg(F.array_sort(F.collect_list("hole")).alias("holes"), F.sum("hole_area").alias("gone"))
     out = shells.select("grp", "ring", "corners", "area").join(held, ["grp", "ring"], "left")
-    none = F.array().cast("array<array<struct<x:double,y:double>>>")
+    none = F.array().cast(f"array<{CORNERS}>")
     out = out.select("grp", "corners", F.coalesce("holes", none).alias("holes"), (F.col("area") + F.coalesce("gone", F.lit(0.0))).alias("area"))
     return out.where(F.col("area") > least_area)
 

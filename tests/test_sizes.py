@@ -6,8 +6,8 @@ import random
 import numpy as np
 import pytest
 
-from gablework.functions import intervals
-from gablework.operators import fitting, outlines, panoramas, polygons
+from gablework.functions import facets, intervals
+from gablework.operators import fitting, outlines, panoramas, planar, polygons
 
 
 def plain_nearest(v, lows, highs):
@@ -136,3 +136,32 @@ def test_all_tolerances_at_once(seed, monkeypatch):
     monkeypatch.setattr(outlines, "_tolerances", lambda c: calls.append(1) or cut(c))
     outlines.quad(corners)
     assert len(calls) <= 1
+
+
+def test_faces_where_lines_meet(spark, monkeypatch):
+    """Groups of few lines are sent once and written nowhere, and have the faces that rounds over half-edges find, whatever the blocks."""
+    rnd, rows = random.Random(5), []
+    for grp in (None, *range(9)):
+        for x in range(8):
+            for y in range(8):
+                rows += [(grp, float(x), float(y), float(x + a), float(y + 1 - a)) for a in (0, 1) if rnd.random() < 0.75]
+        rows += [(grp, x, y, x + 0.1 * a, y + 0.1 * b) for x, y in ((2.3, 2.3), (2.6, 2.6), (0.5, 3.5)) for a, b in ((1, 0), (0, 1))] + [(grp, x + 0.1, y, x, y + 0.1) for x, y in ((2.3, 2.3), (2.6, 2.6), (0.5, 3.5))]
+        rows += [(grp, -1.0, -1.0, 9.0, -1.0), (grp, 9.0, -1.0, 9.0, 9.0), (grp, 9.0, 9.0, -1.0, 9.0), (grp, -1.0, 9.0, -1.0, -1.0), rows[-1], (grp, -1.0, -1.0, -0.5, -0.5)]
+    rows += [(77, float(k), 0.0, float(k + 1), 0.0) for k in range(5)]
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "grp long, x1 double, y1 double, x2 double, y2 double").repartition(3)
+    told = lambda got: sorted((r.grp if r.grp is not None else -1, [tuple(c) for c in r.corners], [[tuple(c) for c in h] for h in r.holes], round(r.area, 6)) for r in got.collect())
+    corners = lambda got: [(g, set(c), [set(h) for h in hs], a) for g, c, hs, a in got]
+    monkeypatch.setattr(planar, "GROUP", 0)
+    far = told(planar.faces(df, 0.001))
+    assert sum(len(h) for _, _, h, _ in far) > 20 and {g for g, *_ in far} == {-1, *range(9)}
+    monkeypatch.setattr(planar, "GROUP", 150)
+    assert corners(told(planar.faces(df, 0.001))) == corners(far)
+    monkeypatch.setattr(planar, "GROUP", 20_000)
+    monkeypatch.setattr(planar, "kept", None)
+    for rows_, pairs in ((200_000, 1 << 18), (150, 10)):
+        monkeypatch.setattr(planar, "ROWS", rows_)
+        monkeypatch.setattr(facets, "PAIRS", pairs)
+        got = planar.faces(df, 0.001)
+        assert got._jdf.queryExecution().optimizedPlan().toString().count("Repartition") == 2
+        assert corners(told(got)) == corners(far)
