@@ -9,6 +9,8 @@ from gablework.operators.lineage import kept
 
 #: A key with more than a HEAVY-th of all rows, and more than LEAST_HEAVY, is joined by a broadcast; there are fewer than HEAVY such keys.
 HEAVY, LEAST_HEAVY = 1000, 10_000
+#: Rows of a task: edges and nodes meet in so many tasks that none grows with the graph.
+ROWS = 1_000_000
 #: Pixels of a cell in which runs of neighbouring rows meet.
 CELL = 64
 
@@ -22,29 +24,42 @@ def _heavy(counts: DataFrame, key: str) -> DataFrame | None:
     return heavy if heavy.limit(1).count() else None
 
 
-def _look_up(rows: DataFrame, table: DataFrame, key: str, heavy: DataFrame | None) -> DataFrame:
+def _look_up(rows: DataFrame, table: DataFrame, key: str, heavy: DataFrame | None, tasks: int) -> DataFrame:
     """rows with what table (one row for each key) says of their key."""
+    dealt = lambda some: some.repartition(tasks, key).join(table.repartition(tasks, key), key)
     if heavy is None:
-        return rows.join(table, key)
+        return dealt(rows)
     few = F.broadcast(table.join(F.broadcast(heavy), key, "left_semi"))
-    return rows.join(F.broadcast(heavy), key, "left_anti").join(table, key).unionByName(rows.join(few, key))
+    return dealt(rows.join(F.broadcast(heavy), key, "left_anti")).unionByName(rows.join(few, key))
+
+
+def _least(rows: DataFrame, value: str, heavy: DataFrame | None, tasks: int) -> DataFrame:
+    """The least value of every u in rows (u, v, value). Rows of a heavy u are first dealt out by v."""
+    if heavy is not None:
+        hub = F.broadcast(heavy.select(F.col("v").alias("u"), F.lit(True).alias("hub")))
+        rows = rows.join(hub, "u", "left").withColumn("salt", F.when(F.col("hub"), F.pmod(F.xxhash64("v"), F.lit(tasks))).otherwise(0))
+        rows = rows.repartition(tasks, "u", "salt").groupBy("u", "salt").agg(F.min(value).alias(value))
+    return rows.repartition(tasks, "u").groupBy("u").agg(F.min(value).alias(value))
 
 
 def graph_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Least node of every node's component: node, label. Each round takes the least label around, hooks every label to the least that one of
     its nodes has met, and jumps to where the label then leads, so the number of rounds grows with the logarithm of a component's width.
     Rounds are checkpointed, and end when no label changes. Hubs, and labels of very many nodes, are looked up
-    in a broadcast of fewer than HEAVY rows."""
-    both = kept(edges.select(F.col(a).alias("u"), F.col(b).alias("v")).union(edges.select(b, a)).distinct())
+    in a broadcast of fewer than HEAVY rows; the others meet in tasks of about ROWS rows. Edges may be repeated."""
+    one_way = edges.select(F.col(a).alias("u"), F.col(b).alias("v"))
+    tasks = max(edges.sparkSession.sparkContext.defaultParallelism, 2 * one_way.count() // ROWS)
+    both = kept(one_way.union(one_way.select("v", "u")).repartition(tasks, "u", "v").distinct())
     hubs = _heavy(both.groupBy("v").agg(F.count("*").alias("n")), "v")
-    labels = kept(both.groupBy("u").agg(F.least("u", F.min("v")).alias("label")))
+    labels = kept(_least(both.withColumn("label", F.least("u", "v")), "label", hubs, tasks))
     while True:
-        around = _look_up(both, labels.select(F.col("u").alias("v"), "label"), "v", hubs).groupBy("u").agg(F.min("label").alias("near"))
-        least = kept(labels.join(around, "u").select("u", F.col("label").alias("old"), F.least("label", "near").alias("label")))
+        around = _least(_look_up(both, labels.select(F.col("u").alias("v"), F.col("label").alias("near")), "v", hubs, tasks), "near", hubs, tasks)
+        least = kept(labels.repartition(tasks, "u").join(around, "u").select("u", F.col("label").alias("old"), F.least("label", "near").alias("label")))
         sizes = least.groupBy("label").agg(F.count("*").alias("n"))
         hook = least.groupBy(F.col("old").alias("label")).agg(F.min("label").alias("met"))
-        jump = hook.join(least.select(F.col("u").alias("label"), F.col("label").alias("own")), "label").select("label", F.least("met", "own").alias("far"))
-        new = kept(_look_up(least, jump, "label", _heavy(sizes, "label")).select("u", "old", F.least("label", "far").alias("label")))
+        own = least.select(F.col("u").alias("label"), F.col("label").alias("own"))
+        jump = hook.repartition(tasks, "label").join(own.repartition(tasks, "label"), "label").select("label", F.least("met", "own").alias("far"))
+        new = kept(_look_up(least, jump, "label", _heavy(sizes, "label"), tasks).select("u", "old", F.least("label", "far").alias("label")))
         if not new.where("label < old").limit(1).count():
             return new.select(F.col("u").alias("node"), "label")
         labels = new.select("u", "label")
@@ -67,12 +82,12 @@ def gaps(held: DataFrame, width: int, height: int) -> DataFrame:
 
 def touching(rows: DataFrame, reach: int) -> DataFrame:
     """Pairs a, b (structs img, y, x0) of runs in neighbouring rows that overlap, or (reach 1) touch at a corner. They meet by cells of
-    CELL pixels, so a row of many runs isn't paired with all of the next."""
+    CELL pixels, so a row of many runs isn't paired with all of the next; a pair that meets in several cells comes once for each."""
     cells = lambda more: F.explode(F.sequence(F.floor((F.col("x0") - more) / CELL), F.floor((F.col("x1") + more) / CELL)))
     upper = rows.select("img", (F.col("y") + 1).alias("y"), F.col("x0").alias("u0"), F.col("x1").alias("u1"), cells(reach).alias("cell"))
     met = rows.withColumn("cell", cells(0)).join(upper, ["img", "y", "cell"]).where((F.col("u0") <= F.col("x1") + reach) & (F.col("x0") <= F.col("u1") + reach))
     run = lambda y, x: F.struct("img", y.alias("y"), F.col(x).alias("x0"))
-    return met.select(run(F.col("y") - 1, "u0").alias("a"), run(F.col("y"), "x0").alias("b")).distinct()
+    return met.select(run(F.col("y") - 1, "u0").alias("a"), run(F.col("y"), "x0").alias("b"))
 
 
 def run_components(rows: DataFrame, reach: int = 1) -> DataFrame:

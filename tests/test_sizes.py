@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from gablework.functions import facets, intervals
-from gablework.operators import fitting, outlines, panoramas, planar, polygons
+from gablework.operators import fitting, graphs, outlines, panoramas, planar, polygons
 
 
 def plain_nearest(v, lows, highs):
@@ -165,3 +165,23 @@ def test_faces_where_lines_meet(spark, monkeypatch):
         got = planar.faces(df, 0.001)
         assert got._jdf.queryExecution().optimizedPlan().toString().count("Repartition") == 2
         assert corners(told(got)) == corners(far)
+
+
+def test_edges_meet_in_tasks_of_few_rows(spark, monkeypatch):
+    """A larger graph has more tasks, not larger ones, whatever the session's number of partitions; with hubs and without."""
+    rnd = random.Random(6)
+    edges = [(rnd.randrange(400), 1000 + rnd.randrange(400)) for _ in range(500)] + [(5000 + k, 5001 + k) for k in range(60)] + [(k, 9000) for k in range(0, 400, 3)]
+    of = {v: v for e in edges for v in e}
+    for _ in range(100):
+        for a, b in edges:
+            of[a] = of[b] = min(of[a], of[b])
+    df = spark.createDataFrame(edges + edges[:50], "a long, b long")
+    for heavy in (10_000, 20):
+        monkeypatch.setattr(graphs, "LEAST_HEAVY", heavy)
+        monkeypatch.setattr(graphs, "HEAVY", 20)
+        monkeypatch.setattr(graphs, "ROWS", 100)
+        seen, keep = [], graphs.kept
+        monkeypatch.setattr(graphs, "kept", lambda df, seen=seen, keep=keep: seen.append(keep(df)) or seen[-1])
+        assert {r.node: r.label for r in graphs.graph_components(df).collect()} == of
+        assert max(len(part) for part in seen[0].rdd.glom().collect()) < 250
+        monkeypatch.setattr(graphs, "kept", keep)
