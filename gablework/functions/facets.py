@@ -29,11 +29,11 @@ def ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
 
 
-def _parts(sizes: np.ndarray) -> Iterator[slice]:
-    """Neighbouring items whose sizes sum up to about PAIRS."""
+def parts(sizes: np.ndarray, most: int) -> Iterator[slice]:
+    """Neighbouring items whose sizes sum up to no more than most, or single ones."""
     ends, k = np.cumsum(sizes), 0
     while k < len(sizes):
-        stop = max(k + 1, int(np.searchsorted(ends, ends[k] - sizes[k] + PAIRS, "right")))
+        stop = max(k + 1, int(np.searchsorted(ends, ends[k] - sizes[k] + most, "right")))
         yield slice(k, stop)
         k = stop
 
@@ -68,12 +68,12 @@ def _held(outer: np.ndarray, shell: np.ndarray, group: np.ndarray, first: np.nda
     begin = np.searchsorted(group[shell], group[outer])
     count = np.searchsorted(group[shell], group[outer], "right") - begin
     of = np.full(len(outer), -1)
-    for part in _parts(count):
+    for part in parts(count, PAIRS):
         k, s = np.repeat(np.arange(len(outer))[part], count[part]), shell[ranges(begin[part], count[part])]
         wide = ((low[s] < low[outer[k]]) & (high[s] > high[outer[k]])).all(axis=1)
         k, s = k[wide], s[wide]
         inside = np.zeros(len(k), bool)
-        for few in _parts(size[s]):
+        for few in parts(size[s], PAIRS):
             n, start = size[s[few]], first[s[few]]
             i = ranges(start, n)
             (x1, y1), (x2, y2) = xy[i].T, xy[np.repeat(start, n) + (i - np.repeat(start, n) + 1) % np.repeat(n, n)].T

@@ -11,9 +11,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gablework.functions import facets
 from gablework.functions import geometry as g
 from gablework.operators import pixels
-from gablework.operators.columns import spread
+from gablework.operators.columns import once, spread
 from gablework.operators.rings import RING
 
 #: The least area of a roof, in square metres, and how far outside a raster a corner may lie, in pixels.
@@ -58,26 +59,87 @@ def area(sides: Column) -> Column:
     return F.abs(total) / 2.0
 
 
+#: Pairs of sides, or sides, that are compared at once.
+SIDES = 1 << 18
+
+
+def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Sides (a row each: x1, y1, x2, y2) of arrays of sides, and how many each array has."""
+    flat = lists.flatten()
+    return np.stack([flat.field(c).to_numpy(zero_copy_only=False) for c in ("x1", "y1", "x2", "y2")], axis=1), pc.list_value_length(lists).fill_null(0).to_numpy()
+
+
+def _simple(s: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether no two sides of each polygon cross within both: is_simple for many. Polygons with as many sides are tested together, each side
+    against those that lie so many places further."""
+    out, first = np.ones(len(size), bool), np.cumsum(size) - size
+    turn = lambda a, x, y: (a[..., 2] - a[..., 0]) * (y - a[..., 1]) - (x - a[..., 0]) * (a[..., 3] - a[..., 1])
+    for n in np.unique(size[size > 0]).tolist():
+        rows = np.flatnonzero(size == n)
+        for k in range(0, len(rows), max(1, SIDES // n)):
+            few = rows[k : k + max(1, SIDES // n)]
+            a = s[first[few][:, None] + np.arange(n)]
+            for step in range(1, n // 2 + 1):
+                b = np.roll(a, -step, axis=1)
+                ab1, ab2, ba1, ba2 = turn(a, b[..., 0], b[..., 1]), turn(a, b[..., 2], b[..., 3]), turn(b, a[..., 0], a[..., 1]), turn(b, a[..., 2], a[..., 3])
+                crossed = ((ab1 > 0) != (ab2 > 0)) & ((ba1 > 0) != (ba2 > 0)) & (ab1 != 0) & (ab2 != 0) & (ba1 != 0) & (ba2 != 0)
+                out[few[crossed.any(axis=1)]] = False
+    return out
+
+
+def _only_simple(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield batch.filter(pa.array(_simple(*_flat(batch.column("sides")))))
+
+
 def roof_polygons(edges: DataFrame) -> DataFrame:
     """Closed roofs (building, component, loop, sides, area) of base edges with a corner p each, in ring order: of three corners or more,
     more than LEAST_ROOF large, and simple. A ring is one building's, so its corners are an array."""
     item = F.struct(F.col("ring_order").isNull().alias("last"), "ring_order", "seq", F.col("p.x").alias("x"), F.col("p.y").alias("y"))
     ring = edges.where("p is not null").groupBy(*RING).agg(F.array_sort(F.collect_list(item)).alias("corners")).where(F.size("corners") >= 3)
-    at = ring.select(*RING, sides(F.col("corners")).alias("sides"))
-    return at.withColumn("area", area(F.col("sides"))).where((F.col("area") > LEAST_ROOF) & is_simple(F.col("sides")))
+    at = once(ring.select(*RING, "corners"), {"sides": sides(F.col("corners"))}).drop("corners")
+    at = once(at, {"area": area(F.col("sides"))}).where(F.col("area") > LEAST_ROOF)
+    return at.mapInArrow(_only_simple, at.schema)
 
 
 def polygon_of_points(points: DataFrame, polygons: DataFrame) -> DataFrame:
     """For points (id, grp, x, y) the polygon of their group (polygon, grp, sides): the first in order that contains the point, or else the nearest,
     of equals the first. Points of a group without polygons are left out. Polygons meet points by group, and only one is kept for each point
     on the way to the shuffle."""
-    met = points.join(polygons, "grp")
-    inside = contains(F.col("sides"), F.col("x"), F.col("y"))
-    away = F.when(inside, 0.0).otherwise(distance(F.col("sides"), F.col("x"), F.col("y")))
-    best = met.groupBy("id").agg(F.min(F.struct((~inside).alias("outside"), away.alias("distance"), "polygon")).alias("b"))
+    met = points.join(polygons, "grp").select("id", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"), "polygon", "sides")
+    schema = T.StructType([*met.select("id", "polygon").schema, T.StructField("outside", T.BooleanType()), T.StructField("distance", T.DoubleType())])
+
+    def tested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (batch.column(c).to_numpy(zero_copy_only=False) for c in "xy")
+            outside, away = _placed(x, y, *_flat(batch.column("sides")))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("polygon"), pa.array(outside), pa.array(away, from_pandas=True)], schema.names)
+
+    best = met.mapInArrow(tested, schema).groupBy("id").agg(F.min(F.struct("outside", "distance", "polygon")).alias("b"))
     return best.select("id", "b.polygon", (~F.col("b.outside")).alias("inside"), "b.distance")
 
 
+def _placed(x: np.ndarray, y: np.ndarray, s: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each point is outside its polygon, and how far from it: contains and distance for many."""
+    outside, away, first = np.ones(len(size), bool), np.full(len(size), np.nan), np.cumsum(size) - size
+    held = np.flatnonzero(size > 0)
+    for part in facets.parts(size[held], SIDES):
+        rows = held[part]
+        (x1, y1, x2, y2), start = s[first[rows[0]] : first[rows[-1]] + size[rows[-1]]].T, first[rows] - first[rows[0]]
+        px, py = np.repeat(x[rows], size[rows]), np.repeat(y[rows], size[rows])
+        dx, dy = x2 - x1, y2 - y1
+        turn = dx * (py - y1) - (px - x1) * dy
+        # A point without a place is in nothing.
+        crossed = ((y1 > py) != (y2 > py)) & ((turn > 0) == (y2 > y1)) & ~np.isnan(turn)
+        inside = np.add.reduceat(crossed.astype(np.int64), start) % 2 == 1
+        length = dx * dx + dy * dy
+        with np.errstate(divide="ignore", invalid="ignore"):
+            t = np.where(length > 0, np.clip(((px - x1) * dx + (py - y1) * dy) / length, 0.0, 1.0), 0.0)
+        ex, ey = px - (x1 + dx * t), py - (y1 + dy * t)
+        outside[rows], away[rows] = ~inside, np.where(inside, 0.0, np.fmin.reduceat(np.sqrt(ex * ex + ey * ey), start))
+    return outside, away
+
+
 def to_raster(corners: Column, inverse: tuple[Column, ...] | None, width: int, height: int) -> Column:
     """Corners as whole pixels (halves to even) by a raster's affine transform; those far outside go."""
 

@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from gablework.functions import facets, intervals
 from gablework.operators import fitting, graphs, outlines, panoramas, planar, polygons
@@ -185,3 +186,26 @@ def test_edges_meet_in_tasks_of_few_rows(spark, monkeypatch):
         assert {r.node: r.label for r in graphs.graph_components(df).collect()} == of
         assert max(len(part) for part in seen[0].rdd.glom().collect()) < 250
         monkeypatch.setattr(graphs, "kept", keep)
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_polygons_in_batches(spark, seed, monkeypatch):
+    """Roofs and points are tested many at once, as the column expressions test them one by one, whatever the blocks."""
+    rnd = random.Random(seed)
+    spot = lambda: (rnd.choice((float(rnd.randrange(6)), rnd.uniform(0, 6))), rnd.choice((float(rnd.randrange(6)), rnd.uniform(0, 6))))
+    edges = [(b, 0, b % 2 or None, k, k, (*spot(), 0.0)) for b in range(60) for k in range(rnd.randrange(2, 8))]
+    df = spark.createDataFrame(edges, "building long, component int, loop int, ring_order int, seq int, p struct<x double, y double, z double>")
+    monkeypatch.setattr(polygons, "SIDES", rnd.choice((5, 1 << 18)))
+    roofs = polygons.roof_polygons(df)
+    assert "exists(" not in roofs._jdf.queryExecution().optimizedPlan().toString().lower()
+    every = df.groupBy("building").agg(F.array_sort(F.collect_list(F.struct("ring_order", "p.x", "p.y"))).alias("c")).where("size(c) >= 3").select("building", polygons.sides(F.col("c")).alias("s"))
+    want = every.where((polygons.area(F.col("s")) > 0.1) & polygons.is_simple(F.col("s"))).select("building", "s").collect()
+    assert {r.building: r.sides for r in roofs.collect()} == {r.building: r.s for r in want} and 0 < len(want) < 60
+    points = spark.createDataFrame([(k, k % 3, *(spot() if k else (None, 1.0))) for k in range(100)], "id long, grp long, x double, y double")
+    held = roofs.select((F.col("building") % 4).alias("grp"), F.col("building").alias("polygon"), "sides")
+    got = polygons.polygon_of_points(points, held)
+    assert "exists(" not in (plan := got._jdf.queryExecution().optimizedPlan().toString().lower()) and "array_min" not in plan
+    inside = polygons.contains(F.col("sides"), F.col("x"), F.col("y"))
+    away = F.when(inside, 0.0).otherwise(polygons.distance(F.col("sides"), F.col("x"), F.col("y")))
+    plain = points.join(held, "grp").groupBy("id").agg(F.min(F.struct((~inside).alias("outside"), away.alias("d"), "polygon")).alias("b")).select("id", "b.polygon", ~F.col("b.outside"), "b.d")
+    assert sorted(map(tuple, got.collect()), key=lambda r: r[0]) == sorted(map(tuple, plain.collect()), key=lambda r: r[0])
