@@ -209,3 +209,27 @@ def test_polygons_in_batches(spark, seed, monkeypatch):
     away = F.when(inside, 0.0).otherwise(polygons.distance(F.col("sides"), F.col("x"), F.col("y")))
     plain = points.join(held, "grp").groupBy("id").agg(F.min(F.struct((~inside).alias("outside"), away.alias("d"), "polygon")).alias("b")).select("id", "b.polygon", ~F.col("b.outside"), "b.d")
     assert sorted(map(tuple, got.collect()), key=lambda r: r[0]) == sorted(map(tuple, plain.collect()), key=lambda r: r[0])
+
+
+@pytest.mark.parametrize("ref", [0, 3, 9])
+def test_chains_are_running_products(spark, ref):
+    """Each image's homography is one product more than its neighbour's, and the same as the product of all links between."""
+    rnd = np.random.default_rng(ref)
+    links, groups = [], {grp: [np.eye(3) + rnd.uniform(-0.4, 0.4, (3, 3)) for _ in range(int(rnd.integers(1, 8)))] for grp in range(20)}
+    groups[3][0], groups[4] = None, [np.eye(3), np.zeros((3, 3)), np.eye(3)]
+    for grp, hs in groups.items():
+        links += [(grp, k, None if h is None else h.ravel().tolist()) for k, h in enumerate(hs)]
+    links += [(50, 0, [1.0] * 8), (51, 0, [1.0, None] + [1.0] * 7)]
+    got = fitting.chains(spark.createDataFrame(links[::-1], "grp long, k long, h array<double>"), ref)
+    assert "aggregate(" not in (plan := got._jdf.queryExecution().optimizedPlan().toString()) and "slice(" not in plan
+    rows = {(r.grp, r.image): r.h for r in got.collect()}
+    assert len(rows) == len(links) + len(groups) + 2 and (ref > 0 or rows[50, 1] is rows[51, 1] is None)
+    for grp, hs in groups.items():
+        for image in range(len(hs) + 1):
+            between, m = hs[min(image, ref) : max(image, ref)], np.eye(3)
+            for h in between:
+                m = None if m is None or h is None else h @ m if image > ref else m @ h
+            if m is not None and image > ref:
+                m = None if abs(np.linalg.det(m)) < 1e-12 else np.linalg.inv(m)
+            assert (rows[grp, image] is None) == (m is None)
+            assert m is None or np.allclose(rows[grp, image], m.ravel(), rtol=1e-6, atol=1e-9)
