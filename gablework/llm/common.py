@@ -61,6 +61,19 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/gablework/{name}-{uuid.uuid4().hex[:12]}"
 
 
+@contextlib.contextmanager
+def swept(spark: SparkSession) -> Iterator[None]:
+    """What is written meanwhile leaves no shuffle files: Spark deletes a write's own at its end. Else they stay until
+    the driver happens to collect its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if was is None else spark.conf.set(key, was)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it again: cuts the lineage and survives lost executors."""
     return Scratch(df.sparkSession).table(df, name)
@@ -72,10 +85,11 @@ class Scratch:
     def __init__(self, spark: SparkSession):
         self.spark, self.held = spark, []
 
-    def table(self, df: DataFrame, name: str) -> DataFrame:
-        """df, written to the shared folder and read again."""
+    def table(self, df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
+        """df, written to the shared folder (in Spark's usual compression if none is named) and read again."""
         path = shared_dir(self.spark, name)
-        df.write.parquet(path)
+        with swept(self.spark):
+            df.write.parquet(path, compression=compression)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.held.append((path, out))
         return out

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gablework.llm import additive, bitsliced, cws, lines, manifest, mixing, negatives, packing, pieces, ppm, quality, repair, warc
-from gablework.llm.common import materialize, read_table
+from gablework.llm.common import Scratch, materialize, read_table
 from gablework.llm.tokens import public_path
 
 
@@ -18,10 +18,12 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two stored replicas of the pages, the second with decayed bytes; each is hashed from what it holds."""
-    records = warc.records(read_table(spark, sf_dir, "pages"))
-    ours = materialize(warc.stored(records, warc.catalogue(records)), "replica")
-    theirs = materialize(warc.damaged(ours), "replica")
-    return warc.audit(*(materialize(warc.hashed(x), "hashes") for x in (ours, theirs)))
+    records, scratch = warc.records(read_table(spark, sf_dir, "pages")), Scratch(spark)
+    ours = scratch.table(warc.stored(records, warc.catalogue(records)), "replica", "zstd")
+    theirs = scratch.table(warc.damaged(ours), "replica", "zstd")
+    hashes = [materialize(warc.hashed(x), "hashes") for x in (ours, theirs)]
+    scratch.drop()
+    return warc.audit(*hashes)
 
 
 def op3_additive_quantisation(spark: SparkSession, sf_dir: str) -> DataFrame:

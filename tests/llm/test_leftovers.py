@@ -1,12 +1,15 @@
 """What operators leave in the shared folder, long texts, and the search's recall where few rows are ranked exactly."""
 
 import os
+import time
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from gablework.llm import additive, cws, lines, manifest, negatives, packing, pieces
+from gablework.llm.common import materialize
+from gablework.llm.queries import op2_merkle_audit
 from gablework.llm.tokens import public_path
 from tests.llm.test_edges import DOCS, SCHEMA
 
@@ -64,3 +67,28 @@ def test_a_very_long_text(spark):
     assert (row.m, row.n) == (same.m, same.n) and row.n_tokens > 1_000_000
     proof = manifest.manifest(docs).first()
     assert proof.leaf == proof.root == proof.subroot and proof.verified
+
+
+def _shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {n for n in (files.apply(k).getName() for k in range(files.size())) if n.startswith("shuffle_")}
+
+
+def test_a_stored_table_leaves_no_shuffle_files(spark):
+    """They are as large as the table; Spark deletes them soon after the write, and the session's setting is as before."""
+    key, before = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", _shuffle_files(spark)
+    was, frame = spark.conf.get(key), spark.range(5000).repartition(7, "id").groupBy((F.col("id") % 9).alias("k")).count()
+    assert sum(r["count"] for r in materialize(frame, "counts").collect()) == 5000
+    end = time.time() + 20
+    while (stay := _shuffle_files(spark) - before) and time.time() < end:
+        time.sleep(0.2)
+    assert not stay and spark.conf.get(key) == was
+    assert frame.count() == 9
+
+
+def test_audit_leaves_no_replica(spark, tmp_path):
+    rows = [(k, f"http://a/{k}", f"<p>{k}</p>" * 40) for k in range(300)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    before = _folders(spark)
+    assert op2_merkle_audit(spark, str(tmp_path)).count() > 0
+    assert not [x for x in _folders(spark) - before if x.startswith("replica")]
