@@ -18,17 +18,33 @@ from pyspark.sql import functions as F
 BATCH_ROWS, BATCH_BYTES = 6000, 4 << 20
 
 
+def give_back() -> None:
+    """Give free memory back to the system."""
+    pa.default_memory_pool().release_unused()
+    # The C library keeps what was freed unless it is asked; other libraries have no such call.
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def lean(f: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
-    """f for mapInArrow, giving free memory back at its task's end: a worker lives on between stages."""
+    """f for mapInArrow, giving free memory back after each BATCH_BYTES of its input and at its task's end: what batches
+    leave behind doesn't add up, and a worker lives on between stages."""
+
+    def spaced(batches: Iterator) -> Iterator:
+        held = 0
+        for batch in batches:
+            held += batch.nbytes
+            yield batch
+            del batch
+            if held >= BATCH_BYTES:
+                give_back()
+                held = 0
 
     def run(batches: Iterator) -> Iterator:
         try:
-            yield from f(batches)
+            yield from f(spaced(batches))
         finally:
-            pa.default_memory_pool().release_unused()
-            # The C library keeps what was freed unless it is asked; other libraries have no such call.
-            with contextlib.suppress(OSError, AttributeError):
-                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            give_back()
 
     return run
 

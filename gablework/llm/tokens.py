@@ -24,7 +24,7 @@ CACHE_PIECES, CACHE_IDS = 200_000, 2_000_000
 LONGEST = 64
 #: Bytes of text that are worked on at a time. A longer text is cut where a single blank or line end stands between
 #: plain letters or digits, which ends a pre-token in both vocabularies.
-RUN = 2 << 20
+RUN = 1 << 19
 _SAFE = re.compile(rb"[0-9A-Za-z][ \n][0-9A-Za-z]")
 
 _OTHER, _LETTER, _NUMBER, _SPACE, _ODD = range(5)
