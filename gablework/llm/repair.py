@@ -33,6 +33,8 @@ SHARD_IDS = 1_000_000
 MIN_USES = 6
 #: A round takes pairs down to this part of the most frequent one's uses.
 SPREAD = 32
+#: Room of a worker's encoder: most of the ids' work is to encode words that it doesn't remember.
+ROOM = 4
 
 
 def compress(ids: np.ndarray, min_uses: int = MIN_USES, spread: int = SPREAD) -> bytes:
@@ -226,7 +228,7 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int, blank_co
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, done = TaskContext.get().partitionId(), 0
-        encode = encoder(vocabulary, blank_counts)
+        encode = encoder(vocabulary, blank_counts, ROOM)
         held: list[tuple[list, np.ndarray, np.ndarray]] = []
 
         def close() -> pa.RecordBatch:

@@ -11,7 +11,7 @@ from __future__ import annotations
 import os
 import re
 import unicodedata
-from itertools import chain, repeat
+from itertools import chain, compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -26,9 +26,11 @@ LONGEST = 64
 #: plain letters or digits, which ends a pre-token in both vocabularies.
 RUN = 1 << 19
 _SAFE = re.compile(rb"[0-9A-Za-z][ \n][0-9A-Za-z]")
+#: Letters of new pre-tokens that the library merges in one call, where ids tell which of them end a word.
+JOINED = 4096
 
 _OTHER, _LETTER, _NUMBER, _SPACE, _ODD = range(5)
-_ENCODERS: dict[tuple[str, bool], Encoder] = {}
+_ENCODERS: dict[tuple[str, bool, int], Encoder] = {}
 
 
 def public_path(name: str) -> str:
@@ -38,13 +40,15 @@ def public_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def encoder(path: str, blank_counts: bool) -> Encoder:
-    """The worker's encoder of a vocabulary file; blank_counts: the blank before a word is part of its pre-token."""
-    if (path, blank_counts) not in _ENCODERS:
+def encoder(path: str, blank_counts: bool, room: int = 1) -> Encoder:
+    """The worker's encoder of a vocabulary file; blank_counts: the blank before a word is part of its pre-token; room: how many
+    times RUN and the memory of pre-tokens it may take."""
+    key = path, blank_counts, room
+    if key not in _ENCODERS:
         # One vocabulary's memory at a time.
         _ENCODERS.clear()
-        _ENCODERS[path, blank_counts] = Encoder(path, blank_counts)
-    return _ENCODERS[path, blank_counts]
+        _ENCODERS[key] = Encoder(path, blank_counts, room)
+    return _ENCODERS[key]
 
 
 def _classes(keeps_case: bool) -> np.ndarray:
@@ -70,7 +74,8 @@ class Remembering:
     """Pre-tokens and their ids: ids[start[k] : start[k] + size[k]] for the one at place k. A class that extends it
     encodes runs of rows (_run) and new pre-tokens (_merged)."""
 
-    def __init__(self):
+    def __init__(self, room: int = 1):
+        self.room = room
         self.ids, self.used = np.zeros(1 << 18, np.uint32), 0
         self.start, self.size, self.n = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int32), 0
         #: Runs in which a pre-token was met.
@@ -79,12 +84,12 @@ class Remembering:
 
     def _forget(self) -> None:
         least = 2
-        while np.count_nonzero(self.runs[list(self.known.values())] >= least) > CACHE_PIECES // 2:
+        while np.count_nonzero(self.runs[list(self.known.values())] >= least) > self.room * CACHE_PIECES // 2:
             least *= 2
         kept = {p: k for p, k in self.known.items() if self.runs[k] >= least}
         at = np.fromiter(kept.values(), np.int64, len(kept))
         ids, sizes, runs = self.ids[ranges(self.start[at], self.size[at])], self.size[at], self.runs[at]
-        if len(ids) > CACHE_IDS // 2:
+        if len(ids) > self.room * CACHE_IDS // 2:
             kept, ids, sizes, runs = {}, ids[:0], sizes[:0], runs[:0]
         self.used = self.n = 0
         self._store(ids, sizes)
@@ -140,10 +145,10 @@ class Remembering:
                 cuts.append(np.array([found.start() + 1]))
                 at = found.start() + RUN // 2
         split = np.sort(np.concatenate(cuts)) if len(cuts) > 1 else offsets
-        ids, sizes, lo = [], [], 0
+        ids, sizes, lo, run, most = [], [], 0, self.room * RUN, self.room * CACHE_PIECES
         while lo < len(split) - 1:
-            hi = max(lo + 1, int(np.searchsorted(split, split[lo] + RUN, "right")) - 1)
-            if len(self.known) > CACHE_PIECES or self.used > CACHE_IDS or self.n > 2 * CACHE_PIECES:
+            hi = max(lo + 1, int(np.searchsorted(split, split[lo] + run, "right")) - 1)
+            if len(self.known) > most or self.used > self.room * CACHE_IDS or self.n > 2 * most:
                 self._forget()
             own, rows = self._run(data[split[lo] : split[hi]], split[lo : hi + 1] - split[lo])
             ids.append(own)
@@ -163,18 +168,45 @@ class Remembering:
 class Encoder(Remembering):
     """One vocabulary of the tokenizers library."""
 
-    def __init__(self, path: str, blank_counts: bool):
+    def __init__(self, path: str, blank_counts: bool, room: int = 1):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
-        super().__init__()
+        super().__init__(room)
         self.model = Tokenizer.from_file(path)
         self.merges = self.model.model
         self.blank = blank_counts
         self.classes = _classes(blank_counts)
+        #: Whether an id ends a word, where the vocabulary marks that.
+        self.ends = None
+        suffix, vocabulary = self.merges.end_of_word_suffix, self.model.get_vocab(False)
+        if suffix and not blank_counts and all(chr(x) + y in vocabulary for x in _LETTERS.tolist() if x != 32 for y in ("", suffix)):
+            self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.ends[[k for p, k in vocabulary.items() if p.endswith(suffix)]] = True
+            self.words = Tokenizer(self.merges)
+            self.words.pre_tokenizer = WhitespaceSplit()
+
+    def _together(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """_merged for a vocabulary that marks the ends of words: the library takes many pre-tokens at once, and its ids tell
+        where each ends. None holds the mark itself, as letters and signs are cut apart."""
+        shown = np.fromiter((p[0] not in b"\t\n\r " and p[:2] != b"\xc2\xa0" for p in pieces), bool, len(pieces))
+        low = b" ".join(compress(pieces, shown.tolist())).decode().lower().encode()
+        letters = _LETTERS[np.frombuffer(low, np.uint8)].tobytes().decode("utf-32-le")
+        found, lo = [], 0
+        while lo < len(letters):
+            hi = letters.find(" ", lo + JOINED)
+            hi = len(letters) if hi < 0 else hi
+            found.append(np.array(self.words.encode_batch_fast([letters[lo:hi]], add_special_tokens=False)[0].ids, np.uint32))
+            lo = hi
+        ids, sizes = np.concatenate(found) if found else np.zeros(0, np.uint32), np.zeros(len(pieces), np.int32)
+        sizes[shown] = np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
+        return ids, sizes
 
     def _merged(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of pre-tokens and how many each has; where blanks don't count, white space has none and letters are in lower case."""
+        if self.ends is not None:
+            return self._together(pieces)
         merge, blank = self.merges.tokenize, _BYTE_LETTERS[32]
         out = []
         for p in pieces:
@@ -267,6 +299,8 @@ def _byte_letters() -> dict[int, str]:
 
 
 _BYTE_LETTERS = _byte_letters()
+#: Code points of all bytes' letters; a blank stays, to stand between pre-tokens.
+_LETTERS = np.array([b if b == 32 else ord(_BYTE_LETTERS.get(b, chr(b))) for b in range(256)], np.uint32)
 
 
 def with_end(ids: np.ndarray, rows: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
