@@ -10,9 +10,6 @@ from gablework.functions import geometry as g
 from gablework.functions import naming
 from gablework.operators import cameras, panoramas, rings
 from gablework.operators.columns import once
-from gablework.operators.lineage import kept
-from gablework.operators.columns import once
-from gablework.operators.lineage import kept
 from gablework.operators.rings import point
 
 CORNERS = ("b1", "b2", "t2", "t1")
@@ -25,16 +22,21 @@ def with_results(walls: DataFrame, results: DataFrame) -> DataFrame:
     return walls.join(results, ["building", "wall_index"], "left")
 
 
-def building_states(edges: DataFrame, panos: DataFrame, s: Settings = Settings()) -> DataFrame:  # noqa: B008
-    """From wireframe edges and panoramas (pano_id, x, y), which a grid search around each building finds, to every wall's view: all columns of cameras.views and a status. One wall without
-    a view, or a building without a panorama, is a row with a status and nulls, and stops no other."""
+def wall_states(edges: DataFrame, panos: DataFrame, s: Settings = Settings()) -> DataFrame:  # noqa: B008
+    """From wireframe edges and panoramas (pano_id, x, y), which a grid search around each building finds, to every wall (with its geometry), its panorama
+    and a status. One wall without a view, or a building without a panorama, is a row with a status and nulls, and stops no other."""
     walls = rings.wall_geometry(rings.wall_faces(edges))
     bases = walls.select("building", *(F.col(f"b{k}.{c}").alias(f"{c}{k}") for k in (1, 2) for c in "xy"))
-    zone = kept(panoramas.discovered(bases, panos, s))
-    best = panoramas.best_for_walls(walls, zone, s).join(rings.base_height(edges), "building")
-    near = zone.groupBy("building").agg(F.lit(True).alias("near"))
-    status = F.when(F.col("near").isNull(), "no_panorama_near_building").when(F.col("pano_id").isNull(), "no_panorama_for_wall").otherwise("ready")
-    return cameras.views(cameras.aim(best, s), s).join(near, "building", "left").withColumn("status", status).drop("near")
+    zone = panoramas.discovered(bases, panos, s, rings.ring_boxes(edges))
+    status = F.when(~F.col("near"), "no_panorama_near_building").when(F.col("pano_id").isNull(), "no_panorama_for_wall").otherwise("ready")
+    return panoramas.best_for_walls(walls, zone, s, "near").withColumn("status", status).drop("near")
+
+
+def building_states(edges: DataFrame, panos: DataFrame, s: Settings = Settings()) -> DataFrame:  # noqa: B008
+    """Walls by wall_states with their views: all columns of cameras.views and the status."""
+    at = wall_states(edges, panos, s).join(rings.base_height(edges), "building")
+    seen = cameras.views(cameras.aim(at, s), s)
+    return seen.select(*(c for c in seen.columns if c != "status"), "status")
 
 
 def _tag(building_parts: tuple[Column, Column], index: Column) -> Column:

@@ -17,18 +17,24 @@ from gablework.functions import intervals
 from gablework.operators.columns import once
 from gablework.operators.rings import point
 
-#: Side of the cells by which panoramas meet base lines.
+#: Side of the cells by which panoramas meet grid points.
 CELL = 100.0
-#: Buildings whose grids are searched at once.
-ROWS = 2048
+#: Side of those by which they meet buildings' boxes, so that a box of the usual size is in one to four of them.
+BOX_CELL = 200.0
+#: Buildings whose grids are searched at once, and about so many of their panoramas at least.
+ROWS, PAIRS = 2048, 1024
 
 
-def _squares(bases: DataFrame, s: Settings) -> DataFrame:
-    """The square around a building's base lines and their surroundings, and its grid: building, x0, y0, xn, yn, side, radius."""
+def _boxes(bases: DataFrame, s: Settings) -> DataFrame:
+    """The box around a building's base lines and their surroundings: building, x0, xn, y0, yn."""
     low, high = (lambda c: F.min(F.least(f"{c}1", f"{c}2")) - s.grid_offset_m), (lambda c: F.max(F.greatest(f"{c}1", f"{c}2")) + s.grid_offset_m)
-    box = bases.groupBy("building").agg(low("x").alias("x0"), high("x").alias("xn"), low("y").alias("y0"), high("y").alias("yn"))
-    box = box.withColumn("side", F.greatest(F.col("xn") - F.col("x0"), F.col("yn") - F.col("y0")))
-    return box.withColumn("radius", F.floor(F.greatest(F.lit(float(s.search_radius_m)), 1.2 * (F.col("side") / float(s.grid_n)))).cast("int"))
+    return bases.groupBy("building").agg(low("x").alias("x0"), high("x").alias("xn"), low("y").alias("y0"), high("y").alias("yn"))
+
+
+def _square(s: Settings) -> tuple[Column, Column]:
+    """Of a box its square's side, and the radius of a search from its grid points."""
+    side = F.greatest(F.col("xn") - F.col("x0"), F.col("yn") - F.col("y0"))
+    return side, F.floor(F.greatest(F.lit(float(s.search_radius_m)), 1.2 * (side / float(s.grid_n)))).cast("int")
 
 
 def search_grid(bases: DataFrame, s: Settings = Settings()) -> DataFrame:  # noqa: B008
@@ -36,18 +42,23 @@ def search_grid(bases: DataFrame, s: Settings = Settings()) -> DataFrame:  # noq
     their surroundings."""
     step = F.col("side") / float(s.grid_n)
     steps = F.sequence(F.lit(0), F.lit(s.grid_n))
-    at = _squares(bases, s).withColumn("i", F.explode(steps)).withColumn("j", F.explode(steps))
+    side, radius = _square(s)
+    at = _boxes(bases, s).withColumns({"side": side, "radius": radius}).withColumn("i", F.explode(steps)).withColumn("j", F.explode(steps))
     place = lambda c, k: (F.col(f"{c}0") + F.col(f"{c}n")) * 0.5 - F.col("side") * 0.5 + F.col(k) * step
     return at.select("building", "i", "j", place("x", "i").alias("x"), place("y", "j").alias("y"), "radius")
 
 
-def _met(boxes: DataFrame, panos: DataFrame) -> DataFrame:
-    """Boxes (low_x, high_x, low_y, high_y and more) with the panoramas (pano_id, x, y) in them, by cells of CELL: one building has one box, whatever
-    its lines or grid points."""
-    cells = lambda c: F.explode(F.sequence(F.floor(F.col(f"low_{c}") / CELL), F.floor(F.col(f"high_{c}") / CELL)))
-    spots = panos.select("pano_id", F.col("x").alias("px"), F.col("y").alias("py"), F.floor(F.col("x") / CELL).alias("cx"), F.floor(F.col("y") / CELL).alias("cy"))
-    at = boxes.withColumn("cx", cells("x")).withColumn("cy", cells("y")).join(spots, ["cx", "cy"])
-    return at.where(F.col("px").between(F.col("low_x"), F.col("high_x")) & F.col("py").between(F.col("low_y"), F.col("high_y"))).drop("cx", "cy")
+def _met(boxes: DataFrame, panos: DataFrame, ends: dict[str, tuple[Column, Column]]) -> DataFrame:
+    """Boxes with the panoramas (pano_id, x, y) in them, by cells of BOX_CELL: one building has one box, whatever its lines or grid points. ends: for x and
+    y the box's low and high end, of columns of boxes, so that only these are sent."""
+    (x0, xn), (y0, yn) = (tuple(F.floor(e / BOX_CELL) for e in ends[c]) for c in "xy")
+    # Cells are counted by one number, as rows made in two steps would be written twice.
+    wide, k = xn - x0 + 1, F.col("_k")
+    cells = boxes.withColumn("_k", F.explode(F.sequence(F.lit(0).cast("long"), wide * (yn - y0 + 1) - 1)))
+    cells = cells.withColumns({"cx": x0 + k % wide, "cy": y0 + F.floor(k / wide)}).drop("_k")
+    spots = panos.select("pano_id", F.col("x").alias("px"), F.col("y").alias("py"), F.floor(F.col("x") / BOX_CELL).alias("cx"), F.floor(F.col("y") / BOX_CELL).alias("cy"))
+    at = cells.join(spots, ["cx", "cy"])
+    return at.where(F.col("px").between(*ends["x"]) & F.col("py").between(*ends["y"])).drop("cx", "cy")
 
 
 def _near_lines(bases: DataFrame, asked: DataFrame, m: float) -> DataFrame:
@@ -72,9 +83,7 @@ def in_zone(bases: DataFrame, panos: DataFrame, s: Settings = Settings()) -> Dat
     cells, and only what is in the box meets the lines, so the joins are equi-joins whatever their sizes."""
     m = s.grid_offset_m
     bases = bases.where("building is not null")
-    low, high = (lambda c: (F.min(F.least(f"{c}1", f"{c}2")) - m).alias(f"low_{c}")), (lambda c: (F.max(F.greatest(f"{c}1", f"{c}2")) + m).alias(f"high_{c}"))
-    boxes = bases.groupBy("building").agg(low("x"), high("x"), low("y"), high("y"))
-    asked = _met(boxes, panos).select("building", "pano_id", F.col("px").alias("x"), F.col("py").alias("y"))
+    asked = _met(_boxes(bases, s), panos, {c: (F.col(f"{c}0"), F.col(f"{c}n")) for c in "xy"}).select("building", "pano_id", F.col("px").alias("x"), F.col("py").alias("y"))
     return _near_lines(bases, asked, m)
 
 
@@ -84,67 +93,84 @@ def first_by_place(found: DataFrame, digits: int = 6) -> DataFrame:
     return found.withColumn("_k", F.row_number().over(order)).where("_k = 1").drop("_k")
 
 
-def _found(squares: DataFrame, panos: DataFrame, s: Settings) -> DataFrame:
+def _found(boxes: DataFrame, panos: DataFrame, s: Settings) -> DataFrame:
     """Panoramas that are nearest to a grid point of a building's square, with the first such point: building, pano_id, i, j, x, y. The grid is made
     where a building and its panoramas are, so neither its points nor their distances are ever sent."""
     n = s.grid_n + 1
+    side, radius = _square(s)
+    squares = boxes.select("building", *(((F.col(f"{c}0") + F.col(f"{c}n")) * 0.5).alias(f"m{c}") for c in "xy"), side.alias("side"), radius.alias("radius"))
     reach = F.col("side") * 0.5 + F.col("radius") + 1.0
-    ends = {f"{e}_{c}": (F.col(f"{c}0") + F.col(f"{c}n")) * 0.5 + reach * k for c in "xy" for e, k in (("low", -1.0), ("high", 1.0))}
-    met = _met(squares.withColumns(ends), panos)
-    # The corner is that of search_grid.
-    own = [((F.col(f"{c}0") + F.col(f"{c}n")) * 0.5 - F.col("side") * 0.5).alias(c) for c in "xy"] + [(F.col("side") / float(s.grid_n)).alias("step")]
+    met = _met(squares, panos, {c: (F.col(f"m{c}") - reach, F.col(f"m{c}") + reach) for c in "xy"})
     near = F.array_sort(F.collect_list(F.struct("pano_id", "px", "py"))).alias("near")
-    at = met.select("building", *own, "radius", "pano_id", "px", "py").groupBy("building", "x", "y", "step", "radius").agg(near)
+    # The corner is that of search_grid.
+    own = [(F.col(f"m{c}") - F.col("side") * 0.5).alias(c) for c in "xy"] + [(F.col("side") / float(s.grid_n)).alias("step")]
+    at = met.groupBy(*squares.columns).agg(near).select("building", *own, "radius", "near")
     kind = at.schema
     out = T.StructType([kind["building"], T.StructField("pano_id", kind["near"].dataType.elementType["pano_id"].dataType), *(T.StructField(c, t) for c, t in (("i", T.IntegerType()), ("j", T.IntegerType()), ("x", T.DoubleType()), ("y", T.DoubleType())))])
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(k, ROWS) for b in batches for k in range(0, b.num_rows, ROWS)):
-            lists = batch.column("near")
-            flat, sizes = lists.flatten(), pc.list_value_length(lists).to_numpy()
+            sizes = pc.list_value_length(batch.column("near")).to_numpy()
+            # Buildings with more panoramas come first, so that those that have a next one are always the first so many.
+            order = np.argsort(-sizes, kind="stable")
+            batch, sizes = batch.take(pa.array(order)), sizes[order]
+            flat = batch.column("near").flatten()
             px, py = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("px", "py"))
-            row, first = np.repeat(np.arange(len(sizes)), sizes), np.cumsum(sizes) - sizes
-            x, y, step, radius = (batch.column(c).to_numpy(zero_copy_only=False)[row] for c in ("x", "y", "step", "radius"))
-            best, least = np.full((len(sizes), n * n), len(flat)), np.full((len(sizes), n * n), np.inf)
-            for k in range(n * n):
-                dx, dy = px - (x + k // n * step), py - (y + k % n * step)
-                d = np.sqrt(dx * dx + dy * dy)
-                d = np.where(d <= radius, d, np.inf)
-                least[:, k] = np.minimum.reduceat(d, first)
-                # Panoramas of a row are in order, so of equally near ones the first counts.
-                at = np.where((d == least[row, k]) & (d < np.inf), np.arange(len(flat)), len(flat))
-                best[:, k] = np.minimum.reduceat(at, first)
-            spot, k = np.unique(best.ravel(), return_index=True)
-            # Every panorama is of one row, so the first place in its row is the first in all.
-            k, spot = k[spot < len(flat)] % (n * n), spot[spot < len(flat)]
-            there = flat.take(pa.array(spot))
-            columns = [batch.column("building").take(pa.array(row[spot])), there.field("pano_id"), pa.array((k // n).astype(np.int32)), pa.array((k % n).astype(np.int32)), there.field("px"), there.field("py")]
+            first = np.cumsum(sizes) - sizes
+            x, y, step, radius = (batch.column(c).to_numpy(zero_copy_only=False)[:, None] for c in ("x", "y", "step", "radius"))
+            gx, gy = (a + np.arange(n) * step for a in (x, y))
+            best, least = np.full((len(sizes), n, n), len(flat)), np.full((len(sizes), n, n), np.inf)
+            m = 0
+            while m < sizes[0]:
+                # One more panorama of each of many buildings, or many more of few.
+                rows = int(np.searchsorted(-sizes, -m))
+                more = m + np.arange(max(1, PAIRS // rows))
+                own = more < sizes[:rows, None]
+                at = np.where(own, first[:rows, None] + more, 0)
+                dx, dy = px[at][:, :, None] - gx[:rows, None], py[at][:, :, None] - gy[:rows, None]
+                d = np.sqrt((dx * dx)[..., :, None] + (dy * dy)[..., None, :])
+                d = np.where((d <= radius[:rows, :, None, None]) & own[:, :, None, None], d, np.inf)
+                # Panoramas of a building are in order, so of equally near ones the first counts.
+                k, d = d.argmin(axis=1), d.min(axis=1)
+                closer = d < least[:rows]
+                np.copyto(least[:rows], d, where=closer)
+                np.copyto(best[:rows], first[:rows, None, None] + m + k, where=closer)
+                m += len(more)
+            # Every panorama is of one building, so the first place there is the first in all.
+            place = np.full(len(flat) + 1, n * n)
+            for k in reversed(range(n * n)):
+                place[best[:, k // n, k % n]] = k
+            spot = np.flatnonzero(place[:-1] < n * n)
+            k, there = place[spot], flat.take(pa.array(spot))
+            own = batch.column("building").take(pa.array(np.repeat(np.arange(len(sizes)), sizes)[spot]))
+            columns = [own, there.field("pano_id"), pa.array((k // n).astype(np.int32)), pa.array((k % n).astype(np.int32)), there.field("px"), there.field("py")]
             yield pa.RecordBatch.from_arrays(columns, out.names)
 
     return at.mapInArrow(nearest, out)
 
 
-def discovered(bases: DataFrame, panos: DataFrame, s: Settings = Settings()) -> DataFrame:  # noqa: B008
+def discovered(bases: DataFrame, panos: DataFrame, s: Settings = Settings(), extents: DataFrame | None = None) -> DataFrame:  # noqa: B008
     """Panoramas that a search finds around buildings (bases: building, x1, y1, x2, y2): building, pano_id, x, y. Each point of a building's grid
     asks for the nearest within its radius; of what is found, panoramas in the building's zone count, and of those at one place the first in
-    grid order. A panorama that is nearest to no grid point is never found."""
-    bases = bases.where("building is not null")
-    near = _near_lines(bases, _found(_squares(bases, s), panos, s), s.grid_offset_m)
+    grid order. A panorama that is nearest to no grid point is never found. extents: columns as those of bases, with the same least and greatest
+    places of each building, where they are known for less work than lines."""
+    bases, extents = (df.where("building is not null") for df in (bases, bases if extents is None else extents))
+    near = _near_lines(bases, _found(_boxes(extents, s), panos, s), s.grid_offset_m)
     near = near.groupBy("building", "pano_id").agg(F.min(F.struct("i", "j", "x", "y")).alias("first")).select("building", "pano_id", "first.*")
     lat, lng = g.from_utm(F.col("x"), F.col("y"))
     return first_by_place(once(near, {"lat": lat, "lng": lng})).select("building", "pano_id", "x", "y")
 
 
-def best_for_walls(walls: DataFrame, zone: DataFrame, s: Settings = Settings()) -> DataFrame:  # noqa: B008
+def best_for_walls(walls: DataFrame, zone: DataFrame, s: Settings = Settings(), near: str | None = None) -> DataFrame:  # noqa: B008
     """Each wall (with its geometry) and its panorama: of those in front of the wall and within the prism over its base, the
     one with the least (lateral, forward, dist, pano_id); null if there is none. zone: building, pano_id, x, y. Walls meet their building's panoramas
-    as one row, so they are neither multiplied nor sorted by wall."""
+    as one row, so they are neither multiplied nor sorted by wall. near: a name for a column that tells whether the building has any panorama."""
     b1, b2 = point("b1", "xy"), point("b2", "xy")
     flat = g.safe_unit((F.col("nx"), F.col("ny")))
     none = g.norm((F.col("nx"), F.col("ny"))) < 1e-9
     n = (F.when(none, -F.col("dy")).otherwise(flat[0]), F.when(none, F.col("dx")).otherwise(flat[1]))
-    near = zone.groupBy("building").agg(F.collect_list(F.struct("pano_id", "x", "y")).alias("_near"))
-    at = walls.join(near.hint("shuffle_hash"), "building", "left")
+    beside = zone.groupBy("building").agg(F.collect_list(F.struct("pano_id", "x", "y")).alias("_near"))
+    at = walls.join(beside.hint("shuffle_hash"), "building", "left")
     mx, my = (b1[0] + b2[0]) * 0.5, (b1[1] + b2[1]) * 0.5
 
     def seen(o: Column) -> Column:
@@ -155,7 +181,8 @@ def best_for_walls(walls: DataFrame, zone: DataFrame, s: Settings = Settings())
 
     hit = lambda o: (o["lateral"] <= F.col("base_m") / 2.0) & o["forward"].between(0.0, s.prism_length_m)
     best = F.when(F.col("base_m") >= 1e-9, F.array_min(F.filter(F.transform("_near", seen), hit)))
-    return at.withColumn("_best", best).select(*walls.columns, "_best.*")
+    known = [F.col("_near").isNotNull().alias(near)] if near else []
+    return at.withColumn("_best", best).select(*walls.columns, "_best.*", *known)
 
 
 #: Points, and areas, of a zone that meet at once.

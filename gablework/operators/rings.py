@@ -40,15 +40,16 @@ def wall_faces(edges: DataFrame) -> DataFrame:
     """Walls of vertical edges (building, component, loop, ring_order, seq, p, q), p and q structs of x, y, z (null for a missing node): each
     edge with the next one of its ring, the last with the first. Columns b1, t1 and b2, t2 are the lower and upper ends;
     loop_index counts within the ring and wall_index over the building, walls without all nodes included."""
-    # Nulls stand in columns of their own, so that one order serves rings and buildings: rows are sorted once.
-    edges = edges.withColumns({"_c": F.col("component").isNull(), "_l": F.col("loop").isNull()})
-    place = ("_c", "component", "_l", "loop")
-    ring = Window.partitionBy("building", *place).orderBy(*_order())
+    # Nulls stand in fields of their own, and the ring's place is one column (of several, constant ones would be left out of one order and not of
+    # the other), so that one order serves rings and buildings: rows are sorted once.
+    edges = edges.withColumn("_place", F.struct(F.col("component").isNull(), "component", F.col("loop").isNull(), "loop"))
+    ring = Window.partitionBy("building", "_place").orderBy(*_order())
     whole = ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     own = F.struct("p", "q")
     following = F.coalesce(F.lead(own).over(ring), F.first(own).over(whole))
-    at = edges.withColumn("n", F.count("*").over(whole)).where("n >= 2").withColumn("next", following).withColumn("loop_index", F.row_number().over(ring) - 1)
-    over = Window.partitionBy("building").orderBy(*place, *_order())
+    # All at once, so that rows pass one window by rings.
+    at = edges.withColumns({"n": F.count("*").over(whole), "next": following, "loop_index": F.row_number().over(ring) - 1}).where("n >= 2")
+    over = Window.partitionBy("building").orderBy("_place", *_order())
     at = at.withColumn("wall_index", F.row_number().over(over) - 1)
     (b1, t1), (b2, t2) = g.by_height(F.col("p"), F.col("q")), g.by_height(F.col("next.p"), F.col("next.q"))
     # Generated columns are computed once; projected ones would be written into every expression that uses them.
@@ -56,6 +57,13 @@ def wall_faces(edges: DataFrame) -> DataFrame:
     return at.select(*RING, *ORDER, "loop_index", "wall_index", ends)
 
 
+def ring_boxes(edges: DataFrame) -> DataFrame:
+    """The box around the base lines of each ring's walls (building, x1, y1, x2, y2), without an order of its edges: a wall ends where the next begins."""
+    low, _ = g.by_height(F.col("p"), F.col("q"))
+    at = edges.select(*RING, low["x"].alias("x"), low["y"].alias("y")).groupBy(*RING)
+    return at.agg(*(f(c).alias(f"{c}{k}") for k, f in ((1, F.min), (2, F.max)) for c in "xy"), F.count("*").alias("n")).where("n >= 2").select("building", "x1", "y1", "x2", "y2")
+
+
 def point(name: str, dims: str = "xyz") -> g.Point:
     return tuple(F.col(f"{name}.{c}") for c in dims)
 

@@ -8,7 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from gablework.functions import facets, intervals
-from gablework.operators import fitting, graphs, outlines, panoramas, planar, polygons
+from gablework.operators import documents, fitting, graphs, outlines, panoramas, planar, polygons, rings
+from gablework.plans import areas
+from gablework.plans import tables as t
 
 
 def plain_nearest(v, lows, highs):
@@ -82,6 +84,66 @@ def test_search_makes_no_rows_of_grid_points(spark):
     assert zone == {(r.building, k) for r in lines for k, o in p.items() if away(o, r) < 20}
 
 
+EDGES = "building long, component int, loop int, ring_order long, seq int, type string, source long, target long, p struct<x:double,y:double,z:double>, q struct<x:double,y:double,z:double>"
+
+
+def rings_of(rnd, count):
+    """Edges of buildings of up to two rings, some of one edge only, some ends missing."""
+    rows = []
+    for b in range(count):
+        for component, loop in rnd.choice(([(0, 0)], [(0, 0), (0, 1)], [(0, None), (None, 1)], [(None, None)])):
+            for k in range(rnd.choice((1, 3, 5))):
+                x, y, z = 60.0 * b + rnd.uniform(-20, 20), rnd.uniform(-20, 20), rnd.choice((0.0, 4.0))
+                p, q = (None if rnd.random() < 0.03 else (x, y, v) for v in (z, 3.0))
+                rows.append((b if b else None, component, loop, rnd.choice((1, 2, None)), k, "base", k, k + 1, p, q))
+    return rows
+
+
+def test_states_without_views(spark):
+    """Neither a view nor a table between steps is made for a state; walls are sorted by rings once."""
+    plan = areas.wall_status(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "cam_x" not in plan and "tile_headings" not in plan and "ExistingRDD" not in plan
+    faces = rings.wall_faces(t.edges(spark, "/root/testdata/sf0.001"))
+    assert faces._jdf.queryExecution().executedPlan().toString().count("Sort [") == 2
+    edges = spark.createDataFrame(rings_of(random.Random(4), 40), EDGES)
+    panos = spark.createDataFrame([(k, random.Random(k).uniform(0, 1500), random.Random(-k).uniform(-60, 60)) for k in range(1, 90)], "pano_id long, x double, y double")
+    pick = lambda df: sorted(map(tuple, df.where("building is not null").select("building", "wall_index", "status").collect()))
+    got = pick(documents.wall_states(edges, panos))
+    assert got == pick(documents.building_states(edges, panos)) and len({v for _, _, v in got}) == 3
+    walls = rings.wall_faces(edges)
+    assert len(got) == walls.where("building is not null").count()
+    assert {r.status for r in documents.wall_states(edges, panos).where("building is null").collect()} == {"no_panorama_near_building"}
+
+
+def test_boxes_of_rings(spark):
+    """A building's box is known without the order of its edges."""
+    edges = spark.createDataFrame(rings_of(random.Random(5), 60), EDGES)
+    bases = t.bases(rings.wall_faces(edges))
+    made = [{tuple(r) for r in panoramas._boxes(df, panoramas.Settings()).collect()} for df in (bases, rings.ring_boxes(edges))]
+    assert made[0] == made[1] and len(made[0]) > 40
+    assert "Window" not in rings.ring_boxes(edges)._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("rows, pairs", [(2048, 1024), (3, 8), (1, 1)])
+def test_search_around_many_panoramas(spark, monkeypatch, rows, pairs):
+    """Crowds, ties and boxes over many cells: the same as the grid points' own nearest panoramas, with their first points, whatever the blocks."""
+    rnd = random.Random(6)
+    bases = [(b, 300.0 * b, -90.0, 300.0 * b + w, -90.0 + w) for b, w in enumerate((5.0, 700.0, 40.0, 5.0))]
+    panos = [(k, rnd.uniform(-60, 1300), rnd.uniform(-200, 700)) for k in range(300)] + [(1000 + k, 2.0, -88.0) for k in range(50)] + [(2000 + k, 610.0 + k % 7, -80.0) for k in range(40)]
+    bases, panos = spark.createDataFrame(bases, "building long, x1 double, y1 double, x2 double, y2 double"), spark.createDataFrame(panos, "pano_id long, x double, y double")
+    monkeypatch.setattr(panoramas, "ROWS", rows)
+    monkeypatch.setattr(panoramas, "PAIRS", pairs)
+    s = panoramas.Settings()
+    boxes = panoramas._boxes(bases, s)
+    assert panoramas._met(boxes, panos, {c: (F.col(f"{c}0"), F.col(f"{c}n")) for c in "xy"})._jdf.queryExecution().optimizedPlan().toString().count("Generate") == 1
+    want = {}
+    for r in panoramas.nearest_to_grid(panoramas.search_grid(bases), panos).collect():
+        key = r.building, r.pano_id
+        want[key] = min(want.get(key, (99, 99)), (r.i, r.j))
+    got = panoramas._found(boxes, panos, s).collect()
+    assert {(r.building, r.pano_id): (r.i, r.j) for r in got} == want and len(got) == len(want) > 30
+
+
 def test_raster_of_many_polygons(spark, monkeypatch):
     """Pixels are tested in blocks, not as rows, and are the same whatever the blocks."""
     ring = "array<struct<x double, y double>>"
