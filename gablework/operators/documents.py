@@ -25,11 +25,11 @@ def with_results(walls: DataFrame, results: DataFrame) -> DataFrame:
 def wall_states(edges: DataFrame, panos: DataFrame, s: Settings = Settings()) -> DataFrame:  # noqa: B008
     """From wireframe edges and panoramas (pano_id, x, y), which a grid search around each building finds, to every wall (with its geometry), its panorama
     and a status. One wall without a view, or a building without a panorama, is a row with a status and nulls, and stops no other."""
-    walls = rings.wall_geometry(rings.wall_faces(edges))
-    bases = walls.select("building", *(F.col(f"b{k}.{c}").alias(f"{c}{k}") for k in (1, 2) for c in "xy"))
+    faces = rings.wall_faces(edges)
+    bases = faces.select("building", *(F.col(f"b{k}.{c}").alias(f"{c}{k}") for k in (1, 2) for c in "xy"))
     zone = panoramas.discovered(bases, panos, s, rings.ring_boxes(edges))
     status = F.when(~F.col("near"), "no_panorama_near_building").when(F.col("pano_id").isNull(), "no_panorama_for_wall").otherwise("ready")
-    return panoramas.best_for_walls(walls, zone, s, "near").withColumn("status", status).drop("near")
+    return panoramas.best_for_walls(rings.wall_geometry(faces), zone, s, "near").withColumn("status", status).drop("near")
 
 
 def building_states(edges: DataFrame, panos: DataFrame, s: Settings = Settings()) -> DataFrame:  # noqa: B008
